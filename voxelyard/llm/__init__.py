@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import packing, token_store
+    from . import decontaminate, packing, token_store
 
     return {
+        "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_ids": token_store.op2_token_ids,
         "op6_packing": packing.op6_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import decontaminate
+
+    return {"op1_decontamination": decontaminate.OP1_SQL}
