@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, packing, token_store
+    from . import decontaminate, exact_dedup, packing, token_store
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_ids": token_store.op2_token_ids,
         "op6_packing": packing.op6_packing,
+        "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate
+    from . import decontaminate, exact_dedup
 
-    return {"op1_decontamination": decontaminate.OP1_SQL}
+    return {"op1_decontamination": decontaminate.OP1_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
