@@ -15,6 +15,7 @@ Null texts count as empty.  Memory is bounded: the chunk table is emptied beyond
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 
@@ -34,6 +35,11 @@ IS_SPACE = _table(b" \t\n\v\f\r")
 IS_MARK = _table(b".,;:!?")
 IS_ALNUM = _table(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
+# The usual alphabet of byte-level vocabularies: printable Latin-1 bytes stand for themselves, the
+# others, in order, for the characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_ALPHABET = {b: 256 + n for n, b in enumerate(sorted({*range(256)} - _PRINTABLE)) if b != 32}
+
 _ENCODERS: dict[tuple[str, int], "ChunkEncoder"] = {}
 
 
@@ -45,70 +51,85 @@ def encoder(path: str, cache_chunks: int = CACHE_CHUNKS) -> "ChunkEncoder":
     return _ENCODERS[key]
 
 
+class _Slots(dict):
+    """Numbers chunks as they come; the new ones wait in ``fresh``."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        n = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return n
+
+
 class ChunkEncoder:
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_chunks = cache_chunks
         vocabulary, self.word_end, self.lower = self.tokenizer.get_vocab(), None, False
-        if any(t.endswith(WORD_END) for t in vocabulary):
-            self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.word_end[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         probe = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("Word WORD.", "word word .")]
         self.lower = probe[0] == probe[1]
+        if self.lower and any(t.endswith(WORD_END) for t in vocabulary):
+            self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.word_end[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+            # for words that are lower-case and composed already, given as the alphabet of bytes
+            self.words = Tokenizer.from_file(path)
+            self.words.normalizer = normalizers.Sequence([])
+            self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self._reset()
 
     def _reset(self) -> None:
-        self.slot: dict[bytes, int] = {}
+        self.slot = _Slots()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
 
-    def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for e in ids for i in e), np.uint32, int(n.sum())), n
 
-    def _encode_letters(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Chunks of letters only are one word each, and the last id of a word is marked as its end.
-        So many can share a call; a batch whose ends don't add up is encoded chunk by chunk."""
+    def _encode_words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that are one lower-case word each share calls, as the last id of a word is marked
+        as its end. Where the marks don't add up, chunks are encoded one by one."""
         parts = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
+        lines = [" ".join(p).encode().decode("latin-1").translate(BYTE_ALPHABET) for p in parts]
         ids, lengths = [], []
-        for part, whole in zip(parts, self._encode_chunks([" ".join(p) for p in parts])):
-            row = np.array(whole, np.uint32)
+        for part, whole in zip(parts, self.words.encode_batch_fast(lines, add_special_tokens=False)):
+            row = np.array(whole.ids, np.uint32)
             ends = np.flatnonzero(self.word_end[row])
+            n = np.diff(ends, prepend=-1)
             if len(ends) != len(part) or ends[-1] != len(row) - 1:
-                single = self._encode_chunks(part)
-                row, n = np.array([i for e in single for i in e], np.uint32), [len(e) for e in single]
-            else:
-                n = np.diff(ends, prepend=-1)
+                row, n = self._encode_chunks(part)
             ids.append(row)
-            lengths.append(np.asarray(n, np.int64))
+            lengths.append(n)
         return np.concatenate(ids), np.concatenate(lengths)
 
     def _learn(self, chunks: list[bytes]) -> None:
+        first = len(self.slot) - len(chunks)
         text = [c.decode("utf-8", "replace") for c in chunks]
-        letters = [i for i, t in enumerate(text) if t.isalpha()] if self.word_end is not None else []
-        others = sorted({*range(len(text))}.difference(letters))
-        if letters:
-            self._store([chunks[i] for i in letters], *self._encode_letters([text[i] for i in letters]))
-        if others:
-            ids = self._encode_chunks([text[i] for i in others])
-            self._store([chunks[i] for i in others], np.fromiter((i for e in ids for i in e), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
-
-    def _store(self, chunks: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
-        total, first = len(ids), len(self.slot)
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(chunks) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.used : self.used + total] = ids
-        self.start[first : first + len(chunks)] = self.used + np.cumsum(n) - n
-        self.length[first : first + len(chunks)] = n
-        self.slot.update(zip(chunks, range(first, first + len(chunks))))
-        self.used += total
+        words, others = [], range(len(text))
+        if self.word_end is not None:
+            words = [i for i, t in enumerate(text) if t.isalpha() and (t.islower() if t.isascii() else t == t.lower() and unicodedata.is_normalized("NFC", t))]
+            others = sorted({*others}.difference(words))
+        while len(self.slot) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        for rows, encode in ((words, self._encode_words), (others, self._encode_chunks)):
+            if rows:
+                ids, n = encode([text[i] for i in rows])
+                while self.used + len(ids) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+                at = first + np.array(rows)
+                self.flat[self.used : self.used + len(ids)] = ids
+                self.start[at] = self.used + np.cumsum(n) - n
+                self.length[at] = n
+                self.used += len(ids)
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row (uint32), and the number of ids of each text."""
@@ -127,15 +148,12 @@ class ChunkEncoder:
         starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
         words = np.diff(np.searchsorted(starts, bounds), prepend=0)
         chunks = block.split()
-        slots = list(map(self.slot.get, chunks))
-        fresh = {c for c, s in zip(chunks, slots) if s is None}
-        if fresh:
-            if len(self.slot) + len(fresh) > self.cache_chunks and self.slot:
-                self._reset()
-                fresh = {*chunks}
-            self._learn(list(fresh))
-            slots = list(map(self.slot.__getitem__, chunks))
-        slots = np.array(slots, np.int64)
+        if len(self.slot) > self.cache_chunks:
+            self._reset()
+        slots = np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
+        if self.slot.fresh:
+            self._learn(self.slot.fresh)
+            self.slot.fresh = []
         n = self.length[slots]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
