@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, exact_dedup, packing, quality, simhash, token_store
+    from . import decontaminate, exact_dedup, packing, quality, secrets, simhash, token_store
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_ids": token_store.op2_token_ids,
         "op4_quality": quality.op4_quality,
+        "op5_secrets": secrets.op5_secrets,
         "op6_packing": packing.op6_packing,
         "op8_simhash": simhash.op8_simhash,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
