@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, exact_dedup, licenses, packing, quality, secrets, simhash, token_store
+    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, token_store
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_secrets": secrets.op5_secrets,
         "op6_packing": packing.op6_packing,
+        "op7_pii": pii.op7_pii,
         "op8_simhash": simhash.op8_simhash,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_licenses": licenses.op10_licenses,
