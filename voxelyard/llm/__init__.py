@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, token_store
+    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, token_store, url_filter
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_ids": token_store.op2_token_ids,
+        "op3_url_filter": url_filter.op3_url_filter,
         "op4_quality": quality.op4_quality,
         "op5_secrets": secrets.op5_secrets,
         "op6_packing": packing.op6_packing,
