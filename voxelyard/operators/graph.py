@@ -1,0 +1,205 @@
+"""Graphs of one skeleton, on numpy arrays: what the grouped operators of paths.py run per body.
+
+A skeleton is vertices (n x 3, z y x in nm) and edges (m x 2). Bodies' skeletons are small (some
+hundred thousand nodes at most), so one fits a task."""
+
+from __future__ import annotations
+
+import heapq
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+import numpy as np
+
+Inside = Callable[[np.ndarray], np.ndarray]
+#: Shortest weight of an edge, so that zero-length edges stay connections.
+LEAST = 1e-6
+
+
+class Union:
+    """Disjoint sets of 0 to n - 1; the smallest member names a set."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, i: int) -> int:
+        top = i
+        while self.up[top] != top:
+            top = self.up[top]
+        while self.up[i] != top:
+            self.up[i], i = top, self.up[i]
+        return top
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = sorted((self.find(i), self.find(j)))
+        self.up[b] = a
+        return a != b
+
+
+def components(n: int, edges: np.ndarray) -> np.ndarray:
+    sets = Union(n)
+    for a, b in edges:
+        sets.join(int(a), int(b))
+    return np.array([sets.find(i) for i in range(n)], np.int64)
+
+
+def lengths(v: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    return np.sqrt(((v[edges[:, 0]] - v[edges[:, 1]]) ** 2).sum(axis=1)) if len(edges) else np.zeros(0)
+
+
+def bridges(v: np.ndarray, edges: np.ndarray, gap: float) -> np.ndarray:
+    """Edges that join components at most gap apart: of each pair of components its shortest link, and
+    of these, shortest first, those that close no cycle."""
+    if gap < 0:
+        raise ValueError("a gap isn't negative")
+    label = components(len(v), edges)
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    if gap > 0 and len(np.unique(label)) > 1:
+        for i in range(len(v)):  # a row of distances at a time
+            d = np.sqrt(((v[i + 1 :] - v[i]) ** 2).sum(axis=1))
+            for j in np.flatnonzero((d <= gap) & (label[i + 1 :] != label[i])):
+                pair = tuple(sorted((int(label[i]), int(label[i + 1 + j]))))
+                best[pair] = min(best.get(pair, (np.inf, 0, 0)), (float(d[j]), i, int(i + 1 + j)))
+    sets, out = Union(len(v)), []
+    for (a, b), (_, i, j) in sorted(best.items(), key=lambda x: x[1]):
+        if sets.join(a, b):
+            out.append((i, j))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+@dataclass
+class Graph:
+    """A skeleton with bridges, cut where it crosses a region's boundary."""
+
+    v: np.ndarray
+    edges: np.ndarray
+    bridge: np.ndarray  # of each edge
+    parent: np.ndarray  # edge of the uncut skeleton that each edge is a part of
+    within: np.ndarray  # of each edge: whether it lies in the region
+    border: set[int] = field(default_factory=set)  # vertices on the boundary
+
+
+def cut(v: np.ndarray, edges: np.ndarray, bridge: np.ndarray, inside: Inside, tolerance: float) -> Graph:
+    """Puts a vertex on each crossing, by bisection to the tolerance."""
+    at = np.asarray(inside(v), bool) if len(v) else np.zeros(0, bool)
+    points, border = [*v], set()
+    out: list[tuple[int, int, bool, int, bool]] = []
+    for k, (a, b) in enumerate(edges):
+        if at[a] == at[b]:
+            out.append((a, b, bridge[k], k, bool(at[a])))
+            continue
+        low, high, size = 0.0, 1.0, float(np.linalg.norm(v[b] - v[a]))
+        while (high - low) * size > tolerance / 16:
+            middle = (low + high) / 2
+            if bool(inside((v[a] + middle * (v[b] - v[a]))[None])[0]) == at[a]:
+                low = middle
+            else:
+                high = middle
+        points.append(v[a] + (low + high) / 2 * (v[b] - v[a]))
+        border.add(len(points) - 1)
+        out += [(a, len(points) - 1, bridge[k], k, bool(at[a])), (len(points) - 1, b, bridge[k], k, bool(at[b]))]
+    columns = list(zip(*out)) or [[], [], [], [], []]
+    return Graph(np.array(points, float).reshape(-1, 3), np.array([*zip(columns[0], columns[1])], np.int64).reshape(-1, 2), np.array(columns[2], bool), np.array(columns[3], np.int64), np.array(columns[4], bool), border)
+
+
+def pieces(g: Graph, which: str, merge: float) -> tuple[np.ndarray, int, int]:
+    """Which edges belong to the chosen part of the region; number of pieces chosen, and of all.
+    Pieces are the connected parts of the region's edges, ranked by their cable without bridges."""
+    if which not in ("largest", "all"):
+        raise ValueError(f"pieces are 'largest' or 'all', not {which!r}")
+    own = np.flatnonzero(g.within)
+    if not len(own):
+        return np.zeros(len(g.edges), bool), 0, 0
+    label = components(len(g.v), g.edges[own])[g.edges[own, 0]]
+    names = np.unique(label)
+    cable = {p: lengths(g.v, g.edges[own])[(label == p) & ~g.bridge[own]].sum() for p in names}
+    chosen = set(names) if which == "all" else {max(names, key=lambda p: (cable[p], -p))}
+    spots = {p: g.v[np.unique(g.edges[own[label == p]])] for p in names}
+    grown = merge > 0
+    while grown:  # whatever is near enough to what is chosen, until nothing is
+        grown = False
+        for p in set(names) - chosen:
+            if any(np.sqrt(((spots[p][:, None] - spots[q][None]) ** 2).sum(axis=2)).min() <= merge for q in chosen):
+                chosen.add(p)
+                grown = True
+    part = np.zeros(len(g.edges), bool)
+    part[own[np.isin(label, list(chosen))]] = True
+    return part, len(chosen), len(names)
+
+
+def shortest(n: int, edges: np.ndarray, weight: np.ndarray, bridge: np.ndarray, sources: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From the nearest source to each vertex: distance, bridges on the way and their length, source.
+    Unreachable ones have infinity, 0, 0 and -1. Loops and repeated edges change nothing."""
+    near: list[list[tuple[int, float, bool]]] = [[] for _ in range(n)]
+    for (a, b), w, x in zip(edges, np.maximum(weight, LEAST), bridge):
+        if a != b:
+            near[a].append((int(b), float(w), bool(x)))
+            near[b].append((int(a), float(w), bool(x)))
+    dist, count, along, source = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n), np.full(n, -1, np.int64)
+    heap = []
+    for s in sorted({*sources}):
+        dist[s], source[s] = 0.0, s
+        heap.append((0.0, s))
+    while heap:
+        d, i = heapq.heappop(heap)
+        if d > dist[i]:
+            continue
+        for j, w, x in near[i]:
+            if d + w < dist[j]:
+                dist[j], count[j], along[j], source[j] = d + w, count[i] + x, along[i] + w * x, source[i]
+                heapq.heappush(heap, (dist[j], j))
+    return dist, count, along, source
+
+
+def attach(points: np.ndarray, v: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nearest edge of each point (the first of equal ones), place on it, and distance."""
+    a, s = v[edges[:, 0]], v[edges[:, 1]] - v[edges[:, 0]]
+    square = (s * s).sum(axis=1)
+    edge, t, snap = np.zeros(len(points), np.int64), np.zeros(len(points)), np.zeros(len(points))
+    for k, p in enumerate(points):
+        u = np.clip(np.divide(((p - a) * s).sum(axis=1), square, out=np.zeros(len(a)), where=square > 0), 0, 1)
+        d = np.sqrt(((p - a - u[:, None] * s) ** 2).sum(axis=1))
+        edge[k] = int(np.argmin(d))
+        t[k], snap[k] = u[edge[k]], d[edge[k]]
+    return edge, t, snap
+
+
+def signed_distances(v: np.ndarray, edges: np.ndarray, radii: np.ndarray | None, points: np.ndarray, inside: Inside, gap: float = 0.0, tolerance: float = 8.0, which: str = "largest", merge: float = 0.0) -> tuple[list[dict], dict]:
+    """For each point its path length to the region's boundary, negative in the region's chosen part; and
+    a summary of the graph. Statuses: ok, unreachable, no_compartment, no_skeleton."""
+    nothing = {"distance_nm": None, "inside": None, "snap_nm": None, "n_bridges": None, "bridge_nm": None, "on_bridge": None, "radius_nm": None, "entry": None}
+    in_roi = np.asarray(inside(points), bool) if len(points) else np.zeros(0, bool)
+    summary = {"n_pieces": 0, "n_pieces_all": 0, "n_bridges": 0, "n_entries": 0, "cable_nm": 0.0, "inside_nm": 0.0, "n_entries_used": 0}
+    if not len(edges):
+        return [{**nothing, "in_roi": bool(i), "status": "no_skeleton"} for i in in_roi], summary
+    links = bridges(v, edges, gap)
+    whole = np.concatenate([edges, links])
+    g = cut(v, whole, np.arange(len(whole)) >= len(edges), inside, tolerance)
+    part, n, n_all = pieces(g, which, merge)
+    size = lengths(g.v, g.edges)
+    entries = sorted(g.border & {*g.edges[part].ravel().tolist()})
+    summary |= {"n_pieces": n, "n_pieces_all": n_all, "n_bridges": len(links), "n_entries": len(entries), "cable_nm": float(size[~g.bridge].sum()), "inside_nm": float(size[part & ~g.bridge].sum())}
+    if not entries:
+        return [{**nothing, "in_roi": bool(i), "status": "no_compartment"} for i in in_roi], summary
+    dist, count, along, source = shortest(len(g.v), g.edges, size, g.bridge, entries)
+    out = []
+    for k, (e, t, snap) in enumerate(zip(*attach(points, g.v, g.edges))):
+        ways = []
+        for node, share in ((g.edges[e, 0], t), (g.edges[e, 1], 1 - t)):
+            step = share * size[e]
+            ways.append((dist[node] + step, count[node] + bool(g.bridge[e] and share > 0), along[node] + step * g.bridge[e], source[node]))
+        d, n_b, b_nm, entry = min(ways)
+        radius = None
+        if radii is not None and not g.bridge[e]:
+            a, b = whole[g.parent[e]]
+            at = g.v[g.edges[e, 0]] + t * (g.v[g.edges[e, 1]] - g.v[g.edges[e, 0]])
+            span = float(np.linalg.norm(v[b] - v[a]))
+            u = float(np.linalg.norm(at - v[a])) / span if span else 0.0
+            radius = float(radii[a] + u * (radii[b] - radii[a]))
+        reached = np.isfinite(d)
+        out.append({
+            "distance_nm": float(-d if part[e] else d) if reached else None, "inside": bool(part[e]), "snap_nm": float(snap), "n_bridges": int(n_b), "bridge_nm": float(b_nm), "on_bridge": bool(g.bridge[e]),
+            "radius_nm": radius, "entry": int(entry) if reached else None, "in_roi": bool(in_roi[k]), "status": "ok" if reached else "unreachable",
+        })
+    summary["n_entries_used"] = len({r["entry"] for r in out if r["entry"] is not None})
+    return out, summary
