@@ -89,7 +89,8 @@ def attach(points: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("t", F.when(square > 0, F.least(F.greatest(along / F.nullif(square, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))).otherwise(0.0))
     gap = [F.col(f"p_{a}") - F.col(f"a_{a}") - F.col("t") * (F.col(f"b_{a}") - F.col(f"a_{a}")) for a in "zyx"]
     pairs = pairs.withColumn("d2", sum((g * g for g in gap), F.lit(0.0))).withColumn("radius", F.col("a_radius") + F.col("t") * (F.col("b_radius") - F.col("a_radius")))
-    best = pairs.groupBy("point_id", "body_id").agg(F.min(F.struct("d2", "edge_id", "t", "radius")).alias("best"))
+    # edges that meet at the nearest node are equally near, but for rounding
+    best = pairs.groupBy("point_id", "body_id").agg(F.min(F.struct(F.round("d2", 6).alias("near"), "edge_id", "t", "radius", "d2")).alias("best"))
     return best.select("point_id", "body_id", F.col("best.edge_id").alias("edge_id"), F.col("best.t").alias("t"), F.sqrt("best.d2").alias("snap_nm"), F.col("best.radius").alias("radius_nm"))
 
 

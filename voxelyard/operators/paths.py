@@ -23,6 +23,7 @@ def _arrays(nodes: pd.DataFrame, edges: pd.DataFrame) -> tuple[pd.DataFrame, np.
 
 
 def _by_body(nodes: DataFrame, edges: DataFrame, work, schema: str) -> DataFrame:
+    edges = edges.select(*[F.col(c).alias(c) for c in edges.columns])  # both may come from one table
     return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, schema)
 
 

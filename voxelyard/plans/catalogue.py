@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sweeps
+from . import skeletons, sweeps
 
-PLANS = (sweeps,)
+PLANS = (sweeps, skeletons)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
