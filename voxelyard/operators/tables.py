@@ -42,14 +42,12 @@ def nearest_rank(df: DataFrame, key: list[str], value: str, quantiles: tuple[flo
 def equal_width(df: DataFrame, value: str, bins: int) -> DataFrame:
     """(bin, lo, hi, n): the top edge is in the last bin, a constant column has one bin, empty bins are
     there."""
-    limits = df.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high")).where("low is not null")
-    n_bins = F.when(F.col("low") == F.col("high"), 1).otherwise(bins)
-    frame = limits.select("*", F.explode(F.sequence(F.lit(0), n_bins - 1)).alias("bin"))
-    width = F.when(F.col("low") == F.col("high"), F.lit(0.0)).otherwise((F.col("high") - F.col("low")) / bins)
-    frame = frame.select("bin", (F.col("low") + F.col("bin") * width).alias("lo"), (F.col("low") + (F.col("bin") + 1) * width).alias("hi"))
-    # one row of limits, known to be one
-    at = F.when(F.col("low") == F.col("high"), 0).otherwise(F.least(F.floor((F.col(value) - F.col("low")) * bins / (F.col("high") - F.col("low"))), F.lit(bins - 1)))
-    counted = df.where(F.col(value).isNotNull()).join(F.broadcast(limits), F.lit(True)).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    low, high = df.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
+    n = 0 if low is None else 1 if low == high else bins
+    width = (high - low) / bins if n > 1 else 0.0
+    frame = df.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"), (F.lit(low or 0.0) + F.col("id") * width).alias("lo"), (F.lit(low or 0.0) + (F.col("id") + 1) * width).alias("hi"))
+    at = F.least(F.floor((F.col(value) - low) * bins / (high - low)), F.lit(bins - 1)) if n > 1 else F.lit(0)
+    counted = df.where(F.col(value).isNotNull()).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     return frame.join(counted, "bin", "left").na.fill(0, ["n"])
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import skeletons, sweeps
+from . import skeletons, sweeps, tidy
 
-PLANS = (sweeps, skeletons)
+PLANS = (sweeps, skeletons, tidy)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
