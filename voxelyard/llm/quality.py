@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .shared import column, materialise, table
 from .tokens import blocks
 
-ORDER = 6
+ORDER = 5
 #: Quantiles of the trusted documents' perplexity between which documents stay.
 LOW, HIGH = 0.001, 0.999
 #: Bytes of the language's mean that each document's score is mixed with.
@@ -49,6 +49,8 @@ FAR, LEAST = 3.1, 8
 MODEL_ROWS = 3_000_000
 #: Labels, and languages, that may be broadcast.
 BROADCAST_LABELS, BROADCAST_LANGUAGES = 1_000_000, 10_000
+#: Bytes that a task works on at a time; a longer text is a block of its own.
+BLOCK = 1 << 20
 #: Stands before a text, in the place of the bytes that the first n-grams lack.
 START = b"\x02" * (ORDER - 1)
 
@@ -76,7 +78,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for i, j in blocks(texts, 1 << 23):
+            for i, j in blocks(texts, BLOCK):
                 code, n = np.unique(_codes(texts[i:j])[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
@@ -176,7 +178,7 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
     kind = docs.schema["doc"].dataType.simpleString()
     if not replicate:
         return by_join(docs, model)
-    rows = model.toArrow()
+    rows = model.select("level", "code", F.col("value").cast("float")).toArrow()
     level, code, value = (rows.column(c).to_numpy() for c in ("level", "code", "value"))
     sent = docs.sparkSession.sparkContext.broadcast({int(k): (code[level == k], value[level == k]) for k in range(1 - ORDER, ORDER + 1)})
 
@@ -185,7 +187,7 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             sums, lengths = [], []
-            for i, j in blocks(texts):
+            for i, j in blocks(texts, BLOCK):
                 found, length = _codes(texts[i:j])
                 total = np.concatenate([[0], np.cumsum(log_probabilities(found, tables), dtype=np.float64)])
                 ends = np.cumsum(length)
