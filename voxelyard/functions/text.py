@@ -25,7 +25,7 @@ def id_of(line: Column) -> Column:
 
 def human(nm: Column) -> Column:
     """Length with the unit that suits it."""
-    cut = lambda v: F.format_number(v, "0.0")
+    cut = lambda v: F.format_string("%.1f", v)
     return F.when(F.abs(nm) >= 1e6, F.concat(cut(nm / 1e6), F.lit(" mm"))).when(F.abs(nm) >= 1e3, F.concat(cut(nm / 1e3), F.lit(" µm"))).otherwise(F.concat(cut(nm), F.lit(" nm")))
 
 

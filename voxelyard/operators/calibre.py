@@ -98,7 +98,7 @@ def log_edges(low: float, high: float, n: int) -> list[float]:
     if not 0 < low < high or n < 1:
         raise ValueError("bins need 0 < low < high and n of 1 or more")
     step = (math.log10(high) - math.log10(low)) / n
-    return [low, *(10 ** (math.log10(low) + step * k) for k in range(1, n)), high]
+    return [float(low), *(10 ** (math.log10(low) + step * k) for k in range(1, n)), float(high)]
 
 
 def log_histogram(df: DataFrame, value: Column, low: float, high: float, n: int, weight: Column | None = None) -> DataFrame:
