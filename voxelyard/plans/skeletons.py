@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import calibre, paths, simplify, skeleton, sweep, volume
-from ..sources.bind import BROKEN, EDGES, ENDS, NODES, POINTS, VOXELS, points, skeletons, voxels
+from ..operators import calibre, paths, simplify, skeleton, sweep, trace, volume
+from ..sources.bind import BROKEN, EDGES, ENDS, NODES, POINTS, VOXELS, points, read, skeletons, voxels
 
 
 def rounded(df, places=4):
@@ -225,7 +225,29 @@ def method_pairs(spark, d):
     return rounded(tables.paired_medians(tables.paired(rows, "m1")), 4)
 
 
-QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs)}
+def _rods(spark, d):
+    """A rod along z for each supplier of the first nation, as long and thick as its key has it."""
+    rows = read(spark, d, "supplier").where("s_nationkey < 3").select((F.col("s_suppkey") + 1).alias("body_id"), (40 + F.col("s_suppkey") % 50).cast("int").alias("n"), (2 + F.col("s_suppkey") % 3).cast("int").alias("r"))
+    for a, low, high in (("z", F.lit(0), F.col("n") - 1), ("dy", -F.col("r"), F.col("r")), ("dx", -F.col("r"), F.col("r"))):
+        rows = rows.withColumn(a, F.explode(F.sequence(low, high)))
+    return rows.where("dy * dy + dx * dx <= r * r").select("z", (F.col("dy") + 10).alias("y"), (F.col("dx") + 10).alias("x"), "body_id")
+
+
+def trace_blocks(spark, d):
+    found = trace.skeletonize_blocks(_rods(spark, d), 32, 8.0)
+    return found.groupBy("body_id", "block").agg(F.count("*").alias("nodes"), F.max("radius_nm").alias("max_radius_nm"))
+
+
+def fuse_skeletons(spark, d):
+    found = trace.fuse_bodies(trace.skeletonize_blocks(_rods(spark, d), 32, 8.0), 16.0, 100.0, 100.0)
+    return rounded(found.drop("z_nm", "y_nm", "x_nm", "radii", "src", "dst"))
+
+
+def fusion_totals(spark, d):
+    return rounded(trace.fusion_summary(trace.fuse_bodies(trace.skeletonize_blocks(_rods(spark, d), 32, 8.0), 16.0, 100.0, 100.0)))
+
+
+QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals)}
 
 # a broken heap tree's component is the first node upwards whose edge is missing
 _UP = """walk AS (SELECT body_id, node_id, node_id AS top, 0.0::DOUBLE AS dist FROM nodes UNION ALL
