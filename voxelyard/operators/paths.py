@@ -101,3 +101,41 @@ def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, ins
 def summary(distances: DataFrame) -> DataFrame:
     """Points of each body by status."""
     return distances.groupBy("body_id").agg(*[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("ok", "unreachable", "no_compartment", "no_skeleton")])
+
+
+def rooted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(body_id, node_id, parent, depth): each component as a tree from its node with the fewest edges, the
+    smallest of equal ones; a root's parent is -1. Edges that close a loop are left out."""
+
+    def work(n, e):
+        n, _, ends = _arrays(n, e)
+        near = {i: [] for i in range(len(n))}
+        for a, b in ends.tolist():
+            near[a].append(b)
+            near[b].append(a)
+        up, depth = {}, {}
+        label = graph.components(len(n), ends)
+        for part in np.unique(label):
+            line = [min(np.flatnonzero(label == part).tolist(), key=lambda i: (len(near[i]), i))]
+            up[line[0]], depth[line[0]] = -1, 0
+            for i in line:  # grows as it is read
+                for j in sorted(near[i]):
+                    if j not in up:
+                        up[j], depth[j] = i, depth[i] + 1
+                        line.append(j)
+        ids = n["node_id"].to_numpy()
+        return pd.DataFrame({"body_id": n["body_id"], "node_id": ids, "parent": [int(ids[up[i]]) if up[i] >= 0 else -1 for i in range(len(n))], "depth": [depth[i] for i in range(len(n))]})
+
+    return _by_body(nodes.select("body_id", "node_id", *AXES), edges, work, "body_id long, node_id long, parent long, depth long")
+
+
+def twig_counts(nodes: DataFrame, edges: DataFrame, least: float = 2000.0) -> DataFrame:
+    """(body_id, n_twigs): side branches shorter than this."""
+
+    def work(n, e):
+        from .trace import twigs
+
+        n, v, ends = _arrays(n, e)
+        return pd.DataFrame({"body_id": [int(n["body_id"].iloc[0])], "n_twigs": [twigs(v, ends, least)]})
+
+    return _by_body(nodes.select("body_id", "node_id", *AXES), edges, work, "body_id long, n_twigs long")

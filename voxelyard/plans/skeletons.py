@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import calibre, paths, simplify, skeleton, sweep, trace, volume
+from ..operators import calibre, paths, sequences, simplify, skeleton, sweep, trace, volume
 from ..sources.bind import BROKEN, EDGES, ENDS, NODES, POINTS, VOXELS, points, read, skeletons, voxels
 
 
@@ -247,7 +247,38 @@ def fusion_totals(spark, d):
     return rounded(trace.fusion_summary(trace.fuse_bodies(trace.skeletonize_blocks(_rods(spark, d), 32, 8.0), 16.0, 100.0, 100.0)))
 
 
-QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals)}
+def _paths(spark, d):
+    return skeletons(spark, d)[0].withColumnRenamed("node_id", "pos")
+
+
+def path_steps(spark, d):
+    return rounded(sequences.path_length(_paths(spark, d), ["body_id"]))
+
+
+def trailing_valid(spark, d):
+    return rounded(sequences.trailing_run(_paths(spark, d), ["body_id"], F.col("o_orderkey") % 4 != 0))
+
+
+def path_suffix(spark, d):
+    return sequences.after_last(_paths(spark, d), ["body_id"], F.col("o_orderkey") % 7 == 0).select("body_id", "pos")
+
+
+def named_labels(spark, d):
+    names = read(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("label"))
+    wanted = [r[0] for r in names.where("label in (7, 3, 11)").orderBy(F.desc("label")).select("name").collect()]
+    return sequences.named_labels(names, wanted)
+
+
+def swc_forest(spark, d):
+    return paths.rooted(*skeletons(spark, d, True))
+
+
+def skeleton_stats(spark, d):
+    nodes, edges = skeletons(spark, d, True)
+    return skeleton.topology(nodes, edges, paths.components(nodes, edges)).join(paths.twig_counts(nodes, edges, 300.0), "body_id")
+
+
+QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals, path_steps, trailing_valid, path_suffix, named_labels, swc_forest, skeleton_stats)}
 
 # a broken heap tree's component is the first node upwards whose edge is missing
 _UP = """walk AS (SELECT body_id, node_id, node_id AS top, 0.0::DOUBLE AS dist FROM nodes UNION ALL
@@ -297,4 +328,8 @@ SQL = {
     "mesh_fragment_offsets": f"WITH {NODES}, r AS (SELECT body_id, CAST(node_id % 3 AS INT) AS lod, node_id AS fragment, o_orderkey % 100 AS n_vertices, max(node_id % 3) OVER (PARTITION BY body_id) AS top FROM nodes) SELECT body_id, lod, fragment, n_vertices, CAST(coalesce(sum(n_vertices) OVER (PARTITION BY body_id ORDER BY fragment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base FROM r WHERE lod = top",
     "swc_tables": f"WITH {NODES}, n AS (SELECT body_id*1000+node_id AS id, body_id*1000+node_id//2 AS parent FROM nodes WHERE body_id % 100 = 5 AND node_id > 1 AND o_orderkey % 5 <> 0) SELECT id AS edge_id, parent AS src, id AS dst FROM n",
     "method_pairs": f"WITH {NODES}, r AS (SELECT body_id, 'm' || (node_id % 3) AS method, min(o_orderkey) AS seq, count(*) AS nodes, sum(y_nm) AS cable FROM nodes GROUP BY 1, 2), g AS (SELECT * FROM r WHERE seq % 11 <> 0), p AS (SELECT a.method, a.nodes::DOUBLE/b.nodes AS q, a.cable-b.cable AS d FROM g a JOIN g b ON a.body_id=b.body_id AND b.method='m1' AND a.method<>'m1') SELECT method, count(*) AS n, round(median(q), 4) AS node_ratio, round(median(d), 4) AS cable_difference, count(*) FILTER (WHERE d > 0) AS n_ahead FROM p GROUP BY method",
+    "path_steps": f"WITH {NODES}, s AS (SELECT body_id, sqrt(pow(z_nm - lag(z_nm) OVER w, 2) + pow(y_nm - lag(y_nm) OVER w, 2) + pow(x_nm - lag(x_nm) OVER w, 2)) AS d FROM nodes WINDOW w AS (PARTITION BY body_id ORDER BY node_id)) SELECT body_id, round(coalesce(sum(d), 0), 4) AS length_nm FROM s GROUP BY body_id",
+    "trailing_valid": f"WITH {NODES}, s AS (SELECT *, sqrt(pow(z_nm - lag(z_nm) OVER w, 2) + pow(y_nm - lag(y_nm) OVER w, 2) + pow(x_nm - lag(x_nm) OVER w, 2)) AS d FROM nodes WINDOW w AS (PARTITION BY body_id ORDER BY node_id)), b AS (SELECT body_id, max(CASE WHEN o_orderkey % 4 = 0 THEN node_id ELSE 0 END) AS last FROM nodes GROUP BY body_id) SELECT body_id, count(*) FILTER (WHERE node_id > last) AS n_valid, round(coalesce(sum(d) FILTER (WHERE node_id > last + 1), 0), 4) AS valid_nm FROM s JOIN b USING (body_id) GROUP BY body_id",
+    "path_suffix": f"WITH {NODES}, b AS (SELECT body_id, max(CASE WHEN o_orderkey % 7 = 0 THEN node_id END) AS last FROM nodes GROUP BY body_id) SELECT body_id, node_id AS pos FROM nodes JOIN b USING (body_id) WHERE last IS NULL OR node_id >= last",
+    "named_labels": "SELECT CAST(row_number() OVER (ORDER BY n_nationkey DESC) - 1 AS INT) AS pos, n_name AS name, n_nationkey AS label FROM nation WHERE n_nationkey IN (7, 3, 11)",
 }
