@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,7 +39,9 @@ def test_chunks_give_the_ids_of_whole_texts(texts):
 def test_odd_texts():
     ids, n = CODER.encode([None if t is None else t.encode() for t in TEXTS])
     assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == whole(TEXTS)
-    assert list(blocks([b"abc", None, b"", b"x" * 50, b"y"], 10)) == [(0, 3), (3, 4), (4, 5)]
+    column = pa.array([b"abc", None, b"", b"x" * 50, b"y"], pa.binary())
+    assert [(i, j) for i, j, _ in blocks(column, 10)] == [(0, 3), (3, 4), (4, 5)] and list(blocks(column[:0])) == []
+    assert [t for _, _, texts in blocks(column.slice(1), 10) for t in texts] == column.to_pylist()[1:]
 
 
 def crc(ids):

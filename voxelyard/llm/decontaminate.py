@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import ascii_lower, column, materialise, table
-from .tokens import blocks
+from .tokens import blocks, released
 
 WINDOW, SHINGLE = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -38,6 +38,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_WINDOWS = 100_000
 #: Bits of the bitmap by window: at least, at most 2 to the power of.
 BITS = (20, 27)
+#: Bytes that a task works on at a time; below a power of two, as the table of powers is.
+BLOCK = 1_000_000
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x00:0x30] = _IS_WORD[0x3A:0x61] = _IS_WORD[0x7B:0x80] = False
@@ -131,15 +133,14 @@ def _window_shingles(windows: DataFrame) -> DataFrame:
 def _counts(texts: DataFrame, sizes: list[int], found) -> DataFrame:
     def work(batches):
         for batch in batches:
-            column_ = batch.column(0).to_pylist()
-            for i, j in blocks(column_):
-                words = Words(column_[i:j])
+            for _, _, own in blocks(batch.column(0), BLOCK):
+                words = Words(own)
                 for size in sizes:
                     h, _ = words.shingles(size)
                     seen, n = np.unique(h[_held(found.value, h)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), size, np.int32)), pa.array(seen), pa.array(n)], ["size", "h", "n"])
 
-    return texts.select("text").mapInArrow(work, "size int, h long, n long").groupBy("size", "h").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(released(work), "size int, h long, n long").groupBy("size", "h").agg(F.sum("n").alias("n"))
 
 
 def _candidates(texts: DataFrame, sizes: list[int], found) -> DataFrame:
@@ -152,9 +153,9 @@ def _candidates(texts: DataFrame, sizes: list[int], found) -> DataFrame:
         row = TaskContext.get().partitionId() << 40
         place = pa.struct([("size", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("from", pa.int32()), ("near", pa.list_(pa.string()))])
         for batch in batches:
-            doc_ids, keys, column_ = (batch.column(k).to_pylist() for k in range(3))
-            for i, j in blocks(column_):
-                words = Words(column_[i:j])
+            doc_ids, keys = (batch.column(k).to_pylist() for k in range(2))
+            for i, j, own in blocks(batch.column(2), BLOCK):
+                words = Words(own)
                 places: list[list] = [[] for _ in range(i, j)]
                 for size in sizes:
                     h, at = words.shingles(size)
@@ -166,7 +167,7 @@ def _candidates(texts: DataFrame, sizes: list[int], found) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(range(row, row + j - i), pa.int64()), pa.array(doc_ids[i:j], pa.int64()), pa.array(keys[i:j], pa.string()), pa.array(np.diff(words.first)), pa.array(places, pa.list_(place))], ["row", "doc_id", "text_key", "n_words", "places"])
                 row += j - i
 
-    return texts.select("doc_id", "text_key", "text").mapInArrow(work, "row long, doc_id long, text_key string, n_words long, places array<struct<size:int,h:long,at:int,`from`:int,near:array<string>>>")
+    return texts.select("doc_id", "text_key", "text").mapInArrow(released(work), "row long, doc_id long, text_key string, n_words long, places array<struct<size:int,h:long,at:int,`from`:int,near:array<string>>>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, keep_key: bool = False) -> DataFrame:

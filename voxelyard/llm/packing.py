@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import column, table
-from .tokens import blocks, encoder
+from .tokens import blocks, encoder, released
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -152,9 +152,9 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id
 
         top: list = []
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in blocks(texts):
-                ids, n = encode(texts[i:j])
+            doc_ids = batch.column(0).to_pylist()
+            for i, j, texts in blocks(batch.column(1)):
+                ids, n = encode(texts)
                 ends = np.cumsum(n)
                 for doc_id, a, b in zip(doc_ids[i:j], ends - n, ends):
                     rows[next_row] = (doc_id, np.append(ids[a:b], np.uint32(end_id)))
@@ -187,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id
             yield out(top)
 
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").cast("binary").alias("text"))
-    return texts.mapInArrow(work, SCHEMA)
+    return texts.mapInArrow(released(work), SCHEMA)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import column, materialise, table
-from .tokens import blocks
+from .tokens import blocks, released
 
 ORDER = 5
 #: Quantiles of the trusted documents' perplexity between which documents stay.
@@ -77,13 +77,12 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in blocks(texts, BLOCK):
-                code, n = np.unique(_codes(texts[i:j])[0], return_counts=True)
+            for _, _, texts in blocks(batch.column(0), BLOCK):
+                code, n = np.unique(_codes(texts)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
     texts = docs.select(column(docs, "text", "string").cast("binary").alias("text"))
-    return texts.mapInArrow(work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(released(work), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _discounts(grams: DataFrame) -> list[float]:
@@ -185,17 +184,16 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
     def work(batches):
         tables = {k: Lookup(*x) for k, x in sent.value.items()}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             sums, lengths = [], []
-            for i, j in blocks(texts, BLOCK):
-                found, length = _codes(texts[i:j])
+            for _, _, texts in blocks(batch.column("text"), BLOCK):
+                found, length = _codes(texts)
                 total = np.concatenate([[0], np.cumsum(log_probabilities(found, tables), dtype=np.float64)])
                 ends = np.cumsum(length)
                 sums.append(total[ends] - total[ends - length])
                 lengths.append(length)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(np.concatenate(lengths or [np.zeros(0, np.int64)])), pa.array(np.concatenate(sums or [np.zeros(0)]))], ["doc", "n_bytes", "log_prob"])
 
-    return docs.select("doc", "text").mapInArrow(work, f"doc {kind}, n_bytes long, log_prob double")
+    return docs.select("doc", "text").mapInArrow(released(work), f"doc {kind}, n_bytes long, log_prob double")
 
 
 def by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
@@ -216,7 +214,7 @@ def by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(range(row, row + len(grams)), pa.int64()), batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(grams, pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64())])))], ["row", "doc", "n_bytes", "grams"])
             row += len(grams)
 
-    rows = materialise(docs.select("doc", "text").mapInArrow(work, f"row long, doc {kind}, n_bytes long, grams array<struct<code:long,n:long>>"), "document-ngrams")
+    rows = materialise(docs.select("doc", "text").mapInArrow(released(work), f"row long, doc {kind}, n_bytes long, grams array<struct<code:long,n:long>>"), "document-ngrams")
     each = rows.select("row", F.explode("grams").alias("g")).select("row", "g.*")
     asked = each.select("code").distinct().withColumns({"sum": F.lit(0.0), "done": F.lit(False)})
     for k in range(ORDER, 0, -1):

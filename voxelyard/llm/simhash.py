@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import column, materialise, table
+from .tokens import blocks, released
 
 SEED = 42
 SHINGLE, MAX_DISTANCE = 3, 2
@@ -64,10 +65,10 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            found = np.array([fingerprint(t, size) for t in batch.column(1).to_pylist()], np.uint64)
+            found = np.array([fingerprint(t, size) for _, _, texts in blocks(batch.column(1)) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").cast("binary").alias("text")).mapInArrow(work, "doc_id long, fp long")
+    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").cast("binary").alias("text")).mapInArrow(released(work), "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:

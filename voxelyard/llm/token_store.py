@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import column, scratch, table
-from .tokens import blocks, encoder
+from .tokens import blocks, encoder, released
 
 END_ID = 1
 #: Ids of a shard; a longer document has a shard of its own.
@@ -65,9 +65,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
             return pa.RecordBatch.from_pylist([row], kinds)
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in blocks(texts):
-                flat, n = coder.encode(texts[i:j])
+            doc_ids = batch.column(0).to_pylist()
+            for i, j, texts in blocks(batch.column(1)):
+                flat, n = coder.encode(texts)
                 ends = np.cumsum(n)
                 for doc_id, a, b in zip(doc_ids[i:j], ends - n, ends):
                     if held and held + b - a + 1 > shard_ids:
@@ -82,7 +82,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")).withColumn("tie", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    ordered.select("doc_id", F.col("text").cast("binary")).mapInArrow(work, SHARDS).write.parquet(f"{path}/shards")
+    ordered.select("doc_id", F.col("text").cast("binary")).mapInArrow(released(work), SHARDS).write.parquet(f"{path}/shards")
     write_index(spark, path)
 
 
@@ -216,7 +216,7 @@ def payloads(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["part", "shard", "slot", "offset", "n_tokens", "ids_crc32" if digest else "ids"])
 
     shards = spark.read.schema(SHARDS).parquet(f"{path}/shards").select("part", "shard", "width", "offsets", "payload")
-    return shards.mapInArrow(work, f"part int, shard int, slot int, offset long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
+    return shards.mapInArrow(released(work), f"part int, shard int, slot int, offset long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
 
 
 def read(keys: DataFrame, path: str, digest: bool = False) -> DataFrame:

@@ -14,13 +14,19 @@ Null texts count as empty.  Memory is bounded: the chunk table is emptied beyond
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct chunks that a worker remembers before it starts its table afresh.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 400_000
+#: Bytes that a task works on at a time.
+BLOCK = 1 << 21
 #: How the vocabulary marks a token that ends a word.
 WORD_END = "</w>"
 
@@ -161,14 +167,28 @@ class ChunkEncoder:
         return ids, np.diff(np.concatenate([[0], ends])[np.cumsum(words)], prepend=0)
 
 
-def blocks(texts, most_bytes: int = 1 << 22):
-    """Slices (from, to) of a column of binary texts with about most_bytes each, one text at least."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > first and size + n > most_bytes:
-            yield first, i
-            first, size = i, 0
-        size += n
-    if len(texts) > first:
-        yield first, len(texts)
+def blocks(column: pa.Array, most_bytes: int = BLOCK):
+    """Cuts a column of binary texts into lists of about most_bytes each, one text at least: (from, to,
+    texts). Only a block at a time leaves Arrow's memory."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        yield first, last, column.slice(first, last - first).to_pylist()
+        first = last
+
+
+def released(work):
+    """Wraps a function over batches so that a worker, which waits for its next task, gives back the
+    memory that it no longer uses."""
+
+    def held(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # no such call but in glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return held
