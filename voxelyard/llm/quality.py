@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import column, materialise, table
 from .tokens import blocks, released
@@ -36,6 +37,8 @@ from .tokens import blocks, released
 ORDER = 5
 #: Quantiles of the trusted documents' perplexity between which documents stay.
 LOW, HIGH = 0.001, 0.999
+#: Bins of a unit of the log perplexity, in which quantiles are counted.
+BINS = 10_000
 #: Bytes of the language's mean that each document's score is mixed with.
 SHRINK = 100
 #: One trusted document in so many is held out of training, by a hash of its text, so that the upper
@@ -187,9 +190,9 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
             sums, lengths = [], []
             for _, _, texts in blocks(batch.column("text"), BLOCK):
                 found, length = _codes(texts)
-                total = np.concatenate([[0], np.cumsum(log_probabilities(found, tables), dtype=np.float64)])
-                ends = np.cumsum(length)
-                sums.append(total[ends] - total[ends - length])
+                each = np.append(log_probabilities(found, tables), np.float32(0)).astype(np.float64)
+                # of each text by itself, so that it doesn't depend on its block
+                sums.append(np.where(length > 0, np.add.reduceat(each, np.cumsum(length) - length), 0.0))
                 lengths.append(length)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(np.concatenate(lengths or [np.zeros(0, np.int64)])), pa.array(np.concatenate(sums or [np.zeros(0)]))], ["doc", "n_bytes", "log_prob"])
 
@@ -229,6 +232,15 @@ def by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     return rows.join(sums, "row", "left").select("doc", "n_bytes", F.coalesce("log_prob", F.lit(0.0)).alias("log_prob"))
 
 
+def quantile(bins: DataFrame, key: list[str], q: float) -> DataFrame:
+    """The bin (of key, bin, n) up to which q of all lie. Bins merge in any order to the same counts, and
+    there are only so many of them."""
+    whole = bins.groupBy(*key, "bin").agg(F.sum("n").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))
+    rows = whole.withColumn("so_far", so_far).withColumn("all", F.sum("n").over(Window.partitionBy(*key)))
+    return rows.where(F.col("so_far") >= q * F.col("all")).groupBy(*key).agg(F.min("bin").alias("bin"))
+
+
 # ---- classifying ----------------------------------------------------------------------------------
 def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) -> DataFrame:
     """doc (a struct of all columns), lang, n_bytes, log_prob, perplexity, low, high, keep."""
@@ -256,17 +268,24 @@ def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) ->
         mixed = (F.col("log_prob") + SHRINK * F.coalesce("mean", F.lit(mean))) / (F.col("n_bytes") + SHRINK)
         return df.join(small(limits), "lang", "left").withColumn("perplexity", F.exp(-mixed))
 
-    measured = materialise(with_perplexity(known, means).select("lang", "held", "perplexity"), "trusted-perplexity")
-    held, log_p = F.col("held"), F.log("perplexity")
-    tail = F.exp(F.avg(F.when(held, log_p)) + FAR * F.coalesce(F.stddev(F.when(held, log_p)), F.lit(0.0)))
-    measured_high = F.percentile_approx(F.when(held, F.col("perplexity")), HIGH, 100_000)
-    stats = [
-        F.percentile_approx("perplexity", LOW, 100_000).alias("low"),
-        F.when(F.count_if(held) * (1 - HIGH) >= 1, measured_high).otherwise(F.greatest(measured_high, tail)).alias("high"),
-    ]
-    limits = materialise(measured.groupBy("lang").agg(F.count_if(held).alias("n"), *stats).where(F.col("n") >= LEAST).join(means, "lang").select("lang", "mean", "low", "high"), "limits")
-    overall = measured.agg(*stats).first()
-    low, high = overall["low"], overall["high"] if overall["high"] is not None else float("inf")
+    measured = with_perplexity(known, means).select("lang", "held", F.log("perplexity").alias("log_p"))
+    held = F.when(F.col("held"), F.col("log_p"))
+    spread = [F.count(held).alias("n"), F.avg(held).alias("centre"), F.coalesce(F.stddev(held), F.lit(0.0)).alias("sd")]
+    bins = materialise(measured.groupBy("lang", "held", F.floor(F.col("log_p") * BINS).alias("bin")).agg(F.count("*").alias("n")), "trusted-bins")
+    stats = materialise(measured.groupBy("lang").agg(*spread), "trusted-stats")
+
+    def limits_of(bins: DataFrame, stats: DataFrame, key: list[str]) -> DataFrame:
+        low, high = quantile(bins, key, LOW).withColumnRenamed("bin", "low_bin"), quantile(bins.where("held"), key, HIGH).withColumnRenamed("bin", "high_bin")
+        both = stats.join(low, key).join(high, key)
+        seen, tail = (F.col("high_bin") + 1) / BINS, F.col("centre") + FAR * F.col("sd")
+        enough = F.col("n") * (1 - HIGH) >= 1
+        return both.select(*key, "n", F.exp(F.col("low_bin") / BINS).alias("low"), F.exp(F.when(enough, seen).otherwise(F.greatest(seen, tail))).alias("high"))
+
+    limits = limits_of(bins, stats, ["lang"]).where(F.col("n") >= LEAST)
+    limits = materialise(limits.join(means, "lang").select("lang", "mean", "low", "high"), "limits")
+    all_ = F.lit("all").alias("whole")
+    overall = limits_of(bins.select(all_, "held", "bin", "n"), measured.groupBy(all_).agg(*spread), ["whole"]).first()
+    low, high = (overall["low"], overall["high"]) if overall else (0.0, float("inf"))
     scored = score(rows.select(F.struct("doc", "lang").alias("doc"), "text"), model, replicate).select("doc.doc", "doc.lang", "n_bytes", "log_prob")
     out = with_perplexity(scored, limits).withColumns({"low": F.coalesce("low", F.lit(low)), "high": F.coalesce("high", F.lit(high))})
     keep = F.col("perplexity").between(F.col("low"), F.col("high")) | (F.col("n_bytes") == 0)
