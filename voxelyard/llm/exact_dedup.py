@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .shared import column, materialise, table
 
 #: Keys of a filter shard, on average.
-SHARD_KEYS = 1 << 16
+SHARD_KEYS = 1 << 13
 #: Bits of the byte check's bitmap: at least, at most 2 to the power of.
 BITS = (20, 27)
 SPACE = r"[\x20\x09-\x0D]+"
