@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -9,6 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SCRATCH: list[tuple] = []
+
+
+@atexit.register
+def clear() -> None:
+    """Deletes this process's scratch tables; runs when the driver ends, as results may read them until
+    then."""
+    while _SCRATCH:
+        jvm, conf, path = _SCRATCH.pop()
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
 
@@ -18,7 +34,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not folder:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="voxelyard-"))
         folder = context.getCheckpointDir()
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((context._jvm, context._jsc.hadoopConfiguration(), path))
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
