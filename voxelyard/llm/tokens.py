@@ -6,7 +6,7 @@ therefore the ids of its white-space-free chunks, one after the other, and a chu
 times has to go through the library only once per worker.  Chunks are cut at ASCII white space,
 which every tokenizer of this kind treats as white space (a chunk may hold further, non-ASCII white
 space; the library handles that); where a probe shows that the vocabulary is lower-case, letters are
-lowered and closing marks split off first, so that fewer chunks are distinct.  ``tests/llm`` holds
+lowered and marks parted from words first, so that fewer chunks are distinct.  ``tests/llm`` holds
 this against encoding whole texts.
 
 Null texts count as empty.  Memory is bounded: the chunk table is emptied beyond ``cache_chunks``.
@@ -24,22 +24,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct chunks that a worker remembers before it starts its table afresh.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 #: Bytes that a task works on at a time.
 BLOCK = 1 << 21
 #: How the vocabulary marks a token that ends a word.
 WORD_END = "</w>"
 
 
-def _table(chars: bytes) -> np.ndarray:
-    table = np.zeros(256, bool)
-    table[list(chars)] = True
-    return table
-
-
-IS_SPACE = _table(b" \t\n\v\f\r")
-IS_MARK = _table(b".,;:!?")
-IS_ALNUM = _table(b"abcdefghijklmnopqrstuvwxyz0123456789")
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(b" \t\n\v\f\r")] = True
+#: 1 for ASCII letters (lower) and digits, 2 for ASCII marks but the apostrophe.
+KIND = np.zeros(256, np.uint8)
+KIND[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = 1
+KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = 2
 
 # The usual alphabet of byte-level vocabularies: printable Latin-1 bytes stand for themselves, the
 # others, in order, for the characters from 256 on.
@@ -146,8 +143,9 @@ class ChunkEncoder:
         if self.lower and b"<|" not in block:  # no special token, whose spelling counts
             block = block.lower()
             raw = np.frombuffer(block, np.uint8)
-            # marks at a chunk's end are tokens of their own, if a letter or digit stands before them
-            at = 1 + np.flatnonzero(IS_MARK[raw[1:-1]] & IS_ALNUM[raw[:-2]] & IS_SPACE[raw[2:]])
+            # between a letter or digit and a mark, no token goes on; an apostrophe may start one
+            kind = KIND[raw]
+            at = 1 + np.flatnonzero(kind[1:] + kind[:-1] == 3)
             block = np.insert(raw, at, 32).tobytes()
             bounds = bounds + np.searchsorted(at, bounds)
         space = IS_SPACE[np.frombuffer(block, np.uint8)]
