@@ -61,14 +61,17 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each document row; fp is the fingerprint as a signed 64-bit integer."""
+    """(doc_id, text_key, fp) for each document row: text_key is the MD5 of the text, fp the fingerprint as
+    a signed 64-bit integer."""
 
     def work(batches):
         for batch in batches:
-            found = np.array([fingerprint(t, size) for _, _, texts in blocks(batch.column(1)) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t, size) for _, _, texts in blocks(batch.column(2)) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").cast("binary").alias("text")).mapInArrow(released(work), "doc_id long, fp long")
+    text = F.coalesce(column(docs, "text", "string"), F.lit(""))
+    rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), F.md5(text).alias("text_key"), text.cast("binary").alias("text"))
+    return rows.mapInArrow(released(work), "doc_id long, text_key string, fp long")
 
 
 def _signed(x: int) -> int:
@@ -142,15 +145,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_distance: int = MAX_DISTANCE, pair_keys: int = PAIR_KEYS) -> DataFrame:
-    """(doc_id, fp, component_id) for each document row."""
+    """(doc_id, text_key, fp, root, component_id) for each document row; root names the component by its
+    smallest fingerprint."""
     rows = materialise(fingerprints(docs, size), "fingerprints")
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     edges = links(prints.select("fp"), max_distance, pair_keys)
     member = prints.join(components(edges), prints.fp == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = materialise(member, "members")
     lowest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = member.join(lowest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(lowest, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,11 +164,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, with its own columns: the one with the smallest id; of rows that
-    share it, one."""
+    """One document of each component, with its own columns: the one with the smallest id (null ids come
+    last, and are told apart by their texts); of rows that share both, one."""
     names = docs.columns
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("stay")).agg((F.count("*") > 1).alias("tied"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), column(docs, "doc_id", "long").alias("own_id"))
-    kept = packed.join(found, F.col("own_id").eqNullSafe(F.col("stay")))
-    one = kept.where("tied").groupBy("stay").agg(F.first("doc").alias("doc")).select("doc")
+    each = near_duplicates(docs).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")).alias("x"))
+    stay = first.select(F.col("x.doc_id").alias("stay"), "x.text_key", (F.col("x.n") > 1).alias("tied"))
+    key = F.md5(F.coalesce(column(docs, "text", "string"), F.lit("")))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), column(docs, "doc_id", "long").alias("own_id"), key.alias("own_key"))
+    kept = packed.join(stay, (F.col("own_key") == F.col("text_key")) & F.col("own_id").eqNullSafe(F.col("stay")))
+    one = kept.where("tied").groupBy("text_key", "stay").agg(F.first("doc").alias("doc")).select("doc")
     return kept.where("not tied").select("doc").unionByName(one).select("doc.*")
