@@ -39,6 +39,8 @@ SHARD_IDS = 1 << 20
 BUCKET_KEYS = 4096
 #: Keys of a displacement group, on average.
 GROUP_KEYS = 4
+#: Seeds that are tried at a time.
+TRIES = np.arange(16, dtype=np.uint64)
 
 SHARDS = "part int, shard int, width int, keys array<long>, offsets array<long>, n_ids long, payload binary"
 INDEX = "bucket long, n int, seeds binary, fingerprints binary, places binary"
@@ -147,6 +149,7 @@ def displace(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     firsts = np.cumsum(sizes) - sizes
     seeds, taken = np.zeros(len(sizes), np.int64), np.zeros(n, bool)
     position = np.zeros(n, np.int64)
+    base, stride = _mix(h1, 0), _mix(h1, 1) | np.uint64(1)
     for g in np.argsort(-sizes, kind="stable"):
         k = order[firsts[g] : firsts[g] + sizes[g]]
         if sizes[g] == 0:
@@ -156,18 +159,15 @@ def displace(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             position[rest] = np.flatnonzero(~taken)
             seeds[group[rest]] = -1 - position[rest]
             break
-        seed = 0
+        seed, own, by = 0, base[k], stride[k]
         while True:
-            tries = np.arange(seed, seed + 32)
-            at = np.stack([position_of(h1[k], np.full(len(k), t), n) for t in tries]) if len(k) > 64 else position_of(h1[k][None, :], tries[:, None], n)
-            ordered = np.sort(at, axis=1)
-            fits = ~taken[at].any(axis=1) & (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
-            if fits.any():
-                seed += int(np.argmax(fits))
+            at = ((own + (TRIES + np.uint64(seed))[:, None] * by) >> np.uint64(11)) % np.uint64(n)
+            found = next((t for t in np.flatnonzero(~taken[at].any(axis=1)).tolist() if len({*at[t].tolist()}) == len(k)), None)
+            if found is not None:
                 break
-            seed += 32
-        seeds[g], position[k] = seed, at[np.argmax(fits)]
-        taken[position[k]] = True
+            seed += len(TRIES)
+        seeds[g], position[k] = seed + found, at[found]
+        taken[at[found]] = True
     return seeds, position
 
 

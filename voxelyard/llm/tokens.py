@@ -84,6 +84,8 @@ class ChunkEncoder:
             self.words = Tokenizer.from_file(path)
             self.words.normalizer = normalizers.Sequence([])
             self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            with contextlib.suppress(AttributeError):  # each word comes once: the library's own table is in the way
+                self.words.model._resize_cache(0)
         self._reset()
 
     def _reset(self) -> None:
