@@ -163,11 +163,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each component, with its own columns: the one with the smallest id (null ids come
-    last, and are told apart by their texts); of rows that share both, one."""
+    last, and are told apart by their texts); of rows that share both, one. Components are those of
+    near_duplicates, or else groups (doc_id, text_key, root) has them."""
     names = docs.columns
-    each = near_duplicates(docs).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    each = (near_duplicates(docs) if groups is None else groups).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
     first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")).alias("x"))
     stay = first.select(F.col("x.doc_id").alias("stay"), "x.text_key", (F.col("x.n") > 1).alias("tied"))
     key = F.md5(F.coalesce(column(docs, "text", "string"), F.lit("")))
