@@ -226,8 +226,8 @@ def method_pairs(spark, d):
 
 
 def _rods(spark, d):
-    """A rod along z for each supplier of the first nation, as long and thick as its key has it."""
-    rows = read(spark, d, "supplier").where("s_nationkey < 3").select((F.col("s_suppkey") + 1).alias("body_id"), (40 + F.col("s_suppkey") % 50).cast("int").alias("n"), (2 + F.col("s_suppkey") % 3).cast("int").alias("r"))
+    """A rod along z for each supplier, as long and thick as its key has it."""
+    rows = read(spark, d, "supplier").select((F.col("s_suppkey") + 1).alias("body_id"), (40 + F.col("s_suppkey") % 50).cast("int").alias("n"), (2 + F.col("s_suppkey") % 3).cast("int").alias("r"))
     for a, low, high in (("z", F.lit(0), F.col("n") - 1), ("dy", -F.col("r"), F.col("r")), ("dx", -F.col("r"), F.col("r"))):
         rows = rows.withColumn(a, F.explode(F.sequence(low, high)))
     return rows.where("dy * dy + dx * dx <= r * r").select("z", (F.col("dy") + 10).alias("y"), (F.col("dx") + 10).alias("x"), "body_id")
