@@ -113,13 +113,14 @@ def blob_signal(spark, d):
 
 
 def _near_points(spark, d):
-    """Two points by each of a tenth of the skeletons' bodies."""
+    """A point by each node of the skeletons."""
     nodes, _ = skeletons(spark, d)
-    return nodes.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("point_id"), "body_id", (F.col("z_nm") + 40).alias("z"), (F.col("y_nm") - 15).alias("y"), F.lit(3.5).alias("x"))
+    return nodes.select(F.col("o_orderkey").alias("point_id"), "body_id", (F.col("z_nm") + 40).alias("z"), (F.col("y_nm") - 15).alias("y"), F.lit(3.5).alias("x"))
 
 
 def attach_points(spark, d):
-    return rounded(calibre.attach(_near_points(spark, d), *skeletons(spark, d)), 3)
+    """Of a third of the points, as the SQL has it."""
+    return rounded(calibre.attach(_near_points(spark, d).where("point_id % 3 = 0"), *skeletons(spark, d)), 3)
 
 
 def ball_region(spark, d):
@@ -185,8 +186,8 @@ def agreement(spark, d):
 
 def tube_overlap(spark, d):
     nodes, _ = skeletons(spark, d)
-    small = nodes.where("body_id % 50 = 7").withColumn("radius_nm", F.col("radius_nm") * 10)
-    tube = volume.rasterised(small, 40.0, (80, 20, 5))
+    thick = nodes.withColumn("radius_nm", F.col("radius_nm") * 10)
+    tube = volume.rasterised(thick, 40.0, (80, 20, 5))
     mask = tube.where("(z + y) % 3 <> 0")
     out = volume.overlap(tube, mask)
     return rounded(out, 6)
