@@ -103,3 +103,13 @@ def test_held_out_labels(spark):
     rows = q.judge(spark.read.parquet(f"{d}/documents.parquet"), known).select("doc.doc_id", "keep").join(hidden, "doc_id")
     got = {r["quality"]: r["keep"] for r in rows.groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("keep")).collect()}
     assert got[1] > 0.98 and got[0] < 0.35
+
+
+def test_six_bytes_tell_texts_apart(spark):
+    """After five bytes the next one is known, after the last four it isn't."""
+    train = spark.createDataFrame([("1abcdX " * 20 + "2abcdY " * 20,)], "text string").select(F.col("text").cast("binary").alias("text"))
+    model = q.train(train)
+    assert {r["level"] for r in model.select("level").distinct().collect()} == set(range(-5, 7))
+    rows = spark.createDataFrame([(1, "1abcdX"), (2, "1abcdY")], "i int, text string").select(F.struct("i").alias("doc"), F.col("text").cast("binary").alias("text"))
+    got = {r["doc"]["i"]: r["log_prob"] for r in q.score(rows, model, True).collect()}
+    assert got[1] - got[2] > 1

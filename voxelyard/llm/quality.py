@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 from .shared import column, materialise, table
 from .tokens import blocks, released
 
-ORDER = 5
+ORDER = 6
 #: Quantiles of the trusted documents' perplexity between which documents stay.
 LOW, HIGH = 0.001, 0.999
 #: Bins of a unit of the log perplexity, in which quantiles are counted.
@@ -53,7 +53,7 @@ MODEL_ROWS = 3_000_000
 #: Labels, and languages, that may be broadcast.
 BROADCAST_LABELS, BROADCAST_LANGUAGES = 1_000_000, 10_000
 #: Bytes that a task works on at a time; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Stands before a text, in the place of the bytes that the first n-grams lack.
 START = b"\x02" * (ORDER - 1)
 
@@ -129,7 +129,7 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.layers = []
         while len(keys) or not self.layers:
-            bits = max(4, int(4 * len(keys)).bit_length())
+            bits = max(4, int(2 * len(keys)).bit_length())
             slot = self._slot(keys, bits, len(self.layers))
             own, held = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
             own[slot], held[slot] = keys, values  # the last one stays
@@ -180,9 +180,11 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
     kind = docs.schema["doc"].dataType.simpleString()
     if not replicate:
         return by_join(docs, model)
-    rows = model.select("level", "code", F.col("value").cast("float")).toArrow()
-    level, code, value = (rows.column(c).to_numpy() for c in ("level", "code", "value"))
-    sent = docs.sparkSession.sparkContext.broadcast({int(k): (code[level == k], value[level == k]) for k in range(1 - ORDER, ORDER + 1)})
+    held = {}
+    for k in range(1 - ORDER, ORDER + 1):  # one at a time, so that the driver holds no second copy of all
+        rows = model.where(F.col("level") == k).select("code", F.col("value").cast("float")).toArrow()
+        held[k] = tuple(rows.column(c).to_numpy() for c in ("code", "value"))
+    sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def work(batches):
         tables = {k: Lookup(*x) for k, x in sent.value.items()}
