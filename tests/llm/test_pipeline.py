@@ -17,7 +17,7 @@ def test_stages_by_brute_force(spark, small):
         assert kept[-1].schema == docs.schema, name
     ids = [{r["doc_id"]: r["text"] for r in df.collect()} for df in kept]
     judged = quality.judge(docs, spark.read.parquet(f"{small}/labels.parquet"))
-    assert {*ids[1]} == {r["doc"]["doc_id"] for r in judged.where("keep").collect()}
+    assert {*ids[1]} == {r["doc_id"] for r in judged.where("keep").collect()}
     first = {}
     for i in sorted(ids[1]):
         first.setdefault(norm(ids[1][i]), i)

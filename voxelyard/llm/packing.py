@@ -187,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id
             yield out(top)
 
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").cast("binary").alias("text"))
-    return texts.mapInArrow(released(work), SCHEMA)
+    return texts.mapInArrow(released(work, encoders=True), SCHEMA)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

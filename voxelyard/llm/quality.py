@@ -7,20 +7,23 @@ of up to ``ORDER`` bytes is exactly one 64-bit integer.
    block before the shuffle.
 2. Count joins, sharded by n-gram: lower orders count distinct left neighbours, discounts come from the
    counts of counts, and each order's probabilities join those of the order below.
-3. Every document is scored: log probability per byte, shrunk to the language's mean for short texts
+3. Every document is scored once: log probability per byte, shrunk to the language's mean for short texts
    (``SHRINK`` bytes of the mean are added), as a perplexity.
 4. A document stays if its perplexity lies between two quantiles of its language: the lower one of
-   all trusted documents, the upper one of those held out, which the model hasn't seen.  Text that is
-   too surprising is junk, text that is too predictable repeats itself.
-
-Models up to ``MODEL_ROWS`` rows, counted before, are replicated to the tasks; larger ones are joined by
-n-gram (``by_join``), with the same results.
-
-Defined cases: null and empty texts have no bytes and the language's mean perplexity, so they stay;
-languages without trusted documents, and a null language, take the thresholds of all trusted ones;
-without any trusted text the perplexity is null and all stay; labels of a document that contradict each
-other count as not trusted; repeated rows are scored each; an empty table gives no rows; other columns
-are kept by ``good_documents``.
+   all trusted documents, the upper one of those held out, which the model hasn't seen, each moved out
+   by one standard error.  Text that is too surprising is junk, text that is too predictable repeats
+   itself.
+
+The model's logarithms are whole numbers (``SCALE`` to the unit), so sums don't depend on their order.
+A model of up to ``MODEL_ROWS`` rows, counted before, is replicated to the tasks, twelve bytes a row and
+an index; a larger one is joined by n-gram (``by_join``).  Both give the same numbers to the last digit.
+
+Defined cases: null and empty texts have no bytes and the language's mean perplexity, and stay;
+languages with few held-out documents, and a null language, take the thresholds of all; without any
+trusted text the perplexity is null and all stay; labels of a document that contradict each other count
+as not trusted; a perplexity that equals a threshold stays; repeated rows are scored each; a text of any
+length is worked on in blocks; an empty table gives no rows; other columns are kept by
+``good_documents``.
 """
 
 from __future__ import annotations
@@ -36,42 +39,56 @@ from .tokens import blocks, released
 
 ORDER = 6
 #: Quantiles of the trusted documents' perplexity between which documents stay.
-LOW, HIGH = 0.001, 0.999
+LOW, HIGH = 0.001, 0.995
 #: Bins of a unit of the log perplexity, in which quantiles are counted.
-BINS = 10_000
+BINS = 1000
+#: Parts of a unit in which the model's natural logarithms are rounded.
+SCALE = 1 << 20
 #: Bytes of the language's mean that each document's score is mixed with.
 SHRINK = 100
 #: One trusted document in so many is held out of training, by a hash of its text, so that the upper
 #: quantile is one of texts that the model has not seen.
 HELD_OUT = 4
-#: Where fewer held-out documents than 1 / (1 - HIGH) can show that quantile, it is put at so many
-#: standard deviations of the log perplexity at least. Below LEAST documents a language has no
-#: thresholds of its own.
-FAR, LEAST = 3.1, 8
-#: Rows of n-grams and contexts that may be replicated; some 16 bytes each.
+#: Held-out documents below which a language has no thresholds of its own.
+LEAST = 8
+#: Rows of n-grams and contexts that may be replicated.
 MODEL_ROWS = 3_000_000
 #: Labels, and languages, that may be broadcast.
 BROADCAST_LABELS, BROADCAST_LANGUAGES = 1_000_000, 10_000
-#: Bytes that a task works on at a time; a longer text is a block of its own.
+#: Bytes that a task works on at a time.
 BLOCK = 1 << 18
 #: Stands before a text, in the place of the bytes that the first n-grams lack.
 START = b"\x02" * (ORDER - 1)
 
 
-def _codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte of each text, as a number, and the lengths of the texts."""
-    raw = np.frombuffer(b"".join(START + t for t in (t or b"" for t in texts)), np.uint8)
-    length = np.array([len(t or b"") for t in texts], np.int64)
-    n = len(raw) - ORDER + 1
-    code = np.zeros(max(n, 0), np.int64)
+def _codes(line: bytes) -> np.ndarray:
+    """The n-gram that ends at each byte but the first ORDER - 1, as a number."""
+    raw = np.frombuffer(line, np.uint8)
+    n = max(len(raw) - ORDER + 1, 0)
+    code = np.zeros(n, np.int64)
     for k in range(ORDER):
         code <<= 8
-        code |= raw[k : k + n] if n > 0 else 0
-    # n-grams that end in a text's start marks
-    inside = np.ones(max(n, 0), bool)
-    for end in np.cumsum(length + len(START))[:-1]:
-        inside[end - len(START) : end] = False
-    return code[inside], length
+        code |= raw[k : k + n]
+    return code
+
+
+def _pieces(texts: pa.Array):
+    """(n-grams, lengths, whether the last text goes on in the next piece) of a column of texts, of about
+    BLOCK bytes each; longer texts are cut."""
+    for _, _, part in blocks(texts, BLOCK):
+        part = [t or b"" for t in part]
+        if len(part) == 1 and len(part[0]) > BLOCK:
+            line = START + part[0]
+            for i in range(0, len(part[0]), BLOCK):
+                code = _codes(line[i : i + BLOCK + ORDER - 1])
+                yield code, np.array([len(code)]), i + BLOCK < len(part[0])
+            continue
+        length = np.array([len(t) for t in part], np.int64)
+        code = _codes(b"".join(START + t for t in part))
+        inside = np.ones(len(code), bool)  # but for n-grams that end in the start marks of a text
+        for end in (np.cumsum(length + len(START))[:-1]).tolist():
+            inside[end - len(START) : end] = False
+        yield code[inside], length, False
 
 
 # ---- training -------------------------------------------------------------------------------------
@@ -80,8 +97,8 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for _, _, texts in blocks(batch.column(0), BLOCK):
-                code, n = np.unique(_codes(texts)[0], return_counts=True)
+            for own, _, _ in _pieces(batch.column(0)):
+                code, n = np.unique(own, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
     texts = docs.select(column(docs, "text", "string").cast("binary").alias("text"))
@@ -99,7 +116,7 @@ def _discounts(grams: DataFrame) -> list[float]:
 
 def train(docs: DataFrame) -> DataFrame:
     """The model: (level, code, value). At level k are the log probabilities of the k-byte n-grams, at
-    level -k the log weights that a context of k bytes leaves to the order below."""
+    level -k the log weights that a context of k bytes leaves to the order below, in parts of SCALE."""
     counts = {ORDER: materialise(count_ngrams(docs), "ngrams")}
     for k in range(ORDER - 1, 0, -1):
         suffix = F.col("code").bitwiseAND(F.lit((1 << 8 * k) - 1))
@@ -108,7 +125,9 @@ def train(docs: DataFrame) -> DataFrame:
     for k in range(1, ORDER + 1):
         d = _discounts(counts[k])
         grams = counts[k].withColumn("d", F.element_at(F.array(*map(F.lit, d)), F.least(F.col("n"), F.lit(3)).cast("int") + 1)).withColumn("context", F.shiftright("code", 8))
-        contexts = grams.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("left"))
+        # whole numbers are summed, whose order doesn't matter
+        seen = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
+        contexts = grams.groupBy("context").agg(F.sum("n").alias("total"), sum((c * x for c, x in zip(seen, d[1:])), F.lit(0.0)).alias("left"))
         rows = grams.join(contexts, "context")
         weight = F.col("left") / F.col("total")
         if k == 1:
@@ -116,53 +135,59 @@ def train(docs: DataFrame) -> DataFrame:
         else:
             rows = rows.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(below.select(F.col("code").alias("suffix"), F.col("p").alias("lower")), "suffix")
         below = materialise(rows.select("code", ((F.col("n") - F.col("d")) / F.col("total") + weight * F.col("lower")).alias("p")), f"p{k}")
-        level = below.select(F.lit(k).alias("level"), "code", F.log("p").alias("value"))
-        level = level.union(contexts.select(F.lit(1 - k).alias("level"), F.col("context").alias("code"), F.log(weight).alias("value")))
+        whole = lambda x: F.round(F.log(x) * SCALE).cast("int").alias("value")
+        level = below.select(F.lit(k).alias("level"), "code", whole(F.col("p")))
+        level = level.union(contexts.select(F.lit(1 - k).alias("level"), F.col("context").alias("code"), whole(weight)))
         out = level if out is None else out.union(level)
     return materialise(out, "model")
 
 
 # ---- scoring --------------------------------------------------------------------------------------
 class Lookup:
-    """Numbers to values. Each layer is a table with one place a number; what collides is in the next."""
+    """Numbers to values. Each layer is a table of places in the arrays; what collides is in the next one,
+    so an empty slot tells that a number is missing."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.layers = []
-        while len(keys) or not self.layers:
-            bits = max(4, int(2 * len(keys)).bit_length())
-            slot = self._slot(keys, bits, len(self.layers))
-            own, held = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
-            own[slot], held[slot] = keys, values  # the last one stays
-            placed = own[slot] == keys
-            self.layers.append((bits, own, held))
-            keys, values = keys[~placed], values[~placed]
+        self.keys, self.values, self.layers = keys, values, []
+        left = np.arange(len(keys), dtype=np.int32)
+        while len(left) or not self.layers:
+            bits = max(4, int(2 * len(left)).bit_length())
+            slot = self._slot(keys[left], bits, len(self.layers))
+            own = np.full(1 << bits, -1, np.int32)
+            own[slot] = left  # the last one stays
+            self.layers.append((bits, own))
+            left = left[own[slot] != left]
 
     @staticmethod
     def _slot(keys: np.ndarray, bits: int, layer: int) -> np.ndarray:
         odd = np.uint64((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC4CEB9FE1A85EC53)[layer % 3])
         return ((keys.view(np.uint64) * odd) >> np.uint64(64 - bits)).astype(np.int64)
 
-    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values, and the places of the keys that are missing."""
-        out, missing = np.zeros(len(keys), np.float32), None
-        for layer, (bits, own, held) in enumerate(self.layers):
-            asked = keys if missing is None else keys[missing]
-            slot = self._slot(asked, bits, layer)
-            hit = own[slot] == asked
-            if missing is None:
-                out, missing = np.where(hit, held[slot], np.float32(0)), np.flatnonzero(~hit)
-            else:
-                out[missing[hit]] = held[slot[hit]]
-                missing = missing[~hit]
-            if not len(missing):
+    def get(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, and the places of the numbers that are missing."""
+        out, found = np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+        if not len(self.keys):
+            return out, np.arange(len(asked))
+        left, at = None, asked
+        for layer, (bits, own) in enumerate(self.layers):
+            place = own[self._slot(at, bits, layer)]
+            hit = self.keys[place] == at  # place -1, an empty slot, is the last key: never by mistake
+            hits = np.flatnonzero(hit) if left is None else left[hit]
+            out[hits], found[hits] = self.values[place[hit]], True
+            on = ~hit & (place >= 0)
+            left, at = np.flatnonzero(on) if left is None else left[on], at[on]
+            if not len(at):
                 break
-        return out, missing
+        return out, np.flatnonzero(~found)
+
+
+#: What an unknown byte's even chance of 1 in 256 is.
+EVEN = -round(float(np.log(256)) * SCALE)
 
 
 def log_probabilities(code: np.ndarray, model: dict[int, Lookup]) -> np.ndarray:
-    """Natural logarithm of each n-gram's last byte, given those before it."""
-    out = np.zeros(len(code), np.float32)
-    at = np.arange(len(code))
+    """Logarithm, in parts of SCALE, of each n-gram's last byte, given those before it."""
+    out, at = np.zeros(len(code), np.int64), np.arange(len(code))
     for k in range(ORDER, 0, -1):
         own = code[at] & ((1 << 8 * k) - 1)
         found, missing = model[k].get(own)
@@ -171,67 +196,86 @@ def log_probabilities(code: np.ndarray, model: dict[int, Lookup]) -> np.ndarray:
         if not len(at):
             return out
         out[at] += model[1 - k].get(own >> 8)[0]  # an unseen context leaves all to the order below
-    out[at] -= np.float32(np.log(256))
+    out[at] += EVEN
     return out
 
 
 def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
-    """docs has the columns doc (any struct) and text (binary); gives doc, n_bytes and log_prob."""
-    kind = docs.schema["doc"].dataType.simpleString()
+    """The columns of docs but text (binary), and n_bytes and log_sum, in parts of SCALE, of the text."""
+    names = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{n}` {t}" for n, t in docs.drop("text").dtypes)
     if not replicate:
         return by_join(docs, model)
     held = {}
     for k in range(1 - ORDER, ORDER + 1):  # one at a time, so that the driver holds no second copy of all
-        rows = model.where(F.col("level") == k).select("code", F.col("value").cast("float")).toArrow()
-        held[k] = tuple(rows.column(c).to_numpy() for c in ("code", "value"))
+        rows = model.where(F.col("level") == k).select("code", "value").toArrow()
+        held[k] = rows.column("code").to_numpy(), rows.column("value").to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def work(batches):
         tables = {k: Lookup(*x) for k, x in sent.value.items()}
         for batch in batches:
-            sums, lengths = [], []
-            for _, _, texts in blocks(batch.column("text"), BLOCK):
-                found, length = _codes(texts)
-                each = np.append(log_probabilities(found, tables), np.float32(0)).astype(np.float64)
-                # of each text by itself, so that it doesn't depend on its block
-                sums.append(np.where(length > 0, np.add.reduceat(each, np.cumsum(length) - length), 0.0))
-                lengths.append(length)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(np.concatenate(lengths or [np.zeros(0, np.int64)])), pa.array(np.concatenate(sums or [np.zeros(0)]))], ["doc", "n_bytes", "log_prob"])
-
-    return docs.select("doc", "text").mapInArrow(released(work), f"doc {kind}, n_bytes long, log_prob double")
+            sums, lengths, more = [], [], False
+            for code, length, goes_on in _pieces(batch.column("text")):
+                each = np.append(log_probabilities(code, tables), 0)
+                found = np.where(length > 0, np.add.reduceat(each, np.cumsum(length) - length), 0)
+                if more:
+                    sums[-1] += found
+                    lengths[-1] += length
+                else:
+                    sums.append(found)
+                    lengths.append(length)
+                more = goes_on
+            totals = [pa.array(np.concatenate(x or [np.zeros(0, np.int64)])) for x in (lengths, sums)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *totals], [*names, "n_bytes", "log_sum"])
+
+    return docs.select(*names, "text").mapInArrow(released(work), f"{kinds}, n_bytes long, log_sum long")
 
 
 def by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     """The same by joins: distinct n-grams look up their probability order by order, and documents join
     their counts of n-grams."""
-    kind = docs.schema["doc"].dataType.simpleString()
+    names = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{n}` {t}" for n, t in docs.drop("text").dtypes)
 
     def work(batches):
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 40
+        first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            grams = []
-            for t in batch.column("text").to_pylist():
-                code, n = np.unique(_codes([t])[0], return_counts=True)
-                grams.append([{"code": int(c), "n": int(k)} for c, k in zip(code, n)])
-            sizes = [len(t or b"") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + len(grams)), pa.int64()), batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(grams, pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64())])))], ["row", "doc", "n_bytes", "grams"])
-            row += len(grams)
-
-    rows = materialise(docs.select("doc", "text").mapInArrow(released(work), f"row long, doc {kind}, n_bytes long, grams array<struct<code:long,n:long>>"), "document-ngrams")
-    each = rows.select("row", F.explode("grams").alias("g")).select("row", "g.*")
-    asked = each.select("code").distinct().withColumns({"sum": F.lit(0.0), "done": F.lit(False)})
+            codes, counts, sizes, more = [], [], [], False
+            for code, length, goes_on in _pieces(batch.column("text")):
+                ends = np.cumsum(length)
+                for a, b in zip((ends - length).tolist(), ends.tolist()):
+                    own, n = np.unique(code[a:b], return_counts=True)
+                    if more:  # a long text's n-grams may be listed once a piece
+                        codes[-1], counts[-1], sizes[-1] = np.append(codes[-1], own), np.append(counts[-1], n), sizes[-1] + b - a
+                    else:
+                        codes.append(own)
+                        counts.append(n)
+                        sizes.append(b - a)
+                    more = False
+                more = goes_on
+            starts = pa.array(np.cumsum([0, *map(len, codes)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x or [np.zeros(0, np.int64)]), pa.int64())) for x in (codes, counts)]
+            row = pa.array(np.arange(first, first + len(sizes)), pa.int64())
+            first += len(sizes)
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], row, pa.array(sizes, pa.int64()), *lists], [*names, "row_", "n_bytes", "codes_", "counts_"])
+
+    rows = docs.select(*names, "text").mapInArrow(released(work), f"{kinds}, row_ long, n_bytes long, codes_ array<long>, counts_ array<long>")
+    rows = materialise(rows, "document-ngrams")
+    each = rows.select("row_", F.explode(F.arrays_zip("codes_", "counts_")).alias("g")).select("row_", F.col("g.codes_").alias("code"), F.col("g.counts_").alias("n"))
+    asked = each.select("code").distinct().withColumns({"sum": F.lit(0).cast("long"), "done": F.lit(False)})
     for k in range(ORDER, 0, -1):
         own = F.col("code").bitwiseAND(F.lit((1 << 8 * k) - 1))
         p = model.where(F.col("level") == k).select(F.col("code").alias("g"), F.col("value").alias("p"))
         w = model.where(F.col("level") == 1 - k).select(F.col("code").alias("c"), F.col("value").alias("w"))
         asked = asked.join(p, own == p.g, "left").join(w, F.shiftright(own, 8) == w.c, "left")
-        step = F.when(F.col("done"), 0.0).otherwise(F.coalesce("p", "w", F.lit(0.0)))
+        step = F.when(F.col("done"), 0).otherwise(F.coalesce("p", "w", F.lit(0)))
         asked = asked.select("code", (F.col("sum") + step).alias("sum"), (F.col("done") | F.col("p").isNotNull()).alias("done"))
-    known = asked.select("code", (F.col("sum") - F.when(F.col("done"), 0.0).otherwise(float(np.log(256)))).alias("log_p"))
-    sums = each.join(known, "code").groupBy("row").agg(F.sum(F.col("n") * F.col("log_p")).alias("log_prob"))
-    return rows.join(sums, "row", "left").select("doc", "n_bytes", F.coalesce("log_prob", F.lit(0.0)).alias("log_prob"))
+    known = asked.select("code", (F.col("sum") + F.when(F.col("done"), 0).otherwise(EVEN)).alias("log_p"))
+    sums = each.join(known, "code").groupBy("row_").agg(F.sum(F.col("n") * F.col("log_p")).alias("log_sum"))
+    return rows.join(sums, "row_", "left").select(*names, "n_bytes", F.coalesce("log_sum", F.lit(0)).cast("long").alias("log_sum"))
 
 
 def quantile(bins: DataFrame, key: list[str], q: float) -> DataFrame:
@@ -244,63 +288,66 @@ def quantile(bins: DataFrame, key: list[str], q: float) -> DataFrame:
 
 
 # ---- classifying ----------------------------------------------------------------------------------
+def limits_of(bins: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n, low, high) from counts of log perplexities (key, held, bin, n): quantiles, moved out by
+    the standard error of the held-out ones. Sums are of whole numbers."""
+    b = F.when(F.col("held"), F.col("bin").cast("decimal(38,0)"))
+    n = F.when(F.col("held"), F.col("n"))
+    sums = bins.groupBy(*key).agg(F.sum(n).alias("n"), F.sum(b * n).cast("double").alias("s"), F.sum(b * b * n).cast("double").alias("ss"))
+    error = F.sqrt(F.greatest(F.col("ss") / F.col("n") - F.pow(F.col("s") / F.col("n"), F.lit(2)), F.lit(0.0)) / F.col("n"))
+    low, high = quantile(bins, key, LOW).withColumnRenamed("bin", "low_bin"), quantile(bins.where("held"), key, HIGH).withColumnRenamed("bin", "high_bin")
+    both = sums.where("n > 0").join(low, key).join(high, key)
+    return both.select(*key, "n", F.exp((F.col("low_bin") - error) / BINS).alias("low"), F.exp((F.col("high_bin") + 1 + error) / BINS).alias("high"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) -> DataFrame:
-    """doc (a struct of all columns), lang, n_bytes, log_prob, perplexity, low, high, keep."""
-    spark = docs.sparkSession
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), column(docs, "doc_id", "long").alias("doc_id"), column(docs, "lang", "string").alias("lang"), column(docs, "text", "string").cast("binary").alias("text"))
+    """doc_id, lang, text_key (the MD5 of the text), n_bytes, log_prob, perplexity, low, high, keep of each
+    row."""
+    text = column(docs, "text", "string")
+    rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "lang", "string").alias("lang"), F.md5(F.coalesce(text, F.lit(""))).alias("text_key"), (F.pmod(F.xxhash64(text), F.lit(HELD_OUT)) == 0).alias("held"), text.cast("binary").alias("text"))
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("worst")).where("worst = 1").select("doc_id")
     good = materialise(good, "trusted")
-    trusted = rows.join(F.broadcast(good) if good.count() <= BROADCAST_LABELS else good, "doc_id", "left_semi")
+    if good.count() <= BROADCAST_LABELS:
+        good = F.broadcast(good)
 
-    trusted = trusted.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0)
-    model = train(trusted.where("not held").select("text"))
-    size = model.count()
+    model = train(rows.join(good, "doc_id", "left_semi").where("not held").select("text"))
     if replicate is None:
-        replicate = size <= MODEL_ROWS
-    known = score(trusted.select(F.struct("lang", "held").alias("doc"), "text"), model, replicate).select("doc.*", "n_bytes", "log_prob")
-    known = materialise(known.where("n_bytes > 0"), "trusted-scores")
-    mean = known.agg(F.try_divide(F.sum("log_prob"), F.sum("n_bytes"))).first()[0]
+        replicate = model.count() <= MODEL_ROWS
+    scored = materialise(score(rows, model, replicate), "scores")
+    known = scored.join(good, "doc_id", "left_semi").where("n_bytes > 0").select("lang", "held", "n_bytes", "log_sum")
+    mean = known.agg(F.try_divide(F.sum("log_sum"), F.sum("n_bytes")) / SCALE).first()[0]
+    log_prob = (F.col("log_sum") / SCALE).alias("log_prob")
     if mean is None:
         blank = F.lit(None).cast("double")
-        return rows.select("doc", "lang", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_bytes"), blank.alias("log_prob"), blank.alias("perplexity"), blank.alias("low"), blank.alias("high"), F.lit(True).alias("keep"))
-    means = known.where("lang is not null").groupBy("lang").agg((F.sum("log_prob") / F.sum("n_bytes")).alias("mean"))
+        return scored.select("doc_id", "lang", "text_key", "n_bytes", blank.alias("log_prob"), blank.alias("perplexity"), blank.alias("low"), blank.alias("high"), F.lit(True).alias("keep"))
+    means = known.where("lang is not null").groupBy("lang").agg((F.sum("log_sum") / F.sum("n_bytes") / SCALE).alias("mean"))
+    means = materialise(means, "means")
     small = F.broadcast if means.count() <= BROADCAST_LANGUAGES else (lambda df: df)
 
-    def with_perplexity(df: DataFrame, limits: DataFrame) -> DataFrame:
-        mixed = (F.col("log_prob") + SHRINK * F.coalesce("mean", F.lit(mean))) / (F.col("n_bytes") + SHRINK)
-        return df.join(small(limits), "lang", "left").withColumn("perplexity", F.exp(-mixed))
-
-    measured = with_perplexity(known, means).select("lang", "held", F.log("perplexity").alias("log_p"))
-    held = F.when(F.col("held"), F.col("log_p"))
-    spread = [F.count(held).alias("n"), F.avg(held).alias("centre"), F.coalesce(F.stddev(held), F.lit(0.0)).alias("sd")]
-    bins = materialise(measured.groupBy("lang", "held", F.floor(F.col("log_p") * BINS).alias("bin")).agg(F.count("*").alias("n")), "trusted-bins")
-    stats = materialise(measured.groupBy("lang").agg(*spread), "trusted-stats")
-
-    def limits_of(bins: DataFrame, stats: DataFrame, key: list[str]) -> DataFrame:
-        low, high = quantile(bins, key, LOW).withColumnRenamed("bin", "low_bin"), quantile(bins.where("held"), key, HIGH).withColumnRenamed("bin", "high_bin")
-        both = stats.join(low, key).join(high, key)
-        seen, tail = (F.col("high_bin") + 1) / BINS, F.col("centre") + FAR * F.col("sd")
-        enough = F.col("n") * (1 - HIGH) >= 1
-        return both.select(*key, "n", F.exp(F.col("low_bin") / BINS).alias("low"), F.exp(F.when(enough, seen).otherwise(F.greatest(seen, tail))).alias("high"))
-
-    limits = limits_of(bins, stats, ["lang"]).where(F.col("n") >= LEAST)
-    limits = materialise(limits.join(means, "lang").select("lang", "mean", "low", "high"), "limits")
-    all_ = F.lit("all").alias("whole")
-    overall = limits_of(bins.select(all_, "held", "bin", "n"), measured.groupBy(all_).agg(*spread), ["whole"]).first()
+    def with_perplexity(df: DataFrame, by_lang: DataFrame) -> DataFrame:
+        mixed = (F.col("log_sum") / SCALE + SHRINK * F.coalesce("mean", F.lit(mean))) / (F.col("n_bytes") + SHRINK)
+        return df.join(small(by_lang), "lang", "left").withColumn("perplexity", F.exp(-mixed))
+
+    bins = with_perplexity(known, means).groupBy("lang", "held", F.floor(F.log("perplexity") * BINS).alias("bin")).agg(F.count("*").alias("n"))
+    bins = materialise(bins, "trusted-bins")
+    own = limits_of(bins, ["lang"]).where(F.col("n") >= LEAST).drop("n")
+    limits = materialise(means.join(own, "lang", "left"), "limits")
+    overall = limits_of(bins.withColumn("whole", F.lit("all")), ["whole"]).first()
     low, high = (overall["low"], overall["high"]) if overall else (0.0, float("inf"))
-    scored = score(rows.select(F.struct("doc", "lang").alias("doc"), "text"), model, replicate).select("doc.doc", "doc.lang", "n_bytes", "log_prob")
     out = with_perplexity(scored, limits).withColumns({"low": F.coalesce("low", F.lit(low)), "high": F.coalesce("high", F.lit(high))})
     keep = F.col("perplexity").between(F.col("low"), F.col("high")) | (F.col("n_bytes") == 0)
-    return out.select("doc", "lang", "n_bytes", "log_prob", "perplexity", "low", "high", keep.alias("keep"))
+    return out.select("doc_id", "lang", "text_key", "n_bytes", log_prob, "perplexity", "low", "high", keep.alias("keep"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns."""
-    return judge(docs, labels).where("keep").select("doc.*")
+    """The documents that stay, with their own columns. A verdict depends on language and text alone, so
+    what moves is those of the documents that go."""
+    bad = materialise(judge(docs, labels).where("not keep").select(F.col("lang").alias("bad_lang"), F.col("text_key").alias("bad_key")).distinct(), "rejected")
+    key = F.md5(F.coalesce(column(docs, "text", "string"), F.lit("")))
+    return docs.join(bad, (key == bad.bad_key) & column(docs, "lang", "string").eqNullSafe(bad.bad_lang), "left_anti")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of the whole table."""
     docs = table(spark, sf_dir, "documents")
-    found = judge(docs.select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
-    return found.select("doc.doc_id", "lang", "n_bytes", F.round("log_prob", 3).alias("log_prob"), "perplexity", "low", "high", "keep")
+    return judge(docs, table(spark, sf_dir, "labels")).drop("text_key").withColumn("log_prob", F.round("log_prob", 3))

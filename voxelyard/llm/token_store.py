@@ -84,7 +84,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")).withColumn("tie", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    ordered.select("doc_id", F.col("text").cast("binary")).mapInArrow(released(work), SHARDS).write.parquet(f"{path}/shards")
+    ordered.select("doc_id", F.col("text").cast("binary")).mapInArrow(released(work, encoders=True), SHARDS).write.parquet(f"{path}/shards")
     write_index(spark, path)
 
 

@@ -179,11 +179,14 @@ def blocks(column: pa.Array, most_bytes: int = BLOCK):
         first = last
 
 
-def released(work):
+def released(work, encoders: bool = False):
     """Wraps a function over batches so that a worker, which waits for its next task, gives back the
-    memory that it no longer uses."""
+    memory that it no longer uses. Encoders that an earlier operator left in the worker go too, but for
+    work that has use for them."""
 
     def held(batches):
+        if not encoders:
+            _ENCODERS.clear()
         try:
             yield from work(batches)
         finally:
