@@ -99,9 +99,10 @@ def test_links_lose_nothing(spark, limit, pair_keys):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, own.values()))
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("few", [simhash.FEW_EDGES, 0])
+def test_components_of_chains_and_stars(spark, few):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(201, 203), (202, 203)]
-    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[i] for i in range(100, 140)} == {100} and {found[i] for i in (201, 202, 203)} == {201}
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
 

@@ -70,6 +70,19 @@ def test_dense_groups_lose_nothing(spark, pair_keys):
     assert {r["doc_id"] for r in found.collect()} == brute(rows)
 
 
+def test_a_common_passage_makes_no_pairs(spark, monkeypatch):
+    """Texts that share a long passage, and little else, share keys but no rare shingle."""
+    draw, passage = random.Random(5), " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"w{draw.randrange(10**9)}" for _ in range(60))) for i in range(60)]
+    rows += [(100 + i, t) for i, t in variants(150, 20, lambda d: d.randrange(8), seed=9)]
+    asked, plain = [], near.verified
+    monkeypatch.setattr(near, "verified", lambda docs, pairs, similarity: asked.append(pairs.count()) or plain(docs, pairs, similarity))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.representatives(docs, near.grouped(docs, pair_keys=4))
+    assert {r["doc_id"] for r in found.collect()} == brute(rows)
+    assert asked[1] < 60 * 59 / 4
+
+
 def test_texts_without_words(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, " \t"), (4, "a b"), (5, "A  b"), (6, "a c")], "doc_id long, text string")
     assert {r["doc_id"] for r in simhash.representatives(docs, near.grouped(docs)).collect()} == {1, 4, 6}
