@@ -101,7 +101,8 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, pair_keys: int =
 
     if not 0 <= max_distance <= 3:
         raise ValueError("halves with one blank find distances up to 3")
-    index = prints.select("fp", F.explode(segment_keys(F.col("fp"), max_distance)).alias("k")).select("fp", "k.*")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows are few before they are 66-fold
+    index = prints.repartition(tasks).select("fp", F.explode(segment_keys(F.col("fp"), max_distance)).alias("k")).select("fp", "k.*")
     shared = index.withColumn("n", F.count("*").over(Window.partitionBy("place", "part"))).where("n > 1")
     shared = materialise(shared, "signatures")
     few = shared.where(F.col("n") <= pair_keys)
