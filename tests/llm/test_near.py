@@ -66,7 +66,7 @@ def test_stage_takes_near_copies_of_whole_table(spark, medium):
 def test_dense_groups_lose_nothing(spark, pair_keys):
     rows = variants(200, 40, lambda d: d.randrange(6))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = simhash.representatives(docs, near.grouped(docs, pair_keys=pair_keys, leaders=2))
+    found = simhash.representatives(docs, near.grouped(docs, pair_keys=pair_keys))
     assert {r["doc_id"] for r in found.collect()} == brute(rows)
 
 
