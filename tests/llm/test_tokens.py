@@ -1,7 +1,7 @@
 """Operators 2 and 6, and the encoder that they share."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +86,47 @@ def test_store_of_odd_table(spark, odd, none):
     assert token_store.read(none.select("doc_id", F.lit(0).alias("occurrence")), empty).count() == 0
 
 
+def test_a_key_reads_one_bucket_and_one_shard(spark, small, monkeypatch):
+    monkeypatch.setattr(token_store, "BUCKET_KEYS", 16)
+    docs, path = spark.read.parquet(f"{small}/documents.parquet"), scratch(spark, "store")
+    token_store.write(docs, path, PATH, shard_ids=2000)
+    assert token_store.stored(spark, path).count() > 20 and spark.read.parquet(f"{path}/index").count() > 10
+    text = docs.where("doc_id = 77").first()["text"]
+    asked = spark.createDataFrame([(77, 0)], "doc_id long, occurrence long")
+    assert np.frombuffer(token_store.read(asked, path).first()["ids"], "<u4").tolist() == [*whole([text])[0], 1]
+    (place,) = token_store.lookup(asked, path).collect()
+    one = token_store._named(token_store.lookup(asked, path), ["part", "shard"], token_store.stored(spark, path))
+    plan = one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan or f"(part#" in plan and "PartitionFilters: []" not in plan
+    assert f"EqualTo(shard,{place['shard']})" in plan or f"In(shard, [{place['shard']}])" in plan
+    assert one.count() == 1
+    index = token_store._named(asked.select(*token_store.hashed(F.col("doc_id"), F.col("occurrence"), spark.read.parquet(f"{path}/meta").first()[0])), ["bucket"], spark.read.parquet(f"{path}/index"))
+    assert index.count() == 1 and "PushedFilters: [" in index._jdf.queryExecution().toString() and "bucket" in index._jdf.queryExecution().toString().split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_a_hot_key_is_numbered_over_parts(spark):
+    """Null and repeated keys that fill several parts: each row is found once by its number."""
+    rows = [(None, f"null {i}") for i in range(70)] + [(5, f"five {i % 40}") for i in range(90)] + [(i, "x") for i in range(10, 20)]
+    docs, path = spark.createDataFrame(rows, "doc_id long, text string"), scratch(spark, "store")
+    token_store.write(docs, path, PATH, shard_ids=30)
+    assert token_store.stored(spark, path).where(F.array_contains("keys", 5)).select("part").distinct().count() > 1
+    keys = token_store.all_keys(docs)
+    assert keys.count() == keys.distinct().count() == len(rows)
+    got = token_store.read(keys, path).collect()
+    assert Counter((r["doc_id"], np.frombuffer(r["ids"], "<u4").tobytes()) for r in got) == Counter((i, np.array([*whole([t])[0], 1], "<u4").tobytes()) for i, t in rows)
+    assert len({r["start"] for r in got}) == len(rows)
+
+
+def test_a_very_long_text(spark):
+    long = "Some words, again and again. " * 500_000  # 14.5 MB
+    docs, path = spark.createDataFrame([(1, "a"), (2, long), (3, "b")], "doc_id long, text string"), scratch(spark, "store")
+    token_store.write(docs, path, PATH, shard_ids=1000)
+    got = {r["doc_id"]: r for r in token_store.read(token_store.all_keys(docs), path).collect()}
+    once = whole(["Some words, again and again. "])[0]
+    assert np.frombuffer(got[2]["ids"], "<u4").tolist() == once * 500_000 + [1]
+    assert got[3]["start"] == got[2]["start"] + 500_000 * len(once) + 1
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 100, 5000])
 def test_hash_is_minimal_and_perfect(n):
     h1, h2 = np.random.default_rng(n).integers(0, 1 << 63, (2, n), np.uint64)

@@ -14,24 +14,48 @@ from pyspark.sql import functions as F
 _SCRATCH: list[tuple] = []
 
 
+def _delete(entry: tuple) -> None:
+    jvm, conf, path = entry
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
 @atexit.register
 def clear() -> None:
     """Deletes this process's scratch tables; runs when the driver ends, as results may read them until
     then."""
     while _SCRATCH:
-        jvm, conf, path = _SCRATCH.pop()
-        with contextlib.suppress(Exception):  # the JVM may be gone
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+        _delete(_SCRATCH.pop())
+
+
+class Scratch:
+    """The scratch tables that are made within it; ``free`` deletes them, once what reads them is written."""
+
+    def __enter__(self) -> "Scratch":
+        self.first = len(_SCRATCH)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.made = _SCRATCH[self.first :]
+
+    def free(self) -> None:
+        for entry in self.made:
+            if entry in _SCRATCH:
+                _SCRATCH.remove(entry)
+                _delete(entry)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where that setting is missing, as in tests on one machine, a temporary folder is set."""
+    Only where that setting is missing and all runs on one machine, as in tests, a temporary folder is
+    set; on a cluster a missing setting is an error."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="voxelyard-"))
         folder = context.getCheckpointDir()
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
