@@ -132,6 +132,32 @@ def test_exact_matches_sql(spark, size, request):
     same(spark, exact_dedup.op9_exact_dedup, exact_dedup.OP9_SQL, request.getfixturevalue(size))
 
 
+def test_batches_meet_stored_snapshots(spark, odd, none, tmp_path):
+    """A snapshot that one session has stored is met by batches of others, and never changed."""
+    first, second, third = (f"{tmp_path}/{n}" for n in "abc")
+    schema = "doc_id long, text string"
+    exact_dedup.save(spark.createDataFrame([(1, "a"), (2, "a"), (3, "b  c"), (4, None)], schema), first)
+    before = {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*")}
+    later = spark.newSession()
+    batch = later.createDataFrame([(10, "b c"), (11, "new"), (12, "new"), (13, ""), (None, "a"), (14, "x" * 3_000_000)], schema)
+    got = {(r["doc_id"], r["keep_id"], r["known"], r["kept"]) for r in exact_dedup.meet(batch, [first]).collect()}
+    assert got == {(10, 3, True, False), (11, 11, False, True), (12, 11, False, False), (13, 4, True, False), (None, 1, True, False), (14, 14, False, True)}
+    exact_dedup.append(batch, [first], second)
+    assert {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*") if str(p) in before} == before
+    assert later.read.parquet(f"{second}/groups").count() == 2
+    last = spark.newSession().createDataFrame([(20, "new"), (21, "a"), (22, "z")], schema)
+    got = {(r["doc_id"], r["keep_id"], r["known"], r["kept"]) for r in exact_dedup.meet(last, [first, second]).collect()}
+    assert got == {(20, 11, True, False), (21, 1, True, False), (22, 22, False, True)}
+    exact_dedup.append(none, [first, second], third)
+    assert exact_dedup.meet(odd, [third]).where("kept").count() == exact_dedup.meet(odd, []).where("kept").count() == len({norm(r["text"]) for r in odd.collect()})
+
+
+def test_hot_groups_are_broadcast(spark, odd, monkeypatch):
+    want = sorted(map(tuple, exact_dedup.dedup(odd, exact_dedup.half()).drop("row").collect()), key=repr)
+    monkeypatch.setattr(exact_dedup, "HOT", 2)
+    assert sorted(map(tuple, exact_dedup.dedup(odd, exact_dedup.half()).drop("row").collect()), key=repr) == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 10, 1000, 70000])
 def test_filter(n):
     keys = np.random.default_rng(n).integers(-(1 << 63), 1 << 63, n)

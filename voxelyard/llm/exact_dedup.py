@@ -4,7 +4,9 @@ A text's digest is the SHA-256 of its normalised form: every run of ASCII white
 Digests, never texts, are kept: of each document row its id and digest.
 
 * A snapshot's digests are grouped, and dealt to shards by a hash.  Each shard gets a binary-fuse filter
-  (three positions in neighbouring segments, 16-bit fingerprints), built once and stored with it.
+  (three positions in neighbouring segments, 16-bit fingerprints), built once and stored with the groups in
+  the snapshot's folder (``save``).  A snapshot is never changed: what a later batch adds is a snapshot of its
+  own (``append``), and a batch meets the stored filters of all (``meet``).
 * Digests of a new batch are grouped among themselves, so that copies within the batch meet whether or
   not the snapshot has them, and go to the shard of their hash.  The filter screens them: negatives are
   new for certain, and positives join the shard's exact digests.
@@ -13,7 +15,8 @@ Digests, never texts, are kept: of each document row its id and digest.
   shuffle, so a hot group is a few rows; a bitmap of a fixed size keeps other texts from moving.
 
 All groups are aggregated with partial sums; no group is collected.  Digests' shards are hashes, so no
-shard is hot, and a shard's filter has a size that follows ``SHARD_KEYS``.
+shard is hot, and a shard's filter has a size that follows ``SHARD_KEYS``.  Rows learn of the groups of
+``HOT`` rows or more, of which there can only be so many, by a broadcast, and of all others by a join.
 
 Defined cases: a null text counts as empty, and all empty texts are copies of each other; of rows with
 the same id and text one stays; a null id loses against any other; empty tables give no rows; other
@@ -27,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import column, materialise, table
+from .shared import column, materialise, scratch, table
 
 #: Keys of a filter shard, on average.
 SHARD_KEYS = 1 << 13
 #: Bits of the byte check's bitmap: at least, at most 2 to the power of.
 BITS = (20, 27)
+#: Rows of a group that is broadcast to its rows: so many, or this share of all rows if that is more, so that
+#: there are a hundred thousand such groups at most.
+HOT, HOT_SHARE = 1000, 1e-5
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -114,27 +120,53 @@ def screen(keys: np.ndarray, n: int, seed: int, cells: bytes) -> np.ndarray:
     return table_[a] ^ table_[b] ^ table_[c] == _print(h)
 
 
+# ---- snapshots ------------------------------------------------------------------------------------
 FILTER = "shard long, n long, seed long, cells binary"
+GROUP = "digest binary, key long, first struct<no_id: boolean, doc_id: bigint, row: bigint>, n long"
 
 
-def build_filters(snapshot: DataFrame, shards: int) -> DataFrame:
-    """A stored filter for each shard of a snapshot's groups (digest, key, ...)."""
+def _first() -> Column:
+    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("digest", "key").agg(_first(), F.count("*").alias("n"))
+
+
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("key", F.lit(5)), F.lit(shards)).alias("shard")
+
+
+def build_filters(groups: DataFrame, shards: int) -> DataFrame:
+    """A filter for each shard of a snapshot's groups (digest, key, ...)."""
 
     def work(group: pa.Table) -> pa.Table:
         keys = np.unique(group.column("key").to_numpy())
         seed, cells = build_filter(keys)
         return pa.table({"shard": [group.column("shard")[0].as_py()], "n": [len(keys)], "seed": [seed], "cells": [cells]})
 
-    return materialise(snapshot.select(_shard(shards), "key").groupBy("shard").applyInArrow(work, FILTER), "filters")
+    return groups.select(_shard(shards), "key").groupBy("shard").applyInArrow(work, FILTER)
 
 
-def _shard(shards: int) -> Column:
-    return F.pmod(F.xxhash64("key", F.lit(5)), F.lit(shards)).alias("shard")
+def _save(groups: DataFrame, path: str) -> None:
+    spark = groups.sparkSession
+    groups.write.parquet(f"{path}/groups")
+    held = spark.read.schema(GROUP).parquet(f"{path}/groups")
+    shards = max(1, -(-held.count() // SHARD_KEYS))
+    build_filters(held, shards).write.parquet(f"{path}/filters")
+    spark.createDataFrame([(shards,)], "shards long").coalesce(1).write.parquet(f"{path}/meta")
+
 
+def save(docs: DataFrame, path: str) -> None:
+    """Writes a snapshot of the documents: groups of equal texts, filters, number of shards."""
+    _save(_groups(digests(docs)), path)
 
-def screened(batch: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """The batch's groups with ``maybe``: whether the snapshot's filters let them pass."""
-    fields = ", ".join(f"{n} {t}" for n, t in batch.dtypes)
+
+def screened(batch: DataFrame, path: str) -> DataFrame:
+    """The batch's groups with ``maybe``: whether the snapshot's stored filters let them pass."""
+    spark, fields = batch.sparkSession, ", ".join(f"{n} {t}" for n, t in batch.dtypes)
+    shards = spark.read.parquet(f"{path}/meta").first()[0]
+    filters = spark.read.schema(FILTER).parquet(f"{path}/filters")
 
     def work(rows: pa.Table, filter_: pa.Table) -> pa.Table:
         maybe = np.zeros(rows.num_rows, bool)
@@ -147,32 +179,66 @@ def screened(batch: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     return dealt.cogroup(filters.groupBy("shard")).applyInArrow(work, f"{fields}, maybe boolean")
 
 
-# ---- dedup ----------------------------------------------------------------------------------------
-def _first() -> Column:
-    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+def met(batch: DataFrame, path: str) -> DataFrame:
+    """The batch's groups (digest, key, first, n) with old_first and old_n of the snapshot's group of the
+    same digest, null where it has none. Only what the filters let pass is joined."""
+    known = batch.sparkSession.read.schema(GROUP).parquet(f"{path}/groups").select("digest", F.col("first").alias("old_first"), F.col("n").alias("old_n"))
+    maybe = screened(batch.select("digest", "key", "first", "n"), path)
+    passed = maybe.where("maybe").join(known, "digest", "left")
+    new = maybe.where("not maybe").withColumns({"old_first": F.lit(None).cast(known.schema["old_first"].dataType), "old_n": F.lit(None).cast("long")})
+    return passed.unionByName(new).drop("maybe")
+
+
+def meet(docs: DataFrame, paths: list[str]) -> DataFrame:
+    """(row, doc_id, digest, keep_id, known, kept) for each row of a batch: known, if a snapshot has its
+    text, and then keep_id is the smallest id there, else the smallest in the batch; kept, if it is that
+    row of the batch and no snapshot has it."""
+    rows = materialise(digests(docs), "digests")
+    groups = materialise(_groups(rows), "batch")
+    old = None
+    for path in paths:
+        own = met(groups, path).where("old_n is not null").select("digest", "old_first")
+        old = own if old is None else old.unionByName(own)
+    if old is None:
+        out = groups.withColumn("old_first", F.lit(None).cast(groups.schema["first"].dataType))
+    else:
+        out = groups.join(old.groupBy("digest").agg(F.min("old_first").alias("old_first")), "digest", "left")
+    found = told(rows, materialise(out, "groups"))
+    known = F.col("old_first").isNotNull()
+    return found.select("row", "doc_id", "digest", F.when(known, F.col("old_first.doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"), known.alias("known"), (~known & (F.col("row") == F.col("first.row"))).alias("kept"))
+
+
+def append(docs: DataFrame, paths: list[str], path: str) -> None:
+    """Writes those of a batch's texts that no snapshot has as a snapshot of their own."""
+    rows = meet(docs, paths).where("not known").select("row", "doc_id", "digest").withColumn("key", F.xxhash64("digest"))
+    _save(_groups(rows), path)
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("digest", "key").agg(_first(), F.count("*").alias("n"))
+# ---- dedup ----------------------------------------------------------------------------------------
+def told(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows (row, doc_id, digest) with the other columns of their digest's group."""
+    groups = groups.drop("key")
+    many = max(HOT, int(HOT_SHARE * rows.count()))
+    hot = F.broadcast(groups.where(F.col("n") >= many))
+    rows = rows.select("row", "doc_id", "digest")
+    return rows.join(hot, "digest").unionByName(rows.join(hot.select("digest"), "digest", "left_anti").join(groups.where(F.col("n") < many), "digest"))
 
 
 def dedup(docs: DataFrame, is_snapshot: Column) -> DataFrame:
     """(row, doc_id, digest, keep_id, group_size, kept) for each row. is_snapshot says of the columns
-    row, doc_id and digest which rows are the snapshot; the others are the new batch."""
+    row, doc_id and digest which rows are stored as a snapshot first; the others are the new batch that
+    meets it."""
     rows = materialise(digests(docs).withColumn("old", is_snapshot), "digests")
-    snapshot = _groups(rows.where("old"))
+    path = scratch(docs.sparkSession, "snapshot")
+    _save(_groups(rows.where("old")), path)
     batch = materialise(_groups(rows.where("not old")), "batch")
-    shards = max(1, -(-rows.where("old").count() // SHARD_KEYS))
-    maybe = screened(batch, build_filters(snapshot, shards), shards)
-    known = snapshot.select("digest", F.col("first").alias("old_first"), F.col("n").alias("old_n"))
-    met = maybe.where("maybe").join(known, "digest", "left")
-    new = maybe.where("not maybe").withColumns({"old_first": F.lit(None).cast(known.schema["old_first"].dataType), "old_n": F.lit(None).cast("long")})
-    both = met.unionByName(new).select("digest", "key", F.least("first", "old_first").alias("first"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("n"))
+    both = met(batch, path).select("digest", "key", F.least("first", "old_first").alias("first"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("n"))
     # of a snapshot's group that the batch has too, the sum of both counts
-    merged = both.unionByName(snapshot.select("digest", "key", "first", "n")).groupBy("digest", "key").agg(F.min("first").alias("first"), F.max("n").alias("n"))
+    old = docs.sparkSession.read.schema(GROUP).parquet(f"{path}/groups")
+    merged = both.unionByName(old).groupBy("digest", "key").agg(F.min("first").alias("first"), F.max("n").alias("n"))
     merged = materialise(merged, "groups")
     _byte_check(docs, merged.where("n > 1"))
-    out = rows.join(merged.select("digest", "first", "n"), "digest")
+    out = told(rows, merged)
     return out.select("row", "doc_id", "digest", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("first.row")).alias("kept"))
 
 
