@@ -80,14 +80,77 @@ def told(df, op):
     return {r["doc_id"]: r["s"] for r in df.select("doc_id", joined(df["spans"], op.KINDS).alias("s"), counted("spans", 0).alias("n")).collect()}
 
 
+def parts_of(text):
+    """All parts of the secret scan, by the rules' own words in Python's regex."""
+    out = []
+    for k, (_, pattern) in enumerate(secrets.RULES):
+        for m in re.finditer(pattern, text or "", re.ASCII):
+            if k == 0 and len(m[1]) < 6 or k == 4 and not all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]")):
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def credentials(text):
+    """Spans and links by all pairs of parts."""
+    parts = parts_of(text)
+    spans, links = set(), []
+
+    def near(p, role):
+        gaps = [(max(q[0] - p[2], p[0] - q[2], 0), q) for q in parts if q != p and q[1] in secrets.ROLES[role]]
+        gaps = [g for g in gaps if g[0] <= secrets.SCOPE]
+        if not gaps:
+            return None
+        least = min(g for g, _ in gaps)
+        closest = [q for g, q in gaps if g == least]
+        before = [q for q in closest if (q[0], q[2], q[1]) < (p[0], p[2], p[1])]
+        return max(before, key=lambda q: (q[2], q[0], q[1])) if before else min(closest, key=lambda q: (q[0], q[2], q[1]))
+
+    for p in parts:
+        has = {role: near(p, role) for role in secrets.ROLES}
+        if p[1] < 3 or p[1] == 3 and has["secret"] or p[1] == 4 and has["identifier"] or p[1] == 5 and has["identifier"] and has["secret"]:
+            spans.add(p)
+            links += [(*p, has[role]) for role in ("identifier", "secret") if p[1] not in secrets.ROLES[role] and has[role]]
+    return sorted(spans), sorted(links)
+
+
+BLOB = "AbCdEfGhIjKlMnOpQrStUvWxYzAbCdEfGhIjKlMnOpQrStUvWxYz1234"  # its first digit is the 53rd character
+COMPANY = [
+    "user=bob", "user=bob secret=abcdefgh", "user=bob " + "y " * 300 + "secret=abcdefgh", "https://a.b/c", "user=bob host=a.b.c secret=abcdefgh", BLOB, "user: bob " + "y " * 100 + BLOB,
+    "user=bob " * 500 + "secret=abcdefgh", "client_id=abc https://x.example/y token: zzzzzz1 login=eve AKIA" + "Q" * 16, f"account: joe{BLOB} {BLOB}=", "é\U0001F600 user=bob \n\n " + BLOB * 3, "postgres://u:p@h/db user=a password=longenough " * 5,
+]
+
+
 def test_weak_parts_need_company(spark):
-    texts = ["user=bob", "user=bob secret=abcdefgh", "user=bob " + "y " * secrets.SCOPE + "secret=abcdefgh", "https://a.b/c", "user=bob host=a.b.c secret=abcdefgh", "AbC0" * 10, "user: bob " + "y " * 100 + "AbC0" * 10, "user=bob " * 500 + "secret=abcdefgh"]
-    got = told(secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), secrets)
+    texts = [t for i in range(0, 900, 150) for t in [" " * i + c for c in COMPANY]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.scan(docs).collect():
+        spans, links = credentials(texts[r["doc_id"]])
+        assert sorted(map(tuple, r["spans"])) == spans, texts[r["doc_id"]][:80]
+        assert sorted((*x[:3], tuple(x["to"])) for x in r["links"]) == links, texts[r["doc_id"]][:80]
+    got = told(secrets.scan(spark.createDataFrame(list(enumerate(COMPANY)), "doc_id long, text string")), secrets)
     assert got[0] == got[3] == got[5] == "" and got[1] == "user:0:8,assign:9:24"
     assert got[2].startswith("assign:") and got[4] == "user:0:8,endpoint:9:19,assign:20:35"
-    assert got[6] == "user:0:9,blob:210:250"
-    near = [s for s in got[7].split(",") if s.startswith("user")]
-    assert 0 < len(near) < 500
+    assert got[6] == "user:0:9,blob:210:266"
+    assert 0 < len([s for s in got[7].split(",") if s.startswith("user")]) < 500
+
+
+def test_a_shift_changes_no_link(spark):
+    """Two parts 300 code points apart link wherever they stand, and 301 apart nowhere."""
+    rows = [(i * 1000 + gap, "x" * i + " user=bob" + " " * gap + "secret=abcdefgh") for i in range(0, 650, 50) for gap in (300, 301)]
+    got = {r["doc_id"]: (len(r["spans"]), len(r["links"])) for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(v == ((2, 2) if k % 1000 == 300 else (1, 0)) for k, v in got.items())
+
+
+def test_very_long_texts(spark):
+    """20 MB, with parts at both ends."""
+    filler = "plain words and more of them " * 700_000
+    docs = spark.createDataFrame([(1, "user=bob secret=abcdefgh " + filler + "mail a@b.co MIT License"), (2, filler)], "doc_id long, text string")
+    n = len("user=bob secret=abcdefgh " + filler)
+    assert told(secrets.scan(docs), secrets) == {1: "user:0:8,assign:9:24", 2: ""}
+    assert told(pii.scan(docs), pii) == {1: f"email:{n + 5}:{n + 11}", 2: ""}
+    got = {r["doc_id"]: (r["labels"], r["n_base"]) for r in licenses.scan(docs).collect()}
+    assert got == {1: (["mit"], 1), 2: ([], 0)}
 
 
 def test_loose_personal_data(spark):
