@@ -201,11 +201,58 @@ def test_license_table(spark, medium):
         assert 0 <= got["score"] <= 1 and {*got["base_labels"].split(",")} <= {*got["labels"].split(","), ""}
 
 
+HEADERS = {
+    "Licensed under the Apache License, Version 2.0": "apache-2.0", "Apache License 2.0": "apache-2.0", "the Apache Software License, version 1.1": "apache-1.1", "under the Apache License": "apache",
+    "SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0", "SPDX-License-Identifier: MIT": "mit", "spdx-license-identifier: (BSD-3-Clause": "bsd-3-clause", "license: ISC": "isc", "GPLv3": "gpl-3.0", "GPL v2 or later": "gpl-2.0",
+    "Licensed under the GPL": "gpl", "GNU Lesser General Public License v2.1": "lgpl-2.1", "GNU General Public\n# License, version 3": "gpl-3.0", "LGPL-3.0-only": "lgpl-3.0", "AGPLv3": "agpl-3.0", "released under the new BSD license": "bsd-3-clause",
+    "Permission is hereby granted, free of charge, to any person\n * obtaining a copy": "mit", "Permission to use, copy, modify, and/or distribute this software for any\npurpose": "isc", "Redistribution and use in source and binary forms, with or without\n# modification": "bsd",
+    "under the terms of the Mozilla Public\n// License, v. 2.0": "mpl-2.0", "distributed under CC BY-SA 4.0": "cc-by-sa", "CC BY-NC 4.0": "cc-by-nc", "Creative Commons Attribution 4.0 International": "cc-by", "CC0 1.0 Universal": "cc0",
+    "This software is provided 'as-is', without any express or implied\nwarranty": "zlib", "the Boost Software License, Version 1.0": "boost-1.0", "This is free and unencumbered software released into the public domain": "unlicense", "All rights reserved": "proprietary",
+    "This program is free software; you can redistribute\n    it": "gpl", "Eclipse Public License - v 2.0": "epl", "EPL-2.0": "epl-2.0", "the Unlicense": "unlicense", "subject to the terms of the Python Software Foundation License": "python", "zlib/libpng license": "zlib",
+    "Neither the name of " + "the Very Long Name of an Institute, " * 9 + "nor the names of its\ncontributors": "bsd-3-clause",
+}
+PLAIN = ["emit licenses", "a general public outcry", "he summits", "the bsd daemon", "open software is nice", "cc by mail 4", "a free documentation of it", "x gplx3 y", "apache helicopters", "apache 20 tribes", "under common law", "permission to speak", "a driving license", "redistribution of wealth"]
+
+
+def test_written_headers_are_found(spark):
+    """Wrapped, commented and with versions, in the middle of other words."""
+    texts = [f"some words before. {h}. and behind" for h in HEADERS]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {texts[r["doc_id"]]: {d["label"] for d in r["detections"]} for r in rows}
+    wrong = {t: got[t] for t, label in zip(texts, HEADERS.values()) if got[t] != {label}}
+    assert len(wrong) <= 0.05 * len(texts), wrong
+    quiet = licenses.scan(spark.createDataFrame(list(enumerate(PLAIN)), "doc_id long, text string")).collect()
+    assert [(PLAIN[r["doc_id"]], r["labels"]) for r in quiet if r["labels"]] == []
+
+
+def slow_detections(text):
+    """The rules in order, by Python's regex; suppression by all pairs."""
+    low, found = re.sub("[A-Z]+", lambda m: m[0].lower(), text), []
+    for rule, _, pattern, label, named in licenses.passes():
+        for m in re.finditer(pattern, low):
+            form = next(k for k, (f, _, _) in enumerate(licenses.FORMS) if re.match("(?:" + licenses.written(f) + ")", m[0])) if named else None
+            priority, score = licenses.FORMS[form][1:] if named else (5, 0.95)
+            found.append((m.start(), m.end(), priority, rule, label, score))
+    kept = []
+    for a in found:
+        over = [b for b in found if b is not a and b[0] <= a[0] and b[1] >= a[1] and (b[2] > a[2] or b[2] == a[2] and ((b[0], b[1]) != (a[0], a[1]) or b[3] < a[3]))]
+        if not over:
+            kept.append((a[0], a[1], a[4], a[5]))
+    return sorted(kept)
+
+
+def test_detections_by_brute_force(spark, medium):
+    texts = [f"{a}; {b} {c}" for a in [*HEADERS][::3] for b in [*HEADERS][1::5] for c in ["", "GPL", "mit license"]]
+    texts += [r["text"] for r in spark.read.parquet(f"{medium}/documents.parquet").collect() if r["text"]]
+    for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert sorted((d["start"], d["end"], d["label"], d["score"]) for d in r["detections"]) == slow_detections(texts[r["doc_id"]]), texts[r["doc_id"]][:200]
+
+
 def test_signatures_suppress_what_they_contain(spark):
     texts = ["Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: GPL-3.0-or-later", "all rights reserved. " * 3, "Permission is hereby granted, free of charge, to any person obtaining a copy", "a plain text"]
     got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert [d["label"] for d in got[0]["detections"]] in (["apache"], ["apache-2.0"]) and got[0]["score"] == 0.95
+    assert [d["label"] for d in got[0]["detections"]] == ["apache-2.0"] and got[0]["score"] == 0.95
     assert got[1]["labels"] == ["gpl-3.0"] and got[1]["score"] == 1.0
     assert len(got[2]["detections"]) == 3 and got[3]["labels"] == ["mit"]
     assert (got[4]["labels"], got[4]["score"]) == ([], 0.0)
-    assert len(licenses.rules()) >= 200 and len({r[2] for r in licenses.rules()}) == len(licenses.rules())
+    assert licenses.n_rules() >= 500 and len({r[2] for r in licenses.passes()}) == len(licenses.passes())

@@ -1,21 +1,24 @@
 """License scan by ordered signature rules, by SQL functions alone.
 
-A rule is a regex over the lower-cased text with a keyword, a label, a priority and a confidence.  Families
-of licenses, written by hand, are crossed with the forms in which a license is named (``FORMS``), and
-sentences of well-known license texts are added: hundreds of rules.  A text passes one cheap test first;
-then only rules whose keyword it holds are tried, by a join of its keywords with the rule table, which is
-a constant of this module.
+A rule is a regex with a keyword, a label, a priority and a confidence: each of the names of ``NAMES`` in each
+of the forms of ``FORMS`` in which a license is named, and each of the sentences of license texts of
+``SENTENCES``, all written by hand.  A blank in a rule stands for any run of white space and comment marks, so
+wrapped and commented headers match in place.  A text passes one cheap test first; then only rules whose
+keyword it holds are tried, by a join of its keywords with the rule table, which is a constant of this
+module.  The forms of a name are tried in one pass, as alternatives, and what a match begins with tells which
+it is.
 
 Detections may overlap, as "apache license, version 2.0" and "apache license" do.  A detection that lies
 within one of a higher priority, or of the same priority that starts no later and ends no sooner, is
-suppressed.  Running maxima over the detections in order of their start find these without comparing
-pairs.
+suppressed; of those with the same span and priority the rule that comes first stays, and names with a version
+come before those without.  Running maxima over the detections in order of their start find these without
+comparing pairs.
 
 Base phrases are found word by word, wherever their words stand consecutively, and keep their labels.
 
-Defined cases: null and empty texts have no words and no labels, null places and score 0; repeated rows,
-and rows with equal or null ids, are scanned each; an empty table gives no rows; other columns are
-ignored.
+Defined cases: null and empty texts have no words and no labels, null places and score 0; a text, and what
+stands in a rule's open place, may be of any length; repeated rows, and rows with equal or null ids, are
+scanned each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,110 +37,185 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 #: Confidence of a base phrase alone.
 BASE_SCORE = 0.6
 
-#: Label: pattern of the license's name, and the keyword that every match holds.
-FAMILIES = {
-    "mit": (r"mit", "mit"),
-    "x11": (r"x11", "x11"),
-    "isc": (r"isc", "isc"),
-    "apache": (r"apache(?: software)?", "apache"),
-    "apache-1.1": (r"apache(?: software)?(?: license)?(?:,? v(?:ersion )?|[ -])1\.1", "1.1"),
-    "apache-2.0": (r"apache(?: software)?(?: license)?(?:,? v(?:ersion )?|[ -])2(?:\.0)?", "apache"),
-    "bsd": (r"bsd", "bsd"),
-    "bsd-2-clause": (r"(?:simplified bsd|bsd[ -]2[ -]clause|2[ -]clause bsd)", "bsd"),
-    "bsd-3-clause": (r"(?:new bsd|modified bsd|bsd[ -]3[ -]clause|3[ -]clause bsd)", "bsd"),
-    "bsd-4-clause": (r"(?:original bsd|bsd[ -]4[ -]clause|4[ -]clause bsd)", "bsd"),
-    "0bsd": (r"(?:zero[ -]clause bsd|bsd zero[ -]clause)", "bsd"),
-    "gpl": (r"(?:gnu )?general public", "general public"),
-    "gpl-2.0": (r"(?:gnu )?gpl[ -]?v?2(?:\.0)?", "gpl"),
-    "gpl-3.0": (r"(?:gnu )?gpl[ -]?v?3(?:\.0)?", "gpl"),
-    "lgpl": (r"(?:gnu )?(?:lesser|library) general public", "general public"),
-    "lgpl-2.1": (r"(?:gnu )?lgpl[ -]?v?2\.1", "lgpl"),
-    "lgpl-3.0": (r"(?:gnu )?lgpl[ -]?v?3(?:\.0)?", "lgpl"),
-    "agpl": (r"(?:gnu )?affero general public", "affero"),
-    "agpl-3.0": (r"(?:gnu )?agpl[ -]?v?3(?:\.0)?", "agpl"),
-    "gfdl": (r"(?:gnu )?free documentation", "free documentation"),
-    "mpl": (r"mozilla public", "mozilla"),
-    "mpl-1.1": (r"mpl[ -]?v?1\.1", "mpl"),
-    "mpl-2.0": (r"mpl[ -]?v?2(?:\.0)?", "mpl"),
-    "epl": (r"eclipse public", "eclipse"),
-    "epl-2.0": (r"epl[ -]?v?2(?:\.0)?", "epl"),
-    "cddl": (r"common development and distribution", "common development"),
-    "cpl": (r"common public", "common public"),
-    "eupl": (r"european union public", "european union"),
-    "osl": (r"open software", "open software"),
-    "afl": (r"academic free", "academic free"),
-    "artistic": (r"(?:perl )?artistic", "artistic"),
-    "artistic-2.0": (r"artistic license 2(?:\.0)?", "artistic"),
-    "zlib": (r"zlib(?:/libpng)?", "zlib"),
-    "boost": (r"boost software", "boost"),
-    "unlicense": (r"the unlicense", "unlicense"),
-    "wtfpl": (r"do what the fuck you want to public", "do what"),
-    "python": (r"(?:python software foundation|psf)", "p"),
-    "ruby": (r"ruby", "ruby"),
-    "php": (r"php", "php"),
-    "postgresql": (r"postgresql", "postgresql"),
-    "openssl": (r"openssl", "openssl"),
-    "sleepycat": (r"sleepycat", "sleepycat"),
-    "ncsa": (r"(?:university of illinois/)?ncsa(?: open source)?", "ncsa"),
-    "ms-pl": (r"microsoft public", "microsoft"),
-    "ms-rl": (r"microsoft reciprocal", "microsoft"),
-    "cecill": (r"cecill(?:-[abc])?", "cecill"),
-    "ofl": (r"(?:sil )?open font", "open font"),
-    "odbl": (r"open database", "open database"),
-    "cc0": (r"(?:cc0|creative commons zero)(?: 1\.0(?: universal)?)?", "c"),
-    "cc-by": (r"(?:cc[ -]by|creative commons attribution)(?:[ -][1-4]\.0)?(?: international)?", "c"),
-    "cc-by-sa": (r"(?:cc[ -]by-sa|creative commons attribution[ -]share ?alike)(?:[ -][1-4]\.0)?(?: international)?", "c"),
-    "cc-by-nc": (r"(?:cc[ -]by-nc|creative commons attribution[ -]non ?commercial)(?:[ -][1-4]\.0)?(?: international)?", "c"),
-    "cc-by-nd": (r"(?:cc[ -]by-nd|creative commons attribution[ -]no ?derivatives)(?:[ -][1-4]\.0)?(?: international)?", "c"),
-    "upl": (r"universal permissive", "universal permissive"),
-    "elastic": (r"elastic", "elastic"),
-    "sspl": (r"server side public", "server side"),
-    "bsl": (r"business source", "business source"),
-    "vim": (r"vim", "vim"),
-    "tcl": (r"tcl(?:/tk)?", "tcl"),
-    "ijg": (r"independent jpeg group", "jpeg"),
-}
-#: Form of naming: prefix and suffix of the name, priority, confidence.
+#: What a blank in a rule stands for, and what ~ does: a blank or a hyphen.
+GAP = r"[\x20\x09-\x0D*#/;%>|]++"
+#: Fixed values. Label, pattern of the license's name, keyword that every match holds, and whether the name
+#: has a version, so that it needs no "license" after it. The first of two equal matches counts.
+VERSION = r"(?:,? v(?:ersion|er)?\.? ?|,? |-|/)?v?"
+CREATIVE = {
+    "cc-by-nc-nd": r"(?:cc~by~nc~nd|creative commons attribution~non ?commercial~no ?deriv(?:ative)?s)", "cc-by-nc-sa": r"(?:cc~by~nc~sa|creative commons attribution~non ?commercial~share ?alike)",
+    "cc-by-nc": r"(?:cc~by~nc|creative commons attribution~non ?commercial)", "cc-by-nd": r"(?:cc~by~nd|creative commons attribution~no ?deriv(?:ative)?s)",
+    "cc-by-sa": r"(?:cc~by~sa|creative commons attribution~share ?alike)", "cc-by": r"(?:cc~by|creative commons attribution)",
+}
+NAMES = [
+    *[(label, name + VERSION + r"[1-4]\.0(?: international)?", "c", True) for label, name in CREATIVE.items()],
+    *[(label, name, "c", False) for label, name in CREATIVE.items()],
+    ("apache-2.0", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"2(?:\.0)?", "apache", True),
+    ("apache-1.1", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"1\.1", "apache", True),
+    ("apache-1.0", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"1\.0", "apache", True),
+    ("agpl-3.0", r"(?:gnu )?affero general public licen[sc]e" + VERSION + r"3(?:\.0)?", "affero", True),
+    ("agpl-3.0", r"(?:gnu )?agpl" + VERSION + r"3(?:\.0)?", "agpl", True),
+    ("lgpl-2.0", r"(?:gnu )?(?:lesser|library) general public licen[sc]e" + VERSION + r"2(?:\.0)?", "general", True),
+    ("lgpl-2.1", r"(?:gnu )?(?:lesser|library) general public licen[sc]e" + VERSION + r"2\.1", "general", True),
+    ("lgpl-3.0", r"(?:gnu )?(?:lesser|library) general public licen[sc]e" + VERSION + r"3(?:\.0)?", "general", True),
+    ("lgpl-2.0", r"(?:gnu )?lgpl" + VERSION + r"2(?:\.0)?", "lgpl", True),
+    ("lgpl-2.1", r"(?:gnu )?lgpl" + VERSION + r"2\.1", "lgpl", True),
+    ("lgpl-3.0", r"(?:gnu )?lgpl" + VERSION + r"3(?:\.0)?", "lgpl", True),
+    ("gpl-1.0", r"(?:gnu )?general public licen[sc]e" + VERSION + r"1(?:\.0)?", "general", True),
+    ("gpl-2.0", r"(?:gnu )?general public licen[sc]e" + VERSION + r"2(?:\.0)?", "general", True),
+    ("gpl-3.0", r"(?:gnu )?general public licen[sc]e" + VERSION + r"3(?:\.0)?", "general", True),
+    ("gpl-1.0", r"(?:gnu )?gpl" + VERSION + r"1(?:\.0)?", "gpl", True),
+    ("gpl-2.0", r"(?:gnu )?gpl" + VERSION + r"2(?:\.0)?", "gpl", True),
+    ("gpl-3.0", r"(?:gnu )?gpl" + VERSION + r"3(?:\.0)?", "gpl", True),
+    ("gfdl-1.3", r"(?:gnu )?free documentation licen[sc]e" + VERSION + r"1\.3", "documentation", True),
+    ("mpl-1.1", r"mozilla public licen[sc]e" + VERSION + r"1\.1", "mozilla", True),
+    ("mpl-2.0", r"mozilla public licen[sc]e" + VERSION + r"2(?:\.0)?", "mozilla", True),
+    ("mpl-1.1", r"mpl" + VERSION + r"1\.1", "mpl", True),
+    ("mpl-2.0", r"mpl" + VERSION + r"2(?:\.0)?", "mpl", True),
+    ("epl-1.0", r"(?:eclipse public licen[sc]e|epl)" + VERSION + r"1(?:\.0)?", "e", True),
+    ("epl-2.0", r"(?:eclipse public licen[sc]e|epl)" + VERSION + r"2(?:\.0)?", "e", True),
+    ("artistic-2.0", r"artistic licen[sc]e" + VERSION + r"2(?:\.0)?", "artistic", True),
+    ("eupl-1.2", r"(?:european union public licen[sc]e|eupl)" + VERSION + r"1\.2", "eu", True),
+    ("boost-1.0", r"(?:boost software licen[sc]e|bsl)" + VERSION + r"1\.0", "b", True),
+    ("bsd-2-clause", r"(?:simplified bsd|bsd~2~clause|(?:2|two)~clause bsd)", "bsd", True),
+    ("bsd-3-clause", r"(?:new bsd|modified bsd|revised bsd|bsd~3~clause|(?:3|three)~clause bsd)", "bsd", True),
+    ("bsd-4-clause", r"(?:original bsd|bsd~4~clause|(?:4|four)~clause bsd)", "bsd", True),
+    ("0bsd", r"(?:0bsd|zero~clause bsd|bsd zero~clause)", "bsd", True),
+    ("cc0", r"(?:cc0|creative commons zero)(?:" + VERSION + r"1\.0)?(?: universal)?", "c", True),
+    ("mit", r"mit", "mit", False),
+    ("x11", r"x11", "x11", False),
+    ("isc", r"isc", "isc", False),
+    ("apache", r"apache(?: software)?", "apache", False),
+    ("bsd", r"bsd", "bsd", False),
+    ("agpl", r"(?:gnu )?(?:affero general public|agpl)", "a", False),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public", "general", False),
+    ("lgpl", r"(?:gnu )?lgpl", "lgpl", False),
+    ("gpl", r"(?:gnu )?general public", "general", False),
+    ("gpl", r"(?:gnu )?gpl", "gpl", False),
+    ("gfdl", r"(?:gnu )?free documentation", "documentation", False),
+    ("mpl", r"mozilla public", "mozilla", False),
+    ("mpl", r"mpl", "mpl", False),
+    ("epl", r"eclipse public", "eclipse", False),
+    ("cddl", r"(?:common development and distribution|cddl)", "d", False),
+    ("cpl", r"common public", "common", False),
+    ("ipl", r"ibm public", "ibm", False),
+    ("eupl", r"european union public", "european", False),
+    ("osl", r"open software", "open", False),
+    ("afl", r"academic free", "academic", False),
+    ("artistic", r"(?:perl )?artistic", "artistic", False),
+    ("zlib", r"zlib(?:/libpng)?", "zlib", False),
+    ("boost", r"boost software", "boost", False),
+    ("unlicense", r"(?:the )?unlicense", "unlicense", True),
+    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "w", True),
+    ("python", r"(?:python software foundation|psf)", "p", False),
+    ("ruby", r"ruby", "ruby", False),
+    ("php", r"php", "php", False),
+    ("postgresql", r"postgresql", "postgresql", False),
+    ("openssl", r"openssl", "openssl", False),
+    ("sleepycat", r"sleepycat", "sleepycat", False),
+    ("ncsa", r"(?:university of illinois/)?ncsa(?: open source)?", "ncsa", False),
+    ("ms-pl", r"microsoft public", "microsoft", False),
+    ("ms-rl", r"microsoft reciprocal", "microsoft", False),
+    ("cecill", r"cecill(?:-[abc])?", "cecill", False),
+    ("ofl", r"(?:sil )?open font", "font", False),
+    ("odbl", r"open database", "database", False),
+    ("upl", r"universal permissive", "permissive", False),
+    ("elastic", r"elastic", "elastic", False),
+    ("sspl", r"server side public", "server", False),
+    ("busl", r"business source", "business", False),
+    ("vim", r"vim", "vim", False),
+    ("tcl", r"tcl(?:/tk)?", "tcl", False),
+    ("ijg", r"independent jpeg group", "jpeg", False),
+]
+#: Form of naming: what stands before the name, priority, confidence. The last one is the name alone.
 FORMS = [
-    (r"spdx-license-identifier:\s*", r"(?:-only|-or-later)?(?![a-z0-9])", 5, 1.0),
-    (r"licen[sc]ed under (?:the )?(?:terms of (?:the )?)?", r"(?: licen[sc]e)?(?:,? v(?:ersion )?[0-9.]+)?(?![a-z0-9])", 4, 0.95),
-    (r"(?:released|distributed|available|provided|redistributed|published) under (?:the )?(?:terms of (?:the )?)?", r"(?: licen[sc]e)?(?:,? v(?:ersion )?[0-9.]+)?(?![a-z0-9])", 4, 0.9),
-    (r"(?:subject to|governed by|covered by) (?:the )?(?:terms of (?:the )?)?", r" licen[sc]e(?:,? v(?:ersion )?[0-9.]+)?(?![a-z0-9])", 3, 0.85),
-    (r"(?<![a-z0-9])", r" licen[sc]e(?:,? v(?:ersion )?[0-9.]+)?(?![a-z0-9])", 2, 0.8),
-    (r"licen[sc]e:\s*(?:the )?", r"(?![a-z0-9])", 2, 0.75),
+    (r"spdx-license-identifier:(?: )?\(?", 5, 1.0),
+    (r"licen[sc]ed under (?:the )?(?:terms of )?(?:the )?", 4, 0.95),
+    (r"(?:re)?(?:released|distributed|available|provided|published|offered) under (?:the )?(?:terms of )?(?:the )?", 4, 0.9),
+    (r"(?:subject to|governed by|covered by) (?:the )?(?:terms of )?(?:the )?", 3, 0.85),
+    (r"licen[sc]e:(?: )?(?:the )?", 2, 0.75),
+    (r"", 2, 0.8),
 ]
-#: Sentences of license texts: pattern, keyword, label; priority 5.
+#: What may follow a name: "license", a version, "or later".
+AFTER = r"(?: licen[sc]e)?(?:,? v(?:ersion|er)?\.? ?[0-9]++(?:\.[0-9]++)*+)?(?:-only|-or-later|\+| or(?: \(?at your option\)? any)? later)?(?![a-z0-9])(?!\.[0-9])"
+#: Fixed values. Sentences of license texts: pattern, keyword, label; priority 5.
 SENTENCES = [
-    (r"permission is hereby granted, free of charge, to any person obtaining a copy", "permission is hereby", "mit"),
-    (r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose", "permission to use", "isc"),
+    (r"permission is hereby granted, free of charge, to any person obtaining a copy", "granted", "mit"),
+    (r"the above copyright notice and this permission notice shall be included in all copies", "permission", "mit"),
+    (r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose", "permission", "isc"),
+    (r"permission to use, copy, modify, and distribute this software and its documentation", "permission", "hpnd"),
     (r"redistribution and use in source and binary forms,? with or without modification", "redistribution", "bsd"),
-    (r"neither the name of .{1,80} nor the names of its contributors", "nor the names of", "bsd-3-clause"),
-    (r"this program is free software[;:] you can redistribute it", "free software", "gpl"),
-    (r"this library is free software[;:] you can redistribute it", "free software", "lgpl"),
-    (r"you may not use this file except in compliance with the license", "in compliance with", "apache-2.0"),
-    (r"this source code form is subject to the terms of the mozilla public license", "source code form", "mpl-2.0"),
+    (r"redistributions in binary form must reproduce the above copyright notice", "redistributions", "bsd"),
+    (r"redistributions of source code must retain the above copyright notice", "redistributions", "bsd"),
+    (r"neither the names? of (?:(?!neither the name).)++", "neither", "bsd-3-clause"),
+    (r"all advertising materials mentioning features or use of this software must display", "advertising", "bsd-4-clause"),
+    (r"this program is free software[;:] you can redistribute it", "free", "gpl"),
+    (r"this (?:program|file|software) is distributed in the hope that it will be useful", "hope", "gpl"),
+    (r"this library is free software[;:] you can redistribute it", "free", "lgpl"),
+    (r"this library is distributed in the hope that it will be useful", "hope", "lgpl"),
+    (r"under the terms of version 2 of the gnu general public licen[sc]e", "general", "gpl-2.0"),
+    (r"under the terms of version 3 of the gnu general public licen[sc]e", "general", "gpl-3.0"),
+    (r"either version 2 of the licen[sc]e, or \(at your option\) any later version", "either", "gpl-2.0"),
+    (r"either version 2\.1 of the licen[sc]e, or \(at your option\) any later version", "either", "lgpl-2.1"),
+    (r"either version 3 of the licen[sc]e, or \(at your option\) any later version", "either", "gpl-3.0"),
+    (r"you may not use this file except in compliance with the licen[sc]e", "compliance", "apache-2.0"),
+    (r"to you under the apache licen[sc]e", "apache", "apache"),
+    (r"unless required by applicable law or agreed to in writing, software distributed under the licen[sc]e", "unless", "apache-2.0"),
+    (r"this source code form is subject to the terms of the mozilla public licen[sc]e,? v(?:ersion|\.) ?2\.0", "mozilla", "mpl-2.0"),
+    (r"the contents of this file are subject to the mozilla public licen[sc]e version 1\.1", "mozilla", "mpl-1.1"),
+    (r"this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e", "eclipse", "epl"),
+    (r"the contents of this file are subject to the terms of the common development and distribution licen[sc]e", "development", "cddl"),
     (r"this is free and unencumbered software released into the public domain", "unencumbered", "unlicense"),
-    (r"(?:dedicated to|released into|placed in) the public domain", "public domain", "public-domain"),
-    (r"this software is provided ['\"]?as-is['\"]?, without any express or implied warranty", "as-is", "zlib"),
-    (r"all rights reserved", "all rights reserved", "proprietary"),
-]
+    (r"(?:dedicated to|released into|placed in|placed into) the public domain", "domain", "public-domain"),
+    (r"has dedicated the work to the public domain by waiving", "waiving", "cc0"),
+    (r"this software is provided ['\"]?as~is['\"]?, without any express or implied warranty", "express", "zlib"),
+    (r"altered source versions must be plainly marked as such", "altered", "zlib"),
+    (r"permission is hereby granted, free of charge, to any person or organization obtaining a copy", "organization", "boost-1.0"),
+    (r"everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document", "verbatim", "gpl"),
+    (r"you just do what the fuck you want to", "fuck", "wtfpl"),
+    (r"this software is copyrighted by the regents of the university of california", "regents", "tcl"),
+    (r"in no event shall the university of california be liable to any party", "california", "postgresql"),
+    (r"this product includes software developed by the openssl project", "openssl", "openssl"),
+    (r"this font software is licensed under the sil open font licen[sc]e", "font", "ofl"),
+    (r"you are free to share (?:-|--|:)? ?copy and redistribute the material", "share", "cc-by"),
+    (r"you may not use the material for commercial purposes", "commercial", "cc-by-nc"),
+    (r"use of this source code is governed by a bsd-style licen[sc]e", "bsd-style", "bsd"),
+    (r"use of this source code is governed by an mit-style licen[sc]e", "mit-style", "mit"),
+    (r"all rights reserved", "reserved", "proprietary"),
+    (r"this software is (?:the )?(?:confidential and )?proprietary", "proprietary", "proprietary"),
+]
 #: What a text must hold for any rule to be tried.
-GATE = r"(?i)licen[sc]e|spdx|permission (?:is hereby|to use)|redistribution and use|names of its contributors|free software|public domain|unencumbered|as-is|rights reserved|(?:released|distributed|available|provided|published|redistributed) under"
+GATE = r"(?i)licen[sc]e|spdx|gpl|\b(?:mpl|epl|apache|bsd|cc0|cc[ -]by|wtfpl)|creative\s|permission|redistributions?\s|neither\s+the\s+name|free\s+software|public\s+domain|unencumbered|express\s|altered\s+source|in\s+the\s+hope|rights\s|confidential\s|proprietary|under\s|regents\s|university\s+of|advertising\s+materials|includes\s+software|free\s+to\s+share|may\s+not\s+use|either\s+version|governed\s"
+
+
+def written(pattern: str) -> str:
+    """A rule's regex, with its blanks written out."""
+    return pattern.replace("~", "(?:" + GAP + "|-)").replace(" ?", "(?:" + GAP + ")?").replace(" ", GAP)
+
+
+def passes() -> list[tuple[int, str, str, str, bool]]:
+    """(pass, keyword, pattern, label, whether it is a name): all forms of a name are one pass."""
+    out = []
+    for label, name, keyword, versioned in NAMES:
+        before = [f for f, _, _ in FORMS if f]
+        need = "" if versioned else r"(?= licen[sc]e)"  # a name alone, or after "subject to", needs the word
+        free = "|".join(f for k, f in enumerate(before) if k != 3)
+        out.append((keyword, rf"(?<![a-z0-9])(?:(?:{free}){name}|(?:{before[3]})?{name}{need}){AFTER}", label, True))
+    out += [(keyword, rf"(?<![a-z0-9]){pattern}", label, False) for pattern, keyword, label in SENTENCES]
+    return [(i, keyword, written(pattern), label, named) for i, (keyword, pattern, label, named) in enumerate(out)]
 
 
-def rules() -> list[tuple[int, str, str, str, int, float]]:
-    """(rule, keyword, pattern, label, priority, confidence), in order."""
-    named = [(keyword, before + name + after, label, priority, confidence) for label, (name, keyword) in FAMILIES.items() for before, after, priority, confidence in FORMS]
-    told = [(keyword, pattern, label, 5, 0.95) for pattern, keyword, label in SENTENCES]
-    return [(i, *r) for i, r in enumerate(named + told)]
+def n_rules() -> int:
+    """Rules in all: each name in each form, and the sentences."""
+    return len(NAMES) * len(FORMS) + len(SENTENCES)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """A row per document row: row, doc_id, n_words, n_base, first_word, last_word, base_labels, labels
     (sorted arrays), detections (array of start, end, label, score), score."""
     spark = docs.sparkSession
-    ruled = F.broadcast(spark.createDataFrame(rules(), "rule int, keyword string, pattern string, label string, priority int, confidence double"))
-    keywords = sorted({r[1] for r in rules()})
+    ruled = F.broadcast(spark.createDataFrame(passes(), "rule int, keyword string, pattern string, label string, named boolean"))
+    keywords = sorted({r[1] for r in passes()})
 
     text = F.coalesce(column(docs, "text", "string"), F.lit(""))
     low = F.when(F.col("text").rlike(GATE), ascii_lower(F.col("text")))
@@ -153,11 +231,15 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("line", F.when(F.col("low").isNotNull(), line))
     work = rows.select("row", "doc_id", "n_words", "low", F.explode_outer(F.when(F.col("low").isNotNull(), F.concat(*map(slim, phrase), tried))).alias("x"))
     work = work.select("row", "doc_id", "n_words", "low", "x.*").join(ruled, "keyword", "left")
-    own = F.struct(F.col("pos"), F.col("lead"), F.col("own"))
-    by_rule = F.transform(pieces(F.col("low"), F.lit(0), F.col("pattern")), lambda x: F.struct(x["pos"].alias("pos"), x["lead"].alias("lead"), x["own"].alias("own")))
+    own = F.struct(F.col("pos"), F.col("lead"), F.col("own"), F.lit(None).cast("int").alias("form"))
+    begins = lambda m: F.coalesce(*[F.when(m.rlike("^(?:" + written(f) + ")"), k) for k, (f, _, _) in enumerate(FORMS)])
+    form = lambda m: F.when(F.col("named") & m.isNotNull(), begins(m))
+    by_rule = F.transform(pieces(F.col("low"), F.lit(0), F.col("pattern")), lambda x: F.struct(x["pos"].alias("pos"), x["lead"].alias("lead"), x["own"].alias("own"), form(x["match"]).alias("form")))
     hits = F.when(F.col("kind") < 0, F.array(own)).when(F.expr("low rlike pattern"), by_rule)
-    each = work.select("row", "doc_id", "n_words", F.coalesce("kind", "rule").alias("rule"), "label", "priority", "confidence", F.explode_outer(hits).alias("h"))
-    each = each.select("row", "doc_id", "n_words", "rule", "label", "priority", "confidence", "h.*").repartition("row")
+    each = work.select("row", "doc_id", "n_words", F.coalesce("kind", "rule").alias("rule"), "label", F.explode_outer(hits).alias("h"))
+    each = each.select("row", "doc_id", "n_words", "rule", "label", "h.*").repartition("row")
+    of_form = lambda k, told: F.when(F.col("form").isNull(), told).otherwise(F.element_at(F.array(*[F.lit(f[k]) for f in FORMS]), F.col("form") + 1))
+    each = each.withColumns({"priority": of_form(1, 5), "confidence": of_form(2, 0.95)})
 
     order = Window.partitionBy("row", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.when(F.col("own").isNotNull(), F.sum(F.col("lead").cast("long") + F.coalesce("own", F.lit(0))).over(order))
