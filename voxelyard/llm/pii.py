@@ -2,24 +2,27 @@
 
 Candidates are spans of ``KINDS``: e-mail and IP addresses, card and phone numbers in strict forms, which
 are reported always, and looser forms: spelled-out addresses, local phone and social security numbers,
-IBANs, names after a title.  Four labelers vote on each candidate, for, against, or not at all:
+IBANs, and names of people.  Four labelers vote on each candidate, for, against, or not at all; none says
+the same of all candidates of a kind, or it abstains from that kind:
 
-* form: what a stricter regex says of the match (the check digits, the area number, the length of parts);
-* gazetteer: known top-level domains, country codes and titles;
+* form: what a stricter regex says of the match (area numbers, the way it is spelled, a title);
+* gazetteer: top-level domains, calling codes, countries with IBANs, given names;
 * context: words just before the match, like "phone", or "invoice" against it;
-* checksum: Luhn or the IBAN's remainder.
+* checksum: the IBAN's remainder.
 
-Votes are aggregated to counts of vote patterns per kind, a few hundred rows at most, whatever the
-corpus.  Expectation-maximisation over these estimates each labeler's reliability and each kind's
-rate.  Its posteriors, as soft labels of all candidates, train the final span classifier: naive Bayes
-over kind, votes, length and share of digits.  A loose span is reported if the classifier gives it
-``THRESHOLD`` or more and a labeler votes for it.
+Votes are aggregated to counts of vote patterns per kind: at most len(KINDS) * 3 ** len(LABELERS) rows,
+whatever the corpus.  Expectation-maximisation over these estimates the rate of true candidates of each
+kind and each labeler's reliability in it, from a prior that counts like ``PRIOR`` votes.  Its posteriors, as
+soft labels of all candidates, train the final span classifier: naive Bayes over kind and, within it, votes,
+length and share of digits.  A loose span is reported if the classifier gives it ``THRESHOLD`` or more and
+more labelers vote for it than against it.
 
 Each text is read once; what moves is its matches, by a row id.
 
-Defined cases: null and empty texts have no spans (an empty string, and its SHA-256); without candidates
-there is nothing to train and only strict spans could be reported; repeated rows, and rows with equal or
-null ids, are scanned each; an empty table gives no rows; other columns are ignored.
+Defined cases: null and empty texts have no spans (an empty string, and its SHA-256); a text, and a match,
+may be of any length; without candidates there is nothing to train and only strict spans could be reported;
+a loose match within a strict one is a part of it; repeated rows, and rows with equal or null ids, are scanned
+each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,28 +39,42 @@ from .spans import counted, gated, gathered, joined, placed
 KINDS = ["email", "ip", "card", "phone", "spelled_email", "local_phone", "ssn", "iban", "name"]
 STRICT = 4  # the first kinds
 THRESHOLD = 0.5
-ROUNDS = 12
+ROUNDS = 50
+#: What a labeler's reliability, and a kind's rate, is taken for before any vote, and the votes that this
+#: counts like: of the right ones and of all.
+PRIOR = (8.0, 10.0)
 LABELERS = ["form", "gazetteer", "context", "checksum"]
 
+#: Top-level domains, country calling codes, countries with IBANs and their lengths, given
+#: names.
+DOMAINS = "com|org|net|edu|gov|info|biz|io|de|fr|es|it|nl|uk|ch|at|pl|se|no|dk|fi|pt|ie|be|us|ca|au|nz|jp|cn|in|br|mx|ru"
+CALLING = "1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+IBAN_LENGTHS = {
+    "AT": 20, "BE": 16, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28,
+    "IE": 22, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24,
+}
+IBAN_COUNTRIES = "|".join(IBAN_LENGTHS)
+GIVEN = (
+    "Adam|Alan|Alexander|Alice|Amanda|Amy|Ana|Andrea|Andrew|Angela|Anna|Anthony|Antonio|Barbara|Benjamin|Brian|Carlos|Carol|Catherine|Charles|Charlotte|Christian|Christine|Christopher|Claudia|Daniel|David|Deborah|Diana|Dorothy|"
+    "Edward|Elena|Elizabeth|Emily|Emma|Eric|Eva|Francisco|Frank|Gabriel|George|Gregory|Hannah|Hans|Heather|Helen|Henry|Isabel|Jack|Jacob|James|Jan|Jane|Jason|Jean|Jennifer|Jessica|Joan|Johannes|John|Jonathan|Jorge|Jose|Joseph|"
+    "Joshua|Juan|Julia|Julie|Karen|Katherine|Kevin|Klaus|Laura|Lena|Linda|Lisa|Louis|Lucas|Luis|Manuel|Margaret|Maria|Marie|Mark|Martha|Martin|Mary|Matthew|Michael|Michelle|Miguel|Monica|Nancy|Nicholas|Nicole|Oliver|Olivia|Pablo|"
+    "Patricia|Patrick|Paul|Pedro|Peter|Philip|Pierre|Rachel|Rebecca|Richard|Robert|Roger|Ruth|Samuel|Sandra|Sarah|Scott|Sebastian|Sofia|Sophie|Stefan|Stephen|Steven|Susan|Teresa|Thomas|Timothy|Ursula|Victoria|Walter|William|Wolfgang"
+)
 #: Cheap test of the text, and pattern, of each kind. Possessive repeats keep long runs linear.
 RULES = [
     (r"@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     (r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     (r"(?:[0-9][\x20-]?){11}[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    (r"(?i)\x20?[\[(]?\bat\b[\])]?\x20?[A-Za-z0-9-]++\x20?[\[(]?\bdot\b", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}+\x20?[\[(](?i:at)[\])]\x20?[A-Za-z0-9-]{1,64}+\x20?[\[(](?i:dot)[\])]\x20?[A-Za-z]{2,24}+"),
-    (r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
-    (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    (r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])"),
-    (r"\b(?:Mr|Mrs|Ms|Dr|Prof)\b", r"\b(?:Mr|Mrs|Ms|Dr|Prof)\b\.?\x20[A-Z][a-z]{1,30}+"),
+    (r"(?i)[\x20\[({<]at[\x20\])}>]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20?[\[({<](?i:at)[\])}>]\x20?|\x20(?i:at)\x20)[A-Za-z0-9-]++(?:(?:\x20?[\[({<](?i:dot)[\])}>]\x20?|\x20(?i:dot)\x20)[A-Za-z0-9-]++)+"),
+    (r"[0-9]{3}\)?[\x20./-][0-9]{3}[\x20.-][0-9]{4}", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20./-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"),
+    (r"[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}", r"(?<![0-9-])[0-9]{3}([\x20-])[0-9]{2}\1[0-9]{4}(?![0-9-])"),
+    (r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    (rf"\b(?:Mr|Mrs|Ms|Dr|Prof)\b|\b(?:{GIVEN})\x20[A-Z]", rf"\b(?:(?:Mr|Mrs|Ms|Dr|Prof)\b\.?(?:\x20[A-Z][a-z]++|\x20[A-Z]\.)++|(?:{GIVEN})(?:\x20[A-Z]\.)?(?:\x20[A-Z][a-z]++)++)"),
 ]
-#: Top-level domains, country calling codes, countries with IBANs.
-DOMAINS = "com|org|net|edu|gov|info|biz|io|de|fr|es|it|nl|uk|ch|at|pl|se|no|dk|fi|pt|ie|be|us|ca|au|nz|jp|cn|in|br|mx|ru"
-CALLING = "1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
-IBAN_COUNTRIES = "AT|BE|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GR|HR|HU|IE|IT|LI|LT|LU|LV|MT|NL|NO|PL|PT|RO|SE|SI|SK"
 #: Words before a match that speak for each kind, and against any.
-FOR = [r"e-?mail|mail|contact|write|reach", r"\bip\b|address|host|server|from", r"card|visa|master|credit|payment|pay", r"phone|tel|call|mobile|fax|contact", r"e-?mail|mail|contact|reach", r"phone|tel|call|mobile|fax|contact", r"ssn|social|security", r"iban|account|bank|transfer", r"by|from|dear|contact|sincerely"]
-AGAINST = r"version|isbn|invoice|order|serial|item|part no|ticket|id[:#]"
+FOR = [r"e-?mail|mail|contact|write|reach", r"\bip\b|address|host|server|from", r"card|visa|master|credit|payment|pay", r"phone|tel|call|mobile|fax|contact", r"e-?mail|mail|contact|reach|write", r"phone|tel|call|mobile|cell|fax|contact", r"ssn|social|security", r"iban|account|bank|transfer", r"\bby\b|from|dear|contact|sincerely|regards|signed|name|patient|customer|author"]
+AGAINST = r"version|isbn|invoice|order|serial|\bitem|part no|ticket|\bid[:#]|\blook|\barrive|\bmeet|street|saint"
 
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 
@@ -100,15 +117,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     passes = _by_kind({1: match.rlike(IP_PARTS), 2: F.when(n.between(12, 19), luhn(number)).otherwise(False), 3: n.between(9, 15)}, match.isNotNull())
     yes = lambda c: F.when(c, 1).otherwise(-1)
     perhaps = lambda c: F.when(c, 1).otherwise(0)
+    plain = F.regexp_replace(match, r"\x20", "")
+    upper = match.rlike(r"^\p{Lu}")
     form = _by_kind({
         0: yes(match.rlike(r"^[A-Za-z0-9][^@]{0,63}@") & ~match.contains("..")), 1: yes(~match.rlike(r"^0|^127\.|\.0+[0-9]")), 2: yes(match.rlike("^[3-6]") & n.between(13, 16)), 3: yes(n.between(10, 14)),
-        4: yes(match.rlike("[a-z]{2}$")), 5: yes(match.rlike(r"^\(?[2-9]")), 6: yes(~match.rlike("^(?:000|666|9)|-00-|-0000$")), 7: yes(F.length(match).between(15, 42)),
+        4: yes(match.rlike(r"[\[({<]")), 5: yes(match.rlike(r"^\(?[2-9][0-9]{2}\)?[^0-9][2-9]")), 6: yes(match.contains("-") & ~match.rlike("^(?:000|666|9)|-00-|-0000$")), 7: F.when(plain.rlike("^(?:" + "|".join(f"{c}.{{{k - 2}}}" for c, k in IBAN_LENGTHS.items()) + ")$"), 1).when(plain.rlike(f"^(?:{IBAN_COUNTRIES})"), -1).otherwise(0),
+        8: perhaps(match.rlike(r"^(?:Mr|Mrs|Ms|Dr|Prof)\b") & upper),
+    }, F.lit(0))
+    gazetteer = _by_kind({
+        0: perhaps(match.rlike(rf"(?i)\.(?:{DOMAINS})$")), 3: yes(match.rlike(rf"^\+(?:{CALLING})")), 4: yes(match.rlike(rf"(?i)[^a-z0-9-](?:{DOMAINS})$")),
+        7: yes(match.rlike(rf"^(?:{IBAN_COUNTRIES})")), 8: perhaps(match.rlike(rf"\b(?:{GIVEN})\b")),
     }, F.lit(0))
-    gazetteer = _by_kind({0: perhaps(match.rlike(rf"(?i)\.(?:{DOMAINS})$")), 3: perhaps(match.rlike(rf"^\+(?:{CALLING})")), 4: perhaps(match.rlike(rf"(?i)(?:{DOMAINS})$")), 7: yes(match.rlike(rf"^(?:{IBAN_COUNTRIES})")), 8: F.lit(1)}, F.lit(0))
     before = F.lower("before")
     near = _by_kind({k: before.rlike(words) for k, words in enumerate(FOR)}, F.lit(False))
     context = F.when(before.rlike(AGAINST), -1).when(near, 1).otherwise(0)
-    checksum = _by_kind({2: F.lit(1), 7: yes(iban_passes(match))}, F.lit(0))
+    checksum = _by_kind({7: yes(iban_passes(match))}, F.lit(0))
     length = F.least(F.floor(F.length(match) / 8), F.lit(4)).cast("int")
     share = F.round(4 * n / F.length(match)).cast("int")
     # a loose match within a strict one is a part of it
@@ -125,45 +148,52 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 # ---- weak supervision -----------------------------------------------------------------------------
-def reliabilities(patterns: DataFrame) -> tuple[dict[int, float], dict[str, float]]:
+def reliabilities(patterns: list[tuple]) -> tuple[dict[int, float], dict[tuple[str, int], float]]:
     """By expectation-maximisation, the rate of true candidates of each kind, and how often each
-    labeler's vote is right. patterns is the table of vote patterns (kind, votes, n): at most
-    len(KINDS) * 3 ** len(LABELERS) rows."""
-    rate, right = dict.fromkeys(range(len(KINDS)), 0.5), dict.fromkeys(LABELERS, 0.8)
+    labeler's vote is right in it. patterns is the table of vote patterns (kind, votes of LABELERS, n)."""
+    kinds = range(len(KINDS))
+    rate, right = dict.fromkeys(kinds, 0.5), {(v, k): PRIOR[0] / PRIOR[1] for v in LABELERS for k in kinds}
     for _ in range(ROUNDS):
-        p = posterior(rate, right)
-        n, post = F.col("n"), F.col("post")
-        votes = [f(F.when(F.col(v) != 0, x)) for v in LABELERS for f, x in ((F.sum, n * F.when(F.col(v) > 0, post).otherwise(1 - post)), (F.sum, n))]
-        kinds = [f(F.when(F.col("kind") == k, x)) for k in rate for f, x in ((F.sum, n * post), (F.sum, n))]
-        row = patterns.withColumn("post", p).agg(*votes, *kinds).first()
-        for i, v in enumerate(LABELERS):
-            good, all_ = row[2 * i] or 0.0, row[2 * i + 1] or 0.0
-            right[v] = min(0.99, (good + 8) / (all_ + 10))  # a labeler is right more often than not, to begin with
-        for k in rate:
-            good, all_ = (row[2 * len(LABELERS) + 2 * k + j] or 0.0 for j in (0, 1))
-            rate[k] = (good + 1) / (all_ + 2)
+        seen, good = dict.fromkeys(kinds, 0.0), dict.fromkeys(kinds, 0.0)
+        votes, hits = dict.fromkeys(right, 0.0), dict.fromkeys(right, 0.0)
+        for kind, *cast, n in patterns:
+            odds = math.log(rate[kind] / (1 - rate[kind]))
+            odds += sum(x * math.log(right[v, kind] / (1 - right[v, kind])) for v, x in zip(LABELERS, cast))
+            true = 1 / (1 + math.exp(-odds))
+            seen[kind] += n
+            good[kind] += n * true
+            for v, x in zip(LABELERS, cast):
+                if x:
+                    votes[v, kind] += n
+                    hits[v, kind] += n * (true if x > 0 else 1 - true)
+        rate = {k: (good[k] + PRIOR[1] / 2) / (seen[k] + PRIOR[1]) for k in kinds}
+        right = {key: min(0.99, max(0.5, (hits[key] + PRIOR[0]) / (votes[key] + PRIOR[1]))) for key in right}
     return rate, right
 
 
-def posterior(rate: dict[int, float], right: dict[str, float]) -> Column:
+def posterior(rate: dict[int, float], right: dict[tuple[str, int], float]) -> Column:
     """Probability of a candidate, given its kind and votes."""
     odds = _by_kind({k: F.lit(math.log(p / (1 - p))) for k, p in rate.items()}, F.lit(0.0))
-    for v, a in right.items():
-        odds = odds + F.col(v) * math.log(a / (1 - a))
+    for v in LABELERS:
+        odds = odds + F.col(v) * _by_kind({k: F.lit(math.log(right[v, k] / (1 - right[v, k]))) for k in rate}, F.lit(0.0))
     return 1 / (1 + F.exp(-odds))
 
 
 def classifier(found: DataFrame, post: Column) -> Column:
-    """Naive Bayes over the candidates' features, trained on the posteriors as soft labels: its
-    probability, as an expression. Its table has a row for each value of a feature, some fifty."""
-    features = ["kind", *LABELERS, "length", "share"]
+    """Naive Bayes over the candidates' features within their kind, trained on the posteriors as soft
+    labels: its probability, as an expression. Its table has a row for each kind and value of a feature, some
+    two hundred."""
+    features = [*LABELERS, "length", "share"]
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("int").alias("value")) for f in features]))
-    soft = found.select(post.alias("post"), pairs.alias("x")).groupBy("x.feature", "x.value").agg(F.sum("post").alias("good"), F.sum(1 - F.col("post")).alias("bad")).collect()
-    good = sum(r["good"] for r in soft) / len(features) if soft else 0.0
-    bad = sum(r["bad"] for r in soft) / len(features) if soft else 0.0
-    odds = F.lit(math.log((good + 1) / (bad + 1)))
+    soft = found.select(post.alias("post"), "kind", pairs.alias("x")).groupBy("kind", "x.feature", "x.value").agg(F.sum("post").alias("good"), F.sum(1 - F.col("post")).alias("bad")).collect()
+    good, bad = dict.fromkeys(range(len(KINDS)), 0.0), dict.fromkeys(range(len(KINDS)), 0.0)
     for r in soft:
-        odds = odds + F.when(F.col(r["feature"]) == r["value"], math.log((r["good"] + 1) / (good + 2)) - math.log((r["bad"] + 1) / (bad + 2))).otherwise(0.0)
+        good[r["kind"]] += r["good"] / len(features)
+        bad[r["kind"]] += r["bad"] / len(features)
+    odds = _by_kind({k: F.lit(math.log((good[k] + 1) / (bad[k] + 1))) for k in good}, F.lit(0.0))
+    for r in sorted(soft, key=lambda r: (r["kind"], r["feature"], r["value"])):
+        share = math.log((r["good"] + 1) / (good[r["kind"]] + 2)) - math.log((r["bad"] + 1) / (bad[r["kind"]] + 2))
+        odds = odds + F.when((F.col("kind") == r["kind"]) & (F.col(r["feature"]) == r["value"]), share).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -171,9 +201,10 @@ def scan(docs: DataFrame) -> DataFrame:
     """A row per document row: row, doc_id, and spans as an array of (start, kind, end)."""
     rows = materialise(candidates(docs), "candidates")
     found = rows.where("kind is not null")
-    patterns = materialise(found.groupBy("kind", *LABELERS).agg(F.count("*").alias("n")).coalesce(1), "votes")
-    model = classifier(found, posterior(*reliabilities(patterns)))
-    told = F.col("kind").isNotNull() & ((F.col("kind") < STRICT) | ((model >= THRESHOLD) & (F.greatest(*LABELERS) > 0)))
+    patterns = found.groupBy("kind", *LABELERS).agg(F.count("*").alias("n")).collect()  # see the module: bounded
+    model = classifier(found, posterior(*reliabilities([tuple(r) for r in patterns])))
+    favour = sum((F.col(v) for v in LABELERS), F.lit(0)) > 0
+    told = F.col("kind").isNotNull() & ((F.col("kind") < STRICT) | ((model >= THRESHOLD) & favour))
     return rows.groupBy("row", "doc_id").agg(gathered(told).alias("spans"))
 
 
