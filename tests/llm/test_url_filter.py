@@ -88,3 +88,11 @@ def test_threshold(spark):
     assert 5 < u.threshold(scored) <= 6
     assert u.threshold(scored.where("good")) == 0.0
     assert u.threshold(scored.withColumn("score", F.lit(1.0))) == 0.0
+
+
+def test_held_out_accuracy(spark):
+    """Of rule-decided URLs that the model hasn't seen, nine in ten of both classes at least."""
+    allow, block, n = u.held_out_accuracy(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+    print("allowed and blocked URLs judged as by rule:", allow, block, n)
+    assert n > 100 and allow > 0.9 and block > 0.9
+    assert u.held_out_accuracy(spark.createDataFrame([(1, "x://a.net/")], "page_id long, url string")) == (0.0, 0.0, 0)

@@ -88,39 +88,74 @@ def threshold(scored: DataFrame) -> float:
     return low + width * best["bin"]
 
 
-def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, score (null where none was needed) of each row."""
+def parsed(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
+    """page_id, url, host, path, rest, rule, ruled (the rule's verdict) of each row."""
     host, path, rest = parts(F.col("url"))
     rows = pages.select(column(pages, "page_id", "long").alias("page_id"), column(pages, "url", "string").alias("url"))
     rows = rows.select("page_id", "url", host.alias("host"), path.alias("path"), rest.alias("rest")).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     verdict = F.element_at(F.create_map(*[F.lit(x) for pair in rules.items() for x in pair]), F.col("rule")) if rules else F.lit(None).cast("string")
-    rows = rows.withColumn("ruled", F.when(F.col("rule").isNotNull(), verdict))
+    return rows.withColumn("ruled", F.when(F.col("rule").isNotNull(), verdict))
+
+
+def distinct_urls(rows: DataFrame) -> DataFrame:
+    """(rest, ruled) of each distinct URL, dealt evenly: a few MB of URLs are many characters."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(rows.where("rest <> ''").groupBy("rest").agg(F.first("ruled").alias("ruled")).repartition(tasks), "urls")
+
+
+def part() -> Column:
+    """A part of HELD_OUT of a URL; part 0 of those that rules decide is held out of training."""
+    return F.pmod(F.xxhash64("rest"), F.lit(HELD_OUT))
+
 
-    urls = materialise(rows.where("rest <> ''").groupBy("rest").agg(F.first("ruled").alias("ruled")), "urls")
-    held = (F.pmod(F.xxhash64("rest"), F.lit(HELD_OUT)) == 0) & F.col("ruled").isNotNull()
+def fit(urls: DataFrame) -> tuple[DataFrame, float] | None:
+    """(rest, score) of the URLs (rest, ruled) that no rule decides, and the threshold; None where one of
+    the two classes has no text."""
+    held = (part() == 0) & F.col("ruled").isNotNull()
     # a row a character, with the class to train or null
     train = F.when(~held, F.col("ruled"))
     chars = urls.where(train.isNotNull()).select(train.alias("class"), F.explode(grams(F.col("rest"))).alias("gram"))
     counts = chars.groupBy("gram").agg(F.count_if(F.col("class") == "allow").alias("a"), F.count_if(F.col("class") == "block").alias("r"))
     counts = materialise(counts, "url-grams")
     n_allow, n_block = counts.agg(F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("r"), F.lit(0))).first()
-    if n_allow and n_block:
-        open_ = urls.where(held | F.col("ruled").isNull())
-        texts = open_.select("rest", "ruled", F.explode(grams(F.col("rest"))).alias("gram"))
-        known = materialise(ratios(texts.select("gram").distinct(), counts), "ratios")
-        if known.count() <= BROADCAST_GRAMS:
-            known = F.broadcast(known)
-        scored = texts.join(known, "gram").groupBy("rest", "ruled").agg(F.avg("ratio").alias("score"))
-        scored = materialise(scored, "url-scores")
-        limit = threshold(scored.where("ruled is not null").select("score", (F.col("ruled") == "allow").alias("good")))
-        scores = scored.where("ruled is null").select("rest", "score")
-        rows = rows.join(scores, "rest", "left")
-        by_model = F.when(F.col("score") < limit, "block").otherwise("allow")
+    if not n_allow or not n_block:
+        return None
+    open_ = urls.where(held | F.col("ruled").isNull())
+    texts = open_.select("rest", "ruled", F.explode(grams(F.col("rest"))).alias("gram"))
+    known = materialise(ratios(texts.select("gram").distinct(), counts), "ratios")
+    if known.count() <= BROADCAST_GRAMS:
+        known = F.broadcast(known)
+    scored = texts.join(known, "gram").groupBy("rest", "ruled").agg(F.avg("ratio").alias("score"))
+    scored = materialise(scored, "url-scores")
+    limit = threshold(scored.where("ruled is not null").select("score", (F.col("ruled") == "allow").alias("good")))
+    return scored.where("ruled is null").select("rest", "score"), limit
+
+
+def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
+    """page_id, host, path, rule, verdict, score (null where none was needed) of each row."""
+    rows = parsed(pages, rules)
+    model = fit(distinct_urls(rows))
+    if model is not None:
+        rows = rows.join(model[0], "rest", "left")
+        by_model = F.when(F.col("score") < model[1], "block").otherwise("allow")
     else:
         rows, by_model = rows.withColumn("score", F.lit(None).cast("double")), F.lit("allow")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
 
 
+def held_out_accuracy(pages: DataFrame, rules: dict[str, str] = RULES) -> tuple[float, float, int]:
+    """Shares of allowed and of blocked URLs that the model judges as the rules do, and their number: of
+    part 1, which then takes no part in training and calibration."""
+    urls = distinct_urls(parsed(pages, rules))
+    model = fit(urls.withColumn("ruled", F.when(part() != 1, F.col("ruled"))))
+    if model is None:
+        return 0.0, 0.0, 0
+    hidden = urls.where((part() == 1) & F.col("ruled").isNotNull()).join(model[0], "rest")
+    fits = (F.col("score") >= model[1]) == (F.col("ruled") == "allow")
+    share = lambda c: F.coalesce(F.avg(F.when(F.col("ruled") == c, fits.cast("int"))), F.lit(0.0))
+    return tuple(hidden.agg(share("allow"), share("block"), F.count("*")).first())
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of pages."""
     return judge(table(spark, sf_dir, "pages"))
