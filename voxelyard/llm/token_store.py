@@ -12,8 +12,9 @@ the filters of the two scans, so a key reads one bucket and one shard, whatever
 Spark's Parquet writer makes the files, so the store may lie in any file system that Spark can reach, and lost
 tasks are run again without traces.
 
-Order.  Documents are encoded first, so that ids move and not texts, and range-partitioned by key, rows
-of a repeated key by a hash of their text besides, so that a hot key is spread out.  ``start`` of a document is
+Order.  Documents are encoded first, so that ids move and not texts.  Their part is found by bounds that
+Spark's range partitioner gives for the keys alone; rows of a repeated key are told apart by a hash of their
+text, so that a hot key is spread over parts.  ``start`` of a document is
 a sum of three: the ids of the parts before, of the part's shards before, and of the shard's documents
 before.  The same key's rows are numbered likewise, from the part where it begins.
 
@@ -26,6 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,8 @@ GROUP_KEYS = 4
 #: Seeds that are tried at a time.
 TRIES = np.arange(16, dtype=np.uint64)
 
+#: Parts of the store for each task that writes it.
+TASK_PARTS = 2
 #: Buckets, and shards, that a scan names in its filter; beyond, it reads all of them.
 PRUNE = 1000
 
@@ -55,24 +59,38 @@ PLACE = np.dtype([("part", "<i4"), ("shard", "<i4"), ("byte", "<i8"), ("n_tokens
 
 
 # ---- writing ------------------------------------------------------------------------------------
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, tie, width, ids) of each row: its raw ids with the end id, and a hash of its text."""
+def part_bounds(docs: DataFrame, parts: int) -> list[tuple[bool, int, int]]:
+    """The smallest (known, doc_id, tie) of each of some parts of about equal numbers of rows. That many rows
+    reach the driver; parts is a setting."""
+    keys = keyed(docs).select(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "tie")
+    ranges = keys.repartitionByRange(parts, "known", "doc_id", "tie")
+    lows = ranges.groupBy(F.spark_partition_id()).agg(F.min(F.struct("known", "doc_id", "tie")).alias("low"))
+    return sorted(tuple(r["low"]) for r in lows.select("low").collect())
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    text = column(docs, "text", "string")
+    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.cast("binary").alias("text"))
+
+
+def encoded(docs: DataFrame, tokenizer: str, bounds: list[tuple[bool, int, int]], end_id: int = END_ID) -> DataFrame:
+    """(part, doc_id, tie, width, ids) of each row: its raw ids with the end id, and a hash of its text."""
 
     def work(batches):
         coder = encoder(tokenizer)
         width = 2 if coder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
+            doc_ids, ties = batch.column("doc_id"), batch.column("tie")
+            part = [max(0, bisect_right(bounds, (d is not None, d or 0, t)) - 1) for d, t in zip(doc_ids.to_pylist(), ties.to_pylist())]
             for i, j, texts in blocks(batch.column("text")):
                 flat, n = coder.encode(texts)
                 ends = np.cumsum(n)
                 whole = np.insert(flat, ends, np.uint32(end_id)).astype(f"<u{width}")
-                bounds = pa.array(np.append(0, (ends + np.arange(1, len(n) + 1)) * width), pa.int64())
-                ids = pa.Array.from_buffers(pa.large_binary(), len(n), [None, bounds.buffers()[1], pa.py_buffer(whole.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), batch.column("tie").slice(i, j - i), pa.array(np.full(j - i, width, np.int32)), ids.cast(pa.binary())], ["doc_id", "tie", "width", "ids"])
+                cells = pa.array(np.append(0, (ends + np.arange(1, len(n) + 1)) * width), pa.int64())
+                ids = pa.Array.from_buffers(pa.large_binary(), len(n), [None, cells.buffers()[1], pa.py_buffer(whole.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(part[i:j], pa.int32()), doc_ids.slice(i, j - i), ties.slice(i, j - i), pa.array(np.full(j - i, width, np.int32)), ids.cast(pa.binary())], ["part", "doc_id", "tie", "width", "ids"])
 
-    text = column(docs, "text", "string")
-    rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.cast("binary").alias("text"))
-    return rows.mapInArrow(released(work, encoders=True), "doc_id long, tie long, width int, ids binary")
+    return keyed(docs).mapInArrow(released(work, encoders=True), "part int, doc_id long, tie long, width int, ids binary")
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
@@ -80,10 +98,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
     kinds = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("width", pa.int32()), *[(c, pa.list_(pa.int64())) for c in ("keys", "occurrences", "offsets")], ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def work(batches):
-        from pyspark import TaskContext
-
-        part, shard, keys, numbers, ids, ends = TaskContext.get().partitionId(), 0, [], [], [], [0]
-        width = 2
+        part, shard, width, keys, numbers, ids, ends = -1, 0, 2, [], [], [], [0]
 
         def flush():
             nonlocal shard, keys, numbers, ids, ends
@@ -94,10 +109,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
         last, number = object(), 0
         for batch in batches:
             for i in range(batch.num_rows):
-                doc_id, width, cell = (batch.column(c)[i].as_py() for c in ("doc_id", "width", "ids"))
+                own, doc_id, width, cell = (batch.column(c)[i].as_py() for c in ("part", "doc_id", "width", "ids"))
                 n = len(cell) // width
-                if keys and ends[-1] + n > shard_ids:
+                if keys and (own != part or ends[-1] + n > shard_ids):
                     yield flush()
+                if own != part:
+                    part, shard, last = own, 0, object()
                 number = number + 1 if doc_id == last else 0
                 last = doc_id
                 keys.append(doc_id)
@@ -108,10 +125,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
             yield flush()
 
     spark = docs.sparkSession
-    rows = materialise(encoded(docs, tokenizer, end_id), "encoded")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    shards = ordered.select("doc_id", "width", "ids").mapInArrow(released(work, encoders=True), SHARDS)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = encoded(docs, tokenizer, part_bounds(docs, tasks * TASK_PARTS), end_id)
+    ordered = rows.repartition(tasks, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie")
+    shards = ordered.select("part", "doc_id", "width", "ids").mapInArrow(released(work, encoders=True), SHARDS)
     shards.write.partitionBy("part").option("compression", "none").option("parquet.block.size", 1 << 20).parquet(f"{path}/shards")
     write_index(spark, path)
 

@@ -104,7 +104,7 @@ class ChunkEncoder:
         """Chunks that are one lower-case word each share calls, as the last id of a word is marked
         as its end. Where the marks don't add up, chunks are encoded one by one."""
         parts = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
-        lines = [" ".join(p).encode().decode("latin-1").translate(BYTE_ALPHABET) for p in parts]
+        lines = [x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_ALPHABET) for x in map(" ".join, parts)]
         ids, lengths = [], []
         for part, whole in zip(parts, self.words.encode_batch_fast(lines, add_special_tokens=False)):
             row = np.array(whole.ids, np.uint32)
@@ -123,6 +123,7 @@ class ChunkEncoder:
         if self.word_end is not None:
             words = [i for i, t in enumerate(text) if t.isalpha() and (t.islower() if t.isascii() else t == t.lower() and unicodedata.is_normalized("NFC", t))]
             others = sorted({*others}.difference(words))
+            words.sort(key=lambda i: not text[i].isascii())  # those that need no byte alphabet lie together
         while len(self.slot) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         for rows, encode in ((words, self._encode_words), (others, self._encode_chunks)):
@@ -150,13 +151,18 @@ class ChunkEncoder:
             at = 1 + np.flatnonzero(kind[1:] + kind[:-1] == 3)
             block = np.insert(raw, at, 32).tobytes()
             bounds = bounds + np.searchsorted(at, bounds)
-        space = IS_SPACE[np.frombuffer(block, np.uint8)]
-        starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+        raw = np.frombuffer(block, np.uint8)
+        space = IS_SPACE[raw]
+        edge = np.flatnonzero(np.diff(space, prepend=True, append=True))  # starts and ends in turn
+        starts = edge[::2]
         words = np.diff(np.searchsorted(starts, bounds), prepend=0)
-        chunks = block.split()
         if len(self.slot) > self.cache_chunks:
             self._reset()
-        slots = np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
+        # Arrow finds the block's distinct chunks, the table numbers those alone
+        ends = np.concatenate([[0], np.cumsum(edge[1::2] - starts)])
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw[~space])]).dictionary_encode()
+        own = _cells(chunks.dictionary)
+        slots = np.fromiter(map(self.slot.__getitem__, own), np.int64, len(own))[chunks.indices.to_numpy()]
         if self.slot.fresh:
             self._learn(self.slot.fresh)
             self.slot.fresh = []
@@ -167,6 +173,13 @@ class ChunkEncoder:
         return ids, np.diff(np.concatenate([[0], ends])[np.cumsum(words)], prepend=0)
 
 
+def _cells(column: pa.Array) -> list[bytes]:
+    """The values of a large_binary column without nulls or offset."""
+    _, ends, raw = column.buffers()
+    raw, ends = raw.to_pybytes() if raw else b"", np.frombuffer(ends, np.int64)[: len(column) + 1].tolist() if len(column) else [0]
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def blocks(column: pa.Array, most_bytes: int = BLOCK):
     """Cuts a column of binary texts into lists of about most_bytes each, one text at least: (from, to,
     texts). Only a block at a time leaves Arrow's memory."""
