@@ -112,20 +112,39 @@ def test_region_sampling_thins_and_stays_connected():
     assert simplify.region_keep(chain(0, 10, 20), np.array([10.0, 1.0, 1.0]), np.array(links(3)), False).tolist() == [True, True, True]
 
 
+def settled(v, radius, edges):
+    chain_ = simplify.Chain.rooted(v, np.full(len(v), radius) if np.isscalar(radius) else np.array(radius, float), np.array(edges))
+    chain_.settle(1.2, 2.0, 100)
+    return chain_
+
+
 def test_merges_reach_a_fixpoint_and_keep_a_corner():
     v = np.concatenate([chain(*range(0, 300, 10)), [[290.0, y, 0.0] for y in range(10, 300, 10)]])
-    tree = simplify.Tree(v, np.full(len(v), 12.0), np.array(links(len(v))))
-    tree.settle(1.2, 2.0, 100)
-    assert len(tree.kids) < len(v)
-    n = len(tree.kids)
-    tree.settle(1.2, 2.0, 100)
-    assert len(tree.kids) == n
-    assert min(np.sqrt(((tree.v[i] - [290, 0, 0]) ** 2).sum()) for i in tree.kids) < 25
-    assert len(tree.parent) == n - 1
+    found = settled(v, 12.0, links(len(v)))
+    n = int(found.there.sum())
+    assert n < len(v) and len(found.links()) == n - 1
+    again = settled(found.place[found.there], 12.0, [(int((np.cumsum(found.there) - 1)[a]), int((np.cumsum(found.there) - 1)[b])) for a, b in found.links()])
+    assert again.there.sum() == n and (found.redundant(1.2, 2.0) == 0).all()
+    assert min(np.sqrt(((found.place[i] - [290, 0, 0]) ** 2).sum()) for i in np.flatnonzero(found.there)) < 25
 
 
 def test_two_chains_stay_two():
     v = np.concatenate([chain(*range(0, 100, 10)), chain(*range(0, 100, 10)) + [0, 500, 0]])
-    tree = simplify.Tree(v, np.full(20, 8.0), np.array([*links(10), *links(10, 10)]))
-    tree.settle(1.2, 2.0, 100)
-    assert len(tree.kids) - len(tree.parent) == 2
+    found = settled(v, 8.0, [*links(10), *links(10, 10)])
+    assert found.there.sum() - len(found.links()) == 2
+
+
+def test_merges_by_case():
+    """A ball within another goes, whichever is larger; branch points, tips' places and swellings stay."""
+    held = settled(chain(0, 2, 100), [10.0, 3.0, 5.0], links(3))
+    assert held.there.tolist() == [True, False, True] and held.radius[0] == 10
+    star = settled(np.array([[0, 0, 0], [50, 0, 0], [0, 50, 0], [0, 0, 50]], float), 4.0, [(0, 1), (0, 2), (0, 3)])
+    assert star.there.all()
+    swollen = settled(chain(0, 10, 20), [6.0, 12.0, 6.0], links(3))
+    assert 12.0 in swollen.radius[swollen.there]
+    straight = settled(chain(*range(0, 1000, 10)), 6.0, links(100))
+    places = straight.place[straight.there]
+    assert straight.there.sum() < 60 and places[:, 0].min() == 0 and places[:, 0].max() == 990
+    assert not simplify.Chain.rooted(np.zeros((0, 3)), np.zeros(0), np.zeros((0, 2), np.int64)).redundant(1.2, 2.0).size
+    loop = settled(chain(0, 30, 60), 5.0, [(0, 1), (1, 2), (2, 0), (1, 1)])
+    assert loop.there.all() and len(loop.links()) == 2

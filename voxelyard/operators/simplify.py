@@ -4,7 +4,7 @@ Both are sequential by definition, node after node within a body, so each runs o
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,8 @@ from .paths import AXES, _arrays
 
 #: Defaults of the merge: how much radii may differ, and how far a node may lie off the line.
 RADIUS_SCALE, DISTANCE_SCALE, ROUNDS = 1.2, 2.0, 100
+#: Whose place two merged nodes take: that of the one above, of the one below, or a mean.
+UPPER, LOWER, BOTH = 1, 2, 3
 
 
 def region_keep(v: np.ndarray, r: np.ndarray, edges: np.ndarray, spare_junctions: bool = True) -> np.ndarray:
@@ -51,85 +53,110 @@ def rewired(r: np.ndarray, edges: np.ndarray, keep: np.ndarray) -> list[tuple[in
     return sorted(e for e in own if e[0] != e[1])
 
 
-class Tree:
-    """A forest rooted at the thickest node of each component, whose nodes merge into their parents."""
-
-    def __init__(self, v: np.ndarray, r: np.ndarray, edges: np.ndarray):
-        self.v, self.r, self.mass = v.copy(), r.copy(), np.ones(len(v))
-        near: dict[int, list[int]] = {i: [] for i in range(len(v))}
-        for a, b in edges:
-            near[int(a)].append(int(b))
-            near[int(b)].append(int(a))
-        self.parent: dict[int, int] = {}
-        self.kids: dict[int, set[int]] = {i: set() for i in near}
-        self.order: list[int] = []  # roots first
-        seen: set[int] = set()
-        for root in sorted(near, key=lambda i: (-r[i], i)):
-            line = [root] if root not in seen else []
-            seen.update(line)
-            for i in line:  # grows as it is read
-                self.order.append(i)
-                for j in near[i]:
-                    if j not in seen:
-                        seen.add(j)
-                        line.append(j)
-                        self.parent[j] = i
-                        self.kids[i].add(j)
-
-    def gap(self, i: int, j: int) -> float:
-        return math.dist(self.v[i], self.v[j])
-
-    def continues(self, i: int) -> bool:
-        """One parent and one child."""
-        return i in self.parent and len(self.kids[i]) == 1
-
-    def fate(self, i: int, radius_scale: float, distance_scale: float) -> str | None:
-        """How a node merges with its parent: the parent's place stays, the child's, or a mean; or not."""
-        p = self.parent[i]
-        d, ri, rp = self.gap(i, p), self.r[i], self.r[p]
-        if d + ri <= rp:
-            return "parent"
-        if d + rp <= ri:
-            return "child"
-        if d < max(ri, rp) and (self.continues(i) or self.continues(p)):
-            return "mean" if self.kids[i] else "child"
-        if self.continues(i) and d < ri + rp:
-            (c,) = self.kids[i]
-            below = self.gap(i, c)
-            if d + below > 0:
-                share = below / (d + below)
-                line = self.v[p] * share + self.v[c] * (1 - share)
-                thick = rp * share + self.r[c] * (1 - share)
-                straight = math.dist(self.v[i], line) * distance_scale < thick
-                if straight and thick / radius_scale < ri < thick * radius_scale:
-                    return "parent"
-        return None
-
-    def merge(self, i: int, how: str) -> None:
-        p = self.parent.pop(i)
-        if how == "child":
-            self.v[p], self.r[p] = self.v[i], self.r[i]
-        elif how == "mean":
-            whole = self.mass[i] + self.mass[p]
-            self.v[p] = (self.v[i] * self.mass[i] + self.v[p] * self.mass[p]) / whole
-            self.r[p] = (self.r[i] * self.mass[i] + self.r[p] * self.mass[p]) / whole
-            self.mass[p] += 1
-        for c in self.kids.pop(i):
-            self.parent[c] = p
-            self.kids[p].add(c)
-        self.kids[p].discard(i)
+@dataclass
+class Chain:
+    """The tubes of a rooted forest, a row for each node: place, radius, how many nodes it stands for,
+    the row above (-1 for a root), and whether it is still there."""
+
+    place: np.ndarray
+    radius: np.ndarray
+    count: np.ndarray
+    above: np.ndarray
+    there: np.ndarray
+
+    @staticmethod
+    def rooted(place: np.ndarray, radius: np.ndarray, edges: np.ndarray) -> "Chain":
+        """Each component hangs on its thickest node, the first of equal ones."""
+        n = len(place)
+        ends = np.concatenate([edges, edges[:, ::-1]]) if len(edges) else np.zeros((0, 2), np.int64)
+        ends = ends[np.argsort(ends[:, 0], kind="stable")]
+        first = np.searchsorted(ends[:, 0], np.arange(n + 1))
+        above, seen = np.full(n, -1, np.int64), np.zeros(n, bool)
+        for root in np.argsort(-radius, kind="stable").tolist():
+            rim = [] if seen[root] else [root]
+            seen[root] = True
+            while rim:  # a level at a time
+                below = []
+                for i in rim:
+                    for j in ends[first[i] : first[i + 1], 1].tolist():
+                        if not seen[j]:
+                            seen[j], above[j] = True, i
+                            below.append(j)
+                rim = below
+        return Chain(np.array(place, float), np.array(radius, float), np.ones(n), above, np.ones(n, bool))
+
+    def depth(self) -> np.ndarray:
+        """Steps up to the root, by doubling."""
+        out, at = (self.above >= 0).astype(np.int64), self.above.copy()
+        while (on := np.flatnonzero(at >= 0)).size:
+            out[on], at[on] = out[on] + out[at[on]], at[at[on]]
+        return out
+
+    def redundant(self, radius_scale: float, distance_scale: float) -> np.ndarray:
+        """Of each node whether it need not stand beside the node above it, and which place the two of
+        them take: 0 if it must stay, UPPER, LOWER, or BOTH for a mean by count.
+
+        A ball within the other adds nothing, so the larger one's place holds.  Of balls where one covers
+        the other's centre, on an unbranched run at either of the two, the mean keeps the run; a tip keeps
+        its own place, so no cable is lost.  A node amid a run that touches the one above is redundant if
+        the tube between its neighbours passes through it: near its centre by distance_scale, and as
+        thick by radius_scale; corners and swellings aren't."""
+        live = np.flatnonzero(self.there & (self.above >= 0))
+        out = np.zeros(len(self.above), np.int8)
+        if not len(live):
+            return out
+        kids = np.bincount(self.above[live], minlength=len(self.above))
+        only = np.full(len(self.above), -1, np.int64)
+        only[self.above[live]] = live  # of a single child, that child
+        run = (kids == 1) & (self.above >= 0)
+        up, own = self.above[live], live
+        gap = np.linalg.norm(self.place[own] - self.place[up], axis=1)
+        r, R = self.radius[own], self.radius[up]
+        down = np.where(run[own], only[own], own)
+        rest = np.linalg.norm(self.place[down] - self.place[own], axis=1)
+        share = np.divide(rest, gap + rest, out=np.zeros(len(own)), where=gap + rest > 0)
+        tube = share * R + (1 - share) * self.radius[down]
+        off = np.linalg.norm(share[:, None] * self.place[up] + (1 - share[:, None]) * self.place[down] - self.place[own], axis=1)
+        passes = run[own] & (gap + rest > 0) & (gap < r + R) & (off * distance_scale < tube) & (r < tube * radius_scale) & (tube < r * radius_scale)
+        covers = (gap < np.maximum(r, R)) & (run[own] | run[up])
+        cases = [gap + r <= R, gap + R <= r, covers & (kids[own] == 0), covers, passes]
+        out[live] = np.select(cases, [UPPER, LOWER, LOWER, BOTH, UPPER], 0)
+        return out
+
+    def absorb(self, own: np.ndarray, how: np.ndarray) -> None:
+        """Takes the nodes away, no two of them under one node; what hangs on them hangs on the node above."""
+        up = self.above[own]
+        whole = (self.count[own] + self.count[up])[:, None]
+        both = np.column_stack([self.place, self.radius])
+        mean = (both[own] * self.count[own, None] + both[up] * self.count[up, None]) / whole
+        new = np.select([(how == UPPER)[:, None], (how == LOWER)[:, None]], [both[up], both[own]], mean)
+        self.place[up], self.radius[up] = new[:, :3], new[:, 3]
+        self.count[up] = np.where(how == BOTH, whole[:, 0], self.count[up])
+        self.there[own] = False
+        to = np.arange(len(self.above))
+        to[own] = up
+        moved = self.above >= 0
+        self.above[moved] = to[self.above[moved]]
+        self.above[own] = -1
 
     def settle(self, radius_scale: float, distance_scale: float, rounds: int) -> None:
-        """Rounds over all nodes, children before parents, until one changes nothing."""
+        """Every other level at a time, so that no node goes together with the one above it, until nothing
+        is redundant. A run of nodes halves with each pass."""
         for _ in range(rounds):
-            before = len(self.kids)
-            for i in reversed(self.order):
-                if i in self.kids and i in self.parent and (how := self.fate(i, radius_scale, distance_scale)):
-                    self.merge(i, how)
-            self.order = [i for i in self.order if i in self.kids]
-            if len(self.kids) == before:
+            before = self.there.sum()
+            for odd in (1, 0):
+                found = self.redundant(radius_scale, distance_scale)
+                own = np.flatnonzero((found > 0) & (self.depth() % 2 == odd))
+                own = own[np.unique(self.above[own], return_index=True)[1]]  # siblings wait for the next round
+                if len(own):
+                    self.absorb(own, found[own])
+            if self.there.sum() == before:
                 return
 
+    def links(self) -> list[tuple[int, int]]:
+        own = np.flatnonzero(self.there & (self.above >= 0))
+        return list(zip(own.tolist(), self.above[own].tolist()))
+
 
 SCHEMA = "body_id long, node_id long, z_nm double, y_nm double, x_nm double, radius_nm double, neighbours array<long>"
 
@@ -160,8 +187,8 @@ def optimal_downsample(nodes: DataFrame, edges: DataFrame, radius_scale: float =
 
     def work(n, e):
         n, v, ends = _arrays(n, e)
-        tree = Tree(v, n["radius_nm"].to_numpy(float), ends)
-        tree.settle(radius_scale, distance_scale, rounds)
-        return _out(int(n["body_id"].iloc[0]), n["node_id"].to_numpy(), tree.v, tree.r, sorted(tree.kids), sorted(tree.parent.items()))
+        chain = Chain.rooted(v, n["radius_nm"].to_numpy(float), ends)
+        chain.settle(radius_scale, distance_scale, rounds)
+        return _out(int(n["body_id"].iloc[0]), n["node_id"].to_numpy(), chain.place, chain.radius, np.flatnonzero(chain.there).tolist(), chain.links())
 
     return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, SCHEMA)
