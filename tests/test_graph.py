@@ -100,6 +100,16 @@ def test_no_skeleton_and_no_compartment():
     assert rows[0]["status"] == "no_compartment"
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_labels_are_those_of_union_find(seed):
+    draw = np.random.default_rng(seed)
+    n = int(draw.integers(1, 400))
+    edges = draw.integers(0, n, (int(draw.integers(0, n)), 2))
+    assert (graph.labels(n, edges) == graph.components(n, edges)).all()
+    line = np.array([(i, i + 1) for i in draw.permutation(999)])
+    assert (graph.labels(1000, line) == 0).all()
+
+
 def test_region_sampling_thins_and_stays_connected():
     v = chain(*range(0, 300, 10))
     edges = np.array(links(30))

@@ -1,4 +1,7 @@
-"""Graph operators over many bodies: each body's nodes, edges and points meet in one grouped call."""
+"""Graph operators over many bodies.
+
+What is told of nodes and edges alone runs on buckets of bodies (a hash of the body's id), as one graph of
+arrays: many small bodies cost no more than their nodes. The others get a body at a time."""
 
 from __future__ import annotations
 
@@ -27,14 +30,32 @@ def _by_body(nodes: DataFrame, edges: DataFrame, work, schema: str) -> DataFrame
     return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, schema)
 
 
+def _buckets(nodes: DataFrame, edges: DataFrame, work, schema: str) -> DataFrame:
+    """work(nodes, edges) on the bodies of each bucket; its edges' src and dst are places of nodes, which
+    are in order of body and id. Edges without both nodes are left out."""
+    count = 4 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df: df.withColumn("bucket", F.pmod(F.xxhash64("body_id"), F.lit(count)))
+
+    def call(n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        n = n.sort_values(["body_id", "node_id"], ignore_index=True)
+        e = e.sort_values(["body_id", "edge_id"], ignore_index=True)
+        at = pd.MultiIndex.from_frame(n[["body_id", "node_id"]])
+        place = [at.get_indexer(pd.MultiIndex.from_arrays([e["body_id"], e[c]])) if len(n) and len(e) else np.full(len(e), -1) for c in ("src", "dst")]
+        known = (place[0] >= 0) & (place[1] >= 0)
+        return work(n, e[known].assign(src=place[0][known], dst=place[1][known]))
+
+    edges = edges.select(*[F.col(c).alias(c) for c in edges.columns])  # both may come from one table
+    return dealt(nodes).groupBy("bucket").cogroup(dealt(edges).groupBy("bucket")).applyInPandas(call, schema)
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(body_id, node_id, component): the smallest node of each node's component."""
 
     def work(n, e):
-        n, _, ends = _arrays(n, e)
-        return pd.DataFrame({"body_id": n["body_id"], "node_id": n["node_id"], "component": n["node_id"].to_numpy()[graph.components(len(n), ends)] if len(n) else []})
+        label = graph.labels(len(n), e[["src", "dst"]].to_numpy(np.int64))
+        return pd.DataFrame({"body_id": n["body_id"], "node_id": n["node_id"], "component": n["node_id"].to_numpy()[label]})
 
-    return _by_body(nodes.select("body_id", "node_id", *AXES), edges, work, "body_id long, node_id long, component long")
+    return _buckets(nodes.select("body_id", "node_id"), edges.select("body_id", "edge_id", "src", "dst"), work, "body_id long, node_id long, component long")
 
 
 def bridge_gaps(nodes: DataFrame, edges: DataFrame, gap: float) -> DataFrame:
@@ -62,14 +83,13 @@ def path_distances(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         edges = edges.withColumn("is_bridge", F.lit(False))
 
     def work(n, e):
-        n, v, ends = _arrays(n, e)
-        e = e.sort_values("edge_id")
-        ids = n["node_id"].to_numpy()
+        v, ends = n[AXES].to_numpy(float).reshape(-1, 3), e[["src", "dst"]].to_numpy(np.int64)
         d, count, along, source = graph.shortest(len(n), ends, graph.lengths(v, ends), e["is_bridge"].to_numpy(bool), np.flatnonzero(n["is_source"].to_numpy(bool)).tolist())
         found = np.isfinite(d)
-        return pd.DataFrame({"body_id": n["body_id"], "node_id": n["node_id"], "distance_nm": pd.Series(np.where(found, d, np.nan)).astype(object).where(found, None), "n_bridges": count, "bridge_nm": along, "source": pd.Series(ids[np.maximum(source, 0)] if len(ids) else []).astype("Int64").where(found, pd.NA)})
+        own = pd.Series(n["node_id"].to_numpy()[np.maximum(source, 0)] if len(n) else [], dtype="Int64").where(found, pd.NA)
+        return pd.DataFrame({"body_id": n["body_id"], "node_id": n["node_id"], "distance_nm": pd.array(np.where(found, d, 0.0), "Float64"), "n_bridges": count, "bridge_nm": along, "source": own}).assign(distance_nm=lambda x: x["distance_nm"].where(found, pd.NA))
 
-    return _by_body(nodes.select("body_id", "node_id", *AXES, "is_source"), edges, work, "body_id long, node_id long, distance_nm double, n_bridges long, bridge_nm double, source long")
+    return _buckets(nodes.select("body_id", "node_id", *AXES, "is_source"), edges.select("body_id", "edge_id", "src", "dst", "is_bridge"), work, "body_id long, node_id long, distance_nm double, n_bridges long, bridge_nm double, source long")
 
 
 def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, inside: graph.Inside, gap: float = 0.0, tolerance: float = 8.0, which: str = "largest", merge: float = 0.0) -> DataFrame:
