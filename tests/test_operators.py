@@ -208,3 +208,30 @@ def test_breaker(spark):
     stop(rows("failed"), 2)
     with pytest.raises(RuntimeError):
         stop(rows("failed"), 3)
+
+
+def test_nearest_by_pyramid_is_exact(spark):
+    """Clusters, outliers and ties: as by all pairs, for nodes and for edges."""
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    spots = np.concatenate([draw.random((150, 3)) * 1000, draw.random((100, 3)), [[5e6, 0, 0], [-3e4, 1, 1]], np.round(draw.random((60, 3)) * 4)])
+    nodes = [(1 + i % 2, i, *map(float, v), 1.0 + i % 5) for i, v in enumerate(spots)]
+    links = [(1 + k, k, k, k + 2 * int(draw.integers(1, 9))) for k in range(290)]
+    links = [(1 + k % 2, i, a, b) for (k, i, a, b) in [(a, i, a, b) for _, i, a, b in links] if b < len(spots)]
+    asked = np.concatenate([draw.random((80, 3)) * 1200 - 100, draw.random((40, 3)) * 3, [[1e7, 1e7, 1e7], [0, 0, 0]], np.round(draw.random((30, 3)) * 4)])
+    points = spark.createDataFrame([(i, 1 + i % 3, *map(float, v)) for i, v in enumerate(asked)], "point_id long, body_id long, z double, y double, x double")
+    nodes = spark.createDataFrame(nodes, "body_id long, node_id long, z_nm double, y_nm double, x_nm double, radius_nm double")
+    edges = spark.createDataFrame(links, "body_id long, edge_id long, src long, dst long")
+    rows = lambda df: sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect())
+    want = rows(calibre.nearest_nodes(points, nodes, [], small=10**9))
+    assert len(want) == sum(i % 3 < 2 for i in range(len(asked)))  # body 3 has none
+    assert rows(calibre.nearest_nodes(points, nodes, [], small=0)) == want == rows(calibre.nearest_by_grid(points, nodes, 7.0))
+    assert rows(calibre.attach(points, nodes, edges, small=0)) == rows(calibre.attach(points, nodes, edges, small=10**9))
+
+
+def test_large_bodies_are_joined_by_cells(spark):
+    points = spark.range(500).select(F.col("id").alias("point_id"), F.lit(1).cast("long").alias("body_id"), *[F.rand(k).alias(a) for k, a in enumerate("zyx")])
+    nodes = spark.range(200).select(F.lit(1).cast("long").alias("body_id"), F.col("id").alias("node_id"), *[F.rand(9 + k).alias(f"{a}_nm") for k, a in enumerate("zyx")], F.lit(1.0).alias("radius_nm"))
+    plan = calibre.bin_to_nodes(points, nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "level" in plan and plan.count("cz") > 2

@@ -11,13 +11,60 @@ from ..functions.frames import distance2
 from .skeleton import ends
 
 
-def nearest_nodes(points: DataFrame, nodes: DataFrame, carry: list[str]) -> DataFrame:
+#: Nodes of a body whose points are compared with all of them.
+SMALL = 64
+#: Levels of the grid pyramid, each of cells STEP times as wide as those of the one before; STEP is more than
+#: the diagonal of a cell, sqrt(3). Above them is one cell for all.
+LEVELS, STEP = 17, 2
+
+
+def _levels(df: DataFrame) -> DataFrame:
+    return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+
+
+def _placed(df: DataFrame, prefix: str, side: float, around: bool = False) -> DataFrame:
+    """Adds the cell (cz, cy, cx) of a position at the row's level, or a row for each of the 27 cells around."""
+    level = F.col("level")
+    wide = F.pow(F.lit(float(STEP)), level) * side
+    own = {f"c{a}": F.when(level < LEVELS, F.floor(F.col(f"{prefix}{a}") / wide)).otherwise(0).cast("long") for a in "zyx"}
+    df = df.withColumns(own)
+    if not around:
+        return df
+    step = F.when(level < LEVELS, F.array(*[F.lit(d).cast("long") for d in (-1, 0, 1)])).otherwise(F.array(F.lit(0).cast("long")))
+    for c in own:
+        df = df.withColumn("step_", F.explode(step)).withColumn(c, F.col(c) + F.col("step_")).drop("step_")
+    return df
+
+
+def _side(nodes: DataFrame) -> float:
+    """The finest cells' width: a 512th of the spacing that as many nodes would have on an even grid."""
+    r = nodes.agg(F.count("*"), *[F.max(f"n_{a}") - F.min(f"n_{a}") for a in "zyx"]).first()
+    wide = max([x for x in r[1:] if x is not None] or [0.0])
+    return wide / max(r[0], 1) ** (1 / 3) / 512 or 1.0
+
+
+def nearest_nodes(points: DataFrame, nodes: DataFrame, carry: list[str], side: float | None = None, small: int = SMALL) -> DataFrame:
     """For each point (point_id, body_id, z, y, x) the nearest node of its body, and the distance; of
-    equally near ones that with the smallest id. Compares a body's points with its nodes, so it is for
-    bodies with few nodes; nearest_by_grid prunes."""
+    equally near ones that with the smallest id.
+
+    The points of bodies of up to small nodes are compared with all of these. Those of others look for the
+    finest level of a grid pyramid with a node in their own cell; that node is within the cell's diagonal, so
+    the nearest one is in the 27 cells around on the next level, and a point meets these alone. Exact, whatever the spacing; a body's points
+    and nodes are spread by cells, so a large body is no hot key."""
     own = nodes.select("body_id", "node_id", *[F.col(f"{a}_nm").alias(f"n_{a}") for a in "zyx"])
     at = points.select("point_id", "body_id", *carry, *[F.col(a).alias(f"p_{a}") for a in "zyx"])
-    pairs = at.join(own, "body_id").withColumn("d2", distance2("p_", "n_"))
+    size = own.groupBy("body_id").agg(F.count("*").alias("size_"))
+    large = size.where(F.col("size_") > small).select("body_id")
+    few, many = own.join(large, "body_id", "left_anti"), own.join(large, "body_id", "left_semi")
+    pairs = at.join(few, "body_id")
+    if not large.isEmpty():
+        side = side or _side(many)
+        cells = ["body_id", "level", "cz", "cy", "cx"]
+        seen = _placed(_levels(many), "n_", side).select(*cells).distinct()
+        point = ["point_id", *carry, "body_id", "p_z", "p_y", "p_x"]
+        found = _placed(_levels(at), "p_", side).join(seen, cells, "left_semi").groupBy(*point).agg(F.least(F.min("level") + 1, F.lit(LEVELS)).alias("level"))
+        pairs = pairs.unionByName(_placed(found, "p_", side, True).join(_placed(_levels(many), "n_", side), cells).drop("level", "cz", "cy", "cx"))
+    pairs = pairs.withColumn("d2", distance2("p_", "n_"))
     best = pairs.groupBy("point_id", "body_id", *carry).agg(F.min(F.struct("d2", "node_id")).alias("best"))
     return best.select("point_id", "body_id", *carry, F.col("best.node_id").alias("node_id"), F.sqrt("best.d2").alias("distance_nm"))
 
@@ -41,14 +88,8 @@ def within(a: DataFrame, b: DataFrame, radius: float, key: list[str]) -> DataFra
 
 
 def nearest_by_grid(points: DataFrame, nodes: DataFrame, side: float) -> DataFrame:
-    """nearest_nodes by a grid: a point whose nearest node in the 27 cells around is within the side has
-    found it; only the others are compared with all nodes of their body."""
-    a = points.select("point_id", "body_id", *[F.col(c).alias(f"a_{c}") for c in "zyx"])
-    b = nodes.select("body_id", "node_id", *[F.col(f"{c}_nm").alias(f"b_{c}") for c in "zyx"])
-    near = within(a, b, side, ["body_id"]).groupBy("point_id", "body_id").agg(F.min(F.struct("d2", "node_id")).alias("best"))
-    near = near.select("point_id", "body_id", F.col("best.node_id").alias("node_id"), F.sqrt("best.d2").alias("distance_nm"))
-    far = points.join(near.select("point_id"), "point_id", "left_anti")
-    return near.unionByName(nearest_nodes(far, nodes, []))
+    """nearest_nodes by the grid alone, with finest cells of this side."""
+    return nearest_nodes(points, nodes, [], side, 0)
 
 
 def bin_to_nodes(points: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -78,12 +119,34 @@ def blob_signal(counts: DataFrame, shares: DataFrame, voxel_nm: float, tolerance
     return both.groupBy("body_id").agg((F.sum(F.when(far, F.col("share_nm")).otherwise(0.0)) / F.sum("share_nm")).alias("blob_fraction"))
 
 
-def attach(points: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _edges_near(at: DataFrame, own: DataFrame) -> DataFrame:
+    """(point_id, body_id, edge_id) of the edges that may be a point's nearest one. Edges stand as samples
+    a mean length apart; where the nearest sample is d away, the nearest edge has one within d and half of
+    that spacing, so in the 27 cells around of the level that is as wide."""
+    step = own.agg(F.avg("length_nm")).first()[0] or 1.0
+    n = F.greatest(F.ceil(F.col("length_nm") / step), F.lit(1))
+    at_ = own.withColumn("n_", n).withColumn("k_", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_"))))
+    samples = at_.select("body_id", "edge_id", *[(F.col(f"a_{a}") + F.col("k_") / F.col("n_") * (F.col(f"b_{a}") - F.col(f"a_{a}"))).alias(f"n_{a}") for a in "zyx"])
+    side = _side(samples)
+    nodes = samples.select("body_id", F.col("edge_id").alias("node_id"), *[F.col(f"n_{a}").alias(f"{a}_nm") for a in "zyx"])
+    near = nearest_nodes(at.select("point_id", "body_id", *[F.col(f"p_{a}").alias(a) for a in "zyx"]), nodes, ["z", "y", "x"], side, 0)
+    reach = F.greatest((F.col("distance_nm") + step / 2) * 1.0001 / side, F.lit(1.0))
+    asked = near.select("point_id", "body_id", *[F.col(a).alias(f"p_{a}") for a in "zyx"], F.least(F.ceil(F.log2(reach)), F.lit(LEVELS)).cast("int").alias("level"))
+    cells = ["body_id", "level", "cz", "cy", "cx"]
+    return _placed(asked, "p_", side, True).join(_placed(_levels(samples), "n_", side), cells).select("point_id", "body_id", "edge_id").distinct()
+
+
+def attach(points: DataFrame, nodes: DataFrame, edges: DataFrame, small: int = SMALL) -> DataFrame:
     """For each point the nearest edge of its body: where on it (t from 0 to 1), how far, and the radius
-    there. Of equally near edges the one with the smallest id; a zero-length edge has t = 0."""
+    there. Of equally near edges the one with the smallest id; a zero-length edge has t = 0. Points of bodies of
+    up to small edges are compared with all of these, others with those near by."""
     own = ends(nodes, edges).drop("src", "dst")
     at = points.select("point_id", "body_id", *[F.col(a).alias(f"p_{a}") for a in "zyx"])
-    pairs = at.join(own, "body_id")
+    large = edges.groupBy("body_id").agg(F.count("*").alias("size_")).where(F.col("size_") > small).select("body_id")
+    pairs = at.join(own.join(large, "body_id", "left_anti"), "body_id")
+    if not large.isEmpty():
+        far, tied = at.join(large, "body_id", "left_semi"), own.join(large, "body_id", "left_semi")
+        pairs = pairs.unionByName(far.join(_edges_near(far, tied), ["point_id", "body_id"]).join(tied, ["body_id", "edge_id"]))
     along = sum(((F.col(f"p_{a}") - F.col(f"a_{a}")) * (F.col(f"b_{a}") - F.col(f"a_{a}")) for a in "zyx"), F.lit(0.0))
     square = F.col("length_nm") * F.col("length_nm")
     pairs = pairs.withColumn("t", F.when(square > 0, F.least(F.greatest(along / F.nullif(square, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))).otherwise(0.0))

@@ -81,9 +81,11 @@ def mean_cross_section(spark, d):
 
 
 def _points(spark, d):
+    """All points, and as nodes the first one of each body in each cell of 0.2."""
     rows = points(spark, d)
-    nodes = rows.where("point_id < 50").select("body_id", F.col("point_id").alias("node_id"), *[F.col(a).alias(f"{a}_nm") for a in "zyx"])
-    return rows.where("point_id >= 50"), nodes
+    cell = [F.floor(F.col(a) / 0.2).alias(f"c{a}") for a in "zyx"]
+    first = rows.groupBy("body_id", *cell).agg(F.min(F.struct(F.col("point_id").alias("node_id"), *[F.col(a).alias(f"{a}_nm") for a in "zyx"])).alias("n"))
+    return rows, first.select("body_id", "n.*")
 
 
 def nearest_nodes(spark, d):
@@ -119,15 +121,14 @@ def _near_points(spark, d):
 
 
 def attach_points(spark, d):
-    """Of a third of the points, as the SQL has it."""
-    return rounded(calibre.attach(_near_points(spark, d).where("point_id % 3 = 0"), *skeletons(spark, d)), 3)
+    return rounded(calibre.attach(_near_points(spark, d), *skeletons(spark, d)), 3)
 
 
 def ball_region(spark, d):
     at, nodes = _points(spark, d)
     a = at.select("point_id", *[F.col(c).alias(f"a_{c}") for c in "zyx"])
     b = nodes.select("node_id", *[F.col(f"{c}_nm").alias(f"b_{c}") for c in "zyx"])
-    return calibre.within(a, b, 0.15, []).select("point_id").distinct()
+    return calibre.within(a, b, 0.05, []).where("point_id <> node_id").select("point_id").distinct()
 
 
 def gap_candidates(spark, d):
@@ -212,7 +213,7 @@ def mesh_fragment_offsets(spark, d):
 
 def swc_tables(spark, d):
     nodes, _ = skeletons(spark, d)
-    one = nodes.where("body_id % 100 = 5")
+    one = nodes
     parent = F.when(F.col("node_id") == 1, -1).when(F.col("o_orderkey") % 5 == 0, 999).otherwise(F.expr("node_id div 2"))
     text = one.select("body_id", F.concat_ws(" ", F.col("node_id") + F.col("body_id") * 1000, F.lit(0), F.col("x_nm").cast("int"), F.lit(2), F.col("z_nm").cast("int"), F.col("radius_nm").cast("int"), F.when(parent > 0, parent + F.col("body_id") * 1000).otherwise(-1)).alias("value"))
     return skeleton.swc_edges(text.select("value").unionByName(spark.createDataFrame([("# id type x y z r parent",), ("  ",)], "value string")))[1]
@@ -293,8 +294,8 @@ _TOPOLOGY = """deg AS (SELECT n.body_id, n.node_id, count(e.node_id) AS g FROM n
 _QUANT = """tubes AS (SELECT body_id, edge_id, ra + rb AS d, length_nm AS w FROM ends WHERE length_nm > 0), cum AS (SELECT *, sum(w) OVER (PARTITION BY body_id ORDER BY d, edge_id ROWS UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY body_id) AS t FROM tubes),
   quant AS (SELECT body_id, min(d) FILTER (WHERE c >= 0.1 * t) AS p10, min(d) FILTER (WHERE c >= 0.5 * t) AS p50, min(d) FILTER (WHERE c >= 0.9 * t) AS p90, min(d) FILTER (WHERE c >= 0.99 * t - 1e-9) AS p99, sum(d * w) / sum(w) AS mean_nm, max(d) AS max_nm FROM cum GROUP BY body_id)"""
 _FRUSTA = "frusta AS (SELECT body_id, sum(pi() / 3 * length_nm * (ra * ra + ra * rb + rb * rb)) AS volume_nm3, sum(pi() * (ra + rb) * sqrt(length_nm * length_nm + (rb - ra) * (rb - ra))) AS area_nm2 FROM ends GROUP BY body_id)"
-_NEAR = f"WITH {POINTS}, n AS (SELECT * FROM points WHERE point_id < 50), pairs AS (SELECT p.point_id, p.body_id, n.point_id AS node_id, (p.z-n.z)*(p.z-n.z)+(p.y-n.y)*(p.y-n.y)+(p.x-n.x)*(p.x-n.x) AS d2 FROM points p JOIN n USING (body_id) WHERE p.point_id >= 50), near AS (SELECT point_id, body_id, node_id, sqrt(d2) AS d FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d2, node_id) AS r FROM pairs) WHERE r = 1), bins AS (SELECT body_id, node_id, count(*) AS n, sum(d) AS s, 1.0::DOUBLE + node_id % 7 AS share FROM near GROUP BY body_id, node_id)"
-_SYN = "points AS (SELECT o_orderkey AS point_id, body_id, z_nm + 40 AS z, y_nm - 15 AS y, 3.5::DOUBLE AS x FROM nodes WHERE o_orderkey % 3 = 0)"
+_NEAR = f"WITH {POINTS}, n AS (SELECT * FROM points QUALIFY row_number() OVER (PARTITION BY body_id, floor(z/0.2), floor(y/0.2), floor(x/0.2) ORDER BY point_id) = 1), pairs AS (SELECT p.point_id, p.body_id, n.point_id AS node_id, (p.z-n.z)*(p.z-n.z)+(p.y-n.y)*(p.y-n.y)+(p.x-n.x)*(p.x-n.x) AS d2 FROM points p JOIN n USING (body_id)), near AS (SELECT point_id, body_id, node_id, sqrt(d2) AS d FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d2, node_id) AS r FROM pairs) WHERE r = 1), bins AS (SELECT body_id, node_id, count(*) AS n, sum(d) AS s, 1.0::DOUBLE + node_id % 7 AS share FROM near GROUP BY body_id, node_id)"
+_SYN = "points AS (SELECT o_orderkey AS point_id, body_id, z_nm + 40 AS z, y_nm - 15 AS y, 3.5::DOUBLE AS x FROM nodes)"
 _AT = ", ".join(f"a.{c}_nm AS a{c}, b.{c}_nm - a.{c}_nm AS s{c}" for c in "zyx")
 
 SQL = {
@@ -318,7 +319,7 @@ SQL = {
     "node_radii": f"{_NEAR} SELECT body_id, node_id, round(sqrt(n*8.0::DOUBLE/(share*pi())), 4) AS radius_nm, share AS weight FROM bins",
     "blob_signal": f"{_NEAR} SELECT body_id, round(sum(CASE WHEN s/n > 1.25 * sqrt(n*0.008::DOUBLE/(share*pi())/2 + share*share/12) THEN share ELSE 0 END)/sum(share), 6) AS blob_fraction FROM bins GROUP BY body_id",
     "attach_points": f"WITH {NODES}, {EDGES}, {_SYN}, s AS (SELECT e.body_id, e.edge_id, a.radius_nm AS ra, b.radius_nm - a.radius_nm AS sr, {_AT} FROM edges e JOIN nodes a ON a.body_id=e.body_id AND a.node_id=e.src JOIN nodes b ON b.body_id=e.body_id AND b.node_id=e.dst), t AS (SELECT p.*, s.*, CASE WHEN sz*sz+sy*sy+sx*sx > 0 THEN least(greatest(((z-az)*sz+(y-ay)*sy+(x-ax)*sx)/(sz*sz+sy*sy+sx*sx), 0), 1) ELSE 0 END AS t FROM points p JOIN s USING (body_id)), q AS (SELECT *, (z-az-t*sz)*(z-az-t*sz)+(y-ay-t*sy)*(y-ay-t*sy)+(x-ax-t*sx)*(x-ax-t*sx) AS d2 FROM t), w AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY round(d2, 6), edge_id) AS r FROM q) SELECT point_id, body_id, edge_id, round(t, 3) AS t, round(sqrt(d2), 3) AS snap_nm, round(ra+t*sr, 3) AS radius_nm FROM w WHERE r = 1",
-    "ball_region": f"WITH {POINTS} SELECT DISTINCT p.point_id FROM points p JOIN points n ON n.point_id < 50 AND p.point_id >= 50 AND (p.z-n.z)*(p.z-n.z)+(p.y-n.y)*(p.y-n.y)+(p.x-n.x)*(p.x-n.x) <= 0.15*0.15",
+    "ball_region": f"WITH {POINTS}, n AS (SELECT * FROM points QUALIFY row_number() OVER (PARTITION BY body_id, floor(z/0.2), floor(y/0.2), floor(x/0.2) ORDER BY point_id) = 1) SELECT DISTINCT p.point_id FROM points p JOIN n ON p.point_id <> n.point_id AND (p.z-n.z)*(p.z-n.z)+(p.y-n.y)*(p.y-n.y)+(p.x-n.x)*(p.x-n.x) <= 0.05*0.05",
     "gap_candidates": f"{_COMP}, m AS (SELECT n.*, component FROM nodes n JOIN tops USING (body_id, node_id)), p AS (SELECT a.body_id, a.component AS a_part, b.component AS b_part, a.node_id AS a_node, b.node_id AS b_node, round((a.z_nm-b.z_nm)*(a.z_nm-b.z_nm)+(a.y_nm-b.y_nm)*(a.y_nm-b.y_nm)+(a.x_nm-b.x_nm)*(a.x_nm-b.x_nm), 6) AS d2 FROM m a JOIN m b ON a.body_id=b.body_id AND a.component < b.component), r AS (SELECT *, row_number() OVER (PARTITION BY body_id, a_part, b_part ORDER BY d2, a_node, b_node) AS r FROM p WHERE d2 <= 90000) SELECT body_id, a_part, b_part, a_node, b_node, round(sqrt(d2), 4) AS gap_nm FROM r WHERE r = 1",
     "path_distances": f"{_COMP} SELECT body_id, node_id, CASE WHEN component = 1 THEN round(dist, 4) END AS distance_nm, 0::BIGINT AS n_bridges, 0.0::DOUBLE AS bridge_nm, CASE WHEN component = 1 THEN 1 END::BIGINT AS source FROM tops",
     "agreement": f"""WITH {NODES}, ab AS (SELECT a.body_id, a.node_id, min(sqrt((a.z_nm-b.z_nm)*(a.z_nm-b.z_nm)+(a.y_nm-b.y_nm)*(a.y_nm-b.y_nm)+(a.x_nm-b.x_nm)*(a.x_nm-b.x_nm))) AS d FROM nodes a JOIN nodes b ON a.body_id=b.body_id AND b.node_id % 2 = 1 GROUP BY 1, 2),
@@ -327,7 +328,7 @@ SQL = {
         SELECT body_id, round(x.m, 4) AS ab_median, round(x.p, 4) AS ab_p90, round(x.f, 4) AS ab_far, round(y.m, 4) AS ba_median, round(y.p, 4) AS ba_p90, round(y.f, 4) AS ba_far, round(q, 4) AS node_ratio FROM x JOIN y USING (body_id) JOIN n USING (body_id)""",
     "mesh_metrics": f"WITH {NODES}, k AS (SELECT body_id, max(node_id) AS n FROM nodes GROUP BY body_id), f AS (SELECT node_id AS a, body_id FROM nodes JOIN k USING (body_id) WHERE 2*node_id+1 <= n AND node_id % 3 <> 0), p AS (SELECT f.body_id, q.z_nm-a.z_nm AS uz, q.y_nm-a.y_nm AS uy, q.x_nm-a.x_nm AS ux, r.z_nm-a.z_nm AS vz, r.y_nm-a.y_nm AS vy, r.x_nm-a.x_nm AS vx FROM f JOIN nodes a ON a.body_id=f.body_id AND a.node_id=f.a JOIN nodes q ON q.body_id=f.body_id AND q.node_id=2*f.a JOIN nodes r ON r.body_id=f.body_id AND r.node_id=2*f.a+1), s AS (SELECT body_id, sum(sqrt(pow(uy*vx-ux*vy,2)+pow(ux*vz-uz*vx,2)+pow(uz*vy-uy*vz,2)))/2 AS area, count(*) AS c FROM p GROUP BY body_id) SELECT body_id, n - 2*coalesce(c, 0) AS n_components, round(coalesce(area, 0), 2) AS area_nm2 FROM k LEFT JOIN s USING (body_id)",
     "mesh_fragment_offsets": f"WITH {NODES}, r AS (SELECT body_id, CAST(node_id % 3 AS INT) AS lod, node_id AS fragment, o_orderkey % 100 AS n_vertices, max(node_id % 3) OVER (PARTITION BY body_id) AS top FROM nodes) SELECT body_id, lod, fragment, n_vertices, CAST(coalesce(sum(n_vertices) OVER (PARTITION BY body_id ORDER BY fragment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base FROM r WHERE lod = top",
-    "swc_tables": f"WITH {NODES}, n AS (SELECT body_id*1000+node_id AS id, body_id*1000+node_id//2 AS parent FROM nodes WHERE body_id % 100 = 5 AND node_id > 1 AND o_orderkey % 5 <> 0) SELECT id AS edge_id, parent AS src, id AS dst FROM n",
+    "swc_tables": f"WITH {NODES}, n AS (SELECT body_id*1000+node_id AS id, body_id*1000+node_id//2 AS parent FROM nodes WHERE node_id > 1 AND o_orderkey % 5 <> 0) SELECT id AS edge_id, parent AS src, id AS dst FROM n",
     "method_pairs": f"WITH {NODES}, r AS (SELECT body_id, 'm' || (node_id % 3) AS method, min(o_orderkey) AS seq, count(*) AS nodes, sum(y_nm) AS cable FROM nodes GROUP BY 1, 2), g AS (SELECT * FROM r WHERE seq % 11 <> 0), p AS (SELECT a.method, a.nodes::DOUBLE/b.nodes AS q, a.cable-b.cable AS d FROM g a JOIN g b ON a.body_id=b.body_id AND b.method='m1' AND a.method<>'m1') SELECT method, count(*) AS n, round(median(q), 4) AS node_ratio, round(median(d), 4) AS cable_difference, count(*) FILTER (WHERE d > 0) AS n_ahead FROM p GROUP BY method",
     "path_steps": f"WITH {NODES}, s AS (SELECT body_id, sqrt(pow(z_nm - lag(z_nm) OVER w, 2) + pow(y_nm - lag(y_nm) OVER w, 2) + pow(x_nm - lag(x_nm) OVER w, 2)) AS d FROM nodes WINDOW w AS (PARTITION BY body_id ORDER BY node_id)) SELECT body_id, round(coalesce(sum(d), 0), 4) AS length_nm FROM s GROUP BY body_id",
     "trailing_valid": f"WITH {NODES}, s AS (SELECT *, sqrt(pow(z_nm - lag(z_nm) OVER w, 2) + pow(y_nm - lag(y_nm) OVER w, 2) + pow(x_nm - lag(x_nm) OVER w, 2)) AS d FROM nodes WINDOW w AS (PARTITION BY body_id ORDER BY node_id)), b AS (SELECT body_id, max(CASE WHEN o_orderkey % 4 = 0 THEN node_id ELSE 0 END) AS last FROM nodes GROUP BY body_id) SELECT body_id, count(*) FILTER (WHERE node_id > last) AS n_valid, round(coalesce(sum(d) FILTER (WHERE node_id > last + 1), 0), 4) AS valid_nm FROM s JOIN b USING (body_id) GROUP BY body_id",

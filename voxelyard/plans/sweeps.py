@@ -74,12 +74,12 @@ def blocks_roi(spark, d):
 
 
 def occupancy_blocks(spark, d):
-    coarse = voxels(spark, d).where("body_id % 10 = 3").select(F.expr("z div 64").alias("z"), F.expr("y div 64").alias("y"), F.expr("x div 64").alias("x"), "body_id")
+    coarse = voxels(spark, d).where("body_id <> 0").select(F.expr("z div 64").alias("z"), F.expr("y div 64").alias("y"), F.expr("x div 64").alias("x"), "body_id")
     return volume.occupied_blocks(coarse, 64.0, 8.0, 128, (200, 40, 2), 1)
 
 
 def roi_block_mask(spark, d):
-    return volume.label_blocks(voxels(spark, d).where("mod(y, 50) = 7"), [7], 256, (60, 8, 1), 1)
+    return volume.label_blocks(voxels(spark, d), [7], 256, (60, 8, 1), 1)
 
 
 def roi_scale_clip(spark, d):
@@ -108,7 +108,7 @@ def run_lengths(spark, d):
 
 
 def local_density(spark, d):
-    rows = voxels(spark, d).where("body_id % 10 = 3").select(F.expr("z div 16").alias("z"), F.expr("y div 16").alias("y"), F.expr("x div 16").alias("x"))
+    rows = voxels(spark, d).where("body_id <> 0").select(F.expr("z div 16").alias("z"), F.expr("y div 16").alias("y"), F.expr("x div 16").alias("x"))
     out = volume.local_density(rows, 1)
     return out.withColumn("density", F.round("density", 6))
 
@@ -174,15 +174,15 @@ SQL = {
     "bodies_by_size": f"WITH {VOXELS} SELECT body_id, count(*) AS voxel_count FROM voxels WHERE body_id <> 0 GROUP BY body_id HAVING count(*) >= 600 ORDER BY 2 DESC, 1 LIMIT 20",
     "block_grid": "SELECT CAST(bz AS INT) AS bz, CAST(\"by\" AS INT) AS \"by\", CAST(bx AS INT) AS bx, CAST(bz*512 AS INT) AS z0, CAST(\"by\"*512 AS INT) AS y0, CAST(bx*512 AS INT) AS x0, CAST(least(bz*512+512,1500) AS INT) AS z1, CAST(least(\"by\"*512+512,700) AS INT) AS y1, CAST(least(bx*512+512,50) AS INT) AS x1 FROM range(3) a(bz), range(2) b(\"by\"), range(1) c(bx)",
     "blocks_roi": f"WITH {VOXELS}, b AS (SELECT DISTINCT z//512 AS bz, y//512 AS \"by\", x//512 AS bx FROM voxels) SELECT CAST(bz AS INT) AS bz, CAST(\"by\" AS INT) AS \"by\", CAST(bx AS INT) AS bx FROM b WHERE bz*512 < 4000 AND bz*512+512 > 512 AND \"by\"*512 < 1500 AND \"by\"*512+512 > 100 AND bx*512 < 40 AND bx*512+512 > 5",
-    "occupancy_blocks": f"WITH {VOXELS}, c AS (SELECT DISTINCT CAST(z//64 AS INT)*8 AS z, CAST(y//64 AS INT)*8 AS y, CAST(x//64 AS INT)*8 AS x FROM voxels WHERE body_id % 10 = 3), b AS (SELECT DISTINCT z//128 AS bz, y//128 AS cy, x//128 AS bx FROM c WHERE z//128 < 200 AND y//128 < 40 AND x//128 < 2) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 199 AND cy+dy BETWEEN 0 AND 39 AND bx+dx BETWEEN 0 AND 1",
-    "roi_block_mask": f"WITH {VOXELS}, b AS (SELECT DISTINCT z//256 AS bz, y//256 AS cy, x//256 AS bx FROM voxels WHERE y % 50 = 7 AND label = 7) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 59 AND cy+dy BETWEEN 0 AND 7 AND bx+dx BETWEEN 0 AND 0",
+    "occupancy_blocks": f"WITH {VOXELS}, c AS (SELECT DISTINCT CAST(z//64 AS INT)*8 AS z, CAST(y//64 AS INT)*8 AS y, CAST(x//64 AS INT)*8 AS x FROM voxels WHERE body_id <> 0), b AS (SELECT DISTINCT z//128 AS bz, y//128 AS cy, x//128 AS bx FROM c WHERE z//128 < 200 AND y//128 < 40 AND x//128 < 2) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 199 AND cy+dy BETWEEN 0 AND 39 AND bx+dx BETWEEN 0 AND 1",
+    "roi_block_mask": f"WITH {VOXELS}, b AS (SELECT DISTINCT z//256 AS bz, y//256 AS cy, x//256 AS bx FROM voxels WHERE label = 7) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 59 AND cy+dy BETWEEN 0 AND 7 AND bx+dx BETWEEN 0 AND 0",
     "roi_scale_clip": f"WITH {VOXELS}, b AS ({_BOX} GROUP BY body_id) SELECT body_id, "
     + ", ".join([f"CAST({a}0//3 AS BIGINT) AS s_{a}0, CAST(greatest(ceil({a}1/3.0), {a}0//3 + 1) AS BIGINT) AS s_{a}1" for a in "zyx"] + [f"CAST(least(greatest({a}{e},0),{n}) AS BIGINT) AS c_{a}{e}" for a, n in (("z", 1000), ("y", 100), ("x", 30)) for e in (0, 1)] + [f"CAST(({a}0//64)*64 AS BIGINT) AS a_{a}0, CAST(least(ceil({a}1/64.0)*64, {n}) AS BIGINT) AS a_{a}1" for a, n in (("z", 1000), ("y", 2000), ("x", 50))])
     + " FROM b",
     "body_crops": f"WITH {VOXELS}, b AS ({_BOX} WHERE body_id <> 0 GROUP BY body_id) SELECT body_id, " + ", ".join(f"CAST(greatest({a}0//8 - 1, 0) AS BIGINT) AS c{a}0, CAST(least(ceil({a}1/8.0) + 1, {n}) AS BIGINT) AS c{a}1" for a, n in (("z", 1200), ("y", 200), ("x", 6))) + " FROM b",
     "cut_faces": f"WITH {VOXELS} SELECT body_id, max(CAST(y = 999 OR x = 10 OR x = 19 AS INT)) = 1 AS cut FROM voxels WHERE body_id <> 0 AND z < 5000 AND y < 1000 AND x >= 10 AND x < 20 GROUP BY body_id",
     "run_lengths": f"WITH {VOXELS}, r AS (SELECT DISTINCT body_id, 0 AS z, CAST(z//64 AS INT) AS y, x FROM voxels), i AS (SELECT *, x - row_number() OVER (PARTITION BY body_id, z, y ORDER BY x) AS g FROM r) SELECT body_id, z, y, min(x) AS x0, max(x) AS x1 FROM i GROUP BY body_id, z, y, g",
-    "local_density": f"WITH {VOXELS}, c AS (SELECT DISTINCT CAST(z//16 AS INT) AS z, CAST(y//16 AS INT) AS y, CAST(x//16 AS INT) AS x FROM voxels WHERE body_id % 10 = 3) SELECT a.z, a.y, a.x, round(count(*) / 27.0::DOUBLE, 6) AS density FROM c a JOIN c b ON b.z BETWEEN a.z-1 AND a.z+1 AND b.y BETWEEN a.y-1 AND a.y+1 AND b.x BETWEEN a.x-1 AND a.x+1 GROUP BY a.z, a.y, a.x",
+    "local_density": f"WITH {VOXELS}, c AS (SELECT DISTINCT CAST(z//16 AS INT) AS z, CAST(y//16 AS INT) AS y, CAST(x//16 AS INT) AS x FROM voxels WHERE body_id <> 0), m AS (SELECT * FROM range(-1, 2) a(dz), range(-1, 2) b(dy), range(-1, 2) e(dx)), n AS (SELECT c.z + dz AS z, c.y + dy AS y, c.x + dx AS x, count(*) AS n FROM c, m GROUP BY 1, 2, 3) SELECT c.z, c.y, c.x, round(n / 27.0::DOUBLE, 6) AS density FROM c JOIN n USING (z, y, x)",
     "export_roi": f"""WITH {VOXELS}, f AS (SELECT z,y,x,max(body_id) AS body_id FROM voxels GROUP BY z,y,x HAVING max(body_id) <> 0), n AS (SELECT CAST(z//2 AS INT) AS z, CAST(y//2 AS INT) AS y, CAST(x//2 AS INT) AS x, body_id, count(*) AS k FROM f GROUP BY ALL),
         g AS (SELECT z,y,x,body_id FROM (SELECT *, row_number() OVER (PARTITION BY z,y,x ORDER BY k DESC, body_id) AS r FROM n) WHERE r = 1)
         SELECT 0 AS level, 12 AS origin_z, 10 AS origin_y, 5 AS origin_x, z-12 AS z, y-10 AS y, x-5 AS x, body_id FROM f WHERE z>=12 AND z<1125 AND y>=10 AND y<500 AND x>=5 AND x<38

@@ -134,7 +134,7 @@ def elapsed_minutes(spark, d):
 
 
 def resume_todo(spark, d):
-    keys = read(spark, d, "customer").where("c_custkey < 400").select(F.col("c_custkey").cast("string").alias("key"))
+    keys = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("key"))
     return ledger.todo(keys, events(spark, d), ["key"])
 
 
@@ -166,7 +166,7 @@ def skeleton_upsert(spark, d):
 
 def compartment_merge(spark, d):
     rows = sweep.joint_counts(voxels(spark, d).where("z % 3 = 0")).withColumn("block", F.lit("0"))
-    more = sweep.joint_counts(voxels(spark, d).where("z % 3 = 1")).withColumn("block", F.lit("1"))
+    more = sweep.joint_counts(voxels(spark, d).where("z % 3 <> 0")).withColumn("block", F.lit("1"))
     old = rows.drop("block")
     return ledger.merge_counts(old, rows.unionByName(more), rows.select("block"), ["body_id", "label"])
 
@@ -237,14 +237,14 @@ SQL = {
     "path_cost": "SELECT p_partkey, CASE WHEN p_partkey % 10 <> 0 THEN round(1/(1+p_size::DOUBLE*p_size), 9) END AS cost FROM part",
     "progress_bars": f"WITH {LEDGER}, g AS (SELECT grp, CAST(least(floor(20.0::DOUBLE*count(*) FILTER (WHERE status='written')/count(*)), 20) AS INT) AS f FROM ledger GROUP BY grp) SELECT grp, repeat('#', f) || repeat('-', 20-f) AS bar FROM g",
     "elapsed_minutes": "WITH g AS (SELECT user_id, (epoch_us(max(ts)) - epoch_us(min(ts)))/60e6 AS m, count(*) AS n FROM events GROUP BY user_id) SELECT user_id, round(m, 4) AS minutes, CASE WHEN m <> 0 THEN round(n/m, 4) END AS rate FROM g",
-    "resume_todo": f"WITH {LEDGER}, {_LAST.replace('grp, key', 'key').replace('PARTITION BY grp, key', 'PARTITION BY key')} SELECT CAST(c_custkey AS VARCHAR) AS key FROM customer WHERE c_custkey < 400 AND CAST(c_custkey AS VARCHAR) NOT IN (SELECT key FROM last WHERE status <> 'failed')",
+    "resume_todo": f"WITH {LEDGER}, {_LAST.replace('grp, key', 'key').replace('PARTITION BY grp, key', 'PARTITION BY key')} SELECT CAST(c_custkey AS VARCHAR) AS key FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT key FROM last WHERE status <> 'failed')",
     "done_keys": f"WITH {LEDGER} SELECT DISTINCT key FROM ledger",
     "group_counts_latest": f"WITH {LEDGER}, {_LAST} SELECT status, count(*) AS n FROM last GROUP BY status",
     "progress_all_records": f"WITH {LEDGER}, k AS (SELECT grp, status, count(*) AS n FROM ledger GROUP BY grp, status) SELECT grp, status, n, round(100*n::DOUBLE / sum(n) OVER (PARTITION BY grp), 6) AS share FROM k",
     "failure_streak": f"WITH {LEDGER}, i AS (SELECT key, status = 'failed' AS bad, row_number() OVER (PARTITION BY key ORDER BY seq) - row_number() OVER (PARTITION BY key, status = 'failed' ORDER BY seq) AS g FROM ledger), r AS (SELECT key, bad, count(*) AS n FROM i GROUP BY key, bad, g) SELECT key, coalesce(max(CASE WHEN bad THEN n END), 0) AS streak FROM r GROUP BY key",
     "last_failures": f"WITH {LEDGER} SELECT seq, key FROM ledger WHERE status = 'failed' ORDER BY seq DESC LIMIT 25",
     "skeleton_upsert": f"WITH {_C}, n AS (SELECT c_custkey*2 AS body_id, CASE WHEN c_custkey % 3 > 0 THEN c_custkey::DOUBLE END AS l FROM customer) SELECT body_id, coalesce(n.l, CASE WHEN c.body_id IS NOT NULL THEN 5.0::DOUBLE END) AS cable_length_nm, CASE WHEN n.body_id IS NOT NULL THEN 2.0::DOUBLE END AS n_tips, volume FROM c FULL JOIN n USING (body_id)",
-    "compartment_merge": f"WITH {VOXELS} SELECT body_id, label, count(*) AS voxel_count FROM voxels WHERE body_id <> 0 AND z % 3 < 2 GROUP BY body_id, label",
+    "compartment_merge": f"WITH {VOXELS} SELECT body_id, label, count(*) AS voxel_count FROM voxels WHERE body_id <> 0 GROUP BY body_id, label",
     "status_pivot": f"WITH {LEDGER} SELECT grp, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS n_{s}" for s in ("written", "empty", "dust", "skipped", "failed")) + " FROM ledger GROUP BY grp",
     "fusion_summary": f"WITH {_C}, f AS (SELECT count(*) AS n, sum(CASE WHEN body_id % 6 > 0 THEN abs(volume) ELSE 0 END) AS d, count(*)*20000.0::DOUBLE AS r, count(*) FILTER (WHERE body_id % 4 = 0) AS n_deleted, count(*) FILTER (WHERE body_id % 4 > 1) AS n_multi FROM c) SELECT n, round(d, 4) AS dropped_nm, r AS raw_nm, n_deleted, n_multi, round(d/r, 4) AS dropped_fraction FROM f",
     "threshold_sweep": f"WITH {_C}, g AS (SELECT CAST(a AS INT) AS dust, CAST(b AS INT) AS tick FROM (VALUES (0),(1000),(4000)) x(a), (VALUES (2),(5),(9)) y(b)) SELECT dust, tick, count(*) FILTER (WHERE abs(volume)>=dust AND cable>=tick) AS kept, count(*) FILTER (WHERE NOT (abs(volume)>=dust AND cable>=tick)) AS dropped, sum(CASE WHEN abs(volume)>=dust AND cable>=tick THEN cable ELSE 0 END) AS cable FROM c, g GROUP BY dust, tick",
