@@ -90,3 +90,30 @@ def dilate(blocks: DataFrame, shape: tuple[int, int, int], rounds: int = 1) -> D
             moved = moved.where((F.col(f"b{a}") >= 0) & (F.col(f"b{a}") < n))
         blocks = moved.distinct()
     return blocks
+
+
+def physical_box(box: dict[str, Column], nm: tuple[float, float, float]) -> dict[str, Column]:
+    """A voxel box in nm."""
+    return {f"{a}{e}_nm": box[f"{a}{e}"] * F.lit(float(n)) for e in (0, 1) for a, n in zip(AXES, nm)}
+
+
+def to_physical(origin: dict[str, Column], nm: tuple[float, float, float], names: tuple[str, str, str] = ("z_nm", "y_nm", "x_nm")) -> dict[str, Column]:
+    """Places within a crop, given in nm from its corner, in the volume: the corner (voxels) is added."""
+    return {n: F.col(n) + origin[a] * F.lit(float(s)) for a, n, s in zip(AXES, names, nm)}
+
+
+def chunk_xyz(block: tuple[int, int, int], nm: tuple[float, float, float]) -> tuple[float, float, float]:
+    """A block's size in nm as x, y, z."""
+    z, y, x = (b * n for b, n in zip(block, nm))
+    return x, y, z
+
+
+def flat(shape: tuple[int, int, int]) -> Column:
+    """The place of z, y, x in a flat array in which z runs fastest."""
+    return F.col("z").cast("long") + F.col("y") * F.lit(shape[0]).cast("long") + F.col("x") * F.lit(shape[0] * shape[1]).cast("long")
+
+
+def unflat(at: Column, shape: tuple[int, int, int]) -> list[Column]:
+    z, y = F.lit(shape[0]).cast("long"), F.lit(shape[1]).cast("long")
+    whole = lambda c, n: F.floor(c / n).cast("long")
+    return [F.pmod(at, z).alias("z"), F.pmod(whole(at, z), y).alias("y"), whole(at, z * y).alias("x")]

@@ -103,6 +103,11 @@ def cross_section(volume: Column, length: Column) -> tuple[Column, Column]:
     return area, F.sqrt(area / F.pi())
 
 
+def mean_radius(area: Column, length: Column) -> Column:
+    """Radius of the tube with this side and length; null without a length."""
+    return F.when(length > 0, area / (2 * math.pi * length))
+
+
 def node_radii(counts: DataFrame, shares: DataFrame, voxel_nm: float) -> DataFrame:
     """Local radius of each node that has both voxels and cable, weighted by its cable."""
     both = counts.join(shares, ["body_id", "node_id"]).where((F.col("share_nm") > 0) & (F.col("n") > 0))

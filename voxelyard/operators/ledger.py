@@ -84,3 +84,60 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], columns: list[str]) -
 
 def reset(df: DataFrame, columns: list[str], to: Column) -> DataFrame:
     return df.withColumns({c: to.cast(df.schema[c].dataType) for c in columns})
+
+
+def reset_sweep(bodies: DataFrame) -> DataFrame:
+    """Counts and volumes back to zero; boxes and skeletons stay."""
+    return reset(bodies, [c for c in ("voxel_count", "volume_nm3") if c in bodies.columns], F.lit(0))
+
+
+def reset_skeletons(bodies: DataFrame) -> DataFrame:
+    """The skeleton's columns back to null; counts and boxes stay."""
+    return reset(bodies, [c for c in ("cable_length_nm", "n_branches", "n_tips", "max_radius_nm") if c in bodies.columns], F.lit(None))
+
+
+# ---- runs -------------------------------------------------------------------------------------------
+def by_status(ledger: DataFrame, group: str, statuses: tuple[str, ...]) -> DataFrame:
+    """Records of each group, a column per status."""
+    return ledger.groupBy(group).agg(*[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in statuses])
+
+
+def last(ledger: DataFrame, status: str, n: int) -> DataFrame:
+    """The last n records of a status."""
+    return ledger.where(F.col("status") == status).orderBy(F.desc("seq")).limit(n)
+
+
+def rates(before: DataFrame, after: DataFrame, key: str, minutes: Column) -> DataFrame:
+    """Of two snapshots (key, n), what came between them and how much a minute; a group that wasn't there
+    had none, and one that shrank, as after a reset, has no rate."""
+    both = after.select(key, F.col("n").alias("now")).join(before.select(key, F.col("n").alias("then")), key, "left")
+    came = F.col("now") - F.coalesce("then", F.lit(0))
+    return both.select(key, came.alias("n"), F.when(came >= 0, F.try_divide(came.cast("double"), F.nullif(minutes.cast("double"), F.lit(0.0)))).alias("rate"))
+
+
+def planned(stages: DataFrame, stage: str, n: int) -> DataFrame:
+    """The table of stages (stage, n_planned) with this one's number of keys, told before it runs."""
+    row = stages.sparkSession.createDataFrame([(stage, n)], "stage string, n_planned long")
+    return upsert(stages, row, ["stage"], ["n_planned"])
+
+
+def progress(stages: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Done and failed keys of each stage, by their latest status, of those planned."""
+    n = latest(ledger, ["stage", "key"]).groupBy("stage").agg(F.count_if(F.col("status") != "failed").alias("done"), F.count_if(F.col("status") == "failed").alias("failed"))
+    return stages.join(n, "stage", "left").na.fill(0, ["done", "failed"])
+
+
+class StaleManifest(RuntimeError):
+    """The ledger says that what isn't there was written."""
+
+
+def stale(ledger: DataFrame, outputs: DataFrame, key: list[str], written: str = "written") -> DataFrame:
+    """Keys whose latest status says written and that have no output."""
+    return latest(ledger, key).where(F.col("status") == written).select(*key).join(outputs.select(*key), key, "left_anti")
+
+
+def refuse_stale(ledger: DataFrame, outputs: DataFrame, key: list[str]) -> None:
+    """Stops before a run that would take missing outputs for done."""
+    some = stale(ledger, outputs, key).limit(5).collect()
+    if some:
+        raise StaleManifest(f"written, but not there: {', '.join(str(tuple(r)) for r in some)} ...; reset them or bring them back")

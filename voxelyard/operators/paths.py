@@ -5,6 +5,8 @@ arrays: many small bodies cost no more than their nodes. The others get a body a
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -92,9 +94,10 @@ def path_distances(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return _buckets(nodes.select("body_id", "node_id", *AXES, "is_source"), edges.select("body_id", "edge_id", "src", "dst", "is_bridge"), work, "body_id long, node_id long, distance_nm double, n_bridges long, bridge_nm double, source long")
 
 
-def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, inside: graph.Inside, gap: float = 0.0, tolerance: float = 8.0, which: str = "largest", merge: float = 0.0) -> DataFrame:
+def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, inside: graph.Inside | Mapping[int, graph.Inside], gap: float = 0.0, tolerance: float = 8.0, which: str = "largest", merge: float = 0.0) -> DataFrame:
     """Each point (body_id, z, y, x in nm, and whatever other columns) with its signed path distance from
-    the region; see graph.signed_distances. Points of bodies without a skeleton stay, as no_skeleton."""
+    the region; see graph.signed_distances. Points of bodies without a skeleton stay, as no_skeleton. inside
+    is one region, or one for each body; a body without one has no_compartment."""
     names = points.columns
     lists = nodes.groupBy("body_id").agg(F.sort_array(F.collect_list(F.struct("node_id", *AXES, "radius_nm"))).alias("nodes"))
     tied = edges.groupBy("body_id").agg(F.sort_array(F.collect_list(F.struct("edge_id", "src", "dst"))).alias("edges"))
@@ -112,7 +115,11 @@ def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, ins
             radii = None if any(r is None for r in radius) else np.array(radius, float)
             tied = b.iloc[0]["edges"]
             ends = np.searchsorted(ids, np.array([[r["src"], r["dst"]] for r in tied])).reshape(-1, 2) if tied is not None and len(tied) else ends
-        found, _ = graph.signed_distances(v, ends, radii, rows[["z", "y", "x"]].to_numpy(float).reshape(-1, 3), inside, gap, tolerance, which, merge)
+        region = inside
+        if isinstance(inside, Mapping):
+            body = p["body_id"].iloc[0] if len(p) else None
+            region = inside.get(None if body is None or pd.isna(body) else int(body), lambda q: np.zeros(len(q), bool))
+        found, _ = graph.signed_distances(v, ends, radii, rows[["z", "y", "x"]].to_numpy(float).reshape(-1, 3), region, gap, tolerance, which, merge)
         return pd.concat([rows, pd.DataFrame(found, columns=["distance_nm", "inside", "in_roi", "snap_nm", "n_bridges", "bridge_nm", "on_bridge", "radius_nm", "entry", "status"], dtype=object)], axis=1)
 
     return points.groupBy("body_id").cogroup(bodies.groupBy("body_id")).applyInPandas(work, f"{fields}, {DISTANCES}")

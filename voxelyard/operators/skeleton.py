@@ -22,6 +22,14 @@ def ends(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.withColumn("length_nm", F.sqrt(distance2("a_", "b_")))
 
 
+def links(nodes: DataFrame, edges: DataFrame, least: float = 1e-6) -> DataFrame:
+    """The graph of a skeleton, (body_id, node_id, other, weight) in both directions: no loops, each pair once
+    however often it comes, and no weight under the least, so that ends at one place stay tied."""
+    one = ends(nodes, edges).where("src <> dst").select("body_id", F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), F.greatest("length_nm", F.lit(least)).alias("weight"))
+    both = F.explode(F.array(F.struct(F.col("a").alias("node_id"), F.col("b").alias("other")), F.struct(F.col("b").alias("node_id"), F.col("a").alias("other")))).alias("x")
+    return one.groupBy("body_id", "a", "b").agg(F.min("weight").alias("weight")).select("body_id", both, "weight").select("body_id", "x.*", "weight")
+
+
 def cable_length(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Length of all edges of each body; 0, not null, without edges."""
     sums = ends(nodes, edges).groupBy("body_id").agg(F.sum("length_nm").alias("cable_nm"))

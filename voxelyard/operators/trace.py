@@ -6,6 +6,7 @@ fragments' way from one to the other is the shuffle by body.
 
 from __future__ import annotations
 
+import errno
 import heapq
 from dataclasses import dataclass
 
@@ -274,39 +275,78 @@ def fuse(s: Shape, seam: float, dust: float, tick: float) -> tuple[Shape, dict]:
     return s, stats
 
 
-STATS = "body_id long, status string, n_fragments long, comps_in long, cable_in_nm double, cable_joined_nm double, seam_join_comps_merged long, seam_join_cable_added_nm double, dust_comps_dropped long, dust_cable_dropped_nm double, loop_cable_delta_nm double, radius_join_comps_merged long, radius_join_cable_added_nm double, tick_branches_removed long, tick_cable_removed_nm double, comps_out long, cable_out_nm double, tips_out long, branches_out long, deleted boolean, max_radius_nm double, z_nm array<double>, y_nm array<double>, x_nm array<double>, radii array<double>, src array<long>, dst array<long>"
+STATS = "body_id long, status string, error string, n_fragments long, comps_in long, cable_in_nm double, cable_joined_nm double, seam_join_comps_merged long, seam_join_cable_added_nm double, dust_comps_dropped long, dust_cable_dropped_nm double, loop_cable_delta_nm double, radius_join_comps_merged long, radius_join_cable_added_nm double, tick_branches_removed long, tick_cable_removed_nm double, comps_out long, cable_out_nm double, tips_out long, branches_out long, deleted boolean, max_radius_nm double, z_nm array<double>, y_nm array<double>, x_nm array<double>, radii array<double>, src array<long>, dst array<long>"
+
+
+#: Errors of the system, not of a body: no space, quota used up, read-only disk.
+SYSTEM = {errno.ENOSPC, errno.EDQUOT, errno.EROFS}
+
+
+def systemic(error: BaseException) -> bool:
+    """Whether the next body would fail as well."""
+    return isinstance(error, (MemoryError, ImportError)) or (isinstance(error, OSError) and error.errno in SYSTEM)
+
+
+def guarded(work, body):
+    """work(body), or a row of the status failed with the error's text; errors of the system stop the job."""
+    try:
+        return work(body)
+    except Exception as error:
+        if systemic(error):
+            raise
+        return {"status": "failed", "error": f"{type(error).__name__}: {error}"}
+
+
+def _fused(rows: pd.DataFrame, seam: float, dust: float, tick: float) -> dict:
+    v, r, e, base = [], [], [], 0
+    for _, one in rows.sort_values(["block", "node"]).groupby("block"):
+        v.append(one[["z_nm", "y_nm", "x_nm"]].to_numpy(float))
+        r.append(one["radius_nm"].to_numpy(float))
+        e += [(base + int(a), base + int(b)) for a, near in zip(one["node"], one["links"]) for b in near]
+        base += len(one)
+    s, stats = fuse(Shape(np.concatenate(v), np.concatenate(r), np.array(e, np.int64).reshape(-1, 2)), seam, dust, tick)
+    row = stats | {"status": "dust" if stats["deleted"] else "written", "n_fragments": rows["block"].nunique(), "max_radius_nm": float(s.r.max()) if len(s.r) else None}
+    return row | {"z_nm": s.v[:, 0], "y_nm": s.v[:, 1], "x_nm": s.v[:, 2], "radii": s.r, "src": s.e[:, 0], "dst": s.e[:, 1]}
+
+
+def join_radius(radius: float | None, nm: tuple[float, float, float]) -> float:
+    """How far apart ends may be to be joined: as given, or twice the longest side of a voxel."""
+    return 2 * max(nm) if radius is None else radius
 
 
 def fuse_bodies(fragments: DataFrame, seam: float, dust: float = 500.0, tick: float = 500.0) -> DataFrame:
     """A row per body: status (written, or dust), what each step did, and the skeleton. A body whose
-    fusion fails has the status failed, and stops no other."""
+    fusion fails has the status failed and the error's text, and stops no other."""
+    names = [f.strip().split(" ")[0] for f in STATS.split(", ")]
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        body = int(rows["body_id"].iloc[0])
-        try:
-            v, r, e, base = [], [], [], 0
-            for _, one in rows.sort_values(["block", "node"]).groupby("block"):
-                v.append(one[["z_nm", "y_nm", "x_nm"]].to_numpy(float))
-                r.append(one["radius_nm"].to_numpy(float))
-                e += [(base + int(a), base + int(b)) for a, near in zip(one["node"], one["links"]) for b in near]
-                base += len(one)
-            s, stats = fuse(Shape(np.concatenate(v), np.concatenate(r), np.array(e, np.int64).reshape(-1, 2)), seam, dust, tick)
-            row = stats | {"status": "dust" if stats["deleted"] else "written", "n_fragments": rows["block"].nunique(), "max_radius_nm": float(s.r.max()) if len(s.r) else None}
-            row |= {"z_nm": s.v[:, 0], "y_nm": s.v[:, 1], "x_nm": s.v[:, 2], "radii": s.r, "src": s.e[:, 0], "dst": s.e[:, 1]}
-        except (MemoryError, ImportError):
-            raise  # of the whole system, not of this body
-        except Exception:
-            row = {"status": "failed"}
-        names = [f.strip().split(" ")[0] for f in STATS.split(", ")]
-        return pd.DataFrame([{n: row.get(n) for n in names} | {"body_id": body}], columns=names)
+        row = guarded(lambda r: _fused(r, seam, dust, tick), rows)
+        return pd.DataFrame([{n: row.get(n) for n in names} | {"body_id": int(rows["body_id"].iloc[0])}], columns=names)
 
     return fragments.groupBy("body_id").applyInPandas(work, STATS)
 
 
-def fusion_summary(stats: DataFrame) -> DataFrame:
-    """Totals over bodies, counts of deleted and of still broken ones, and fractions of the cable."""
-    summed = [n for n, t in stats.dtypes if t in ("bigint", "double") and n not in ("body_id", "tips_out", "branches_out", "max_radius_nm")]
-    out = stats.agg(F.count("*").alias("n_bodies"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in summed], F.count_if("deleted").alias("n_deleted"), F.count_if(F.col("comps_out") > 1).alias("n_multi"))
+def fusion_grid(fragments: DataFrame, seam: float, dusts: list[float], ticks: list[float]) -> DataFrame:
+    """What each pair of thresholds leaves: (dust, tick) and the totals of fusion_summary. Each body is fused
+    for all pairs where its fragments are, so they move once."""
+    names = [f.strip().split(" ")[0] for f in STATS.split(", ")][:-6]
+    schema = "dust double, tick double, " + ", ".join(STATS.split(", ")[:-6])
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for dust in dusts:
+            for tick in ticks:
+                row = guarded(lambda r: _fused(r, seam, dust, tick), rows)  # noqa: B023
+                out.append({"dust": dust, "tick": tick} | {n: row.get(n) for n in names} | {"body_id": int(rows["body_id"].iloc[0])})
+        return pd.DataFrame(out, columns=["dust", "tick", *names])
+
+    return fusion_summary(fragments.groupBy("body_id").applyInPandas(work, schema), ["dust", "tick"])
+
+
+def fusion_summary(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Totals over bodies, of each group if any, counts of deleted and of still broken ones, and fractions of the cable."""
+    summed = [n for n, t in stats.dtypes if t in ("bigint", "double") and n not in (*(by or []), "body_id", "tips_out", "branches_out", "max_radius_nm")]
+    out = stats.groupBy(*(by or [])).agg(F.count("*").alias("n_bodies"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in summed], F.count_if("deleted").alias("n_deleted"), F.count_if(F.col("comps_out") > 1).alias("n_multi"))
     part = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), F.nullif(b.cast("double"), F.lit(0.0))), F.lit(0.0))
     return out.withColumn("dropped_fraction", part(F.col("dust_cable_dropped_nm") + F.col("tick_cable_removed_nm"), F.col("cable_in_nm"))).withColumn("inferred_fraction", part(F.col("seam_join_cable_added_nm") + F.col("radius_join_cable_added_nm"), F.col("cable_out_nm")))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,6 +124,38 @@ def overlap(tube: DataFrame, mask: DataFrame) -> DataFrame:
     return n.withColumn("coverage", F.col("n_both") / F.greatest(F.col("n_mask"), F.lit(1))).withColumn("spill", (F.col("n_tube") - F.col("n_both")) / F.greatest(F.col("n_tube"), F.lit(1)))
 
 
+def neighbour_costs(voxels: DataFrame) -> DataFrame:
+    """Steps between neighbours, of 26, of a body's voxels (body_id, z, y, x, cost): each pair once, from the
+    first in order of z, y, x, with the cost length * (cost of one + cost of the other)."""
+    ahead = [m for m in itertools.product((-1, 0, 1), repeat=3) if m > (0, 0, 0)]
+    moves = F.explode(F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, m)], F.lit(float(sum(map(abs, m))) ** 0.5).alias("step")) for m in ahead])).alias("m")
+    to = voxels.select("body_id", *AXES, F.col("cost").alias("own"), moves).select("body_id", *AXES, "own", *[(F.col(a) + F.col(f"m.d{a}")).alias(f"to_{a}") for a in AXES], F.col("m.step").alias("step"))
+    other = voxels.select("body_id", *[F.col(a).alias(f"to_{a}") for a in AXES], F.col("cost").alias("theirs"))
+    keys = ["body_id", *[f"to_{a}" for a in AXES]]
+    return to.join(other, keys).select("body_id", *AXES, *keys[1:], (F.col("step") * (F.col("own") + F.col("theirs"))).alias("cost"))
+
+
+def surface(voxels: DataFrame, nm: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """Open faces of each body's voxels and their area: faces beyond which the body isn't. Each pair of
+    neighbours along an axis is found once, by the next voxel of the row, and hides two faces."""
+    cells = voxels.where("body_id <> 0").select("body_id", *AXES).distinct()
+    sizes = dict(zip(AXES, nm))
+    n = cells.groupBy("body_id").agg(F.count("*").alias("n"))
+    for a in AXES:
+        others = [c for c in AXES if c != a]
+        ahead = F.lead(a).over(Window.partitionBy("body_id", *others).orderBy(a))
+        hidden = cells.withColumn("next", ahead).groupBy("body_id").agg(F.count_if(F.col("next") == F.col(a) + 1).alias("pairs"))
+        n = n.join(hidden, "body_id").withColumn(f"faces_{a}", 2 * (F.col("n") - F.col("pairs"))).drop("pairs")
+    area = sum((F.col(f"faces_{a}") * float(np.prod([sizes[c] for c in AXES if c != a])) for a in AXES), F.lit(0.0))
+    return n.select("body_id", *[f"faces_{a}" for a in AXES], area.alias("area_nm2"))
+
+
+def without_dust(voxels: DataFrame, key: list[str], least: int) -> DataFrame:
+    """Voxels of groups, such as a body's components, of at least so many."""
+    large = voxels.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*key)
+    return voxels.join(large, key, "left_semi")
+
+
 # ---- meshes ---------------------------------------------------------------------------------------
 def mesh_area(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     """Area of each body's faces (a, b, c) over vertices (body_id, vertex_id, z, y, x)."""

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import skeletons, sweeps, tidy
+from . import runs, skeletons, sweeps, tidy
 
-PLANS = (sweeps, skeletons, tidy)
+PLANS = (sweeps, skeletons, tidy, runs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -249,6 +249,10 @@ def fusion_totals(spark, d):
     return rounded(trace.fusion_summary(trace.fuse_bodies(trace.skeletonize_blocks(_rods(spark, d), 32, 8.0), 16.0, 100.0, 100.0)))
 
 
+def fusion_grid(spark, d):
+    return rounded(trace.fusion_grid(trace.skeletonize_blocks(_rods(spark, d), 32, 8.0), 16.0, [0.0, 300.0], [0.0, 200.0]))
+
+
 def _paths(spark, d):
     return skeletons(spark, d)[0].withColumnRenamed("node_id", "pos")
 
@@ -280,7 +284,7 @@ def skeleton_stats(spark, d):
     return skeleton.topology(nodes, edges, paths.components(nodes, edges)).join(paths.twig_counts(nodes, edges, 300.0), "body_id")
 
 
-QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals, path_steps, trailing_valid, path_suffix, named_labels, swc_forest, skeleton_stats)}
+QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals, fusion_grid, path_steps, trailing_valid, path_suffix, named_labels, swc_forest, skeleton_stats)}
 
 # a broken heap tree's component is the first node upwards whose edge is missing
 _UP = """walk AS (SELECT body_id, node_id, node_id AS top, 0.0::DOUBLE AS dist FROM nodes UNION ALL
@@ -334,4 +338,11 @@ SQL = {
     "trailing_valid": f"WITH {NODES}, s AS (SELECT *, sqrt(pow(z_nm - lag(z_nm) OVER w, 2) + pow(y_nm - lag(y_nm) OVER w, 2) + pow(x_nm - lag(x_nm) OVER w, 2)) AS d FROM nodes WINDOW w AS (PARTITION BY body_id ORDER BY node_id)), b AS (SELECT body_id, max(CASE WHEN o_orderkey % 4 = 0 THEN node_id ELSE 0 END) AS last FROM nodes GROUP BY body_id) SELECT body_id, count(*) FILTER (WHERE node_id > last) AS n_valid, round(coalesce(sum(d) FILTER (WHERE node_id > last + 1), 0), 4) AS valid_nm FROM s JOIN b USING (body_id) GROUP BY body_id",
     "path_suffix": f"WITH {NODES}, b AS (SELECT body_id, max(CASE WHEN o_orderkey % 7 = 0 THEN node_id END) AS last FROM nodes GROUP BY body_id) SELECT body_id, node_id AS pos FROM nodes JOIN b USING (body_id) WHERE last IS NULL OR node_id >= last",
     "named_labels": "SELECT CAST(row_number() OVER (ORDER BY n_nationkey DESC) - 1 AS INT) AS pos, n_name AS name, n_nationkey AS label FROM nation WHERE n_nationkey IN (7, 3, 11)",
+    # a tree's root is its node with the fewest edges; depth by going along edges and not back
+    "swc_forest": f"""{_COMP}, near AS (SELECT body_id, src AS a, dst AS b FROM edges UNION ALL SELECT body_id, dst, src FROM edges), g AS (SELECT t.body_id, t.node_id, component, count(near.a) AS g FROM tops t LEFT JOIN near ON near.body_id = t.body_id AND near.a = t.node_id GROUP BY ALL),
+      roots AS (SELECT body_id, node_id FROM (SELECT *, row_number() OVER (PARTITION BY body_id, component ORDER BY g, node_id) AS r FROM g) WHERE r = 1),
+      down AS (SELECT body_id, node_id, (-1)::BIGINT AS parent, 0::BIGINT AS depth FROM roots UNION ALL SELECT d.body_id, near.b, d.node_id, d.depth + 1 FROM down d JOIN near ON near.body_id = d.body_id AND near.a = d.node_id WHERE near.b <> d.parent) SELECT body_id, node_id, parent, depth FROM down""",
+    "tube_overlap": f"""WITH {NODES}, c AS (SELECT DISTINCT body_id, CAST(round_even(z_nm / 40, 0) AS INT) AS cz, CAST(round_even(y_nm / 40, 0) AS INT) AS cy, CAST(round_even(x_nm / 40, 0) AS INT) AS cx, CAST(round_even(radius_nm * 10 / 40, 0) AS INT) AS r FROM nodes),
+      t AS (SELECT DISTINCT body_id, cz + i AS z, cy + j AS y, cx + k AS x FROM c, range(-5, 6) a(i), range(-5, 6) b(j), range(-5, 6) e(k) WHERE i*i + j*j + k*k <= r*r AND cz + i BETWEEN 0 AND 79 AND cy + j BETWEEN 0 AND 19 AND cx + k BETWEEN 0 AND 4),
+      n AS (SELECT body_id, count(*) AS n_tube, count(*) FILTER (WHERE (z + y) % 3 <> 0) AS n_mask FROM t GROUP BY body_id) SELECT body_id, n_tube, n_mask, n_mask AS n_both, round(n_mask / greatest(n_mask, 1)::DOUBLE, 6) AS coverage, round((n_tube - n_mask) / greatest(n_tube, 1)::DOUBLE, 6) AS spill FROM n""",
 }

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text
-from ..operators import calibre, cohort, ledger, sweep, tables
+from ..operators import calibre, cohort, ledger, sweep, tables, trace
 from ..sources.bind import LEDGER, VOXELS, read, voxels
 from ..sources.bind import ledger as events
+from ..streaming import merge
 from .skeletons import rounded
 
 
@@ -155,7 +155,7 @@ def failure_streak(spark, d):
 
 
 def last_failures(spark, d):
-    return events(spark, d).where("status = 'failed'").orderBy(F.desc("seq")).limit(25).select("seq", "key")
+    return ledger.last(events(spark, d), "failed", 25).select("seq", "key")
 
 
 def skeleton_upsert(spark, d):
@@ -172,36 +172,33 @@ def compartment_merge(spark, d):
 
 
 def status_pivot(spark, d):
-    return events(spark, d).groupBy("grp").agg(*[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("written", "empty", "dust", "skipped", "failed")])
+    return ledger.by_status(events(spark, d), "grp", ("written", "empty", "dust", "skipped", "failed"))
 
 
 def fusion_summary(spark, d):
-    rows = _customers(spark, d).select((F.col("body_id") % 4).alias("comps"), F.when(F.col("body_id") % 6 > 0, F.abs("volume")).alias("dropped_nm"), F.lit(20000.0).alias("raw_nm"))
-    out = rows.agg(F.count("*").alias("n"), F.sum(F.coalesce("dropped_nm", F.lit(0.0))).alias("dropped_nm"), F.sum("raw_nm").alias("raw_nm"), F.count_if(F.col("comps") == 0).alias("n_deleted"), F.count_if(F.col("comps") > 1).alias("n_multi"))
-    return rounded(out.withColumn("dropped_fraction", F.coalesce(F.try_divide(F.col("dropped_nm"), F.nullif(F.col("raw_nm"), F.lit(0.0))), F.lit(0.0))), 4)
-
-
-def threshold_sweep(spark, d):
-    """Cable that stays under each of nine pairs of thresholds: rows are multiplied by the grid's size."""
-    grid = F.explode(F.array(*[F.struct(F.lit(a).alias("dust"), F.lit(b).alias("tick")) for a in (0, 1000, 4000) for b in (2, 5, 9)])).alias("p")
-    rows = _customers(spark, d).select("*", grid).select("*", "p.*")
-    stays = (F.abs("volume") >= F.col("dust")) & (F.col("cable") >= F.col("tick"))
-    return rows.groupBy("dust", "tick").agg(F.count_if(stays).alias("kept"), F.count_if(~stays).alias("dropped"), F.sum(F.when(stays, F.col("cable")).otherwise(0.0)).alias("cable"))
+    """Totals of fusions that are made up of customers."""
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    counts = {n: zero for n in ("n_fragments", "comps_in", "seam_join_comps_merged", "dust_comps_dropped", "radius_join_comps_merged", "tick_branches_removed")}
+    cables = {n: none for n in ("cable_joined_nm", "loop_cable_delta_nm", "radius_join_cable_added_nm")}
+    stats = _customers(spark, d).select(
+        "body_id", *[c.alias(n) for n, c in (counts | cables).items()], (F.col("body_id") % 4).alias("comps_out"), F.lit(20000.0).alias("cable_in_nm"), F.lit(16000.0).alias("cable_out_nm"),
+        F.when(F.col("body_id") % 6 > 0, F.abs("volume")).alias("dust_cable_dropped_nm"), F.col("cable").alias("tick_cable_removed_nm"), F.lit(40.0).alias("seam_join_cable_added_nm"), (F.col("body_id") % 4 == 0).alias("deleted"),
+    )
+    out = trace.fusion_summary(stats)
+    return rounded(out.select("n_bodies", "comps_out", "dust_cable_dropped_nm", "tick_cable_removed_nm", "cable_in_nm", "n_deleted", "n_multi", "dropped_fraction", "inferred_fraction"), 4)
 
 
 def median_candidate(spark, d):
     """The middle customer by balance of each nation."""
-    order = Window.partitionBy("c_nationkey").orderBy("c_acctbal", "c_custkey")
-    rows = read(spark, d, "customer").withColumn("r", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy("c_nationkey")))
-    return rows.where(F.col("r") == F.expr("(n + 1) div 2")).select("c_nationkey", "c_custkey")
+    return tables.middle(read(spark, d, "customer"), ["c_nationkey"], "c_acctbal", "c_custkey").select("c_nationkey", "c_custkey")
 
 
 def run_windows(spark, d):
-    rows = read(spark, d, "events")
-    return rounded(rows.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast("string").alias("start"), "event_type", "n", "total"), 4)
+    found = merge.windowed(read(spark, d, "events"), "1 hour")
+    return rounded(found.select(F.col("window.start").cast("string").alias("start"), "event_type", "n", "total"), 4)
 
 
-QUERIES = {f.__name__: f for f in (summarize_by, compare_cohorts, log_histogram, weighted_histogram, equal_width_histogram, nearest_rank_quantiles, percent_rank_bands, cohort_membership, cohort_filter, cohort_duplicates, keep_union, properties_wide, tags_flags, merge_properties, properties_outer, slug_bucket, allowlist_lines, quantization, path_cost, progress_bars, elapsed_minutes, resume_todo, done_keys, group_counts_latest, progress_all_records, failure_streak, last_failures, skeleton_upsert, compartment_merge, status_pivot, fusion_summary, threshold_sweep, median_candidate, run_windows)}
+QUERIES = {f.__name__: f for f in (summarize_by, compare_cohorts, log_histogram, weighted_histogram, equal_width_histogram, nearest_rank_quantiles, percent_rank_bands, cohort_membership, cohort_filter, cohort_duplicates, keep_union, properties_wide, tags_flags, merge_properties, properties_outer, slug_bucket, allowlist_lines, quantization, path_cost, progress_bars, elapsed_minutes, resume_todo, done_keys, group_counts_latest, progress_all_records, failure_streak, last_failures, skeleton_upsert, compartment_merge, status_pivot, fusion_summary, median_candidate, run_windows)}
 
 _C = "c AS (SELECT c_custkey AS body_id, c_acctbal AS volume, CASE WHEN c_nationkey % 7 <> 0 THEN c_mktsegment END AS kind, CAST(c_custkey % 13 AS DOUBLE) AS cable FROM customer)"
 _T = "t AS (SELECT p_partkey AS body_id, p_brand, p_type, CAST(p_size AS VARCHAR) AS size FROM part)"
@@ -246,8 +243,7 @@ SQL = {
     "skeleton_upsert": f"WITH {_C}, n AS (SELECT c_custkey*2 AS body_id, CASE WHEN c_custkey % 3 > 0 THEN c_custkey::DOUBLE END AS l FROM customer) SELECT body_id, coalesce(n.l, CASE WHEN c.body_id IS NOT NULL THEN 5.0::DOUBLE END) AS cable_length_nm, CASE WHEN n.body_id IS NOT NULL THEN 2.0::DOUBLE END AS n_tips, volume FROM c FULL JOIN n USING (body_id)",
     "compartment_merge": f"WITH {VOXELS} SELECT body_id, label, count(*) AS voxel_count FROM voxels WHERE body_id <> 0 GROUP BY body_id, label",
     "status_pivot": f"WITH {LEDGER} SELECT grp, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS n_{s}" for s in ("written", "empty", "dust", "skipped", "failed")) + " FROM ledger GROUP BY grp",
-    "fusion_summary": f"WITH {_C}, f AS (SELECT count(*) AS n, sum(CASE WHEN body_id % 6 > 0 THEN abs(volume) ELSE 0 END) AS d, count(*)*20000.0::DOUBLE AS r, count(*) FILTER (WHERE body_id % 4 = 0) AS n_deleted, count(*) FILTER (WHERE body_id % 4 > 1) AS n_multi FROM c) SELECT n, round(d, 4) AS dropped_nm, r AS raw_nm, n_deleted, n_multi, round(d/r, 4) AS dropped_fraction FROM f",
-    "threshold_sweep": f"WITH {_C}, g AS (SELECT CAST(a AS INT) AS dust, CAST(b AS INT) AS tick FROM (VALUES (0),(1000),(4000)) x(a), (VALUES (2),(5),(9)) y(b)) SELECT dust, tick, count(*) FILTER (WHERE abs(volume)>=dust AND cable>=tick) AS kept, count(*) FILTER (WHERE NOT (abs(volume)>=dust AND cable>=tick)) AS dropped, sum(CASE WHEN abs(volume)>=dust AND cable>=tick THEN cable ELSE 0 END) AS cable FROM c, g GROUP BY dust, tick",
+    "fusion_summary": f"WITH {_C}, f AS (SELECT count(*) AS n_bodies, CAST(sum(body_id % 4) AS BIGINT) AS comps_out, sum(CASE WHEN body_id % 6 > 0 THEN abs(volume) ELSE 0 END) AS d, sum(cable) AS t, count(*)*20000.0::DOUBLE AS i, count(*)*16000.0::DOUBLE AS o, count(*) FILTER (WHERE body_id % 4 = 0) AS n_deleted, count(*) FILTER (WHERE body_id % 4 > 1) AS n_multi FROM c) SELECT n_bodies, comps_out, round(d, 4) AS dust_cable_dropped_nm, t AS tick_cable_removed_nm, i AS cable_in_nm, n_deleted, n_multi, round((d + t)/i, 4) AS dropped_fraction, round(n_bodies * 40.0::DOUBLE/o, 4) AS inferred_fraction FROM f",
     "median_candidate": "SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS r, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer) WHERE r = (n+1)//2",
     "run_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
 }
