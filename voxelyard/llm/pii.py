@@ -66,7 +66,7 @@ RULES = [
     (r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     (r"(?:[0-9][\x20-]?){11}[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    (r"(?i)[\x20\[({<]at[\x20\])}>]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20?[\[({<](?i:at)[\])}>]\x20?|\x20(?i:at)\x20)[A-Za-z0-9-]++(?:(?:\x20?[\[({<](?i:dot)[\])}>]\x20?|\x20(?i:dot)\x20)[A-Za-z0-9-]++)+"),
+    (r"(?i)[\x20\[({<]at[\x20\])}>]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20?[\[({<](?i:at)[\])}>]\x20?|\x20(?i:at)\x20)[A-Za-z0-9-]++(?:(?:\x20?[\[({<](?i:dot)[\])}>]\x20?|\x20(?i:dot)\x20)[A-Za-z0-9-]++)++"),
     (r"[0-9]{3}\)?[\x20./-][0-9]{3}[\x20.-][0-9]{4}", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20./-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"),
     (r"[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}", r"(?<![0-9-])[0-9]{3}([\x20-])[0-9]{2}\1[0-9]{4}(?![0-9-])"),
     (r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
