@@ -3,7 +3,7 @@
 import pytest
 
 from tests.llm.test_scans import CASES, base, bag, spans_of
-from voxelyard.llm import pii, secrets
+from voxelyard.llm import secrets
 
 N = 1_000_000
 LONG = [
@@ -20,10 +20,3 @@ def long_docs(spark):
 def test_secrets(long_docs):
     rules, _ = CASES[secrets]
     assert spans_of(secrets.scan(long_docs), len(rules)) == bag((i, base(t, rules)) for i, t in enumerate(LONG))
-
-
-def test_spelled_chain(spark):
-    """A repeat within a match doesn't use the stack of the thread."""
-    text = LONG[5]
-    docs = spark.createDataFrame([(1, text), (2, "mail x at y dot com")], "doc_id long, text string")
-    assert {r["doc_id"] for r in pii.scan(docs).collect()} == {1, 2}
