@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, token_store, url_filter
+    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, spelling, token_store, url_filter
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
@@ -21,10 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": simhash.op8_simhash,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_licenses": licenses.op10_licenses,
+        "op12_spelling": spelling.op12_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, exact_dedup
+    from . import decontaminate, exact_dedup, spelling
 
-    return {"op1_decontamination": decontaminate.OP1_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {"op1_decontamination": decontaminate.OP1_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op12_spelling": spelling.OP12_SQL}
