@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, spelling, token_store, url_filter
+    from . import decontaminate, exact_dedup, licenses, packing, pii, quality, secrets, simhash, spelling, token_store, toxicity, trie, url_filter
 
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
@@ -21,11 +21,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": simhash.op8_simhash,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_licenses": licenses.op10_licenses,
+        "op11_prefix_trie": trie.op11_prefix_trie,
         "op12_spelling": spelling.op12_spelling,
+        "op13_toxicity": toxicity.op13_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, exact_dedup, spelling
+    from . import decontaminate, exact_dedup, spelling, trie
 
-    return {"op1_decontamination": decontaminate.OP1_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op12_spelling": spelling.OP12_SQL}
+    return {"op1_decontamination": decontaminate.OP1_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op11_prefix_trie": trie.OP11_SQL, "op12_spelling": spelling.OP12_SQL}
