@@ -124,7 +124,7 @@ def test_region_sampling_thins_and_stays_connected():
 
 def settled(v, radius, edges):
     chain_ = simplify.Chain.rooted(v, np.full(len(v), radius) if np.isscalar(radius) else np.array(radius, float), np.array(edges))
-    chain_.settle(1.2, 2.0, 100)
+    chain_.settle(1.2, 2.0)
     return chain_
 
 

@@ -235,3 +235,24 @@ def test_large_bodies_are_joined_by_cells(spark):
     nodes = spark.range(200).select(F.lit(1).cast("long").alias("body_id"), F.col("id").alias("node_id"), *[F.rand(9 + k).alias(f"{a}_nm") for k, a in enumerate("zyx")], F.lit(1.0).alias("radius_nm"))
     plan = calibre.bin_to_nodes(points, nodes)._jdf.queryExecution().optimizedPlan().toString()
     assert "level" in plan and plan.count("cz") > 2
+
+
+def test_a_star_of_balls_is_one_node():
+    """All children within the hub's ball go, however many there are, and a long run is thinned to its ends."""
+    import numpy as np
+
+    from voxelyard.operators.simplify import Chain
+
+    n = 1000
+    place = np.random.default_rng(3).uniform(-1, 1, (n, 3))
+    place[0] = 0
+    chain = Chain.rooted(place, np.r_[10.0, np.full(n - 1, 1.0)], np.array([(0, i) for i in range(1, n)]))
+    chain.settle(1.2, 2.0)
+    assert chain.there.sum() == 1 and chain.radius[chain.there] == 10
+    covers = Chain.rooted(place * 0.1, np.r_[2.0, np.full(n - 1, 2.0)], np.array([(0, i) for i in range(1, n)]))
+    covers.settle(1.2, 2.0)
+    assert not (covers.redundant(1.2, 2.0) > 0).any()
+    line = np.array([[float(i), 0.0, 0.0] for i in range(2000)])
+    run = Chain.rooted(line, np.full(2000, 3.0), np.array([(i, i + 1) for i in range(1999)]))
+    run.settle(1.2, 2.0)
+    assert not (run.redundant(1.2, 2.0) > 0).any() and run.there.sum() < 700

@@ -80,3 +80,35 @@ def test_a_failing_body_stops_no_other(spark):
     got = {r["body_id"]: r["status"] for r in trace.fuse_bodies(spark.createDataFrame(rows, trace.FRAGMENT), 0.0).collect()}
     assert got == {1: "written", 2: "failed"}
     assert trace.fuse_bodies(spark.createDataFrame(rows, trace.FRAGMENT), 0.0).where(F.col("status") == "failed").count() == 1
+
+
+def test_depth_at_open_faces():
+    """A rod that goes on beyond a face is as thick there as inside; beyond a closed one it ends."""
+    cells = rod(64, 5)
+    axis = (cells[:, 1] == 10) & (cells[:, 2] == 10)
+    inside = trace.depth(cells)[axis][20]
+    half = cells[cells[:, 0] <= 32]
+    at = (half[:, 1] == 10) & (half[:, 2] == 10)
+    open_ = trace.depth(half, np.array([0, -50, -50]), np.array([32, 50, 50]))[at]
+    assert np.allclose(open_, inside)
+    assert trace.depth(half)[at][-1] == 1
+
+
+def test_no_background_at_all():
+    cube = np.array([(z, y, x) for z in range(4) for y in range(4) for x in range(4)])
+    assert (trace.depth(cube, np.zeros(3, int), np.full(3, 3)) == 4).all()
+
+
+@pytest.mark.parametrize("radius", [3, 5])
+def test_seams_add_no_cable(spark, radius):
+    """Traced in blocks and fused, the cable is that of the whole rod, and stays on the axis."""
+    cells = rod(64, radius)
+    voxels = spark.createDataFrame([(*map(int, c), 1) for c in cells], "z int, y int, x int, body_id long")
+    whole, _, edges = trace.trace(cells, np.zeros(len(cells), bool), low=np.array([0, 0, 0]), high=np.array([64, 64, 64]))
+    uncut = np.linalg.norm(cells[whole][edges[:, 0]] - cells[whole][edges[:, 1]], axis=1).sum() * 8
+    parts = trace.skeletonize_blocks(voxels, 32, 8.0)
+    row = trace.fuse_bodies(parts, 16.0, dust=10.0, tick=10.0).first()
+    assert row["comps_out"] == 1 and row["tips_out"] == 2
+    assert row["cable_out_nm"] == pytest.approx(uncut, rel=0.02)
+    off = [abs(v - 80) for v, z in zip(row["y_nm"] + row["x_nm"], row["z_nm"] * 2) if 80 < z < 420]
+    assert max(off) <= 8

@@ -14,7 +14,7 @@ from .graph import Union
 from .paths import AXES, _arrays
 
 #: Defaults of the merge: how much radii may differ, and how far a node may lie off the line.
-RADIUS_SCALE, DISTANCE_SCALE, ROUNDS = 1.2, 2.0, 100
+RADIUS_SCALE, DISTANCE_SCALE = 1.2, 2.0
 #: Whose place two merged nodes take: that of the one above, of the one below, or a mean.
 UPPER, LOWER, BOTH = 1, 2, 3
 
@@ -124,7 +124,8 @@ class Chain:
         return out
 
     def absorb(self, own: np.ndarray, how: np.ndarray) -> None:
-        """Takes the nodes away, no two of them under one node; what hangs on them hangs on the node above."""
+        """Takes the nodes away; what hangs on them hangs on the node above. Of two under one node, one at most may
+        change its place."""
         up = self.above[own]
         whole = (self.count[own] + self.count[up])[:, None]
         both = np.column_stack([self.place, self.radius])
@@ -139,19 +140,22 @@ class Chain:
         self.above[moved] = to[self.above[moved]]
         self.above[own] = -1
 
-    def settle(self, radius_scale: float, distance_scale: float, rounds: int) -> None:
+    def settle(self, radius_scale: float, distance_scale: float) -> None:
         """Every other level at a time, so that no node goes together with the one above it, until nothing
-        is redundant. A run of nodes halves with each pass."""
-        for _ in range(rounds):
-            before = self.there.sum()
+        is redundant. Those that leave the node above as it is go all at once, of the others one under each node;
+        a run of nodes halves with each pass."""
+        gone = True
+        while gone:
+            gone = False
             for odd in (1, 0):
                 found = self.redundant(radius_scale, distance_scale)
                 own = np.flatnonzero((found > 0) & (self.depth() % 2 == odd))
-                own = own[np.unique(self.above[own], return_index=True)[1]]  # siblings wait for the next round
-                if len(own):
-                    self.absorb(own, found[own])
-            if self.there.sum() == before:
-                return
+                plain = own[found[own] == UPPER]
+                if not len(plain):
+                    plain = own[np.unique(self.above[own], return_index=True)[1]]
+                if len(plain):
+                    self.absorb(plain, found[plain])
+                    gone = True
 
     def links(self) -> list[tuple[int, int]]:
         own = np.flatnonzero(self.there & (self.above >= 0))
@@ -182,13 +186,13 @@ def region_sample(nodes: DataFrame, edges: DataFrame, spare_junctions: bool = Tr
     return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, SCHEMA)
 
 
-def optimal_downsample(nodes: DataFrame, edges: DataFrame, radius_scale: float = RADIUS_SCALE, distance_scale: float = DISTANCE_SCALE, rounds: int = ROUNDS) -> DataFrame:
+def optimal_downsample(nodes: DataFrame, edges: DataFrame, radius_scale: float = RADIUS_SCALE, distance_scale: float = DISTANCE_SCALE) -> DataFrame:
     """Nodes after all merges, each with its neighbours' ids."""
 
     def work(n, e):
         n, v, ends = _arrays(n, e)
         chain = Chain.rooted(v, n["radius_nm"].to_numpy(float), ends)
-        chain.settle(radius_scale, distance_scale, rounds)
+        chain.settle(radius_scale, distance_scale)
         return _out(int(n["body_id"].iloc[0]), n["node_id"].to_numpy(), chain.place, chain.radius, np.flatnonzero(chain.there).tolist(), chain.links())
 
     return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, SCHEMA)

@@ -121,10 +121,10 @@ def percent_rank(df: DataFrame, value: str, tie: str, rows_each: int = RANGE_ROW
     at, _ = ranges(df.where(F.col(value).isNotNull() & F.col(tie).isNotNull()), [value, tie], rows_each)
     parts = df.withColumn("part", F.when(F.col(value).isNull(), -1).otherwise(at))
     sizes = parts.groupBy("part").agg(F.count("*").alias("k"))
-    before = sizes.select("part", (F.sum("k").over(Window.orderBy("part")) - F.col("k")).alias("before"), F.sum("k").over(Window.partitionBy()).alias("n"))
+    before = sizes.select("part", (F.sum("k").over(Window.orderBy("part")) - F.col("k")).alias("before"))
     own = F.row_number().over(Window.partitionBy("part").orderBy(value, tie)) - 1
     ranked_ = parts.withColumn("own", own).join(F.broadcast(before), "part")  # at most 1,025 ranges
-    return ranked_.withColumn("rank", (F.col("own") + F.col("before")) / F.greatest(F.col("n") - 1, F.lit(1))).drop("part", "own", "before", "n")
+    return ranked_.withColumn("rank", (F.col("own") + F.col("before")) / F.lit(max(df.count() - 1, 1))).drop("part", "own", "before")
 
 
 def banded(df: DataFrame, rank: str, bands: dict[str, tuple[float, float]]) -> DataFrame:

@@ -24,20 +24,26 @@ DUST, MIN_LENGTH, COVER_SCALE, COVER_CONST = 50, 10.0, 1.2, 2.0
 STEPS = np.array([(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) > (0, 0, 0)])
 
 
-def depth(cells: np.ndarray) -> np.ndarray:
-    """Distance of each voxel to the nearest one that isn't in the list, axis by axis."""
-    low = cells.min(axis=0) - 1
-    shape = cells.max(axis=0) - low + 2
-    square = np.zeros(shape)
-    square[tuple((cells - low).T)] = np.inf
+def depth(cells: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | None = None) -> np.ndarray:
+    """Distance of each voxel to the nearest one that isn't in the list, axis by axis. Nothing is known, and so
+    nothing is background, before the corner low and beyond the corner high; without them all else is. Where no
+    background is known at all, the distance is the length of the longest axis."""
+    first, last = cells.min(axis=0) - 1, cells.max(axis=0) + 1
+    first = first if low is None else np.maximum(first, low)
+    last = last if high is None else np.minimum(last, high)
+    square = np.zeros(last - first + 1)
+    square[tuple((cells - first).T)] = np.inf
     for axis in range(3):
         rows = np.moveaxis(square, axis, 0)
         out = rows.copy()
         for step in range(1, len(rows)):
+            if step * step >= out.max():
+                break
             out[step:] = np.minimum(out[step:], rows[:-step] + step * step)
             out[:-step] = np.minimum(out[:-step], rows[step:] + step * step)
         square = np.moveaxis(out, 0, axis)
-    return np.sqrt(square[tuple((cells - low).T)])
+    found = np.sqrt(square[tuple((cells - first).T)])
+    return np.where(np.isinf(found), float(max(square.shape)), found)
 
 
 def neighbours(cells: np.ndarray) -> np.ndarray:
@@ -75,12 +81,14 @@ def parents(n: int, pairs: np.ndarray, weight: np.ndarray, root: int) -> np.ndar
     return before
 
 
-def trace(cells: np.ndarray, doors: np.ndarray, dust: int = DUST, min_length: float = MIN_LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def trace(cells: np.ndarray, doors: np.ndarray, dust: int = DUST, min_length: float = MIN_LENGTH, low: np.ndarray | None = None, high: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Voxels of the skeleton, their radii, and edges. doors marks voxels on a face of the block beyond
-    which the body may go on: the deepest voxel of each patch of them is always reached."""
+    which the body may go on: the deepest voxel of each patch of them is always reached. low and high are the
+    corners of what is known, as the depth has it."""
     order = np.lexsort(cells.T[::-1])
+    radius = depth(cells[order], low, high)
     cells, doors = cells[order] - cells.min(axis=0), doors[order]
-    radius, pairs = depth(cells), neighbours(cells)
+    pairs = neighbours(cells)
     label = components(len(cells), pairs)
     cost = 1.0 / (1.0 + radius**2)
     size = np.sqrt(((cells[pairs[:, 0]] - cells[pairs[:, 1]]) ** 2).sum(axis=1)) if len(pairs) else np.zeros(0)
@@ -96,12 +104,13 @@ def trace(cells: np.ndarray, doors: np.ndarray, dust: int = DUST, min_length: fl
         step = size[label[pairs[:, 0]] == part]
         local = place[inner]
         plain = np.zeros(len(inner), bool)
-        root = int(np.argmax(shortest(len(own), local, step, plain, [0])[0]))
-        far = shortest(len(own), local, step, plain, [root])[0]
-        before = parents(len(own), local, step * (cost[inner[:, 0]] + cost[inner[:, 1]]), root)
         touching = doors[own[local[:, 0]]] & doors[own[local[:, 1]]] if len(local) else np.zeros(0, bool)
         patch = components(len(own), local[touching])
         targets = [int(max(np.flatnonzero(doors[own] & (patch == p)), key=lambda i: (radius[own[i]], -i))) for p in np.unique(patch[doors[own]])]
+        # a path begins at a door if there is one, not at the rim of the face
+        root = targets.pop() if targets else int(np.argmax(shortest(len(own), local, step, plain, [0])[0]))
+        far = shortest(len(own), local, step, plain, [root])[0]
+        before = parents(len(own), local, step * (cost[inner[:, 0]] + cost[inner[:, 1]]), root)
         covered, on = np.zeros(len(own), bool), {root}
         first = len(edges)
         while True:
@@ -142,7 +151,7 @@ def skeletonize_blocks(voxels: DataFrame, block: int, nm: float, dust: int = DUS
         cells = rows[[*AXES]].to_numpy(np.int64)
         at = rows[["bz", "by", "bx"]].iloc[0].to_numpy(np.int64) * block
         doors = ((cells == at) & (at > 0)).any(axis=1) | (cells == at + block).any(axis=1)
-        keep, radius, edges = trace(cells, doors, dust, min_length)
+        keep, radius, edges = trace(cells, doors, dust, min_length, at, at + block)
         near: list[list[int]] = [[] for _ in keep]
         for a, b in edges:
             near[max(a, b)].append(int(min(a, b)))

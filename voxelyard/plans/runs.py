@@ -76,7 +76,7 @@ def crop_to_physical(spark, d):
     """Nodes as if given from the corner of their body's crop."""
     nodes, _ = skeletons(spark, d)
     moved = frames.to_physical({a: F.col("body_id") + k for k, a in enumerate("zyx")}, (8.0, 4.0, 2.0))
-    return rounded(nodes.select("body_id", "node_id", *[c.alias(n) for n, c in moved.items()]))
+    return rounded(nodes.select("body_id", "node_id", *[c.alias(n) for n, c in moved.items()]), 6)  # ties at four places
 
 
 def flat_places(spark, d):
@@ -169,7 +169,7 @@ SQL = {
     "dust_filter": f"WITH {VOXELS} SELECT body_id, label, count(*) AS n FROM voxels GROUP BY body_id, label HAVING count(*) >= 9",
     "finite_values": "SELECT p_partkey, p_partkey::DOUBLE AS value FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 17 <> 0 AND p_partkey % 4 > 0",
     "physical_boxes": f"WITH {VOXELS} SELECT body_id, min(z) * 8.0::DOUBLE AS z0_nm, min(y) * 4.0::DOUBLE AS y0_nm, min(x) * 2.0::DOUBLE AS x0_nm, (max(z) + 1) * 8.0::DOUBLE AS z1_nm, (max(y) + 1) * 4.0::DOUBLE AS y1_nm, (max(x) + 1) * 2.0::DOUBLE AS x1_nm FROM voxels WHERE body_id <> 0 GROUP BY body_id",
-    "crop_to_physical": f"WITH {NODES} SELECT body_id, node_id, round(z_nm + body_id * 8, 4) AS z_nm, round(y_nm + (body_id + 1) * 4, 4) AS y_nm, round(x_nm + (body_id + 2) * 2, 4) AS x_nm FROM nodes",
+    "crop_to_physical": f"WITH {NODES} SELECT body_id, node_id, round(z_nm + body_id * 8, 6) AS z_nm, round(y_nm + (body_id + 1) * 4, 6) AS y_nm, round(x_nm + (body_id + 2) * 2, 6) AS x_nm FROM nodes",
     "flat_places": f"WITH {VOXELS} SELECT DISTINCT (z % 64)::BIGINT + (y % 96) * 64 + (x % 50) * 6144 AS place, z % 64 AS z, y % 96 AS y, x % 50 AS x FROM voxels",
     "skeleton_graph": f"WITH {NODES}, {EDGES}, {ENDS}, w AS (SELECT body_id, src, dst, round(greatest(length_nm, 1e-6), 6) AS weight FROM ends WHERE src <> dst) SELECT body_id, src AS node_id, dst AS other, weight FROM w UNION ALL SELECT body_id, dst, src, weight FROM w",
     "neighbour_costs": f"WITH {_DENSE} SELECT a.body_id, a.z, a.y, a.x, count(*) AS n, round(sum(sqrt((a.z-b.z)*(a.z-b.z)+(a.y-b.y)*(a.y-b.y)+(a.x-b.x)*(a.x-b.x)) * (a.cost + b.cost)), 6) AS cost FROM dense a, dense b, range(-1, 2) i(i), range(-1, 2) j(j), range(-1, 2) k(k) WHERE a.body_id = b.body_id AND b.z = a.z + i AND b.y = a.y + j AND b.x = a.x + k AND (i > 0 OR (i = 0 AND j > 0) OR (i = 0 AND j = 0 AND k > 0)) GROUP BY a.body_id, a.z, a.y, a.x",
