@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.frames import AXES
 from . import calibre
@@ -50,14 +51,35 @@ def near_points(points: DataFrame, centres: DataFrame, radius: float, key: list[
     return points.join(hit, key, "left").withColumn("in_roi", F.coalesce("hit", F.lit(False))).drop("hit")
 
 
+def in_runs(points: DataFrame, runs: DataFrame, nm: tuple[float, float, float], origin: tuple[float, float, float] = (0.0, 0.0, 0.0)) -> DataFrame:
+    """Points with in_roi: whether the voxel they lie in is on a run (z, y, x0, x1, both ends included) of a row.
+
+    Points and runs of a row are put in one order, and a point is within a run if the furthest end of those that start
+    no later isn't before it. So runs may overlap, and a run of any length is one row."""
+    at = [c.alias(n) for c, n in zip(voxel_at(nm, origin), ("rz", "ry", "rx"))]
+    names = points.columns
+    rows = points.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("point"), *at, F.lit(1).alias("kind"), F.lit(None).cast("long").alias("end"))
+    spans = runs.where("x1 >= x0").select(F.lit(None).cast(rows.schema["point"].dataType).alias("point"), *[F.col(a).cast("long").alias(n) for a, n in (("z", "rz"), ("y", "ry"), ("x0", "rx"))], F.lit(0).alias("kind"), F.col("x1").cast("long").alias("end"))
+    before = Window.partitionBy("rz", "ry").orderBy("rx", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.union(spans).withColumn("end", F.max("end").over(before)).where("kind = 1")
+    return met.select("point.*", F.coalesce(F.col("end") >= F.col("rx"), F.lit(False)).alias("in_roi"))
+
+
 # ---- predicates -------------------------------------------------------------------------------------
 def mask(cells: np.ndarray, nm: tuple[float, float, float], origin: tuple[float, float, float] = (0.0, 0.0, 0.0)) -> Region:
     """Whether a place lies in one of the voxels, which are those of one region."""
-    held = {tuple(c) for c in np.asarray(cells, np.int64).reshape(-1, 3).tolist()}
+    cells = np.asarray(cells, np.int64).reshape(-1, 3)
+    low = cells.min(axis=0) if len(cells) else np.zeros(3, np.int64)
+    size = cells.max(axis=0) - low + 1 if len(cells) else np.zeros(3, np.int64)
+    key = lambda c: (c[:, 0] * size[1] + c[:, 1]) * size[2] + c[:, 2]
+    held = np.unique(key(cells - low))
 
     def inside(p: np.ndarray) -> np.ndarray:
-        at = np.floor((np.asarray(p, float).reshape(-1, 3) - origin) / nm).astype(np.int64)
-        return np.fromiter((tuple(c) in held for c in at.tolist()), bool, len(at))
+        at = np.floor((np.asarray(p, float).reshape(-1, 3) - origin) / nm).astype(np.int64) - low
+        fits = ((at >= 0) & (at < size)).all(axis=1)
+        own = key(at)
+        place = np.minimum(np.searchsorted(held, own), len(held) - 1)
+        return fits & (held[place] == own) if len(held) else fits
 
     return inside
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import runs, skeletons, sweeps, tidy
+from . import fields, runs, skeletons, sweeps, tidy
 
-PLANS = (sweeps, skeletons, tidy, runs)
+PLANS = (sweeps, skeletons, tidy, runs, fields)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -63,7 +63,9 @@ def bodies_by_size(spark, d):
 
 
 def block_grid(spark, d):
-    return frames.grid(spark, (1500, 700, 50), 512)
+    """The blocks of a volume as large as the voxels need."""
+    shape = voxels(spark, d).agg(*[F.max(a) + 1 for a in frames.AXES]).first()
+    return frames.grid(spark, tuple(shape), BLOCK)
 
 
 def blocks_roi(spark, d):
@@ -172,7 +174,7 @@ SQL = {
     "verify_compartments": f"WITH {VOXELS}, {_TOTAL} SELECT count(*) AS n_bodies, count(*) FILTER (WHERE total <> summed) AS n_mismatched, CAST(coalesce(sum(total - summed), 0) AS BIGINT) AS voxels_missing, round(sum(total - summed)::DOUBLE / sum(total), 9) AS fraction_missing FROM checked",
     "verify_worst10": f"WITH {VOXELS}, {_TOTAL} SELECT body_id, total, summed FROM checked WHERE total <> summed ORDER BY total - summed DESC, body_id LIMIT 10",
     "bodies_by_size": f"WITH {VOXELS} SELECT body_id, count(*) AS voxel_count FROM voxels WHERE body_id <> 0 GROUP BY body_id HAVING count(*) >= 600 ORDER BY 2 DESC, 1 LIMIT 20",
-    "block_grid": "SELECT CAST(bz AS INT) AS bz, CAST(\"by\" AS INT) AS \"by\", CAST(bx AS INT) AS bx, CAST(bz*512 AS INT) AS z0, CAST(\"by\"*512 AS INT) AS y0, CAST(bx*512 AS INT) AS x0, CAST(least(bz*512+512,1500) AS INT) AS z1, CAST(least(\"by\"*512+512,700) AS INT) AS y1, CAST(least(bx*512+512,50) AS INT) AS x1 FROM range(3) a(bz), range(2) b(\"by\"), range(1) c(bx)",
+    "block_grid": f"WITH {VOXELS}, s AS (SELECT max(z) + 1 AS nz, max(y) + 1 AS ny, max(x) + 1 AS nx FROM voxels), b AS (SELECT *, unnest(range((nx + 511) // 512)) AS bx FROM (SELECT *, unnest(range((ny + 511) // 512)) AS \"by\" FROM (SELECT *, unnest(range((nz + 511) // 512)) AS bz FROM s))) SELECT CAST(bz AS INT) AS bz, CAST(\"by\" AS INT) AS \"by\", CAST(bx AS INT) AS bx, CAST(bz*512 AS INT) AS z0, CAST(\"by\"*512 AS INT) AS y0, CAST(bx*512 AS INT) AS x0, CAST(least(bz*512+512,nz) AS INT) AS z1, CAST(least(\"by\"*512+512,ny) AS INT) AS y1, CAST(least(bx*512+512,nx) AS INT) AS x1 FROM b",
     "blocks_roi": f"WITH {VOXELS}, b AS (SELECT DISTINCT z//512 AS bz, y//512 AS \"by\", x//512 AS bx FROM voxels) SELECT CAST(bz AS INT) AS bz, CAST(\"by\" AS INT) AS \"by\", CAST(bx AS INT) AS bx FROM b WHERE bz*512 < 4000 AND bz*512+512 > 512 AND \"by\"*512 < 1500 AND \"by\"*512+512 > 100 AND bx*512 < 40 AND bx*512+512 > 5",
     "occupancy_blocks": f"WITH {VOXELS}, c AS (SELECT DISTINCT CAST(z//64 AS INT)*8 AS z, CAST(y//64 AS INT)*8 AS y, CAST(x//64 AS INT)*8 AS x FROM voxels WHERE body_id <> 0), b AS (SELECT DISTINCT z//128 AS bz, y//128 AS cy, x//128 AS bx FROM c WHERE z//128 < 200 AND y//128 < 40 AND x//128 < 2) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 199 AND cy+dy BETWEEN 0 AND 39 AND bx+dx BETWEEN 0 AND 1",
     "roi_block_mask": f"WITH {VOXELS}, b AS (SELECT DISTINCT z//256 AS bz, y//256 AS cy, x//256 AS bx FROM voxels WHERE label = 7) SELECT DISTINCT CAST(bz+dz AS INT) AS bz, CAST(cy+dy AS INT) AS \"by\", CAST(bx+dx AS INT) AS bx FROM b, {_MOVES} WHERE bz+dz BETWEEN 0 AND 59 AND cy+dy BETWEEN 0 AND 7 AND bx+dx BETWEEN 0 AND 0",
