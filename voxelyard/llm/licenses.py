@@ -3,9 +3,9 @@
 A rule is a regex with a keyword, a label, a priority and a confidence: each of the names of ``NAMES`` in each
 of the forms of ``FORMS`` in which a license is named, and each of the sentences of license texts of
 ``SENTENCES``, all written by hand.  A blank in a rule stands for any run of white space and comment marks, so
-wrapped and commented headers match in place.  A text passes one cheap test first; then only rules whose
-keyword it holds are tried, by a join of its keywords with the rule table, which is a constant of this
-module.  The forms of a name are tried in one pass, as alternatives, and what a match begins with tells which
+wrapped and commented headers match in place.  Only rules whose keyword a text holds are tried; their patterns are constants
+of the plan, compiled once a task.  A keyword is three letters or more that every match holds in one piece, however it is wrapped, so the keywords
+themselves are the gate.  The forms of a name are tried in one pass, as alternatives, and what a match begins with tells which
 it is.
 
 Detections may overlap, as "apache license, version 2.0" and "apache license" do.  A detection that lies
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import ascii_lower, column, table
-from .spans import pieces
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,14 +41,14 @@ GAP = r"[\x20\x09-\x0D*#/;%>|]++"
 #: Fixed values. Label, pattern of the license's name, keyword that every match holds, and whether the name
 #: has a version, so that it needs no "license" after it. The first of two equal matches counts.
 VERSION = r"(?:,? v(?:ersion|er)?\.? ?|,? |-|/)?v?"
-CREATIVE = {
-    "cc-by-nc-nd": r"(?:cc~by~nc~nd|creative commons attribution~non ?commercial~no ?deriv(?:ative)?s)", "cc-by-nc-sa": r"(?:cc~by~nc~sa|creative commons attribution~non ?commercial~share ?alike)",
-    "cc-by-nc": r"(?:cc~by~nc|creative commons attribution~non ?commercial)", "cc-by-nd": r"(?:cc~by~nd|creative commons attribution~no ?deriv(?:ative)?s)",
-    "cc-by-sa": r"(?:cc~by~sa|creative commons attribution~share ?alike)", "cc-by": r"(?:cc~by|creative commons attribution)",
-}
+CREATIVE = [  # label, short and long name
+    ("cc-by-nc-nd", "cc~by~nc~nd", r"creative commons attribution~non ?commercial~no ?deriv(?:ative)?s"), ("cc-by-nc-sa", "cc~by~nc~sa", "creative commons attribution~non ?commercial~share ?alike"),
+    ("cc-by-nc", "cc~by~nc", "creative commons attribution~non ?commercial"), ("cc-by-nd", "cc~by~nd", r"creative commons attribution~no ?deriv(?:ative)?s"),
+    ("cc-by-sa", "cc~by~sa", "creative commons attribution~share ?alike"), ("cc-by", "cc~by", "creative commons attribution"),
+]
 NAMES = [
-    *[(label, name + VERSION + r"[1-4]\.0(?: international)?", "c", True) for label, name in CREATIVE.items()],
-    *[(label, name, "c", False) for label, name in CREATIVE.items()],
+    *[(label, name + VERSION + r"[1-4]\.0(?: international)?", keyword, True) for label, *names in CREATIVE for name, keyword in zip(names, ("cc-by", "creative"))],
+    *[(label, name, keyword, False) for label, *names in CREATIVE for name, keyword in zip(names, ("cc-by", "creative"))],
     ("apache-2.0", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"2(?:\.0)?", "apache", True),
     ("apache-1.1", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"1\.1", "apache", True),
     ("apache-1.0", r"apache(?: software)?(?: licen[sc]e)?" + VERSION + r"1\.0", "apache", True),
@@ -72,22 +71,28 @@ NAMES = [
     ("mpl-2.0", r"mozilla public licen[sc]e" + VERSION + r"2(?:\.0)?", "mozilla", True),
     ("mpl-1.1", r"mpl" + VERSION + r"1\.1", "mpl", True),
     ("mpl-2.0", r"mpl" + VERSION + r"2(?:\.0)?", "mpl", True),
-    ("epl-1.0", r"(?:eclipse public licen[sc]e|epl)" + VERSION + r"1(?:\.0)?", "e", True),
-    ("epl-2.0", r"(?:eclipse public licen[sc]e|epl)" + VERSION + r"2(?:\.0)?", "e", True),
+    ("epl-1.0", r"eclipse public licen[sc]e" + VERSION + r"1(?:\.0)?", "eclipse", True),
+    ("epl-1.0", r"epl" + VERSION + r"1(?:\.0)?", "epl", True),
+    ("epl-2.0", r"eclipse public licen[sc]e" + VERSION + r"2(?:\.0)?", "eclipse", True),
+    ("epl-2.0", r"epl" + VERSION + r"2(?:\.0)?", "epl", True),
     ("artistic-2.0", r"artistic licen[sc]e" + VERSION + r"2(?:\.0)?", "artistic", True),
-    ("eupl-1.2", r"(?:european union public licen[sc]e|eupl)" + VERSION + r"1\.2", "eu", True),
-    ("boost-1.0", r"(?:boost software licen[sc]e|bsl)" + VERSION + r"1\.0", "b", True),
+    ("eupl-1.2", r"european union public licen[sc]e" + VERSION + r"1\.2", "european", True),
+    ("eupl-1.2", r"eupl" + VERSION + r"1\.2", "eupl", True),
+    ("boost-1.0", r"boost software licen[sc]e" + VERSION + r"1\.0", "boost", True),
+    ("boost-1.0", r"bsl" + VERSION + r"1\.0", "bsl", True),
     ("bsd-2-clause", r"(?:simplified bsd|bsd~2~clause|(?:2|two)~clause bsd)", "bsd", True),
     ("bsd-3-clause", r"(?:new bsd|modified bsd|revised bsd|bsd~3~clause|(?:3|three)~clause bsd)", "bsd", True),
     ("bsd-4-clause", r"(?:original bsd|bsd~4~clause|(?:4|four)~clause bsd)", "bsd", True),
     ("0bsd", r"(?:0bsd|zero~clause bsd|bsd zero~clause)", "bsd", True),
-    ("cc0", r"(?:cc0|creative commons zero)(?:" + VERSION + r"1\.0)?(?: universal)?", "c", True),
+    ("cc0", r"cc0(?:" + VERSION + r"1\.0)?(?: universal)?", "cc0", True),
+    ("cc0", r"creative commons zero(?:" + VERSION + r"1\.0)?(?: universal)?", "creative", True),
     ("mit", r"mit", "mit", False),
     ("x11", r"x11", "x11", False),
     ("isc", r"isc", "isc", False),
     ("apache", r"apache(?: software)?", "apache", False),
     ("bsd", r"bsd", "bsd", False),
-    ("agpl", r"(?:gnu )?(?:affero general public|agpl)", "a", False),
+    ("agpl", r"(?:gnu )?affero general public", "affero", False),
+    ("agpl", r"(?:gnu )?agpl", "agpl", False),
     ("lgpl", r"(?:gnu )?(?:lesser|library) general public", "general", False),
     ("lgpl", r"(?:gnu )?lgpl", "lgpl", False),
     ("gpl", r"(?:gnu )?general public", "general", False),
@@ -96,7 +101,8 @@ NAMES = [
     ("mpl", r"mozilla public", "mozilla", False),
     ("mpl", r"mpl", "mpl", False),
     ("epl", r"eclipse public", "eclipse", False),
-    ("cddl", r"(?:common development and distribution|cddl)", "d", False),
+    ("cddl", r"common development and distribution", "development", False),
+    ("cddl", r"cddl", "cddl", False),
     ("cpl", r"common public", "common", False),
     ("ipl", r"ibm public", "ibm", False),
     ("eupl", r"european union public", "european", False),
@@ -106,8 +112,10 @@ NAMES = [
     ("zlib", r"zlib(?:/libpng)?", "zlib", False),
     ("boost", r"boost software", "boost", False),
     ("unlicense", r"(?:the )?unlicense", "unlicense", True),
-    ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "w", True),
-    ("python", r"(?:python software foundation|psf)", "p", False),
+    ("wtfpl", r"do what the fuck you want to public licen[sc]e", "fuck", True),
+    ("wtfpl", r"wtfpl", "wtfpl", True),
+    ("python", r"python software foundation", "python", False),
+    ("python", r"psf", "psf", False),
     ("ruby", r"ruby", "ruby", False),
     ("php", r"php", "php", False),
     ("postgresql", r"postgresql", "postgresql", False),
@@ -184,8 +192,10 @@ SENTENCES = [
     (r"all rights reserved", "reserved", "proprietary"),
     (r"this software is (?:the )?(?:confidential and )?proprietary", "proprietary", "proprietary"),
 ]
-#: What a text must hold for any rule to be tried.
-GATE = r"(?i)licen[sc]e|spdx|gpl|\b(?:mpl|epl|apache|bsd|cc0|cc[ -]by|wtfpl)|creative\s|permission|redistributions?\s|neither\s+the\s+name|free\s+software|public\s+domain|unencumbered|express\s|altered\s+source|in\s+the\s+hope|rights\s|confidential\s|proprietary|under\s|regents\s|university\s+of|advertising\s+materials|includes\s+software|free\s+to\s+share|may\s+not\s+use|either\s+version|governed\s"
+#: Names that are words of other subjects: alone, "license" must end the phrase or be followed by a version.
+AMBIGUOUS = ("ruby", "vim", "php", "tcl", "elastic")
+#: Keywords that are no plain text: what they stand for may be wrapped.
+WRAPPED = {"cc-by": "cc~by"}
 
 
 def written(pattern: str) -> str:
@@ -198,7 +208,8 @@ def passes() -> list[tuple[int, str, str, str, bool]]:
     out = []
     for label, name, keyword, versioned in NAMES:
         before = [f for f, _, _ in FORMS if f]
-        need = "" if versioned else r"(?= licen[sc]e)"  # a name alone, or after "subject to", needs the word
+        # a name alone, or after "subject to", needs the word
+        need = "" if versioned else r"(?= licen[sc]e(?![a-z]))" if label not in AMBIGUOUS else r"(?= licen[sc]e(?:,? v(?:ersion|er)?\.? ?[0-9]| ?[.,;:)]| ?$))"
         free = "|".join(f for k, f in enumerate(before) if k != 3)
         out.append((keyword, rf"(?<![a-z0-9])(?:(?:{free}){name}|(?:{before[3]})?{name}{need}){AFTER}", label, True))
     out += [(keyword, rf"(?<![a-z0-9]){pattern}", label, False) for pattern, keyword, label in SENTENCES]
@@ -213,31 +224,34 @@ def n_rules() -> int:
 def scan(docs: DataFrame) -> DataFrame:
     """A row per document row: row, doc_id, n_words, n_base, first_word, last_word, base_labels, labels
     (sorted arrays), detections (array of start, end, label, score), score."""
-    spark = docs.sparkSession
-    ruled = F.broadcast(spark.createDataFrame(passes(), "rule int, keyword string, pattern string, label string, named boolean"))
-    keywords = sorted({r[1] for r in passes()})
-
+    rules: dict[str, list] = {}
+    for rule in passes():
+        rules.setdefault(rule[1], []).append(rule)
     text = F.coalesce(column(docs, "text", "string"), F.lit(""))
-    low = F.when(F.col("text").rlike(GATE), ascii_lower(F.col("text")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), column(docs, "doc_id", "long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("row", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), low.alias("low"))
-    # of base phrases, pieces are measured in spaces: one stands before each word
-    spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" ")))
-    line = F.concat(F.lit(" "), F.trim(F.regexp_replace("low", NOT_WORD, " ")), F.lit(" "))
-    phrase = [F.when(F.col("line").contains(p), pieces(F.col("line"), F.lit(-1 - k), F.lit(f"(?<= ){p}(?= )"), spaces)).otherwise(F.array().cast("array<struct<kind:int,pos:int,lead:int,own:int,match:string,before:string>>")) for k, p in enumerate(BASE)]
-    slim = lambda a: F.transform(a, lambda x: F.struct(F.lit(None).cast("string").alias("keyword"), x["kind"].alias("kind"), x["pos"].alias("pos"), x["lead"].alias("lead"), x["own"].alias("own")))
-    none = F.lit(None).cast("int")
-    tried = F.transform(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("low"), k)), lambda k: F.struct(k.alias("keyword"), none.alias("kind"), none.alias("pos"), none.alias("lead"), none.alias("own")))
-    rows = rows.withColumn("line", F.when(F.col("low").isNotNull(), line))
-    work = rows.select("row", "doc_id", "n_words", "low", F.explode_outer(F.when(F.col("low").isNotNull(), F.concat(*map(slim, phrase), tried))).alias("x"))
-    work = work.select("row", "doc_id", "n_words", "low", "x.*").join(ruled, "keyword", "left")
-    own = F.struct(F.col("pos"), F.col("lead"), F.col("own"), F.lit(None).cast("int").alias("form"))
-    begins = lambda m: F.coalesce(*[F.when(m.rlike("^(?:" + written(f) + ")"), k) for k, (f, _, _) in enumerate(FORMS)])
-    form = lambda m: F.when(F.col("named") & m.isNotNull(), begins(m))
-    by_rule = F.transform(pieces(F.col("low"), F.lit(0), F.col("pattern")), lambda x: F.struct(x["pos"].alias("pos"), x["lead"].alias("lead"), x["own"].alias("own"), form(x["match"]).alias("form")))
-    hits = F.when(F.col("kind") < 0, F.array(own)).when(F.expr("low rlike pattern"), by_rule)
-    each = work.select("row", "doc_id", "n_words", F.coalesce("kind", "rule").alias("rule"), "label", F.explode_outer(hits).alias("h"))
-    each = each.select("row", "doc_id", "n_words", "rule", "label", "h.*").repartition("row")
+    # the built-in lower-casing is the faster one and leaves no keyword out; a base phrase holds one, too
+    held = lambda k: F.col("any").rlike(written(WRAPPED[k])) if k in WRAPPED else F.contains(F.col("any"), F.lit(k))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")).withColumn("any", F.lower("text"))
+    rows = rows.withColumn("found", F.array_compact(F.array(*[F.when(held(k), F.lit(k)) for k in sorted(rules)])))
+    rows = rows.select("row", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), "found", F.when(F.size("found") > 0, ascii_lower(F.col("text"))).alias("low"))
+    rows = rows.withColumn("line", F.concat(F.lit(" "), F.trim(F.regexp_replace("low", NOT_WORD, " ")), F.lit(" ")))
+    quoted = lambda t: "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def hits(source: str, rule: int, pattern: str, measure: str) -> str:
+        """Matches of a pattern, which is a constant of the plan and so compiled once a task. As text, for the rules are
+        many: a match's place, what stands between the last one and it, its own length, and itself."""
+        both = f"arrays_zip(split({source}, {quoted(pattern)}, -1), regexp_extract_all({source}, {quoted(pattern)}, 0))"
+        return f"filter(transform({both}, (z, i) -> struct({rule} AS rule, i AS pos, {measure.format('z.`0`')} AS lead, {measure.format('z.`1`')} AS own, z.`1` AS match)), x -> x.own IS NOT NULL)"
+
+    none = "CAST(array() AS array<struct<rule:int,pos:int,lead:int,own:int,match:string>>)"
+    spaces = "(length({0}) - length(replace({0}, ' ')))"  # of base phrases, pieces are measured in spaces: one stands before each word
+    parts = [f"CASE WHEN contains(line, {quoted(p)}) THEN {hits('line', -1 - k, f'(?<= ){p}(?= )', spaces)} ELSE {none} END" for k, p in enumerate(BASE)]
+    for keyword, own in sorted(rules.items()):
+        tried = ", ".join(hits("low", i, pattern, "length({0})") for i, _, pattern, _, _ in own)
+        parts.append(f"CASE WHEN array_contains(found, {quoted(keyword)}) THEN concat({tried}) ELSE {none} END")
+    each = rows.select("row", "doc_id", "n_words", F.explode_outer(F.expr(f"concat({', '.join(parts)})")).alias("h")).select("row", "doc_id", "n_words", "h.*")
+    told = lambda k: F.when(F.col("rule") >= 0, F.element_at(F.array(*[F.lit(r[k]) for r in passes()]), F.col("rule") + 1))
+    form = F.coalesce(*[F.when(F.col("match").rlike("^(?:" + written(f) + ")"), k) for k, (f, _, _) in enumerate(FORMS)])
+    each = each.select("row", "doc_id", "n_words", "rule", "pos", "lead", "own", told(3).alias("label"), F.when(told(4), form).alias("form")).repartition("row")
     of_form = lambda k, told: F.when(F.col("form").isNull(), told).otherwise(F.element_at(F.array(*[F.lit(f[k]) for f in FORMS]), F.col("form") + 1))
     each = each.withColumns({"priority": of_form(1, 5), "confidence": of_form(2, 0.95)})
 
