@@ -189,9 +189,19 @@ def tables(spark, nodes, edges):
     return spark.createDataFrame(nodes, "body_id long, node_id long, z_nm double, y_nm double, x_nm double"), spark.createDataFrame(edges, "body_id long, edge_id long, src long, dst long")
 
 
+def test_near_pairs_by_brute_force():
+    v = np.random.default_rng(5).uniform(-20, 20, (150, 3))
+    v[:20] = v[20:40]
+    want = {(i, j) for i, j in itertools.combinations(range(150), 2) if ((v[i] - v[j]) ** 2).sum() <= 49}
+    got = graph.near_pairs(v, 7.0)
+    assert len(got) == len(want) and set(map(tuple, got.tolist())) == want
+    assert not len(graph.near_pairs(v[:0], 1.0)) and not len(graph.near_pairs(v, 0.0))
+
+
 @pytest.mark.parametrize("seed", range(2))
-def test_bridges_are_a_least_forest(spark, seed):
-    """Against Kruskal's method over all pairs."""
+def test_bridges_are_a_least_forest(spark, monkeypatch, seed):
+    """Against Kruskal's method over all pairs, with components by stars, too."""
+    monkeypatch.setattr(wide.labels, "__defaults__", (0 if seed else wide.FEW,))
     nodes, edges = made_up(seed)
     got = {}
     for r in wide.bridges(*tables(spark, nodes, edges), 12.0).collect():
@@ -213,7 +223,8 @@ def test_bridges_are_a_least_forest(spark, seed):
         wide.bridges(*tables(spark, nodes, edges), -1.0)
 
 
-def test_components_and_distances_as_by_body(spark):
+def test_components_and_distances_as_by_body(spark, monkeypatch):
+    monkeypatch.setattr(wide.labels, "__defaults__", (0,))
     nodes, edges = made_up(7, 80)
     line = [(9, i, float(i), 0.0, 0.0) for i in range(600)]  # a long run, and a ring that no source is on
     ring = [(9, 1000 + i, 0.0, float(i), 5.0) for i in range(6)]

@@ -64,22 +64,41 @@ def lengths(v: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.sqrt(((v[edges[:, 0]] - v[edges[:, 1]]) ** 2).sum(axis=1)) if len(edges) else np.zeros(0)
 
 
+def near_pairs(v: np.ndarray, reach: float) -> np.ndarray:
+    """Pairs (i, j), i < j, of places at most reach apart: places are put in cells of that side, and each meets the places
+    of its cell and of the half of the cells around that come later."""
+    if not len(v) or reach <= 0:
+        return np.zeros((0, 2), np.int64)
+    cell = np.floor(v / reach).astype(np.int64)
+    cell -= cell.min(axis=0) - 1
+    size = cell.max(axis=0) + 2
+    key = (cell[:, 0] * size[1] + cell[:, 1]) * size[2] + cell[:, 2]
+    order = np.argsort(key, kind="stable")
+    held, out = key[order], []
+    for i, j, k in ((i, j, k) for i in (0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)):
+        to = held + (i * size[1] + j) * size[2] + k
+        first = np.arange(1, len(held) + 1) if not (i or j or k) else np.searchsorted(held, to)
+        n = np.maximum(np.searchsorted(held, to, side="right") - first, 0)
+        a = np.repeat(np.arange(len(held)), n)
+        b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        pairs = np.stack([order[a], order[b]], axis=1)
+        out.append(pairs[((v[pairs[:, 0]] - v[pairs[:, 1]]) ** 2).sum(axis=1) <= reach * reach])
+    return np.sort(np.concatenate(out), axis=1)
+
+
 def bridges(v: np.ndarray, edges: np.ndarray, gap: float) -> np.ndarray:
     """Edges that join components at most gap apart: of each pair of components its shortest link, and
     of these, shortest first, those that close no cycle."""
     if gap < 0:
         raise ValueError("a gap isn't negative")
     label = components(len(v), edges)
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    if gap > 0 and len(np.unique(label)) > 1:
-        for i in range(len(v)):  # a row of distances at a time
-            d = np.sqrt(((v[i + 1 :] - v[i]) ** 2).sum(axis=1))
-            for j in np.flatnonzero((d <= gap) & (label[i + 1 :] != label[i])):
-                pair = tuple(sorted((int(label[i]), int(label[i + 1 + j]))))
-                best[pair] = min(best.get(pair, (np.inf, 0, 0)), (float(d[j]), i, int(i + 1 + j)))
+    pairs = near_pairs(v, gap) if gap > 0 and len(np.unique(label)) > 1 else np.zeros((0, 2), np.int64)
+    pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
+    size = np.sqrt(((v[pairs[:, 0]] - v[pairs[:, 1]]) ** 2).sum(axis=1))
     sets, out = Union(len(v)), []
-    for (a, b), (_, i, j) in sorted(best.items(), key=lambda x: x[1]):
-        if sets.join(a, b):
+    for k in np.lexsort((pairs[:, 1], pairs[:, 0], size)):
+        i, j = pairs[k].tolist()
+        if sets.join(int(label[i]), int(label[j])):
             out.append((i, j))
     return np.array(out, np.int64).reshape(-1, 2)
 

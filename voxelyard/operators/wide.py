@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +10,37 @@ from ..sources.scratch import kept
 from . import calibre
 from .paths import AXES
 
+#: Edges whose components one task finds, counted before.
+FEW = 200_000
 
-def labels(edges: DataFrame, key: list[str]) -> DataFrame:
-    """(key, node, label): of each node of the edges (key, a, b) the smallest one that it reaches, by large and small
-    stars in turn: each node's larger neighbours, then its smaller ones, hang on its smallest."""
+
+def _labels_at_once(pairs: DataFrame, key: list[str]) -> DataFrame:
+    """labels() of few pairs (key, node, least), by union-find in one task."""
+    names = [*key, "node", "label"]
+
+    def work(batches):
+        root: dict[tuple, tuple] = {}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for batch in batches:
+            for *own, a, b in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "least"))):
+                a, b = (find(root.setdefault((*own, i), (*own, i))) for i in (a, b))
+                root[max(a, b)] = min(a, b)
+        found = [(*x, find(x)[-1]) for x in [*root]]
+        for i in range(0, len(found), 1 << 15):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[i : i + (1 << 15)])], names)
+
+    return pairs.select(*[F.col(c).cast("long").alias(c) for c in (*key, "node", "least")]).coalesce(1).mapInArrow(work, ", ".join(f"{n} long" for n in names))
+
+
+def labels(edges: DataFrame, key: list[str], few: int = FEW) -> DataFrame:
+    """(key, node, label): of each node of the edges (key, a, b; whole numbers) the smallest one that it reaches, by large
+    and small stars in turn: each node's larger neighbours, then its smaller ones, hang on its smallest. Up to few
+    edges go through one task, to the same result."""
     names = [*key, "node", "least"]
 
     def hung(pairs: DataFrame, larger: bool) -> DataFrame:
@@ -28,6 +56,8 @@ def labels(edges: DataFrame, key: list[str]) -> DataFrame:
         return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64(*names).cast("decimal(38,0)"))).first())
 
     now = kept(edges.where("a <> b").select(*key, F.greatest("a", "b").alias("node"), F.least("a", "b").alias("least")).distinct(), "links")
+    if now.count() <= few:
+        return _labels_at_once(now, key)
     before = None
     while (after := state(now)) != before and after[0]:
         before = after
