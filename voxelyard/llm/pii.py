@@ -60,6 +60,14 @@ GIVEN = (
     "Joshua|Juan|Julia|Julie|Karen|Katherine|Kevin|Klaus|Laura|Lena|Linda|Lisa|Louis|Lucas|Luis|Manuel|Margaret|Maria|Marie|Mark|Martha|Martin|Mary|Matthew|Michael|Michelle|Miguel|Monica|Nancy|Nicholas|Nicole|Oliver|Olivia|Pablo|"
     "Patricia|Patrick|Paul|Pedro|Peter|Philip|Pierre|Rachel|Rebecca|Richard|Robert|Roger|Ruth|Samuel|Sandra|Sarah|Scott|Sebastian|Sofia|Sophie|Stefan|Stephen|Steven|Susan|Teresa|Thomas|Timothy|Ursula|Victoria|Walter|William|Wolfgang"
 )
+#: What no person's name holds (function words in title case, or a place, body or thing behind a name), and given
+#: names that are ordinary words, so that one that begins a sentence says nothing.
+NO_NAME = (
+    r"\x20(?:The|An?|And|Or|Of|In|On|At|For|To|With|From|By|Is|Was|Are|Has|Had|Your|My|Our|His|Her|Their|This|That|These|Those|It|You|We|They|All|Every|No|Not|As|If|Down|Up|Out|Der|Die|Das|Und|Ein|Eine|Im|Am|Le|Les|Une|Et|Du|El|Los|Las|Una)\b"
+    r"|\x20(?:Street|Road|Avenue|Lane|Square|Park|Bridge|Hill|House|Hall|Station|Airport|Island|Islands|Bay|Lake|River|County|City|Town|Beach|Falls|University|College|School|Institute|Hospital|Church|Cathedral|Museum|Library|Theatre|Theater|"
+    r"Foundation|Award|Prize|Medal|Cup|Day|Week|Act|Law|Company|Inc|Ltd|Corporation|Hotel|Center|Centre|Stadium|Cross|Trophy|Festival)$"
+)
+ORDINARY = "Mark|Frank|Jack|Eva|Jean|Victoria|Christian|Scott|Martin|Heather|Carol|Patrick"
 #: Cheap test of the text, and pattern, of each kind. Possessive repeats keep long runs linear.
 RULES = [
     (r"@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
@@ -122,7 +130,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     form = _by_kind({
         0: yes(match.rlike(r"^[A-Za-z0-9][^@]{0,63}@") & ~match.contains("..")), 1: yes(~match.rlike(r"^0|^127\.|\.0+[0-9]")), 2: yes(match.rlike("^[3-6]") & n.between(13, 16)), 3: yes(n.between(10, 14)),
         4: yes(match.rlike(r"[\[({<]")), 5: yes(match.rlike(r"^\(?[2-9][0-9]{2}\)?[^0-9][2-9]")), 6: yes(match.contains("-") & ~match.rlike("^(?:000|666|9)|-00-|-0000$")), 7: F.when(plain.rlike("^(?:" + "|".join(f"{c}.{{{k - 2}}}" for c, k in IBAN_LENGTHS.items()) + ")$"), 1).when(plain.rlike(f"^(?:{IBAN_COUNTRIES})"), -1).otherwise(0),
-        8: perhaps(match.rlike(r"^(?:Mr|Mrs|Ms|Dr|Prof)\b") & upper),
+        8: F.when(match.rlike(r"^(?:Mr|Mrs|Ms|Dr|Prof)\b") & upper, 1).when(match.rlike(NO_NAME) | (match.rlike(f"^(?:{ORDINARY})\\b") & F.col("before").rlike(r"(?:^|[.!?:\n]\s*|\s[-*]\s*)$")), -1).otherwise(0),
     }, F.lit(0))
     gazetteer = _by_kind({
         0: perhaps(match.rlike(rf"(?i)\.(?:{DOMAINS})$")), 3: yes(match.rlike(rf"^\+(?:{CALLING})")), 4: yes(match.rlike(rf"(?i)[^a-z0-9-](?:{DOMAINS})$")),
