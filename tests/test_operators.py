@@ -256,3 +256,18 @@ def test_a_star_of_balls_is_one_node():
     run = Chain.rooted(line, np.full(2000, 3.0), np.array([(i, i + 1) for i in range(1999)]))
     run.settle(1.2, 2.0)
     assert not (run.redundant(1.2, 2.0) > 0).any() and run.there.sum() < 700
+
+
+def test_quantiles_of_few_rows_are_those_of_ranges(spark, monkeypatch):
+    from voxelyard.operators import tables
+
+    rows = [(None if i % 11 == 0 else i % 3, float("nan") if i % 13 == 0 else None if i % 17 == 0 else float(i * i % 101), i * 0.5 if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    few = {r["g"]: r.asDict() for r in tables.summarize(df, ["a", "b"], "g", (0.1, 0.5, 0.9)).collect()}
+    whole = tables.summarize(df, ["a", "b"]).first().asDict()
+    monkeypatch.setattr(tables, "RANGE_ROWS", 0)
+    many = {r["g"]: r.asDict() for r in tables.summarize(df, ["a", "b"], "g", (0.1, 0.5, 0.9)).collect()}
+    assert few.keys() == many.keys()
+    near = lambda x, y: all(x[k] == y[k] or abs(x[k] - y[k]) < 1e-9 for k in y)
+    assert all(near(few[g], many[g]) for g in few) and near(whole, tables.summarize(df, ["a", "b"]).first().asDict())
+    assert tables.summarize(df.limit(0), ["a"]).first()["n"] == 0

@@ -72,17 +72,35 @@ def weighted_quantiles(df: DataFrame, key: list[str], value: str, weight: str, q
 
 def diameter_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Of each edge's mean diameter, weighted by length: mean, step quantiles, maximum."""
-    tubes = ends(nodes, edges).withColumn("d", F.col("a_radius") + F.col("b_radius")).where((F.col("length_nm") > 0) & F.col("d").isNotNull())
-    means = tubes.groupBy("body_id").agg((F.sum(F.col("d") * F.col("length_nm")) / F.sum("length_nm")).alias("mean_nm"), F.max("d").alias("max_nm"))
-    return means.join(weighted_quantiles(tubes, ["body_id"], "d", "length_nm", QUANTILES, ["edge_id"]), "body_id")
+    tubes = ends(nodes, edges)
+    means = tubes.groupBy("body_id").agg(*_calibre()).where("mean_nm is not null")
+    return means.join(_steps(tubes), "body_id")
 
 
-def frusta(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Volume and lateral area of the cones between the ends of each edge."""
+def _steps(tubes: DataFrame) -> DataFrame:
+    """Step quantiles of the mean diameters of ends(), weighted by length."""
+    rows = tubes.select("body_id", "edge_id", "length_nm", (F.col("a_radius") + F.col("b_radius")).alias("d")).where((F.col("length_nm") > 0) & F.col("d").isNotNull())
+    return weighted_quantiles(rows, ["body_id"], "d", "length_nm", QUANTILES, ["edge_id"])
+
+
+def _calibre() -> list[Column]:
+    """Aggregates over ends(): the mean diameter weighted by length, and the largest; null without a length."""
+    d, n = F.col("a_radius") + F.col("b_radius"), F.col("length_nm")
+    told = (n > 0) & d.isNotNull()
+    return [(F.sum(F.when(told, d * n)) / F.sum(F.when(told, n))).alias("mean_nm"), F.max(F.when(told, d)).alias("max_nm")]
+
+
+def _cones() -> list[Column]:
+    """Aggregates over ends(): volume and lateral area of the cones."""
     r0, r1, n = F.col("a_radius"), F.col("b_radius"), F.col("length_nm")
     volume = F.pi() / 3 * n * (r0 * r0 + r0 * r1 + r1 * r1)
     area = F.pi() * (r0 + r1) * F.sqrt(n * n + (r1 - r0) * (r1 - r0))
-    return ends(nodes, edges).groupBy("body_id").agg(F.sum(volume).alias("volume_nm3"), F.sum(area).alias("area_nm2"))
+    return [F.sum(volume).alias("volume_nm3"), F.sum(area).alias("area_nm2")]
+
+
+def frusta(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Volume and lateral area of the cones between the ends of each edge."""
+    return ends(nodes, edges).groupBy("body_id").agg(*_cones())
 
 
 def skeleton_metrics(nodes: DataFrame, edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -93,10 +111,14 @@ def skeleton_metrics(nodes: DataFrame, edges: DataFrame, labels: DataFrame) -> D
 
 
 def measure(nodes: DataFrame, edges: DataFrame, labels: DataFrame, dataset: str, variant: str) -> DataFrame:
-    """One flat row a body, with the same columns whatever the input."""
-    out = cable_length(nodes, edges).join(topology(nodes, edges, labels), "body_id")
-    out = out.join(diameter_stats(nodes, edges), "body_id", "left").join(frusta(nodes, edges), "body_id", "left")
-    return out.select(F.lit(dataset).alias("dataset"), F.lit(variant).alias("variant"), "*")
+    """One flat row a body, with the same columns whatever the input. All sums over edges are one aggregate; the
+    quantiles alone go over the edges again, in order."""
+    tubes = ends(nodes, edges)
+    sums = tubes.groupBy("body_id").agg(F.sum("length_nm").alias("cable_nm"), *_calibre(), *_cones())
+    steps = [f"p{round(q * 100)}" for q in QUANTILES]
+    out = topology(nodes, edges, labels).join(sums, "body_id", "left").na.fill(0.0, ["cable_nm"]).join(_steps(tubes), "body_id", "left")
+    shape = ["n_vertices", "n_tips", "n_branches", "n_edges", "n_components"]
+    return out.select(F.lit(dataset).alias("dataset"), F.lit(variant).alias("variant"), "body_id", "cable_nm", *shape, "mean_nm", "max_nm", *steps, "volume_nm3", "area_nm2")
 
 
 def sweep(bodies: DataFrame, nodes: DataFrame, edges: DataFrame, labels: DataFrame, require_radii: bool = False) -> DataFrame:

@@ -70,6 +70,9 @@ def summarize(df: DataFrame, columns: list[str], by: str | None = None, quantile
     sizes = df.groupBy(*key).agg(F.count("*").alias("n"))
     if not columns:
         return sizes
+    if df.count() * len(columns) <= RANGE_ROWS:  # few enough for one task, in one aggregate, to the same numbers
+        exact = [F.percentile(_value(c).cast("double"), F.lit(float(q))).alias(f"{c}_p{round(q * 100)}") for c in columns for q in quantiles]
+        return df.groupBy(*key).agg(F.count("*").alias("n"), *exact)
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("of"), _value(c).cast("double").alias("cell")) for k, c in enumerate(columns)])).alias("x")
     rows = ranked(df.select(*key, cells).select(*key, "x.*"), [*key, "of"], "cell")
     stats = []
