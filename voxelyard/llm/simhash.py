@@ -103,8 +103,8 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, pair_keys: int =
         raise ValueError("halves with one blank find distances up to 3")
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows are few before they are 66-fold
     index = prints.repartition(tasks).select("fp", F.explode(segment_keys(F.col("fp"), max_distance)).alias("k")).select("fp", "k.*")
-    shared = index.withColumn("n", F.count("*").over(Window.partitionBy("place", "part"))).where("n > 1")
-    shared = materialise(shared, "signatures")
+    counts = index.groupBy("place", "part").agg(F.count("*").alias("n")).where("n > 1")  # no task buffers a dense key
+    shared = materialise(index.join(counts, ["place", "part"]).select("fp", "place", "part", "side", "n"), "signatures")
     few = shared.where(F.col("n") <= pair_keys)
     zero, one, same = (few.where(F.col("side") == s).select("place", "part", F.col("fp").alias(n)) for s, n in ((0, "x"), (1, "y"), (2, "x")))
     pairs = zero.join(one, ["place", "part"]).select("x", "y")
