@@ -247,3 +247,20 @@ def test_bridged_edges_are_numbered(spark):
     new = got.where("is_bridge").collect()
     assert got.count() == len(edges) + len(new) and len({(r["body_id"], r["edge_id"]) for r in new}) == len(new)
     assert all(r["edge_id"] > max(x[1] for x in edges if x[0] == r["body_id"]) for r in new)
+
+
+@pytest.mark.parametrize("share", [0.01, 0.6])
+def test_box_counts_by_brute_force(spark, share):
+    """Sparse and dense, over the seams of blocks, the same for any block; negative places, too."""
+    cells = random_cells(8, (14, 9, 11), share) - [3, 2, 40]
+    want = {tuple(map(int, c)): int((np.abs(cells - c) <= 2).all(axis=1).sum()) for c in cells}
+    for block in (2, 5, 64):
+        got = fields.box_counts(voxels(spark, cells), 2, block)
+        assert {(r["z"], r["y"], r["x"]): r["n"] for r in got.collect()} == want
+        assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    far = fields.extreme_places(voxels(spark, cells), got).first()
+    best = min(want, key=lambda c: (-want[c], c))
+    worst = min(want, key=lambda c: (want[c], c))
+    assert (far["most"], far["most_z"], far["most_y"], far["most_x"]) == (want[best], *best) and (far["least"], far["least_z"], far["least_y"], far["least_x"]) == (want[worst], *worst)
+    with pytest.raises(ValueError):
+        fields.box_counts(voxels(spark, cells), 9, 4)

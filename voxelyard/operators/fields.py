@@ -81,6 +81,54 @@ def distance_field(voxels: DataFrame, shape: tuple[int, int, int], nm: tuple[flo
     return cells.select("body_id", *AXES, F.when(F.col("d2") < float("inf"), F.sqrt("d2")).alias("distance"))
 
 
+def _box_counts(cells: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
+    """How many cells are within reach of each place along all axes: by running sums over a dense box, or place by place where
+    so few that this is less work."""
+    low = at.min(axis=0) - reach
+    size = at.max(axis=0) + reach - low + 1
+    if len(cells) * len(at) <= int(np.prod(size)):
+        return np.array([(np.abs(cells - p) <= reach).all(axis=1).sum() for p in at], np.int64)
+    dense = np.zeros(size + 1, np.int64)
+    dense[tuple((cells - low + 1).T)] = 1
+    for axis in range(3):
+        dense = np.cumsum(dense, axis=axis)
+    out = np.zeros(len(at), np.int64)
+    near, far = at - low - reach, at - low + reach + 1
+    for corner in range(8):
+        pick = [far[:, k] if corner >> k & 1 else near[:, k] for k in range(3)]
+        out += (1 if bin(corner).count("1") % 2 else -1) * dense[tuple(pick)]
+    return out
+
+
+def box_counts(voxels: DataFrame, reach: int, block: int = 64) -> DataFrame:
+    """(z, y, x, n): foreground voxels within reach along all axes of each foreground voxel. Blocks get copies of what lies
+    within reach of their faces, at most once for each block around, and no voxel is spread over its neighbourhood."""
+    if reach < 0 or block < max(1, reach):
+        raise ValueError("a reach is from 0 to a block's side")
+    rows = voxels.where("body_id <> 0").select(*[F.col(a).cast("int").alias(a) for a in AXES]).distinct()
+    rows = rows.withColumns({f"b{a}": F.floor(F.col(a) / block).cast("int") for a in AXES}).withColumn("own", F.lit(True))
+    for a in AXES:
+        for move, near in ((-1, F.pmod(F.col(a), F.lit(block)) < reach), (1, F.pmod(F.col(a), F.lit(block)) >= block - reach)):
+            again = rows.where(near & (F.col(f"b{a}") == F.floor(F.col(a) / block)))
+            rows = rows.union(again.withColumn(f"b{a}", F.col(f"b{a}") + move).withColumn("own", F.lit(False)))
+
+    def count(batch: pa.Table) -> pa.Table:
+        cells = np.stack([batch.column(a).to_numpy() for a in AXES], axis=1).astype(np.int64)
+        at = cells[batch.column("own").to_numpy(zero_copy_only=False)]
+        n = _box_counts(cells[((cells >= at.min(axis=0) - reach) & (cells <= at.max(axis=0) + reach)).all(axis=1)], at, reach) if len(at) else np.zeros(0, np.int64)
+        return pa.table({**{a: pa.array(at[:, k], pa.int32()) for k, a in enumerate(AXES)}, "n": pa.array(n)})
+
+    return rows.groupBy("bz", "by", "bx").applyInArrow(count, "z int, y int, x int, n long")
+
+
+def extreme_places(voxels: DataFrame, counts: DataFrame) -> DataFrame:
+    """Of each body the voxel with the most around it and the one with the fewest (n and place; ties: the first place)."""
+    place = F.struct(*AXES)
+    both = voxels.where("body_id <> 0").select("body_id", *AXES).distinct().join(counts, list(AXES))
+    told = both.groupBy("body_id").agg(F.min(F.struct((-F.col("n")).alias("less"), place.alias("p"))).alias("most"), F.min(F.struct("n", place.alias("p"))).alias("least"))
+    return told.select("body_id", (-F.col("most.less")).alias("most"), *[F.col(f"most.p.{a}").alias(f"most_{a}") for a in AXES], F.col("least.n").alias("least"), *[F.col(f"least.p.{a}").alias(f"least_{a}") for a in AXES])
+
+
 def radius_against_field(nodes: DataFrame, field: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     """How nodes' radii (body_id, z, y, x, radius in voxels) differ from the field where they lie (0 outside of the body),
     per body: error_p50, mean_error, share of nodes over by two, largest radius, and the deepest place."""

@@ -63,6 +63,12 @@ def surface_corners(spark, d):
     return fields.corners(faces, CUBE).join(at, ["body_id", "place"]).drop("place")
 
 
+def dense_places(spark, d):
+    """Where each body has the most and the fewest voxels within 12 around."""
+    rows = _folded(spark, d)
+    return fields.extreme_places(rows, fields.box_counts(rows, 12))
+
+
 def run_region(spark, d):
     """Nodes on runs of the voxels' rows, told by their ends."""
     runs = volume.runs(voxels(spark, d).select(F.lit(0).alias("body_id"), (F.col("z") % 64).alias("z"), (F.col("y") % 64).alias("y"), "x"))
@@ -84,7 +90,7 @@ def wide_bridges(spark, d):
     return rounded(wide.bridges(*skeletons(spark, d, True), 300.0), 6)
 
 
-QUERIES = {f.__name__: f for f in (region_scan, two_volumes, distance_field, radius_against_field, closed_surfaces, surface_corners, run_region, wide_components, wide_distances, wide_bridges)}
+QUERIES = {f.__name__: f for f in (region_scan, two_volumes, distance_field, radius_against_field, closed_surfaces, surface_corners, dense_places, run_region, wide_components, wide_distances, wide_bridges)}
 
 _FOLDED = f"{VOXELS}, folded AS (SELECT z % 192 AS z, y % 128 AS y, x % 50 AS x, min(body_id) AS body_id FROM voxels WHERE {{0}} GROUP BY ALL)"
 _OPEN = """sides(axis, side, dz, dy, dx) AS (VALUES ('z', 0, -1, 0, 0), ('z', 1, 1, 0, 0), ('y', 0, 0, -1, 0), ('y', 1, 0, 1, 0), ('x', 0, 0, 0, -1), ('x', 1, 0, 0, 1)),
@@ -107,6 +113,13 @@ told AS (SELECT body_id, count(*) AS n_faces, sum(CASE axis WHEN 'z' THEN 8.0 WH
 SELECT body_id, n_faces, area_nm2, (SELECT count(*) * 64.0::DOUBLE FROM dense v WHERE v.body_id = t.body_id) AS enclosed_nm3, n_vertices, n_edges, n_vertices - n_edges + n_faces AS euler
 FROM told t JOIN points USING (body_id) JOIN (SELECT body_id, count(*) AS n_edges FROM lines GROUP BY body_id) USING (body_id)""",
     "surface_corners": f"WITH {_DENSE}, {_OPEN} SELECT body_id, cz::INT AS z, cy::INT AS y, cx::INT AS x, count(*) AS n FROM ring GROUP BY ALL",
+    "dense_places": f"""WITH {VOXELS}, rows AS (SELECT DISTINCT body_id, z % 192 AS z, y % 128 AS y, x % 50 AS x FROM voxels WHERE body_id <> 0),
+g AS (SELECT z, y, x, (EXISTS (SELECT 1 FROM rows r WHERE r.z = a.z AND r.y = b.y AND r.x = c.x))::BIGINT AS n FROM range(192) a(z), range(128) b(y), range(50) c(x)),
+gx AS (SELECT z, y, x, sum(n) OVER (PARTITION BY z, y ORDER BY x RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) AS n FROM g),
+gy AS (SELECT z, y, x, sum(n) OVER (PARTITION BY z, x ORDER BY y RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) AS n FROM gx),
+gz AS (SELECT z, y, x, sum(n) OVER (PARTITION BY y, x ORDER BY z RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) AS n FROM gy),
+k AS (SELECT body_id, r.z, r.y, r.x, n::BIGINT AS n, row_number() OVER (PARTITION BY body_id ORDER BY n DESC, r.z, r.y, r.x) AS hi, row_number() OVER (PARTITION BY body_id ORDER BY n, r.z, r.y, r.x) AS lo FROM rows r JOIN gz USING (z, y, x))
+SELECT a.body_id, a.n AS most, CAST(a.z AS INT) AS most_z, CAST(a.y AS INT) AS most_y, CAST(a.x AS INT) AS most_x, b.n AS least, CAST(b.z AS INT) AS least_z, CAST(b.y AS INT) AS least_y, CAST(b.x AS INT) AS least_x FROM k a JOIN k b ON a.body_id = b.body_id AND a.hi = 1 AND b.lo = 1""",
     "run_region": f"WITH {VOXELS}, {NODES}, m AS (SELECT DISTINCT z % 64 AS z, y % 64 AS y, x FROM voxels) SELECT body_id, node_id, m.z IS NOT NULL AS in_roi FROM nodes LEFT JOIN m ON m.z = floor(z_nm / 40) AND m.y = floor(y_nm / 8) AND m.x = floor(x_nm / 4)",
     "wide_components": f"{_COMP} SELECT body_id, node_id, component FROM tops",
     "wide_distances": f"{_COMP} SELECT body_id, node_id, CASE WHEN component = 1 THEN round(dist, 4) END AS distance_nm, CASE WHEN component = 1 THEN 1 END::BIGINT AS source FROM tops",
