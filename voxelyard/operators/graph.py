@@ -69,7 +69,7 @@ def near_pairs(v: np.ndarray, reach: float) -> np.ndarray:
     of its cell and of the half of the cells around that come later."""
     if not len(v) or reach <= 0:
         return np.zeros((0, 2), np.int64)
-    cell = np.floor(v / reach).astype(np.int64)
+    cell = np.floor(v / (reach * (1 + 1e-9))).astype(np.int64)
     cell -= cell.min(axis=0) - 1
     size = cell.max(axis=0) + 2
     key = (cell[:, 0] * size[1] + cell[:, 1]) * size[2] + cell[:, 2]
@@ -82,7 +82,7 @@ def near_pairs(v: np.ndarray, reach: float) -> np.ndarray:
         a = np.repeat(np.arange(len(held)), n)
         b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
         pairs = np.stack([order[a], order[b]], axis=1)
-        out.append(pairs[((v[pairs[:, 0]] - v[pairs[:, 1]]) ** 2).sum(axis=1) <= reach * reach])
+        out.append(pairs[lengths(v, pairs) <= reach])
     return np.sort(np.concatenate(out), axis=1)
 
 
@@ -92,12 +92,16 @@ def bridges(v: np.ndarray, edges: np.ndarray, gap: float) -> np.ndarray:
     if gap < 0:
         raise ValueError("a gap isn't negative")
     label = components(len(v), edges)
-    pairs = near_pairs(v, gap) if gap > 0 and len(np.unique(label)) > 1 else np.zeros((0, 2), np.int64)
+    if gap == 0 or len(np.unique(label)) < 2:
+        return np.zeros((0, 2), np.int64)
+    return least_forest(v, label, near_pairs(v, gap))
+
+
+def least_forest(v: np.ndarray, label: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Of the pairs of places (i < j) between parts, shortest first, those that close no cycle of parts."""
     pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
-    size = np.sqrt(((v[pairs[:, 0]] - v[pairs[:, 1]]) ** 2).sum(axis=1))
     sets, out = Union(len(v)), []
-    for k in np.lexsort((pairs[:, 1], pairs[:, 0], size)):
-        i, j = pairs[k].tolist()
+    for i, j in pairs[np.lexsort((pairs[:, 1], pairs[:, 0], lengths(v, pairs)))].tolist():
         if sets.join(int(label[i]), int(label[j])):
             out.append((i, j))
     return np.array(out, np.int64).reshape(-1, 2)
@@ -150,14 +154,15 @@ def pieces(g: Graph, which: str, merge: float) -> tuple[np.ndarray, int, int]:
     names = np.unique(label)
     cable = {p: lengths(g.v, g.edges[own])[(label == p) & ~g.bridge[own]].sum() for p in names}
     chosen = set(names) if which == "all" else {max(names, key=lambda p: (cable[p], -p))}
-    spots = {p: g.v[np.unique(g.edges[own[label == p]])] for p in names}
-    grown = merge > 0
-    while grown:  # whatever is near enough to what is chosen, until nothing is
-        grown = False
-        for p in set(names) - chosen:
-            if any(np.sqrt(((spots[p][:, None] - spots[q][None]) ** 2).sum(axis=2)).min() <= merge for q in chosen):
-                chosen.add(p)
-                grown = True
+    if merge > 0 and len(chosen) < len(names):  # whatever is near enough to what is chosen, over any number of pieces
+        vertex = np.unique(g.edges[own])
+        piece = np.zeros(len(g.v), np.int64)
+        piece[g.edges[own].ravel()] = np.repeat(label, 2)
+        sets = Union(len(g.v))
+        for i, j in piece[vertex[near_pairs(g.v[vertex], merge)]].tolist():
+            sets.join(i, j)
+        roots = {sets.find(int(p)) for p in chosen}
+        chosen = {p for p in names if sets.find(int(p)) in roots}
     part = np.zeros(len(g.edges), bool)
     part[own[np.isin(label, list(chosen))]] = True
     return part, len(chosen), len(names)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import AXES, block_of
-from .graph import components, lengths, shortest
+from .graph import components, least_forest, lengths, near_pairs, shortest
 
 #: Voxels of a component to be traced, of a path to be kept, and around a path that it covers.
 DUST, MIN_LENGTH, COVER_SCALE, COVER_CONST = 50, 10.0, 1.2, 2.0
@@ -201,22 +201,13 @@ def welded(s: Shape) -> Shape:
 def joined(s: Shape, radius: float | None) -> Shape:
     """Joins components by their shortest links, nearest first: up to the radius, or for None where the
     ends' balls meet."""
-    label, best = s.parts(), {}
+    label = s.parts()
     if len(np.unique(label)) < 2:
         return s
-    for i in range(len(s.v)):
-        d = np.sqrt(((s.v[i + 1 :] - s.v[i]) ** 2).sum(axis=1))
-        limit = radius if radius is not None else s.r[i] + s.r[i + 1 :]
-        for j in np.flatnonzero((d <= limit) & (label[i + 1 :] != label[i])):
-            pair = tuple(sorted((int(label[i]), int(label[i + 1 + j]))))
-            best[pair] = min(best.get(pair, (np.inf, 0, 0)), (float(d[j]), i, int(i + 1 + j)))
-    from .graph import Union
-
-    sets, more = Union(len(s.v)), []
-    for (a, b), (_, i, j) in sorted(best.items(), key=lambda x: x[1]):
-        if sets.join(a, b):
-            more.append((i, j))
-    return Shape(s.v, s.r, np.concatenate([s.e, np.array(more, np.int64).reshape(-1, 2)]))
+    pairs = near_pairs(s.v, radius if radius is not None else 2 * float(s.r.max()))
+    if radius is None:
+        pairs = pairs[lengths(s.v, pairs) <= s.r[pairs[:, 0]] + s.r[pairs[:, 1]]]
+    return Shape(s.v, s.r, np.concatenate([s.e, least_forest(s.v, label, pairs)]))
 
 
 def without_dust(s: Shape, least: float) -> Shape:
