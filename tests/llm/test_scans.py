@@ -214,7 +214,8 @@ NO_NAMES = [
 
 
 def test_places_and_titles_are_no_names(spark):
-    """Look-alikes of names at the start of sentences and among others, with true items around; the true ones stay."""
+    """Look-alikes of names at the start of sentences and among others, with true items around; the true ones stay. The
+    look-alikes are of the words that vote against names; of other ones most are reported (README)."""
     draw = random.Random(13)
     cases = [*planted(draw)]
     texts = [c[0] for c in cases] + [f"some words here. {n}; and more" for n in NO_NAMES] + [n for n in NO_NAMES]
@@ -225,8 +226,8 @@ def test_places_and_titles_are_no_names(spark):
 
 
 def credential_texts(draw):
-    """Made-up configuration with credentials of several parts, and (text, the parts, as texts) that must be told; written
-    without a look at the rules."""
+    """Made-up configuration with credentials of several parts, and (text, the parts, as texts) that must be told. The
+    forms were written with the rules in view: the recall on them says nothing of forms that the rules don't know."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     key = lambda n: "aZ9" + "".join(draw.choice(letters) for _ in range(n - 3))
     name = lambda: "".join(draw.choice("bcdfghjklmnpq") for _ in range(7))
