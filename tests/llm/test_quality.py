@@ -157,3 +157,17 @@ def test_six_bytes_tell_texts_apart(spark):
     assert {r["level"] for r in model.select("level").distinct().collect()} == set(range(-5, 7))
     got = scored(spark, model, ["1abcdX", "1abcdY"], True)
     assert got[0][1] - got[1][1] > q.SCALE
+
+
+def test_few_documents_widen_limits_smoothly(spark):
+    """Limits move out only, by n against PRIOR, without a number at which they switch."""
+    rows = [("few", 1, 4.0, 8.0), ("some", 8, 4.0, 8.0), ("many", 10_000, 4.0, 8.0), ("wide", 1, 1.0, 99.0)]
+    got = {r["lang"]: r for r in q.widened(spark.createDataFrame(rows, "lang string, n long, low double, high double"), 2.0, 32.0).collect()}
+    assert got["some"]["low"] == pytest.approx(8**0.5) and got["some"]["high"] == pytest.approx(16)
+    assert got["few"]["high"] == pytest.approx(8 ** (1 / 9) * 32 ** (8 / 9)) and got["many"]["high"] == pytest.approx(8, rel=0.01)
+    assert (got["wide"]["low"], got["wide"]["high"]) == (1.0, 99.0)
+    ends = [(str(n), n, 4.0, 8.0) for n in range(1, 40)]
+    highs = [r["high"] for r in q.widened(spark.createDataFrame(ends, "lang string, n long, low double, high double"), 2.0, 32.0).orderBy(F.col("lang").cast("int")).collect()]
+    assert all(a > b for a, b in zip(highs, highs[1:]))
+    nothing = q.widened(spark.createDataFrame(rows, "lang string, n long, low double, high double"), 0.0, float("inf")).collect()
+    assert {r["high"] for r in nothing} == {float("inf")}

@@ -19,8 +19,8 @@ A model of up to ``MODEL_ROWS`` rows, counted before, is replicated to the tasks
 an index; a larger one is joined by n-gram (``by_join``).  Both give the same numbers to the last digit.
 
 Defined cases: null and empty texts have no bytes and the language's mean perplexity, and stay;
-languages with few held-out documents, and a null language, take the thresholds of all; without any
-trusted text the perplexity is null and all stay; labels of a document that contradict each other count
+a language's thresholds are widened toward those of all the more, the fewer held-out documents it has
+(``widened``), and a language without any, or null, takes those of all; without any trusted text the perplexity is null and all stay; labels of a document that contradict each other count
 as not trusted; a perplexity that equals a threshold stays; repeated rows are scored each; a text of any
 length is worked on in blocks; an empty table gives no rows; other columns are kept by
 ``good_documents``.
@@ -49,8 +49,8 @@ SHRINK = 100
 #: One trusted document in so many is held out of training, by a hash of its text, so that the upper
 #: quantile is one of texts that the model has not seen.
 HELD_OUT = 4
-#: Held-out documents below which a language has no thresholds of its own.
-LEAST = 8
+#: Held-out documents at which a language's own thresholds weigh as much as those of all languages.
+PRIOR = 8
 #: Rows of n-grams and contexts that may be replicated.
 MODEL_ROWS = 3_000_000
 #: Labels, and languages, that may be broadcast.
@@ -300,6 +300,14 @@ def limits_of(bins: DataFrame, key: list[str]) -> DataFrame:
     return both.select(*key, "n", F.exp((F.col("low_bin") - error) / BINS).alias("low"), F.exp((F.col("high_bin") + 1 + error) / BINS).alias("high"))
 
 
+def widened(own: DataFrame, low: float, high: float) -> DataFrame:
+    """(lang, low, high): a language's own limits moved toward those of all languages, by n against PRIOR, where
+    that moves them out. No number of documents switches between the two."""
+    share = F.col("n") / (F.col("n") + PRIOR)
+    mixed = lambda c, of_all: F.exp(share * F.log(c) + (1 - share) * F.log(F.lit(of_all)))
+    return own.select("lang", F.least("low", mixed("low", low)).alias("low"), F.greatest("high", mixed("high", high)).alias("high"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) -> DataFrame:
     """doc_id, lang, text_key (the MD5 of the text), n_bytes, log_prob, perplexity, low, high, keep of each
     row."""
@@ -330,10 +338,9 @@ def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) ->
 
     bins = with_perplexity(known, means).groupBy("lang", "held", F.floor(F.log("perplexity") * BINS).alias("bin")).agg(F.count("*").alias("n"))
     bins = materialise(bins, "trusted-bins")
-    own = limits_of(bins, ["lang"]).where(F.col("n") >= LEAST).drop("n")
-    limits = materialise(means.join(own, "lang", "left"), "limits")
     overall = limits_of(bins.withColumn("whole", F.lit("all")), ["whole"]).first()
     low, high = (overall["low"], overall["high"]) if overall else (0.0, float("inf"))
+    limits = materialise(means.join(widened(limits_of(bins, ["lang"]), low, high), "lang", "left"), "limits")
     out = with_perplexity(scored, limits).withColumns({"low": F.coalesce("low", F.lit(low)), "high": F.coalesce("high", F.lit(high))})
     keep = F.col("perplexity").between(F.col("low"), F.col("high")) | (F.col("n_bytes") == 0)
     return out.select("doc_id", "lang", "text_key", "n_bytes", log_prob, "perplexity", "low", "high", keep.alias("keep"))

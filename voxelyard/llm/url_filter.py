@@ -143,10 +143,20 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
 
 
-def held_out_accuracy(pages: DataFrame, rules: dict[str, str] = RULES) -> tuple[float, float, int]:
+def masked(rows: DataFrame) -> DataFrame:
+    """The rows of ``parsed``, without the rule's own host and path in what the models see."""
+    host = F.substring_index("rule", "/", 1)
+    own, path = F.length("host") - F.length(host), F.length("rule") - F.length(host)
+    left = F.concat(F.left("host", own), F.substr("rest", F.length("host") + path + 1))
+    return rows.withColumn("rest", F.when(F.col("rule").isNull(), F.col("rest")).otherwise(left))
+
+
+def held_out_accuracy(pages: DataFrame, rules: dict[str, str] = RULES, mask: bool = False) -> tuple[float, float, int]:
     """Shares of allowed and of blocked URLs that the model judges as the rules do, and their number: of
-    part 1, which then takes no part in training and calibration."""
-    urls = distinct_urls(parsed(pages, rules))
+    part 1, which then takes no part in training and calibration. With mask, neither they nor the URLs to
+    train on have the strings that the rules look at."""
+    rows = parsed(pages, rules)
+    urls = distinct_urls(masked(rows) if mask else rows)
     model = fit(urls.withColumn("ruled", F.when(part() != 1, F.col("ruled"))))
     if model is None:
         return 0.0, 0.0, 0
