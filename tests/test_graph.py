@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from voxelyard.operators import graph, simplify
+from voxelyard.operators import graph, paths, simplify
 
 
 def chain(*spots):
@@ -158,3 +158,14 @@ def test_merges_by_case():
     assert not simplify.Chain.rooted(np.zeros((0, 3)), np.zeros(0), np.zeros((0, 2), np.int64)).redundant(1.2, 2.0).size
     loop = settled(chain(0, 30, 60), 5.0, [(0, 1), (1, 2), (2, 0), (1, 1)])
     assert loop.there.all() and len(loop.links()) == 2
+
+
+def test_edges_without_both_nodes_are_left_out(spark):
+    """They don't become edges of other nodes: a point by a node without edges snaps to the nearest real edge."""
+    assert paths._places(np.array([1, 3, 7]), np.array([(1, 3), (3, 5), (0, 1), (7, 9), (7, 1)])).tolist() == [[0, 1], [2, 0]]
+    nodes = spark.createDataFrame([(1, i, float(z), 0.0, 0.0, 5.0) for i, z in ((1, 0), (2, 10), (4, 900))], "body_id long, node_id long, z_nm double, y_nm double, x_nm double, radius_nm double")
+    edges = spark.createDataFrame([(1, 1, 1, 2), (1, 2, 2, 3), (1, 3, None, 4)], "body_id long, edge_id long, src long, dst long")
+    points = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (1, 900.0, 0.0, 0.0)], "body_id long, z double, y double, x double")
+    got = {r["z"]: r["snap_nm"] for r in paths.synapse_distances(nodes, edges, points, below(5)).collect()}
+    assert got == pytest.approx({0.0: 0.0, 900.0: 890.0})
+    assert {r["node_id"]: r["parent"] for r in paths.rooted(nodes, edges.where("src is not null")).collect()} == {1: -1, 2: 1, 4: -1}

@@ -18,12 +18,21 @@ AXES = ["z_nm", "y_nm", "x_nm"]
 DISTANCES = "distance_nm double, inside boolean, in_roi boolean, snap_nm double, n_bridges long, bridge_nm double, on_bridge boolean, radius_nm double, entry long, status string"
 
 
+def _places(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Edges (m x 2, ids of nodes) by the nodes' places in ids, which are in order; those without both nodes are
+    left out."""
+    if not len(ids) or not len(ends):
+        return np.zeros((0, 2), np.int64)
+    at = np.minimum(np.searchsorted(ids, ends), len(ids) - 1)
+    return at[(ids[at] == ends).all(axis=1)]
+
+
 def _arrays(nodes: pd.DataFrame, edges: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Nodes in order of id, their places, and the edges by position, in order of id."""
+    """Nodes in order of id, their places, and the edges by position, in order of id; see ``_places``."""
     nodes = nodes.sort_values("node_id", ignore_index=True)
     edges = edges.sort_values("edge_id", ignore_index=True)
     ids = nodes["node_id"].to_numpy()
-    ends = np.searchsorted(ids, edges[["src", "dst"]].to_numpy(np.int64).reshape(-1, 2)) if len(edges) else np.zeros((0, 2), np.int64)
+    ends = _places(ids, edges[["src", "dst"]].dropna().to_numpy(np.int64).reshape(-1, 2))
     return nodes, nodes[AXES].to_numpy(float).reshape(-1, 3), ends
 
 
@@ -114,7 +123,8 @@ def synapse_distances(nodes: DataFrame, edges: DataFrame, points: DataFrame, ins
             radius = [r["radius_nm"] for r in held]
             radii = None if any(r is None for r in radius) else np.array(radius, float)
             tied = b.iloc[0]["edges"]
-            ends = np.searchsorted(ids, np.array([[r["src"], r["dst"]] for r in tied])).reshape(-1, 2) if tied is not None and len(tied) else ends
+            known = [(r["src"], r["dst"]) for r in tied if r["src"] is not None and r["dst"] is not None] if tied is not None else []
+            ends = _places(ids, np.array(known, np.int64).reshape(-1, 2))
         region = inside
         if isinstance(inside, Mapping):
             body = p["body_id"].iloc[0] if len(p) else None
