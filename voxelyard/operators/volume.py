@@ -23,7 +23,8 @@ def occupied_blocks(coarse: DataFrame, coarse_nm: float, fine_nm: float, block:
     for a, n in zip(AXES, shape):
         low = F.floor(F.bround(F.col(a) * ratio) / block)
         high = F.floor((F.greatest(F.bround((F.col(a) + 1) * ratio), F.bround(F.col(a) * ratio) + 1) - 1) / block)
-        cells = cells.withColumn(f"b{a}", F.explode(F.sequence(low.cast("int"), F.least(high, F.lit(n - 1)).cast("int")))).where(F.col(f"b{a}") < n)
+        # a sequence whose end lies before its start runs backwards, so what begins beyond the shape goes first
+        cells = cells.where(low < n).withColumn(f"b{a}", F.explode(F.sequence(low.cast("int"), F.least(high, F.lit(n - 1)).cast("int"))))
     return dilate(cells.select(*[f"b{a}" for a in AXES]).distinct(), shape, rounds)
 
 
