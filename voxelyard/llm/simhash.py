@@ -44,22 +44,31 @@ PAIR_KEYS = 256
 FEW_EDGES = 100_000
 
 
-def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash of a UTF-8 text."""
+def hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each word shingle of a UTF-8 text, repeats included; none for a text without words."""
     from xxhash import xxh64_intdigest
 
     words = (text or b"").lower().split()  # of bytes: A-Z alone are lowered, white space is ASCII's
     if not words:
-        return 0
-    if len(words) <= size:
-        return xxh64_intdigest(b" ".join(words), SEED)
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
+    if len(words) <= size:
+        return np.array([xxh64_intdigest(line, SEED)], np.uint64)
     ends = list(itertools.accumulate([len(w) + 1 for w in words]))
-    hashes = np.array([xxh64_intdigest(line[a : b - 1], SEED) for a, b in zip([0, *ends], ends[size - 1 :])], np.uint64)
+    return np.array([xxh64_intdigest(line[a : b - 1], SEED) for a, b in zip([0, *ends], ends[size - 1 :])], np.uint64)
+
+
+def majority(found: np.ndarray) -> int:
+    """Unsigned 64-bit SimHash of shingles: the bits that over half of them have; zero for none."""
     counts = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 16):
-        counts += np.unpackbits(hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
+    for i in range(0, len(found), 1 << 16):
+        counts += np.unpackbits(found[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > len(found)).tobytes(), "big")
+
+
+def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
+    """Unsigned 64-bit SimHash of a UTF-8 text."""
+    return majority(hashes(text, size))
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -113,8 +122,11 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, pair_keys: int =
     found = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     dense = shared.where(F.col("n") > pair_keys).select("fp").distinct()
-    masks = [_signed(~sum(1 << b for b in bits) & (1 << 64) - 1) for bits in itertools.combinations(range(64), max_distance)]
-    blanked = dense.select("fp", F.posexplode(F.array(*map(F.lit, masks))).alias("mask", "bits")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("bits")).alias("rest"))
+    bits = prints.sparkSession.range(1).select(F.lit(0).cast("long").alias("bits"), F.lit(-1).cast("long").alias("top"))
+    for _ in range(max_distance):  # rows, as thousands of literals fill the driver
+        more = prints.sparkSession.range(64).withColumnRenamed("id", "bit")
+        bits = bits.crossJoin(more).where("bit > top").select(F.expr("bits | shiftleft(1L, cast(bit as int))").alias("bits"), F.col("bit").alias("top"))
+    blanked = dense.crossJoin(F.broadcast(bits)).select("fp", F.col("bits").alias("mask"), F.col("fp").bitwiseAND(F.bitwise_not("bits")).alias("rest"))
     star = blanked.withColumn("a", F.min("fp").over(Window.partitionBy("mask", "rest"))).where("a < fp").select("a", F.col("fp").alias("b"))
     return found.union(star).distinct()
 
