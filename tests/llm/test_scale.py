@@ -1,6 +1,10 @@
 """What only larger tables show."""
 
-from voxelyard.llm import simhash
+import pytest
+
+import corpus_pipeline as p
+from tests.llm.test_near import brute, variants
+from voxelyard.llm import near, simhash
 
 
 def test_links_make_no_list_of_masks_in_the_driver(spark, monkeypatch):
@@ -9,3 +13,23 @@ def test_links_make_no_list_of_masks_in_the_driver(spark, monkeypatch):
     monkeypatch.setattr(simhash.F, "lit", lambda x: made.append(x) or plain(x))
     simhash.links(prints, 2, 4)
     assert len(made) < 500  # there are 2,016 masks of two bits
+
+
+@pytest.mark.parametrize("pair_keys", [256, 5])
+def test_a_group_of_near_copies_has_no_more_comparisons_than_texts(spark, monkeypatch, pair_keys):
+    rows = variants(200, 40, lambda d: d.randrange(4))
+    asked, plain = [], near.verified
+    monkeypatch.setattr(near, "verified", lambda docs, pairs, similarity: asked.append(pairs.count()) or plain(docs, pairs, similarity))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.representatives(docs, near.grouped(docs, pair_keys=pair_keys))
+    assert {r["doc_id"] for r in found.collect()} == brute(rows)
+    assert sum(asked) < 40 * 39 / 4
+
+
+def test_the_stage_asks_operator_8_for_links(spark, monkeypatch):
+    rows = variants(200, 12, lambda d: d.randrange(2))
+    asked, plain = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda prints, *rest: asked.append(prints.count()) or plain(prints, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in p.simhash_stage(spark, docs, "").collect()} == brute(rows)
+    assert asked == [len({simhash.fingerprint(t.encode(), 5) for _, t in rows})]

@@ -1,13 +1,17 @@
 """Near copies by whole-text similarity, for the pipeline: Jaccard of five-word shingle sets of 0.8 or more.
 
-SimHash distances say little at that similarity, so candidates come from MinHash: ``BANDS`` keys of
-``ROWS`` minima each, of which a pair at 0.8 shares one with a probability of 0.9996.  Each candidate
+Candidates come from operator 8's method on five-word shingles: fingerprints that are at most
+``DISTANCE`` bits apart, by one-wildcard variants of their halves and bit counts.  These distances say little at
+that similarity (pairs over 0.8 are up to 14 bits apart), so MinHash adds what they don't reach: ``BANDS`` keys
+of ``ROWS`` minima each, of which a pair at 0.8 shares one with a probability of 0.9996.  Each candidate
 pair is verified on the whole shingle sets, so nothing below the similarity links.  Linked texts form
-components.
+components, by operator 8's star contraction.
 
-A key with up to ``PAIR_KEYS`` texts has its pairs compared.  The texts of a fuller key (a dense group of
-near copies, or of texts with a common passage) are compared with one of them, the leader.  What is then in
-different components goes a second, exact way.  Let D(x) be the shingles in which x differs from the leader.
+The texts of a key are compared with one of them, the leader, first.  Only what is then in different
+components is compared further, so a group of near copies has no more comparisons than texts.  A key with
+up to ``PAIR_KEYS`` texts has its pairs of different components compared.  Those of a fuller key (a dense group of
+copies with changes of their own, or of texts with a common passage) go another, exact way.  Let D(x) be the
+shingles in which x differs from the leader.
 Two texts differ in D(x) xor D(y), so texts that are alike have most of D in common, though one at least is
 not alike with the leader: the rarest shingles of D, as many as that bound leaves, must meet (a prefix
 filter).  So the components are the same as if all pairs of a key were compared, and neither a group of
@@ -24,24 +28,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .shared import column, materialise
-from .simhash import PAIR_KEYS, SEED, components
+from .simhash import SEED, components
 from .tokens import blocks, released
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
+#: Differing bits of fingerprints up to which texts are compared.
+DISTANCE = simhash.MAX_DISTANCE
+#: Texts that a key may have for its pairs to be compared; the way of fuller keys is as exact.
+PAIR_KEYS = 16
 _FLIP, _ODD = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
 _ODD |= np.uint64(1)
 
 
 def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct XXH64 hashes of the word shingles of a UTF-8 text."""
-    from xxhash import xxh64_intdigest
-
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(np.array([xxh64_intdigest(b" ".join(words[i : i + size]), SEED) for i in range(max(1, len(words) - size + 1))], np.uint64))
+    return np.unique(simhash.hashes(text, size))
 
 
 def band_keys(own: np.ndarray) -> np.ndarray:
@@ -95,16 +99,18 @@ def _differ(similarity: float) -> float:
 
 
 def _pairs(x: DataFrame, y: DataFrame, on: list[str], similarity: float) -> DataFrame:
-    """(a, b) of different texts (text_key, n) that agree in on, whose numbers of shingles let them be that
-    similar."""
+    """(a, b) of different texts (text_key, n), and of different components if there is a root, that agree in on
+    and whose numbers of shingles let them be that similar."""
     x, y = x.alias("x"), y.alias("y")
     met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on])
     m, n = F.col("x.n"), F.col("y.n")
     alike = (F.least(m, n) >= similarity * F.greatest(m, n)) & (F.col("x.text_key") != F.col("y.text_key"))
+    if "root" in x.columns:
+        alike = alike & (F.col("x.root") != F.col("y.root"))
     if "at" in x.columns:  # what can follow the first shingle in common
         rest = F.least(F.col("x.d") - F.col("x.at"), F.col("y.d") - F.col("y.at"))
         needed = (F.col("x.d") + F.col("y.d") - _differ(similarity) * (m + n)) / 2
-        alike = alike & (F.col("x.root") != F.col("y.root")) & (rest >= needed - 1e-9)
+        alike = alike & (rest >= needed - 1e-9)
     return met.where(alike).select(F.least("x.text_key", "y.text_key").alias("a"), F.greatest("x.text_key", "y.text_key").alias("b"))
 
 
@@ -137,29 +143,48 @@ def apart(docs: DataFrame, members: DataFrame, roots: DataFrame, similarity: flo
     return _pairs(strict, strict, on, similarity).union(_pairs(held.where("near"), far, on, similarity)).distinct()
 
 
+def by_fingerprint(each: DataFrame) -> DataFrame:
+    """(x, y) of texts (text_key, n, fp) as structs: each text and the leader of its fingerprint, and the leaders of
+    linked fingerprints (operator 8's links)."""
+    leaders = materialise(each.groupBy("fp").agg(F.min_by(F.struct("text_key", "n"), F.xxhash64("text_key")).alias("lead")), "fingerprint-leaders")
+    same = each.join(leaders, "fp").select(F.struct("text_key", "n").alias("x"), F.col("lead").alias("y"))
+    linked = simhash.links(leaders.select("fp"), DISTANCE)
+    a, b = (leaders.select(F.col("fp").alias(side), F.col("lead").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    return same.union(linked.join(a, "a").join(b, "b").select("x", "y")).where("x.text_key <> y.text_key")
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY, pair_keys: int = PAIR_KEYS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key) of each document row, and links (a, b) between text keys that make up the same
     components as all links of texts with a common key do."""
 
     def work(text: bytes | None) -> np.ndarray:
-        own = shingles(text)
-        return np.append(band_keys(own), np.uint64(len(own)))
+        found = simhash.hashes(text, SHINGLE)
+        own = np.unique(found)
+        return np.append(band_keys(own), np.array([len(own), simhash.majority(found)], np.uint64))
 
     rows = materialise(_mapped(_texts(docs), work, ["doc_id", "text_key"], "doc_id long, text_key string"), "bands")
     each = rows.groupBy("text_key").agg(F.first("held").alias("held"))
-    each = each.select("text_key", F.element_at("held", BANDS + 1).alias("n"), F.slice("held", 1, BANDS).alias("held"))
+    each = each.select("text_key", F.element_at("held", BANDS + 1).alias("n"), F.element_at("held", BANDS + 2).alias("fp"), F.slice("held", 1, BANDS).alias("held"))
     index = each.select("text_key", "n", F.posexplode("held").alias("band", "key"))
     full = materialise(index.groupBy("band", "key").agg(F.count("*").alias("size"), F.min_by(F.struct("text_key", "n"), F.xxhash64("text_key")).alias("lead")).where("size > 1"), "band-sizes")
     shared = materialise(index.join(full, ["band", "key"]).select("band", "key", "text_key", "n", "size", "lead"), "shared-bands")
-    few = shared.where(F.col("size") <= pair_keys).select("band", "key", "text_key", "n")
-    dense = shared.where((F.col("size") > pair_keys) & (F.col("lead.text_key") != F.col("text_key")))
-    to_lead = dense.where(F.least("n", "lead.n") >= similarity * F.greatest("n", "lead.n")).select(F.least("text_key", "lead.text_key").alias("a"), F.greatest("text_key", "lead.text_key").alias("b"))
-    pairs = _pairs(few, few, ["band", "key"], similarity).union(to_lead).distinct()
-    found = verified(docs, materialise(pairs, "candidates"), similarity)
-    members = materialise(dense.select(F.col("lead.text_key").alias("lead"), "text_key").distinct(), "members")
+
+    # each text with the leaders of its keys
+    to_lead = by_fingerprint(each).union(shared.select(F.struct("text_key", "n"), "lead").where("text_key <> lead.text_key").toDF("x", "y"))
+    to_lead = to_lead.where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).select(F.least("x.text_key", "y.text_key").alias("a"), F.greatest("x.text_key", "y.text_key").alias("b")).distinct()
+    found = verified(docs, materialise(to_lead, "candidates"), similarity)
+
+    # and with each other, where a key still has more than one component
+    roots = materialise(components(found).withColumnRenamed("node", "text_key"), "roots")
+    left = shared.where("size > 2").join(roots, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
+    split = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "key")
+    left = materialise(left.join(split, ["band", "key"]).where("lead.text_key <> text_key"), "apart-bands")
+    few = left.where(F.col("size") <= pair_keys).select("band", "key", "text_key", "n", "root")
+    pairs = _pairs(few, few, ["band", "key"], similarity)
+    members = materialise(left.where(F.col("size") > pair_keys).select(F.col("lead.text_key").alias("lead"), "text_key").distinct(), "members")
     if not members.isEmpty():
-        roots = materialise(components(found).withColumnRenamed("node", "text_key"), "roots")
-        found = found.union(verified(docs, materialise(apart(docs, members, roots, similarity), "candidates"), similarity))
+        pairs = pairs.union(apart(docs, members, roots, similarity))
+    found = found.union(verified(docs, materialise(pairs.distinct(), "candidates"), similarity))
     return rows.select("doc_id", "text_key"), found
 
 
