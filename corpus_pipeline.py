@@ -25,8 +25,9 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """In operator 8's place: of each component of near copies (five-word Jaccard of 0.8 or more), the document
-    with the smallest id stays."""
+    """Operator 8's fingerprint links on five-word shingles, with MinHash's candidates beside them, each checked on the
+    whole texts: of each component of near copies (Jaccard of 0.8 or more), the document with the smallest id
+    stays."""
     return simhash.representatives(docs, near.grouped(docs))
 
 
