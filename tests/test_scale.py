@@ -18,7 +18,7 @@ def test_what_lies_beyond_the_shape_is_no_block(spark, axis):
     assert [tuple(r) for r in found.collect()] == [(0, 0, 0)]
 
 
-@pytest.mark.parametrize("name", ["bridge_gaps", "swc_forest"])
+@pytest.mark.parametrize("name", ["bridge_gaps", "swc_forest", "skeleton_stats"])
 def test_small_bodies_share_python_calls(spark, name):
     plan = catalogue.queries()[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
     calls = re.findall(r"FlatMapCoGroupsInPandas \[([^#\]]*)", plan)
