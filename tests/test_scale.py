@@ -1,11 +1,13 @@
 """What only larger or odder tables show."""
 
+import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.oracle import DATA
-from voxelyard.operators import volume
+from voxelyard.operators import calibre, volume
 from voxelyard.plans import catalogue
 
 
@@ -23,3 +25,15 @@ def test_small_bodies_share_python_calls(spark, name):
     plan = catalogue.queries()[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
     calls = re.findall(r"FlatMapCoGroupsInPandas \[([^#\]]*)", plan)
     assert calls and set(calls) == {"bucket"}
+
+
+@pytest.mark.parametrize("small", [64, 4, 0])
+def test_pairs_of_small_bodies_need_no_cells(spark, small):
+    draw = random.Random(1)
+    rows = [(k, i, draw.random() * 9, draw.random() * 9, draw.random() * 9) for k, n in ((1, 3), (2, 9), (3, 1), (4, 4)) for i in range(n)]
+    side = lambda p: spark.createDataFrame(rows, f"body_id long, {p}_node long, {p}_z double, {p}_y double, {p}_x double")
+    df = calibre.within(side("a"), side("b"), 4.0, ["body_id"], small)
+    got = sorted((r["body_id"], r["a_node"], r["b_node"]) for r in df.collect())
+    assert got == sorted((p[0], p[1], q[1]) for p in rows for q in rows if p[0] == q[0] and sum((s - t) ** 2 for s, t in zip(p[2:], q[2:])) <= 16.0)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert ("Generate" in plan) == (small < 64)

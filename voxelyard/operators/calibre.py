@@ -76,15 +76,28 @@ def _cells(prefix: str, side: float, spread: bool) -> Column:
     return F.explode(F.array(*[F.struct(*[(c + d).alias(f"c{a}") for a, c, d in zip("zyx", own, m)]) for m in moves])).alias("cell")
 
 
-def within(a: DataFrame, b: DataFrame, radius: float, key: list[str]) -> DataFrame:
+def within(a: DataFrame, b: DataFrame, radius: float, key: list[str], small: int = SMALL) -> DataFrame:
     """Pairs of rows of a (a_z, a_y, a_x) and b (b_z, b_y, b_x) with equal keys and at most this far
-    apart, by a grid of the radius: b is put into its cell, a into the 27 cells around. Exact."""
+    apart. Exact. Rows of keys with up to small rows of b are compared with all of these; those of others by a grid of
+    the radius: b is put into its cell, a into the 27 cells around."""
     if radius <= 0:
         raise ValueError("a radius is positive")
-    left = a.select("*", _cells("a_", radius, True)).select("*", "cell.*").drop("cell")
-    right = b.select("*", _cells("b_", radius, False)).select("*", "cell.*").drop("cell")
-    pairs = left.join(right, [*key, "cz", "cy", "cx"]).withColumn("d2", distance2("a_", "b_"))
-    return pairs.where(F.col("d2") <= radius * radius).drop("cz", "cy", "cx")
+
+    def met(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        return left.join(right, on).withColumn("d2", distance2("a_", "b_")).where(F.col("d2") <= radius * radius)
+
+    def by_grid(a: DataFrame, b: DataFrame) -> DataFrame:
+        left = a.select("*", _cells("a_", radius, True)).select("*", "cell.*").drop("cell")
+        right = b.select("*", _cells("b_", radius, False)).select("*", "cell.*").drop("cell")
+        return met(left, right, [*key, "cz", "cy", "cx"]).drop("cz", "cy", "cx")
+
+    if not key or not small:
+        return by_grid(a, b)
+    large = b.groupBy(*key).agg(F.count("*").alias("size_")).where(F.col("size_") > small).select(*key)
+    if large.isEmpty():
+        return met(a, b, key)
+    few = met(a.join(large, key, "left_anti"), b.join(large, key, "left_anti"), key)
+    return few.unionByName(by_grid(a.join(large, key, "left_semi"), b.join(large, key, "left_semi")))
 
 
 def nearest_by_grid(points: DataFrame, nodes: DataFrame, side: float) -> DataFrame:
