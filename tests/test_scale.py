@@ -27,6 +27,22 @@ def test_small_bodies_share_python_calls(spark, name):
     assert calls and set(calls) == {"bucket"}
 
 
+def cells_of(spark, rows):
+    return spark.createDataFrame(rows, "z long, y long, x long")
+
+
+@pytest.mark.parametrize("reach", [1, 2, 5])
+def test_density_spreads_no_voxel_over_its_neighbourhood(spark, reach):
+    draw = random.Random(reach)
+    cells = sorted({(draw.randrange(-70, 140), draw.randrange(60, 70), draw.randrange(120, 131)) for _ in range(1500)})
+    df = volume.local_density(cells_of(spark, cells + cells[:50]), reach)
+    got = {(r["z"], r["y"], r["x"]): round(r["density"] * (2 * reach + 1) ** 3) for r in df.collect()}
+    at = np.array(cells)
+    assert got == {c: int((np.abs(at - c) <= reach).all(axis=1).sum()) for c in cells}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"sum\(n", plan)
+
+
 @pytest.mark.parametrize("small", [64, 4, 0])
 def test_pairs_of_small_bodies_need_no_cells(spark, small):
     draw = random.Random(1)
