@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.oracle import DATA
-from voxelyard.operators import calibre, volume
+from voxelyard.operators import calibre, trace, volume
 from voxelyard.plans import catalogue
 
 
@@ -53,3 +53,22 @@ def test_pairs_of_small_bodies_need_no_cells(spark, small):
     assert got == sorted((p[0], p[1], q[1]) for p in rows for q in rows if p[0] == q[0] and sum((s - t) ** 2 for s, t in zip(p[2:], q[2:])) <= 16.0)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert ("Generate" in plan) == (small < 64)
+
+
+def test_bodies_are_traced_as_one_graph(spark):
+    """As each alone: rods, noise and dust, with doors and without; and no call is a body's own."""
+    draw = np.random.default_rng(0)
+    rod = lambda r: np.array([(z, y, x) for z in range(33) for y in range(2 * r + 1) for x in range(2 * r + 1) if (y - r) ** 2 + (x - r) ** 2 <= r * r])
+    cells = [draw.permutation(c) for c in (rod(2), np.argwhere(draw.random((9, 14, 9)) < 0.4), rod(1)[:9], rod(4), np.argwhere(draw.random((12, 12, 12)) < 0.25))]
+    doors = [(c == 32).any(axis=1) for c in cells]
+    got = trace.traces(np.concatenate(cells), np.concatenate(doors), np.repeat(np.arange(5), [*map(len, cells)]), [(None, None)] * 5)
+    base = 0
+    for own, at, found in zip(cells, doors, got):
+        keep, radius, edges = trace.trace(own, at)
+        assert (found[0] == base + keep).all() and (found[1] == radius).all() and (found[2] == edges).all()
+        base += len(own)
+    assert len(got[2][0]) == 0 < len(got[0][0])
+    for name in ("trace_blocks", "fuse_skeletons", "fusion_totals", "fusion_grid"):
+        plan = catalogue.queries()[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        calls = re.findall(r"FlatMapGroupsIn\w+ \[([^#\]]*)", plan)
+        assert calls and set(calls) == {"bucket"}

@@ -1,22 +1,21 @@
 """Skeletons of voxel bodies, block by block, and their fusion to one skeleton per body.
 
-Tracing runs on one body of one block, fusion on one body's fragments: both are grouped calls, and the
-fragments' way from one to the other is the shuffle by body.
+Tracing runs on bodies of blocks, many of them as one graph, fusion on one body's fragments: both are grouped calls on
+buckets, and the fragments' way from one to the other is the shuffle by body.
 """
 
 from __future__ import annotations
 
 import errno
-import heapq
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import AXES, block_of
-from .graph import components, least_forest, lengths, near_pairs, shortest
+from .graph import components, labels, least_forest, lengths, near_pairs
 
 #: Voxels of a component to be traced, of a path to be kept, and around a path that it covers.
 DUST, MIN_LENGTH, COVER_SCALE, COVER_CONST = 50, 10.0, 1.2, 2.0
@@ -46,93 +45,168 @@ def depth(cells: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | N
     return np.where(np.isinf(found), float(max(square.shape)), found)
 
 
-def neighbours(cells: np.ndarray) -> np.ndarray:
-    """Pairs of touching voxels, by place in the list, which must be in order."""
+def neighbours(cells: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
+    """Pairs of touching voxels (of one group), by place in the list, which must be in order of group and place; no
+    place is negative."""
     shape = cells.max(axis=0) + 2
-    flat = (cells[:, 0] * shape[1] + cells[:, 1]) * shape[2] + cells[:, 2]
-    pairs = []
+    group = np.zeros(len(cells), np.int64) if group is None else group
+    key = lambda c: ((group * (shape[0] + 1) + c[:, 0] + 1) * (shape[1] + 1) + c[:, 1] + 1) * (shape[2] + 1) + c[:, 2] + 1
+    flat, pairs = key(cells), []
     for step in STEPS:
-        to = cells + step
-        fits = ((to >= 0) & (to < shape)).all(axis=1)
-        key = (to[:, 0] * shape[1] + to[:, 1]) * shape[2] + to[:, 2]
-        at = np.minimum(np.searchsorted(flat, key), len(flat) - 1)
-        hit = fits & (flat[at] == key)
-        pairs.append(np.stack([np.flatnonzero(hit), at[hit]], axis=1))
+        to = key(cells + step)
+        at = np.minimum(np.searchsorted(flat, to), len(flat) - 1)
+        hit = np.flatnonzero(flat[at] == to)
+        pairs.append(np.stack([hit, at[hit]], axis=1))
     return np.concatenate(pairs)
 
 
-def parents(n: int, pairs: np.ndarray, weight: np.ndarray, root: int) -> np.ndarray:
-    """The voxel before each one on its cheapest path from the root; -1 for the root."""
-    near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-    for (a, b), w in zip(pairs.tolist(), weight.tolist()):
-        near[a].append((b, w))
-        near[b].append((a, w))
-    cost, before = np.full(n, np.inf), np.full(n, -1, np.int64)
-    cost[root] = 0.0
-    heap = [(0.0, root)]
-    while heap:
-        c, i = heapq.heappop(heap)
-        if c > cost[i]:
-            continue
-        for j, w in near[i]:
-            if c + w < cost[j]:
-                cost[j], before[j] = c + w, i
-                heapq.heappush(heap, (c + w, j))
-    return before
+@dataclass
+class Ways:
+    """Both directions of edges between vertices, in order of the vertex that they leave."""
+
+    first: np.ndarray
+    out: np.ndarray
+    to: np.ndarray
+    edge: np.ndarray
+
+    @staticmethod
+    def of(n: int, pairs: np.ndarray) -> "Ways":
+        out = np.concatenate([pairs[:, 0], pairs[:, 1]])
+        order = np.argsort(out, kind="stable")
+        return Ways(np.searchsorted(out[order], np.arange(n + 1)), out[order], np.concatenate([pairs[:, 1], pairs[:, 0]])[order], np.concatenate([np.arange(len(pairs))] * 2)[order])
+
+    def costs(self, weight: np.ndarray, sources: np.ndarray) -> np.ndarray:
+        """The least cost from a source to each vertex, infinite where there is no way. The cheapest of what
+        changed goes on first, a band of costs at a time, in all parts of the graph at once."""
+        n, w = len(self.first) - 1, weight[self.edge]
+        cost = np.full(n, np.inf)
+        cost[sources] = 0.0
+        band = float(w.mean()) / 2 if len(w) else 1.0
+        waiting = np.unique(sources)
+        while len(waiting):
+            level = cost[waiting]
+            go = level <= level.min() + band
+            front, waiting = waiting[go], waiting[~go]
+            count = self.first[front + 1] - self.first[front]
+            at = np.arange(count.sum()) + np.repeat(self.first[front] - (np.cumsum(count) - count), count)
+            new = np.repeat(cost[front], count) + w[at]
+            better = new < cost[self.to[at]]
+            to = self.to[at[better]]
+            np.minimum.at(cost, to, new[better])
+            waiting = np.unique(np.concatenate([waiting, to]))
+        return cost
+
+    def before(self, weight: np.ndarray, cost: np.ndarray) -> np.ndarray:
+        """The vertex before each one on its cheapest way, of equally cheap ones the one with the least cost, and the
+        first of these; -1 for sources."""
+        step = np.flatnonzero((cost[self.out] + weight[self.edge] == cost[self.to]) & np.isfinite(cost[self.to]))
+        a, b = self.out[step], self.to[step]
+        order = np.lexsort((a, cost[a], b))
+        a, b = a[order], b[order]
+        lead = np.diff(b, prepend=-1) > 0
+        up = np.full(len(cost), -1, np.int64)
+        up[b[lead]] = a[lead]
+        return up
+
+
+def _paths(cells: np.ndarray, radius: np.ndarray, far: np.ndarray, before: list[int], root: int, targets: list[int], min_length: float) -> tuple[list[int], list[tuple[int, int]]]:
+    """Vertices and edges of a component's paths: to all targets, then to the furthest voxel that no path covers yet."""
+    covered, on, edges = np.zeros(len(cells), bool), {root}, []
+    reach = (COVER_SCALE * radius + COVER_CONST) ** 2
+    while True:
+        must = bool(targets)
+        tip = targets.pop() if must else int(np.argmax(np.where(covered, -1.0, far)))
+        if not must and covered[tip]:
+            break
+        path = [tip]
+        while path[-1] not in on:
+            path.append(before[path[-1]])
+        line = np.array(path)
+        if must or not edges:
+            keep = True
+        else:
+            steps = np.sqrt(((cells[line[1:]] - cells[line[:-1]]) ** 2).sum(axis=1))
+            keep = sum(steps[~covered[line[:-1]]].tolist()) >= min_length
+        if keep:
+            edges += list(zip(path, path[1:]))
+            on.update(path)
+        for k in range(0, len(line), 64):  # what the path stands for, and at least itself
+            some = line[k : k + 64]
+            left = np.flatnonzero(~covered)
+            near = ((cells[left, None] - cells[None, some]) ** 2).sum(axis=2) <= reach[some]
+            covered[left[near.any(axis=1)]] = True
+        covered[line] = True
+    return sorted(on), edges
+
+
+def traces(cells: np.ndarray, doors: np.ndarray, group: np.ndarray, corners: list[tuple[np.ndarray | None, np.ndarray | None]], dust: int = DUST, min_length: float = MIN_LENGTH) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """trace of many groups of voxels (numbered from 0, in order) as one graph: of each its voxels' places in the whole
+    list, their radii, and edges. corners has low and high of each group."""
+    if not len(cells):
+        return []
+    order = np.lexsort((*cells.T[::-1], group))
+    cells, doors, group = cells[order], doors[order], group[order]
+    start = np.searchsorted(group, np.arange(len(corners) + 1))
+    spans = list(zip(start[:-1].tolist(), start[1:].tolist()))
+    radius = np.concatenate([depth(cells[a:b], *c) for (a, b), c in zip(spans, corners)])
+    cells = np.concatenate([cells[a:b] - cells[a:b].min(axis=0) for a, b in spans])
+    pairs = neighbours(cells, group)
+    label = labels(len(cells), pairs)
+    size = np.bincount(label, minlength=len(cells))
+    pairs = pairs[size[label[pairs[:, 0]]] >= dust]
+    step = np.sqrt(((cells[pairs[:, 0]] - cells[pairs[:, 1]]) ** 2).sum(axis=1))
+    ways, cost = Ways.of(len(cells), pairs), 1.0 / (1.0 + radius**2)
+    parts = np.flatnonzero((label == np.arange(len(cells))) & (size >= dust))
+    # the deepest voxel of each patch of doors, in order of the patches
+    patch = labels(len(cells), pairs[doors[pairs].all(axis=1)])
+    own = np.flatnonzero(doors & (size[label] >= dust))
+    own = own[np.lexsort((own, -radius[own], patch[own], label[own]))]
+    own = own[np.diff(patch[own], prepend=-1) != 0]
+    targets: dict[int, list[int]] = {p: [] for p in parts.tolist()}
+    for p, i in zip(label[own].tolist(), own.tolist()):
+        targets[p].append(i)
+    # a path begins at a door if there is one, not at the rim of the face
+    rims = ways.costs(step, np.array([p for p in targets if not targets[p]], np.int64))
+    members = np.argsort(label, kind="stable")
+    first = np.searchsorted(label[members], parts)
+    held = {p: members[a : a + n] for p, a, n in zip(parts.tolist(), first.tolist(), size[parts].tolist())}
+    roots = {p: t.pop() if t else int(held[p][np.argmax(rims[held[p]])]) for p, t in targets.items()}
+    at = np.array(list(roots.values()), np.int64)
+    far = ways.costs(step, at)
+    weight = step * (cost[pairs[:, 0]] + cost[pairs[:, 1]])
+    before = ways.before(weight, ways.costs(weight, at))
+    place = np.zeros(len(cells), np.int64)
+    used: list[dict[int, int]] = [{} for _ in corners]
+    edges: list[list[tuple[int, int]]] = [[] for _ in corners]
+    for p, whole in held.items():
+        place[whole] = np.arange(len(whole))
+        up = np.where(before[whole] < 0, -1, place[before[whole]]).tolist()
+        on, tied = _paths(cells[whole], radius[whole], far[whole], up, int(place[roots[p]]), place[targets[p]].tolist(), min_length)
+        names, g = whole.tolist(), int(group[p])
+        edges[g] += [(names[a], names[b]) for a, b in tied]
+        for i in on:
+            used[g][names[i]] = len(used[g])
+    out = []
+    for own_, tied in zip(used, edges):
+        keep = np.array(list(own_), np.int64)
+        out.append((order[keep], radius[keep], np.array([(own_[a], own_[b]) for a, b in tied], np.int64).reshape(-1, 2)))
+    return out
 
 
 def trace(cells: np.ndarray, doors: np.ndarray, dust: int = DUST, min_length: float = MIN_LENGTH, low: np.ndarray | None = None, high: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Voxels of the skeleton, their radii, and edges. doors marks voxels on a face of the block beyond
     which the body may go on: the deepest voxel of each patch of them is always reached. low and high are the
     corners of what is known, as the depth has it."""
-    order = np.lexsort(cells.T[::-1])
-    radius = depth(cells[order], low, high)
-    cells, doors = cells[order] - cells.min(axis=0), doors[order]
-    pairs = neighbours(cells)
-    label = components(len(cells), pairs)
-    cost = 1.0 / (1.0 + radius**2)
-    size = np.sqrt(((cells[pairs[:, 0]] - cells[pairs[:, 1]]) ** 2).sum(axis=1)) if len(pairs) else np.zeros(0)
-    used: dict[int, int] = {}
-    edges: list[tuple[int, int]] = []
-    for part in np.unique(label):
-        own = np.flatnonzero(label == part)
-        if len(own) < dust:
-            continue
-        place = np.full(len(cells), -1)
-        place[own] = np.arange(len(own))
-        inner = pairs[label[pairs[:, 0]] == part]
-        step = size[label[pairs[:, 0]] == part]
-        local = place[inner]
-        plain = np.zeros(len(inner), bool)
-        touching = doors[own[local[:, 0]]] & doors[own[local[:, 1]]] if len(local) else np.zeros(0, bool)
-        patch = components(len(own), local[touching])
-        targets = [int(max(np.flatnonzero(doors[own] & (patch == p)), key=lambda i: (radius[own[i]], -i))) for p in np.unique(patch[doors[own]])]
-        # a path begins at a door if there is one, not at the rim of the face
-        root = targets.pop() if targets else int(np.argmax(shortest(len(own), local, step, plain, [0])[0]))
-        far = shortest(len(own), local, step, plain, [root])[0]
-        before = parents(len(own), local, step * (cost[inner[:, 0]] + cost[inner[:, 1]]), root)
-        covered, on = np.zeros(len(own), bool), {root}
-        first = len(edges)
-        while True:
-            must = bool(targets)
-            tip = targets.pop() if must else int(np.argmax(np.where(covered, -1.0, far)))
-            if not must and covered[tip]:
-                break
-            path = [tip]
-            while path[-1] not in on:
-                path.append(int(before[path[-1]]))
-            fresh = sum(float(np.linalg.norm(cells[own[a]] - cells[own[b]])) for a, b in zip(path, path[1:]) if not covered[a])
-            keep = must or len(edges) == first or fresh >= min_length
-            if keep:
-                edges += [(int(own[a]), int(own[b])) for a, b in zip(path, path[1:])]
-                on.update(path)
-            for i in path:  # what the path stands for, and at least itself
-                covered |= ((cells[own] - cells[own[i]]) ** 2).sum(axis=1) <= (COVER_SCALE * radius[own[i]] + COVER_CONST) ** 2
-            covered[path] = True
-        for i in sorted(on):
-            used[int(own[i])] = len(used)
-    keep = np.array(sorted(used, key=used.get), np.int64)
-    return order[keep], radius[keep], np.array([(used[a], used[b]) for a, b in edges], np.int64).reshape(-1, 2)
+    return traces(cells, doors, np.zeros(len(cells), np.int64), [(low, high)], dust, min_length)[0]
+
+
+#: Bodies of blocks that are traced as one graph, and buckets of them a shuffle partition.
+TOGETHER, BUCKETS = 64, 16
+
+
+def dealt(df: DataFrame, key: list[str]) -> DataFrame:
+    """Adds a bucket, a hash of the key, so that small groups share a Python call."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(BUCKETS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
 
 
 FRAGMENT = "body_id long, block string, node long, z_nm double, y_nm double, x_nm double, radius_nm double, links array<long>"
@@ -141,24 +215,38 @@ FRAGMENT = "body_id long, block string, node long, z_nm double, y_nm double, x_n
 def skeletonize_blocks(voxels: DataFrame, block: int, nm: float, dust: int = DUST, min_length: float = MIN_LENGTH) -> DataFrame:
     """Fragments: the skeleton nodes of each body in each block, each with the nodes before it that it is
     linked to. Blocks share their faces' voxels, so that fragments of neighbours meet."""
-    own = voxels.where("body_id <> 0").select("body_id", *AXES, *block_of(block))
+    own = voxels.where("body_id <> 0").select(F.col("body_id").cast("long").alias("body_id"), *AXES, *block_of(block))
     shared = own
     for a in AXES:  # the first layer of a block belongs to the one before as well
         again = shared.where((F.col(a) % block == 0) & (F.col(f"b{a}") > 0) & (F.floor(F.col(a) / block) == F.col(f"b{a}"))).withColumn(f"b{a}", F.col(f"b{a}") - 1)
         shared = shared.unionByName(again)
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        cells = rows[[*AXES]].to_numpy(np.int64)
-        at = rows[["bz", "by", "bx"]].iloc[0].to_numpy(np.int64) * block
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("body_id", "bz", "by", "bx")])
+        get = lambda names: np.stack([table.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
+        cells, at, body = get(AXES), get(("bz", "by", "bx")) * block, table.column("body_id").to_numpy()
         doors = ((cells == at) & (at > 0)).any(axis=1) | (cells == at + block).any(axis=1)
-        keep, radius, edges = trace(cells, doors, dust, min_length, at, at + block)
-        near: list[list[int]] = [[] for _ in keep]
-        for a, b in edges:
-            near[max(a, b)].append(int(min(a, b)))
-        spots = cells[keep] * nm
-        return pd.DataFrame({"body_id": int(rows["body_id"].iloc[0]), "block": "_".join(map(str, at // block)), "node": np.arange(len(keep)), "z_nm": spots[:, 0], "y_nm": spots[:, 1], "x_nm": spots[:, 2], "radius_nm": radius * nm, "links": pd.Series(near, dtype=object)})
-
-    return shared.groupBy("body_id", "bz", "by", "bx").applyInPandas(work, FRAGMENT)
+        start = np.flatnonzero(np.r_[True, (body[1:] != body[:-1]) | (at[1:] != at[:-1]).any(axis=1)])
+        ends = np.append(start[1:], len(body))
+        rows, sizes, node, radii, near = [], [], [], [], []
+        for k in range(0, len(start), TOGETHER):
+            some, a, b = start[k : k + TOGETHER], start[k], ends[k : k + TOGETHER][-1]
+            group = np.repeat(np.arange(len(some)), np.diff(np.append(some, b)))
+            for keep, radius, edges in traces(cells[a:b], doors[a:b], group, [(at[i], at[i] + block) for i in some], dust, min_length):
+                own: list[list[int]] = [[] for _ in keep]
+                for p, q in edges.tolist():
+                    own[max(p, q)].append(min(p, q))
+                rows.append(a + keep)
+                sizes.append(len(keep))
+                node.append(np.arange(len(keep)))
+                radii.append(radius * nm)
+                near += own
+        rows = np.concatenate(rows)
+        names = np.repeat(np.array(["_".join(map(str, b // block)) for b in at[start]], object), sizes)
+        columns = [pa.array(body[rows]), pa.array(names, pa.string()), pa.array(np.concatenate(node)), *[pa.array(cells[rows, c] * nm) for c in range(3)], pa.array(np.concatenate(radii)), pa.array(near, pa.list_(pa.int64()))]
+        return pa.table(columns, [f.strip().split(" ")[0] for f in FRAGMENT.split(", ")])
+
+    return dealt(shared, ["body_id", "bz", "by", "bx"]).groupBy("bucket").applyInArrow(work, FRAGMENT)
 
 
 # ---- fusion ---------------------------------------------------------------------------------------
@@ -297,15 +385,34 @@ def guarded(work, body):
         return {"status": "failed", "error": f"{type(error).__name__}: {error}"}
 
 
-def _fused(rows: pd.DataFrame, seam: float, dust: float, tick: float) -> dict:
-    v, r, e, base = [], [], [], 0
-    for _, one in rows.sort_values(["block", "node"]).groupby("block"):
-        v.append(one[["z_nm", "y_nm", "x_nm"]].to_numpy(float))
-        r.append(one["radius_nm"].to_numpy(float))
-        e += [(base + int(a), base + int(b)) for a, near in zip(one["node"], one["links"]) for b in near]
-        base += len(one)
-    s, stats = fuse(Shape(np.concatenate(v), np.concatenate(r), np.array(e, np.int64).reshape(-1, 2)), seam, dust, tick)
-    row = stats | {"status": "dust" if stats["deleted"] else "written", "n_fragments": rows["block"].nunique(), "max_radius_nm": float(s.r.max()) if len(s.r) else None}
+def _by_body(table: pa.Table):
+    """Each body's id and its fragments: number of blocks, places, radii, and edges between places."""
+    table = table.sort_by([(c, "ascending") for c in ("body_id", "block", "node")])
+    body, node = (table.column(c).to_numpy() for c in ("body_id", "node"))
+    block = table.column("block").to_pylist()
+    v = np.stack([table.column(c).to_numpy() for c in ("z_nm", "y_nm", "x_nm")], axis=1)
+    r, links = table.column("radius_nm").to_numpy(), table.column("links").to_pylist()
+    start = np.flatnonzero(np.diff(body, prepend=body[:1] - 1)).tolist()
+    for a, b in zip(start, [*start[1:], len(body)]):
+        base, n, e = 0, 0, []
+        for i in range(a, b):
+            if i == a or block[i] != block[i - 1]:
+                base, n = i - a, n + 1
+            e += [(base + int(node[i]), base + k) for k in links[i]]
+        yield int(body[a]), (n, v[a:b], r[a:b], np.array(e, np.int64).reshape(-1, 2))
+
+
+def _told(rows: list[dict], schema: str) -> pa.Table:
+    """The rows as a table of the schema's columns; null what a row hasn't."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+    fields = [f.strip().split(" ") for f in schema.split(", ")]
+    return pa.table([pa.array([r.get(n) for r in rows], kinds[t]) for n, t in fields], [n for n, _ in fields])
+
+
+def _fused(body: tuple[int, np.ndarray, np.ndarray, np.ndarray], seam: float, dust: float, tick: float) -> dict:
+    n, v, r, e = body
+    s, stats = fuse(Shape(v, r, e), seam, dust, tick)
+    row = stats | {"status": "dust" if stats["deleted"] else "written", "n_fragments": n, "max_radius_nm": float(s.r.max()) if len(s.r) else None}
     return row | {"z_nm": s.v[:, 0], "y_nm": s.v[:, 1], "x_nm": s.v[:, 2], "radii": s.r, "src": s.e[:, 0], "dst": s.e[:, 1]}
 
 
@@ -317,30 +424,29 @@ def join_radius(radius: float | None, nm: tuple[float, float, float]) -> float:
 def fuse_bodies(fragments: DataFrame, seam: float, dust: float = 500.0, tick: float = 500.0) -> DataFrame:
     """A row per body: status (written, or dust), what each step did, and the skeleton. A body whose
     fusion fails has the status failed and the error's text, and stops no other."""
-    names = [f.strip().split(" ")[0] for f in STATS.split(", ")]
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        row = guarded(lambda r: _fused(r, seam, dust, tick), rows)
-        return pd.DataFrame([{n: row.get(n) for n in names} | {"body_id": int(rows["body_id"].iloc[0])}], columns=names)
+    def work(table: pa.Table) -> pa.Table:
+        out = [guarded(lambda b: _fused(b, seam, dust, tick), one) | {"body_id": body} for body, one in _by_body(table)]
+        return _told(out, STATS)
 
-    return fragments.groupBy("body_id").applyInPandas(work, STATS)
+    return dealt(fragments, ["body_id"]).groupBy("bucket").applyInArrow(work, STATS)
 
 
 def fusion_grid(fragments: DataFrame, seam: float, dusts: list[float], ticks: list[float]) -> DataFrame:
     """What each pair of thresholds leaves: (dust, tick) and the totals of fusion_summary. Each body is fused
     for all pairs where its fragments are, so they move once."""
-    names = [f.strip().split(" ")[0] for f in STATS.split(", ")][:-6]
     schema = "dust double, tick double, " + ", ".join(STATS.split(", ")[:-6])
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
+    def work(table: pa.Table) -> pa.Table:
         out = []
-        for dust in dusts:
-            for tick in ticks:
-                row = guarded(lambda r: _fused(r, seam, dust, tick), rows)  # noqa: B023
-                out.append({"dust": dust, "tick": tick} | {n: row.get(n) for n in names} | {"body_id": int(rows["body_id"].iloc[0])})
-        return pd.DataFrame(out, columns=["dust", "tick", *names])
-
-    return fusion_summary(fragments.groupBy("body_id").applyInPandas(work, schema), ["dust", "tick"])
+        for body, one in _by_body(table):
+            for dust in dusts:
+                for tick in ticks:
+                    row = guarded(lambda b: _fused(b, seam, dust, tick), one)  # noqa: B023
+                    out.append({"dust": dust, "tick": tick} | row | {"body_id": body})
+        return _told(out, schema)
+
+    return fusion_summary(dealt(fragments, ["body_id"]).groupBy("bucket").applyInArrow(work, schema), ["dust", "tick"])
 
 
 def fusion_summary(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
