@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.oracle import DATA
-from voxelyard.operators import calibre, trace, volume
+from voxelyard.operators import calibre, simplify, trace, volume
 from voxelyard.plans import catalogue
 
 
@@ -74,8 +74,26 @@ def test_bodies_are_traced_as_one_graph(spark):
         assert calls and set(calls) == {"bucket"}
 
 
-@pytest.mark.parametrize("name", ["synapse_distances", "synapse_summary"])
+@pytest.mark.parametrize("name", ["synapse_distances", "synapse_summary", "region_sample", "optimal_downsample"])
 def test_no_python_call_is_a_body_s_own(spark, name):
     plan = catalogue.queries()[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
     calls = re.findall(r"FlatMapCoGroupsIn\w+ \[([^#\]]*)", plan)
     assert calls and set(calls) == {"bucket"}
+
+
+def test_merges_in_one_body_depend_on_no_other():
+    draw, alone, base = np.random.default_rng(2), [], 0
+    v, r, e = [], [], []
+    for n in (1, 7, 300, 40, 12):
+        place, radius, ends = draw.random((n, 3)) * n, draw.random(n) * n / 3, np.array([(i // 2, i) for i in range(1, n)], np.int64).reshape(-1, 2)
+        one = simplify.Chain.rooted(place, radius, ends)
+        one.settle(1.2, 2.0)
+        alone.append(one)
+        v.append(place)
+        r.append(radius)
+        e.append(ends + base)
+        base += n
+    both = simplify.Chain.rooted(np.concatenate(v), np.concatenate(r), np.concatenate(e))
+    both.settle(1.2, 2.0, np.repeat(np.arange(5), [*map(len, v)]))
+    assert (both.there == np.concatenate([c.there for c in alone])).all() and not both.there.all()
+    assert (both.place == np.concatenate([c.place for c in alone])).all() and (both.radius == np.concatenate([c.radius for c in alone])).all()

@@ -1,6 +1,7 @@
 """Thinning of skeletons by radius: sampling by regions, and merges of redundant nodes.
 
-Both are sequential by definition, node after node within a body, so each runs on a body at a time."""
+Both are sequential by definition, node after node within a body. Bodies come in buckets: samples go through a bucket's
+bodies one by one, merges run on all of them as one forest."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from .graph import Union
-from .paths import AXES, _arrays
+from .paths import AXES, _buckets
 
 #: Defaults of the merge: how much radii may differ, and how far a node may lie off the line.
 RADIUS_SCALE, DISTANCE_SCALE = 1.2, 2.0
@@ -140,10 +141,11 @@ class Chain:
         self.above[moved] = to[self.above[moved]]
         self.above[own] = -1
 
-    def settle(self, radius_scale: float, distance_scale: float) -> None:
+    def settle(self, radius_scale: float, distance_scale: float, group: np.ndarray | None = None) -> None:
         """Every other level at a time, so that no node goes together with the one above it, until nothing
         is redundant. Those that leave the node above as it is go all at once, of the others one under each node;
-        a run of nodes halves with each pass."""
+        a run of nodes halves with each pass. What goes in one group of nodes doesn't depend on other groups."""
+        group = np.zeros(len(self.above), np.int64) if group is None else group
         gone = True
         while gone:
             gone = False
@@ -151,8 +153,8 @@ class Chain:
                 found = self.redundant(radius_scale, distance_scale)
                 own = np.flatnonzero((found > 0) & (self.depth() % 2 == odd))
                 plain = own[found[own] == UPPER]
-                if not len(plain):
-                    plain = own[np.unique(self.above[own], return_index=True)[1]]
+                other = own[~np.isin(group[own], group[plain])]
+                plain = np.sort(np.concatenate([plain, other[np.unique(self.above[other], return_index=True)[1]]]))
                 if len(plain):
                     self.absorb(plain, found[plain])
                     gone = True
@@ -165,34 +167,52 @@ class Chain:
 SCHEMA = "body_id long, node_id long, z_nm double, y_nm double, x_nm double, radius_nm double, neighbours array<long>"
 
 
-def _out(body: int, ids: np.ndarray, v: np.ndarray, r: np.ndarray, keep: list[int], edges: list[tuple[int, int]]) -> pd.DataFrame:
-    near = {i: [] for i in keep}
+def _out(bodies: np.ndarray, ids: np.ndarray, v: np.ndarray, r: np.ndarray, keep: np.ndarray, edges: list[tuple[int, int]]) -> pd.DataFrame:
+    near: dict[int, list[int]] = {i: [] for i in keep.tolist()}
+    names = ids.tolist()
     for a, b in edges:
-        near[a].append(int(ids[b]))
-        near[b].append(int(ids[a]))
-    rows = [(body, int(ids[i]), *map(float, v[i]), float(r[i]), sorted(near[i])) for i in keep]
-    return pd.DataFrame(rows, columns=["body_id", "node_id", *AXES, "radius_nm", "neighbours"])
+        near[a].append(names[b])
+        near[b].append(names[a])
+    out = {"body_id": bodies[keep], "node_id": ids[keep], **{a: v[keep, k] for k, a in enumerate(AXES)}, "radius_nm": r[keep]}
+    return pd.DataFrame(out | {"neighbours": pd.Series([sorted(x) for x in near.values()], dtype=object)})
+
+
+def _columns(n: pd.DataFrame, e: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """Bodies, ids, places and radii of nodes, and edges."""
+    return n["body_id"].to_numpy(np.int64), n["node_id"].to_numpy(np.int64), n[AXES].to_numpy(float).reshape(-1, 3), n["radius_nm"].to_numpy(float), e[["src", "dst"]].to_numpy(np.int64).reshape(-1, 2)
+
+
+def _asked(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return nodes.select("body_id", "node_id", *AXES, "radius_nm"), edges.select("body_id", "edge_id", "src", "dst")
 
 
 def region_sample(nodes: DataFrame, edges: DataFrame, spare_junctions: bool = True) -> DataFrame:
     """Nodes that stay, each with its neighbours' ids."""
 
     def work(n, e):
-        n, v, ends = _arrays(n, e)
-        r, ids = n["radius_nm"].to_numpy(float), n["node_id"].to_numpy()
-        keep = region_keep(v, r, ends, spare_junctions)
-        return _out(int(n["body_id"].iloc[0]), ids, v, r, np.flatnonzero(keep).tolist(), rewired(r, ends, keep))
-
-    return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, SCHEMA)
+        bodies, ids, v, r, ends = _columns(n, e)
+        keep, tied = np.zeros(len(n), bool), []
+        first = np.flatnonzero(np.r_[True, bodies[1:] != bodies[:-1]]) if len(n) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(n))
+        ends = ends[np.argsort(bodies[ends[:, 0]], kind="stable")]
+        of = bodies[ends[:, 0]]
+        for a, b, c, d in zip(first.tolist(), last.tolist(), np.searchsorted(of, bodies[first]).tolist(), np.searchsorted(of, bodies[first], "right").tolist()):
+            own = ends[c:d] - a
+            stay = region_keep(v[a:b], r[a:b], own, spare_junctions)
+            keep[a:b] = stay
+            tied += [(a + x, a + y) for x, y in rewired(r[a:b], own, stay)]
+        return _out(bodies, ids, v, r, np.flatnonzero(keep), tied)
+
+    return _buckets(*_asked(nodes, edges), work, SCHEMA)
 
 
 def optimal_downsample(nodes: DataFrame, edges: DataFrame, radius_scale: float = RADIUS_SCALE, distance_scale: float = DISTANCE_SCALE) -> DataFrame:
     """Nodes after all merges, each with its neighbours' ids."""
 
     def work(n, e):
-        n, v, ends = _arrays(n, e)
-        chain = Chain.rooted(v, n["radius_nm"].to_numpy(float), ends)
-        chain.settle(radius_scale, distance_scale)
-        return _out(int(n["body_id"].iloc[0]), n["node_id"].to_numpy(), chain.place, chain.radius, np.flatnonzero(chain.there).tolist(), chain.links())
+        bodies, ids, v, r, ends = _columns(n, e)
+        chain = Chain.rooted(v, r, ends)
+        chain.settle(radius_scale, distance_scale, bodies)
+        return _out(bodies, ids, chain.place, chain.radius, np.flatnonzero(chain.there), chain.links())
 
-    return nodes.groupBy("body_id").cogroup(edges.groupBy("body_id")).applyInPandas(work, SCHEMA)
+    return _buckets(*_asked(nodes, edges), work, SCHEMA)
