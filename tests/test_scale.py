@@ -97,3 +97,13 @@ def test_merges_in_one_body_depend_on_no_other():
     both.settle(1.2, 2.0, np.repeat(np.arange(5), [*map(len, v)]))
     assert (both.there == np.concatenate([c.there for c in alone])).all() and not both.there.all()
     assert (both.place == np.concatenate([c.place for c in alone])).all() and (both.radius == np.concatenate([c.radius for c in alone])).all()
+
+
+def test_overlap_moves_tiles_not_voxels(spark):
+    draw = random.Random(4)
+    some = lambda n: sorted({(draw.randrange(2), draw.randrange(-9, 9), draw.randrange(-9, 9), draw.randrange(-9, 9)) for _ in range(n)})
+    tube, mask = some(900), [*some(600), (5, 0, 0, 0)]
+    df = volume.overlap(*[spark.createDataFrame(rows, "body_id long, z int, y int, x int") for rows in (tube, mask + mask)])
+    got = {r["body_id"]: (r["n_tube"], r["n_mask"], r["n_both"]) for r in df.collect()}
+    assert got == {b: tuple(len([c for c in cells if c[0] == b]) for cells in (tube, mask, set(tube) & set(mask))) for b in (0, 1, 5)}
+    assert "bit_or" in df._jdf.queryExecution().executedPlan().toString()

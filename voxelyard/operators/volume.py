@@ -119,10 +119,18 @@ def rasterised(samples: DataFrame, nm: float, shape: tuple[int, int, int]) -> Da
     return cells.distinct()
 
 
+def _tiles(voxels: DataFrame, name: str) -> DataFrame:
+    """Voxels of each body by tiles of 4 x 4 x 4, a bit each."""
+    bit = ((F.pmod("z", F.lit(4)) * 4 + F.pmod("y", F.lit(4))) * 4 + F.pmod("x", F.lit(4))).cast("int").alias("bit")
+    cells = voxels.select("body_id", *[F.floor(F.col(a) / 4).alias(f"t{a}") for a in AXES], bit)
+    return cells.groupBy("body_id", *[f"t{a}" for a in AXES]).agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias(name))
+
+
 def overlap(tube: DataFrame, mask: DataFrame) -> DataFrame:
-    """Coverage (of the mask by the tube) and spill (of the tube outside the mask) of each body."""
-    both = tube.withColumn("t", F.lit(True)).join(mask.select("body_id", *AXES).distinct().withColumn("m", F.lit(True)), ["body_id", *AXES], "full")
-    n = both.groupBy("body_id").agg(F.count("t").alias("n_tube"), F.count("m").alias("n_mask"), F.count_if(F.col("t") & F.col("m")).alias("n_both"))
+    """Coverage (of the mask by the tube) and spill (of the tube outside the mask) of each body. Tiles meet, not voxels."""
+    both = _tiles(tube, "t").join(_tiles(mask, "m"), ["body_id", *[f"t{a}" for a in AXES]], "full")
+    t, m = F.coalesce("t", F.lit(0).cast("long")), F.coalesce("m", F.lit(0).cast("long"))
+    n = both.groupBy("body_id").agg(*[F.sum(F.bit_count(c).cast("long")).alias(name) for name, c in (("n_tube", t), ("n_mask", m), ("n_both", t.bitwiseAND(m)))])
     return n.withColumn("coverage", F.col("n_both") / F.greatest(F.col("n_mask"), F.lit(1))).withColumn("spill", (F.col("n_tube") - F.col("n_both")) / F.greatest(F.col("n_tube"), F.lit(1)))
 
 
