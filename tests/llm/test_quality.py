@@ -130,6 +130,25 @@ def test_both_ways_agree(spark, small):
     assert one == two
 
 
+def test_a_large_model_is_replicated_by_parts(spark, small, odd, monkeypatch):
+    """A model over MODEL_ROWS doesn't make a row of each document and n-gram; the numbers stay the same."""
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = docs.select("doc_id", "text", "lang").unionByName(odd.select("doc_id", "text", "lang"))
+    one = sorted((repr(tuple(r)) for r in q.judge(docs, labels, replicate=True).collect()))
+    monkeypatch.setattr(q, "MODEL_ROWS", 100)
+    monkeypatch.setattr(q, "PARTS", 1 << 20)
+
+    def refused(*_):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(q, "by_join", refused)
+    cut, own = [], q.parts_of
+    monkeypatch.setattr(q, "parts_of", lambda model, rows: cut.extend(own(model, model.count() // 3)) or cut)
+    assert sorted(repr(tuple(r)) for r in q.judge(docs, labels).collect()) == one
+    assert len(cut) > 2 and cut[0][0] == 0 and cut[-1][1] == q.PAIRS and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+
+
 def test_thresholds_are_inclusive(spark):
     """A document whose perplexity is the limit itself stays."""
     rows = [("a", True, 10, 1), ("a", True, 20, 1), ("a", False, 5, 1), ("b", True, 7, 400), ("b", False, 7, 1)]

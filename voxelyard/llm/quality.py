@@ -16,7 +16,9 @@ of up to ``ORDER`` bytes is exactly one 64-bit integer.
 
 The model's logarithms are whole numbers (``SCALE`` to the unit), so sums don't depend on their order.
 A model of up to ``MODEL_ROWS`` rows, counted before, is replicated to the tasks, twelve bytes a row and
-an index; a larger one is joined by n-gram (``by_join``).  Both give the same numbers to the last digit.
+an index.  A larger one is cut into parts of about that size, by the two bytes before an n-gram's last, and the texts
+are read once a part (``by_parts``), so what is written are a few numbers of each text and part; one of more than
+``PARTS`` parts is joined by n-gram (``by_join``).  All give the same numbers to the last digit.
 
 Defined cases: null and empty texts have no bytes and the language's mean perplexity, and stay;
 a language's thresholds are widened toward those of all the more, the fewer held-out documents it has
@@ -51,8 +53,12 @@ SHRINK = 100
 HELD_OUT = 4
 #: Held-out documents at which a language's own thresholds weigh as much as those of all languages.
 PRIOR = 8
-#: Rows of n-grams and contexts that may be replicated.
+#: Rows of n-grams and contexts that may be replicated at once.
 MODEL_ROWS = 3_000_000
+#: Parts of a model that may be replicated one after another.
+PARTS = 32
+#: Values of the two bytes before an n-gram's last one, which all that its score looks up has in common.
+PAIRS = 1 << 16
 #: Labels, and languages, that may be broadcast.
 BROADCAST_LABELS, BROADCAST_LANGUAGES = 1_000_000, 10_000
 #: Bytes that a task works on at a time.
@@ -202,22 +208,37 @@ def log_probabilities(code: np.ndarray, model: dict[int, Lookup]) -> np.ndarray:
 
 def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
     """The columns of docs but text (binary), and n_bytes and log_sum, in parts of SCALE, of the text."""
+    return looked_up(docs, model) if replicate else by_join(docs, model)
+
+
+def looked_up(docs: DataFrame, model: DataFrame, low: int = 0, high: int = PAIRS, sent: list | None = None) -> DataFrame:
+    """The same by a replicated model. With bounds, by that part of it alone: of the n-grams whose two bytes before the
+    last are from low to below high. What is broadcast is added to sent."""
     names = [c for c in docs.columns if c != "text"]
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.drop("text").dtypes)
-    if not replicate:
-        return by_join(docs, model)
+    whole = (low, high) == (0, PAIRS)
+    if not whole:
+        model = model.where(_pair().isNull() | _pair().between(low, high - 1))
     held = {}
     for k in range(1 - ORDER, ORDER + 1):  # one at a time, so that the driver holds no second copy of all
         rows = model.where(F.col("level") == k).select("code", "value").toArrow()
         held[k] = rows.column("code").to_numpy(), rows.column("value").to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(held)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    if sent is not None:
+        sent.append(shared)
 
     def work(batches):
-        tables = {k: Lookup(*x) for k, x in sent.value.items()}
+        tables = {k: Lookup(*x) for k, x in shared.value.items()}
         for batch in batches:
             sums, lengths, more = [], [], False
             for code, length, goes_on in _pieces(batch.column("text")):
-                each = np.append(log_probabilities(code, tables), 0)
+                each = np.zeros(len(code) + 1, np.int64)
+                if whole:
+                    each[:-1] = log_probabilities(code, tables)
+                else:
+                    pair = code >> 8 & PAIRS - 1
+                    own = np.flatnonzero((pair >= low) & (pair < high))
+                    each[own] = log_probabilities(code[own], tables)
                 found = np.where(length > 0, np.add.reduceat(each, np.cumsum(length) - length), 0)
                 if more:
                     sums[-1] += found
@@ -232,6 +253,40 @@ def score(docs: DataFrame, model: DataFrame, replicate: bool) -> DataFrame:
     return docs.select(*names, "text").mapInArrow(released(work), f"{kinds}, n_bytes long, log_sum long")
 
 
+def _pair():
+    """The two bytes before the last of a model's n-grams, or the last two of its contexts; null for shorter ones, which
+    all parts have."""
+    level, code = F.col("level"), F.col("code")
+    return F.when(level >= 3, F.shiftright(code, 8).bitwiseAND(F.lit(PAIRS - 1))).when(level <= -2, code.bitwiseAND(F.lit(PAIRS - 1)))
+
+
+def parts_of(model: DataFrame, rows: int) -> list[tuple[int, int]]:
+    """Bounds of pairs that cut the model into parts of up to rows rows and a pair's."""
+    found = model.where(_pair().isNotNull()).groupBy(_pair().alias("pair")).agg(F.count("*").alias("n")).toArrow()  # PAIRS rows at most
+    n = np.zeros(PAIRS, np.int64)
+    n[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    cuts = np.flatnonzero(np.diff((np.cumsum(n) - n) // rows)) + 1
+    ends = [0, *cuts.tolist(), PAIRS]
+    return [*zip(ends, ends[1:])]
+
+
+def by_parts(docs: DataFrame, model: DataFrame, rows: int) -> DataFrame:
+    """The same by a replicated model, a part after another; equal texts have equal sums."""
+    key = F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_")
+    texts, found = docs.select(key, "text"), []
+    for k, (low, high) in enumerate(parts_of(model, rows)):
+        sent: list = []
+        own = looked_up(texts, model, low, high, sent)
+        found.append(materialise(own.withColumn("part", F.lit(k)), f"scores{k}"))
+        sent.pop().destroy()
+    every = found[0]
+    for own in found[1:]:
+        every = every.union(own)
+    each = [F.max(F.when(F.col("part") == k, F.col("log_sum"))) for k in range(len(found))]
+    sums = every.groupBy("text_").agg(F.max("n_bytes").alias("n_bytes"), sum(each[1:], each[0]).alias("log_sum"))
+    return docs.withColumn("text_", key).drop("text").join(sums, "text_").drop("text_")
+
+
 def by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     """The same by joins: distinct n-grams look up their probability order by order, and documents join
     their counts of n-grams."""
@@ -319,9 +374,12 @@ def judge(docs: DataFrame, labels: DataFrame, replicate: bool | None = None) ->
         good = F.broadcast(good)
 
     model = train(rows.join(good, "doc_id", "left_semi").where("not held").select("text"))
-    if replicate is None:
-        replicate = model.count() <= MODEL_ROWS
-    scored = materialise(score(rows, model, replicate), "scores")
+    n = model.count()
+    if replicate is None and MODEL_ROWS < n <= PARTS * MODEL_ROWS:
+        scored = by_parts(rows, model, MODEL_ROWS)
+    else:
+        scored = score(rows, model, n <= MODEL_ROWS if replicate is None else replicate)
+    scored = materialise(scored, "scores")
     known = scored.join(good, "doc_id", "left_semi").where("n_bytes > 0").select("lang", "held", "n_bytes", "log_sum")
     mean = known.agg(F.try_divide(F.sum("log_sum"), F.sum("n_bytes")) / SCALE).first()[0]
     log_prob = (F.col("log_sum") / SCALE).alias("log_prob")
