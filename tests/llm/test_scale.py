@@ -33,3 +33,22 @@ def test_the_stage_asks_operator_8_for_links(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in p.simhash_stage(spark, docs, "").collect()} == brute(rows)
     assert asked == [len({simhash.fingerprint(t.encode(), 5) for _, t in rows})]
+
+
+def test_keys_are_shuffled_once(spark, monkeypatch):
+    """The counts of keys and the join with them share a shuffle, of texts and of fingerprints."""
+    plans, plain = {}, near.materialise
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(near, "materialise", kept)
+    monkeypatch.setattr(simhash, "materialise", kept)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.createDataFrame(variants(60, 12, lambda d: d.randrange(2)), "doc_id long, text string")
+        near.links(docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert all("ReusedExchange" in plans[name] for name in ("shared-bands", "signatures"))

@@ -17,6 +17,8 @@ not alike with the leader: the rarest shingles of D, as many as that bound leave
 filter).  So the components are the same as if all pairs of a key were compared, and neither a group of
 copies with changes of their own nor a common passage makes pairs of all its texts.
 
+Texts go by the 16 bytes of their MD5, and the keys of all texts are shuffled once, for their counts and for the join with these.
+
 Defined cases: fewer words than a shingle are one shingle; texts without words (null, empty, white space)
 are equal to each other and to nothing else.
 """
@@ -49,11 +51,11 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
 
 
 def band_keys(own: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each band."""
+    """A 64-bit key of each band, with its number mixed in."""
     low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(own), 1 << 11):
         low = np.minimum(low, ((own[i : i + (1 << 11)] ^ _FLIP) * _ODD).min(axis=1))
-    out = np.zeros(BANDS, np.uint64)
+    out = np.arange(BANDS, dtype=np.uint64)
     for part in low.reshape(BANDS, ROWS).T:
         out = (out ^ part) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
@@ -62,7 +64,7 @@ def band_keys(own: np.ndarray) -> np.ndarray:
 
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(column(docs, "text", "string"), F.lit(""))
-    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), F.md5(text).alias("text_key"), text.cast("binary").alias("text"))
+    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"), text.cast("binary").alias("text"))
 
 
 def _mapped(rows: DataFrame, make, names: list[str], kind: str) -> DataFrame:
@@ -81,7 +83,7 @@ def _mapped(rows: DataFrame, make, names: list[str], kind: str) -> DataFrame:
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(text_key, held): the shingle sets of the asked texts."""
     texts = _texts(docs).join(keys, "text_key").groupBy("text_key").agg(F.first("text").alias("text"))
-    return materialise(_mapped(texts, shingles, ["text_key"], "text_key string"), "shingle-sets")
+    return materialise(_mapped(texts, shingles, ["text_key"], "text_key binary"), "shingle-sets")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -162,12 +164,12 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, pair_keys: int = PAIR
         own = np.unique(found)
         return np.append(band_keys(own), np.array([len(own), simhash.majority(found)], np.uint64))
 
-    rows = materialise(_mapped(_texts(docs), work, ["doc_id", "text_key"], "doc_id long, text_key string"), "bands")
+    rows = materialise(_mapped(_texts(docs), work, ["doc_id", "text_key"], "doc_id long, text_key binary"), "bands")
     each = rows.groupBy("text_key").agg(F.first("held").alias("held"))
-    each = each.select("text_key", F.element_at("held", BANDS + 1).alias("n"), F.element_at("held", BANDS + 2).alias("fp"), F.slice("held", 1, BANDS).alias("held"))
-    index = each.select("text_key", "n", F.posexplode("held").alias("band", "key"))
-    full = materialise(index.groupBy("band", "key").agg(F.count("*").alias("size"), F.min_by(F.struct("text_key", "n"), F.xxhash64("text_key")).alias("lead")).where("size > 1"), "band-sizes")
-    shared = materialise(index.join(full, ["band", "key"]).select("band", "key", "text_key", "n", "size", "lead"), "shared-bands")
+    each = materialise(each.select("text_key", F.element_at("held", BANDS + 1).alias("n"), F.element_at("held", BANDS + 2).alias("fp"), F.slice("held", 1, BANDS).alias("held")), "texts")
+    index = each.select("text_key", "n", F.explode("held").alias("key")).repartition("key")
+    full = index.groupBy("key").agg(F.count("*").alias("size"), F.min_by(F.struct("text_key", "n"), F.xxhash64("text_key")).alias("lead")).where("size > 1")
+    shared = materialise(index.join(full, "key").select("key", "text_key", "n", "size", "lead"), "shared-bands")
 
     # each text with the leaders of its keys
     to_lead = by_fingerprint(each).union(shared.select(F.struct("text_key", "n"), "lead").where("text_key <> lead.text_key").toDF("x", "y"))
@@ -177,10 +179,10 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, pair_keys: int = PAIR
     # and with each other, where a key still has more than one component
     roots = materialise(components(found).withColumnRenamed("node", "text_key"), "roots")
     left = shared.where("size > 2").join(roots, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
-    split = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "key")
-    left = materialise(left.join(split, ["band", "key"]).where("lead.text_key <> text_key"), "apart-bands")
-    few = left.where(F.col("size") <= pair_keys).select("band", "key", "text_key", "n", "root")
-    pairs = _pairs(few, few, ["band", "key"], similarity)
+    split = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    left = materialise(left.join(split, "key").where("lead.text_key <> text_key"), "apart-bands")
+    few = left.where(F.col("size") <= pair_keys).select("key", "text_key", "n", "root")
+    pairs = _pairs(few, few, ["key"], similarity)
     members = materialise(left.where(F.col("size") > pair_keys).select(F.col("lead.text_key").alias("lead"), "text_key").distinct(), "members")
     if not members.isEmpty():
         pairs = pairs.union(apart(docs, members, roots, similarity))
@@ -189,6 +191,8 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, pair_keys: int = PAIR
 
 
 def grouped(docs: DataFrame, similarity: float = SIMILARITY, pair_keys: int = PAIR_KEYS) -> DataFrame:
-    """(doc_id, text_key, root) of each document row; root names the component by its smallest text key."""
+    """(doc_id, text_key, root) of each document row; root names the component by its smallest text key. Both keys are
+    MD5 in hexadecimal digits."""
     rows, found = links(docs, similarity, pair_keys)
-    return rows.join(components(found).withColumnRenamed("node", "text_key"), "text_key", "left").select("doc_id", "text_key", F.coalesce("root", "text_key").alias("root"))
+    every = rows.join(components(found).withColumnRenamed("node", "text_key"), "text_key", "left")
+    return every.select("doc_id", *[F.lower(F.hex(c)).alias(n) for c, n in (("text_key", "text_key"), (F.coalesce("root", "text_key"), "root"))])

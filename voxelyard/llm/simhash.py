@@ -112,7 +112,9 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, pair_keys: int =
         raise ValueError("halves with one blank find distances up to 3")
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows are few before they are 66-fold
     index = prints.repartition(tasks).select("fp", F.explode(segment_keys(F.col("fp"), max_distance)).alias("k")).select("fp", "k.*")
-    counts = index.groupBy("place", "part").agg(F.count("*").alias("n")).where("n > 1")  # no task buffers a dense key
+    index = index.repartition("place", "part")  # counts and join look at all columns, so they share this one shuffle
+    several = (F.min("fp") < F.max("fp")) & ((F.min("side") < F.max("side")) | (F.max("side") == 2))
+    counts = index.groupBy("place", "part").agg(F.count("*").alias("n"), several.alias("several")).where("several").drop("several")  # no task buffers a dense key
     shared = materialise(index.join(counts, ["place", "part"]).select("fp", "place", "part", "side", "n"), "signatures")
     few = shared.where(F.col("n") <= pair_keys)
     zero, one, same = (few.where(F.col("side") == s).select("place", "part", F.col("fp").alias(n)) for s, n in ((0, "x"), (1, "y"), (2, "x")))
@@ -148,7 +150,7 @@ def contracted(edges: DataFrame) -> DataFrame:
                 a, b = find(root.setdefault(a, a)), find(root.setdefault(b, b))
                 root[max(a, b)] = min(a, b)
         nodes = sorted(root)
-        arrow = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[kind]
+        arrow = {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64(), "int": pa.int32()}[kind]
         for i in range(0, len(nodes), 1 << 14):
             part = nodes[i : i + (1 << 14)]
             yield pa.RecordBatch.from_arrays([pa.array(part, arrow), pa.array([find(x) for x in part], arrow)], ["node", "root"])
