@@ -107,3 +107,12 @@ def test_overlap_moves_tiles_not_voxels(spark):
     got = {r["body_id"]: (r["n_tube"], r["n_mask"], r["n_both"]) for r in df.collect()}
     assert got == {b: tuple(len([c for c in cells if c[0] == b]) for cells in (tube, mask, set(tube) & set(mask))) for b in (0, 1, 5)}
     assert "bit_or" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_sort_once_and_group_nothing(spark):
+    rows = [(1, 0, 0, x) for x in (5, 1, 2, 2, 3, 7, 8, 8)] + [(1, 0, 1, 4), (2, 0, 0, 4), (2, 0, 0, None), (2, 0, 0, None), (2, 0, 0, 5)]
+    found = volume.runs(spark.createDataFrame(rows, "body_id int, z int, y int, x int"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    assert sorted((tuple(r) for r in found.collect()), key=key) == [(1, 0, 0, 1, 3), (1, 0, 0, 5, 5), (1, 0, 0, 7, 8), (1, 0, 1, 4, 4), (2, 0, 0, None, None), (2, 0, 0, 4, 5)]
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Aggregate" not in plan

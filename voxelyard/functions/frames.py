@@ -117,3 +117,14 @@ def unflat(at: Column, shape: tuple[int, int, int]) -> list[Column]:
     z, y = F.lit(shape[0]).cast("long"), F.lit(shape[1]).cast("long")
     whole = lambda c, n: F.floor(c / n).cast("long")
     return [F.pmod(at, z).alias("z"), F.pmod(whole(at, z), y).alias("y"), whole(at, z * y).alias("x")]
+
+
+#: Rows of a task that sorts or groups all that it reads.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df dealt by keys over so many tasks that each has about TASK_ROWS of its rows, however many there are; later groups by
+    more keys, windows and joins by these ones need no other shuffle, and no groups are made before it."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(tasks, *keys)

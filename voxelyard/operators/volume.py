@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.frames import AXES, Box, dilate, in_box
+from ..functions.frames import AXES, Box, dealt, dilate, in_box
 from . import fields
 
 
@@ -42,10 +42,14 @@ def label_blocks(voxels: DataFrame, labels: list[int], factor: int, shape: tuple
 
 
 def runs(voxels: DataFrame) -> DataFrame:
-    """Maximal runs along x of each body and row: first and last x."""
-    distinct = voxels.select("body_id", *AXES).distinct()
-    island = F.col("x") - F.row_number().over(Window.partitionBy("body_id", "z", "y").orderBy("x"))
-    return distinct.withColumn("island", island).groupBy("body_id", "z", "y", "island").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("island")
+    """Maximal runs along x of each body and row: first and last x. Rows are sorted once, in tasks of a bounded size, and
+    none are grouped: a run starts where the x before, which may be the same, isn't next to it, and ends before the next start."""
+    row = Window.partitionBy("body_id", "z", "y")
+    along = row.orderBy("x")
+    rows = dealt(voxels.select("body_id", *AXES), voxels.count(), "body_id", "z", "y")
+    starts = rows.withColumns({"before": F.lag("x").over(along), "last": F.max("x").over(row), "place": F.row_number().over(along)})
+    starts = starts.where("place = 1 or x is not null and (before is null or x - 1 > before)")
+    return starts.select("body_id", "z", "y", F.col("x").alias("x0"), F.when(F.col("x").isNotNull(), F.coalesce(F.lead("before").over(along), "last")).alias("x1"))
 
 
 def local_density(voxels: DataFrame, reach: int) -> DataFrame:
