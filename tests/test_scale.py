@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 
 from tests.oracle import DATA
+from voxelyard.functions import frames
 from voxelyard.operators import calibre, simplify, trace, volume
-from voxelyard.plans import catalogue
+from voxelyard.plans import catalogue, sweeps
 
 
 @pytest.mark.parametrize("axis", [0, 1, 2])
@@ -116,3 +117,10 @@ def test_runs_sort_once_and_group_nothing(spark):
     key = lambda r: tuple(-1 if v is None else v for v in r)
     assert sorted((tuple(r) for r in found.collect()), key=key) == [(1, 0, 0, 1, 3), (1, 0, 0, 5, 5), (1, 0, 0, 7, 8), (1, 0, 1, 4, 4), (2, 0, 0, None, None), (2, 0, 0, 4, 5)]
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Aggregate" not in plan
+
+
+def test_tasks_of_block_batches_stay_as_large(spark, monkeypatch):
+    """More voxels are more tasks, not larger ones."""
+    n = spark.read.parquet(f"{DATA}/sf0.001/lineitem.parquet").count()
+    monkeypatch.setattr(frames, "TASK_ROWS", n // 10, raising=False)
+    assert sweeps._batches(spark, f"{DATA}/sf0.001").rdd.getNumPartitions() >= 10

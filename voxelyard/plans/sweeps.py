@@ -133,7 +133,9 @@ def populated_columns(spark, d):
 
 
 def _batches(spark, d):
-    rows = voxels(spark, d).withColumn("block", F.concat_ws("_", F.expr("z div 512"), F.expr("y div 512"), F.lit(0))).where("body_id <> 0")
+    found = voxels(spark, d)
+    rows = found.withColumn("block", F.concat_ws("_", F.expr("z div 512"), F.expr("y div 512"), F.lit(0))).where("body_id <> 0")
+    rows = frames.dealt(rows, found.count(), "block")  # all that follows is by block, and a block has few voxels
     lows = [F.min(a).cast("long").alias(f"{a}0") for a in frames.AXES]
     highs = [(F.max(a) + 1).cast("long").alias(f"{a}1") for a in frames.AXES]
     return rows.groupBy("block", "body_id").agg(*lows, *highs, F.count("*").alias("voxel_count"))
