@@ -6,6 +6,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.oracle import DATA
 from voxelyard.functions import frames
 from voxelyard.operators import calibre, simplify, trace, volume
@@ -124,3 +126,24 @@ def test_tasks_of_block_batches_stay_as_large(spark, monkeypatch):
     n = spark.read.parquet(f"{DATA}/sf0.001/lineitem.parquet").count()
     monkeypatch.setattr(frames, "TASK_ROWS", n // 10, raising=False)
     assert sweeps._batches(spark, f"{DATA}/sf0.001").rdd.getNumPartitions() >= 10
+
+
+def test_nearest_nodes_of_small_bodies_make_no_row_of_each_pair(spark):
+    nodes = spark.createDataFrame([(1, n, 0.0, 0.0, float(n)) for n in range(60)], "body_id long, node_id long, z_nm double, y_nm double, x_nm double")
+    points = nodes.select("body_id", F.col("node_id").alias("point_id"), *[F.col(f"{a}_nm").alias(a) for a in "zyx"])
+    found = calibre.nearest_nodes(points.union(points), nodes, [])
+    assert sorted((r["point_id"], r["node_id"], r["distance_nm"]) for r in found.collect()) == [(n, n, 0.0) for n in range(60)]
+    metrics, stack = [], [found._jdf.queryExecution().executedPlan()]
+    while stack:
+        at = stack.pop()
+        name = at.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(at.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            stack.append(at.plan())
+        children = at.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if "Join" in name and at.metrics().contains("numOutputRows"):
+            metrics.append(at.metrics().apply("numOutputRows").value())
+    assert max(metrics, default=0) <= 120  # 7,200 pairs

@@ -43,6 +43,12 @@ def _side(nodes: DataFrame) -> float:
     return wide / max(r[0], 1) ** (1 / 3) / 512 or 1.0
 
 
+def _distance2(node: Column) -> Column:
+    """distance2("p_", "n_") to a node that is a struct."""
+    moves = [F.col(f"p_{a}") - node[f"n_{a}"] for a in "zyx"]
+    return sum((m * m for m in moves), F.lit(0.0))
+
+
 def nearest_nodes(points: DataFrame, nodes: DataFrame, carry: list[str], side: float | None = None, small: int = SMALL) -> DataFrame:
     """For each point (point_id, body_id, z, y, x) the nearest node of its body, and the distance; of
     equally near ones that with the smallest id.
@@ -56,16 +62,18 @@ def nearest_nodes(points: DataFrame, nodes: DataFrame, carry: list[str], side: f
     size = own.groupBy("body_id").agg(F.count("*").alias("size_"))
     large = size.where(F.col("size_") > small).select("body_id")
     few, many = own.join(large, "body_id", "left_anti"), own.join(large, "body_id", "left_semi")
-    pairs = at.join(few, "body_id")
+    point = ["point_id", "body_id", *carry]
+    listed = few.groupBy("body_id").agg(F.collect_list(F.struct("node_id", "n_z", "n_y", "n_x")).alias("nodes_"))
+    nearest = F.array_min(F.transform("nodes_", lambda n: F.struct(_distance2(n).alias("d2"), n["node_id"].alias("node_id"))))
+    near = at.join(listed, "body_id").select(*point, nearest.alias("best"))  # a row of a point, not of each pair
     if not large.isEmpty():
         side = side or _side(many)
         cells = ["body_id", "level", "cz", "cy", "cx"]
         seen = _placed(_levels(many), "n_", side).select(*cells).distinct()
-        point = ["point_id", *carry, "body_id", "p_z", "p_y", "p_x"]
-        found = _placed(_levels(at), "p_", side).join(seen, cells, "left_semi").groupBy(*point).agg(F.least(F.min("level") + 1, F.lit(LEVELS)).alias("level"))
-        pairs = pairs.unionByName(_placed(found, "p_", side, True).join(_placed(_levels(many), "n_", side), cells).drop("level", "cz", "cy", "cx"))
-    pairs = pairs.withColumn("d2", distance2("p_", "n_"))
-    best = pairs.groupBy("point_id", "body_id", *carry).agg(F.min(F.struct("d2", "node_id")).alias("best"))
+        found = _placed(_levels(at), "p_", side).join(seen, cells, "left_semi").groupBy(*point, "p_z", "p_y", "p_x").agg(F.least(F.min("level") + 1, F.lit(LEVELS)).alias("level"))
+        pairs = _placed(found, "p_", side, True).join(_placed(_levels(many), "n_", side), cells)
+        near = near.unionByName(pairs.select(*point, F.struct(distance2("p_", "n_").alias("d2"), "node_id").alias("best")))
+    best = near.groupBy(*point).agg(F.min("best").alias("best"))
     return best.select("point_id", "body_id", *carry, F.col("best.node_id").alias("node_id"), F.sqrt("best.d2").alias("distance_nm"))
 
 
