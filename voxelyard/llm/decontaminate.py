@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, column, materialise, table
+from .shared import ascii_lower, column, materialise, sieve, table
 from .tokens import blocks, released
 
 WINDOW, SHINGLE = 10, 5
@@ -217,10 +217,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no window of an item, with their own columns."""
-    bad = decontaminate(docs, items, keep_key=True).where("contaminated").select("text_key").distinct()
-    key = F.md5(F.coalesce(column(docs, "text", "string"), F.lit("")))
-    return docs.join(bad, key == bad.text_key, "left_anti")
+    """The documents that hold no window of an item, with their own columns. Of the texts, those alone move that
+    have the id of one that goes."""
+    bad = materialise(decontaminate(docs, items, keep_key=True).where("contaminated").select("doc_id", "text_key").distinct(), "contaminated")
+    may, others = sieve(docs, F.xxhash64(column(docs, "doc_id", "long")), bad.select(F.xxhash64("doc_id")))
+    bad = bad.select("text_key").distinct()
+    return others.union(may.join(bad, F.md5(F.coalesce(column(may, "text", "string"), F.lit(""))) == bad.text_key, "left_anti"))
 
 
 OP1_SQL = rf"""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import column, materialise, scratch, table
+from .shared import column, materialise, scratch, sieve, table
 
 #: Keys of a filter shard, on average.
 SHARD_KEYS = 1 << 13
@@ -267,16 +267,17 @@ def half() -> Column:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all of their own columns."""
-    found = dedup(docs, half()).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    stay = found.groupBy("digest", F.col("doc_id").alias("keep_id")).agg((F.count("*") > 1).alias("tied"))
-    names = docs.columns
-    digest = F.unhex(F.sha2(normalised(column(docs, "text", "string")), 256))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), column(docs, "doc_id", "long").alias("own_id"), digest.alias("own_digest"))
-    kept = packed.join(stay, (F.col("own_digest") == F.col("digest")) & F.col("own_id").eqNullSafe(F.col("keep_id")))
-    # rows that share both id and text: one of them
-    one = kept.where("tied").groupBy("digest", "keep_id").agg(F.first("doc").alias("doc")).select("doc")
-    return kept.where("not tied").select("doc").unionByName(one).select("doc.*")
+    """The documents that stay, with all of their own columns. Of the texts, those alone move that have the id of a
+    row that goes, or of rows that share both id and text."""
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    found = dedup(docs, half()).where("group_size > 1").groupBy("digest", "doc_id").agg(F.first(stays).alias("stays"), (F.count("*") > 1).alias("tied"))
+    found = materialise(found.where("tied or not stays").withColumnRenamed("doc_id", "own"), "copies")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    may, others = sieve(docs, F.xxhash64(column(docs, "doc_id", "long")), found.select(F.xxhash64("own")))
+    packed = may.select(F.struct(*names).alias("doc"), column(may, "doc_id", "long").alias("own_id"), F.unhex(F.sha2(normalised(column(may, "text", "string")), 256)).alias("own_digest"))
+    met_ = packed.join(found, (F.col("own_digest") == F.col("digest")) & F.col("own_id").eqNullSafe(F.col("own")), "left")
+    one = met_.where("stays").groupBy("digest", "own").agg(F.first("doc").alias("doc")).select("doc")
+    return others.union(met_.where("stays is null").select("doc.*")).union(one.select("doc.*"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 
 _SCRATCH: list[tuple] = []
+#: Bits of a sieve's bitmap: at least, at most 2 to the power of.
+SIEVE_BITS = (20, 27)
 
 
 def _delete(entry: tuple) -> None:
@@ -80,5 +82,21 @@ def column(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def sieve(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key (a 64-bit hash) may be one of keys (one column of such hashes), and the rows whose key
+    certainly isn't, so that only the former have to move to a join with what the keys stand for.
+
+    A bitmap decides, of 64 bits for each key and 16 MB at most, which is broadcast. Its false hits are among
+    the former: they have to fall out in the join."""
+    bits = min(SIEVE_BITS[1], max(SIEVE_BITS[0], (64 * keys.count()).bit_length()))
+    marks = keys.toDF("sieve_key").select(F.shiftrightunsigned("sieve_key", 64 - bits).alias("s")).groupBy(F.expr("s div 32768").alias("sieve_block"))
+    marks = materialise(marks.agg(F.bitmap_construct_agg(F.expr("cast(s % 32768 as bigint)")).alias("sieve_bits")), "sieve")
+    held = rows.withColumn("sieve_slot", F.shiftrightunsigned(key, 64 - bits)).join(F.broadcast(marks), F.expr("sieve_slot div 32768 = sieve_block"), "left")
+    byte = F.conv(F.hex(F.substring("sieve_bits", F.expr("cast(sieve_slot % 32768 as int) div 8 + 1"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.expr("element_at(array(1, 2, 4, 8, 16, 32, 64, 128), cast(sieve_slot % 8 as int) + 1)").bitwiseAND(byte) != 0, F.lit(False))
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    return held.where(hit).select(*names), held.where(~hit).select(*names)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import column, materialise, table
+from .shared import column, materialise, sieve, table
 from .tokens import blocks, released
 
 SEED = 42
@@ -211,13 +211,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def representatives(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each component, with its own columns: the one with the smallest id (null ids come
     last, and are told apart by their texts); of rows that share both, one. Components are those of
-    near_duplicates, or else groups (doc_id, text_key, root) has them."""
-    names = docs.columns
-    each = (near_duplicates(docs) if groups is None else groups).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
-    first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")).alias("x"))
-    stay = first.select(F.col("x.doc_id").alias("stay"), "x.text_key", (F.col("x.n") > 1).alias("tied"))
-    key = F.md5(F.coalesce(column(docs, "text", "string"), F.lit("")))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), column(docs, "doc_id", "long").alias("own_id"), key.alias("own_key"))
-    kept = packed.join(stay, (F.col("own_key") == F.col("text_key")) & F.col("own_id").eqNullSafe(F.col("stay")))
-    one = kept.where("tied").groupBy("text_key", "stay").agg(F.first("doc").alias("doc")).select("doc")
-    return kept.where("not tied").select("doc").unionByName(one).select("doc.*")
+    near_duplicates, or else groups (doc_id, text_key, root) has them. Of the texts, those alone move that have
+    the id of a row that goes, or of rows that share both id and text."""
+    each = materialise((near_duplicates(docs) if groups is None else groups).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n")), "groups")
+    first = each.groupBy("root").agg(F.sum("n").alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("x")).where("size > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("text_key") == F.col("x.text_key"))
+    found = each.join(first, "root").select(F.col("doc_id").alias("own"), "text_key", stays.alias("stays"), "n")
+    found = materialise(found.where("n > 1 or not stays"), "copies")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    may, others = sieve(docs, F.xxhash64(column(docs, "doc_id", "long")), found.select(F.xxhash64("own")))
+    key = F.md5(F.coalesce(column(may, "text", "string"), F.lit("")))
+    packed = may.select(F.struct(*names).alias("doc"), column(may, "doc_id", "long").alias("own_id"), key.alias("own_key"))
+    met = packed.join(found, (F.col("own_key") == F.col("text_key")) & F.col("own_id").eqNullSafe(F.col("own")), "left")
+    one = met.where("stays").groupBy("text_key", "own").agg(F.first("doc").alias("doc"))
+    return others.union(met.where("stays is null").select("doc.*")).union(one.select("doc.*"))
