@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frames import AXES, block_of
-from .graph import components, labels, least_forest, lengths, near_pairs
+from .graph import components, labels, least_forest, lengths, near_pairs, short_tips
 
 #: Voxels of a component to be traced, of a path to be kept, and around a path that it covers.
 DUST, MIN_LENGTH, COVER_SCALE, COVER_CONST = 50, 10.0, 1.2, 2.0
@@ -458,6 +458,5 @@ def fusion_summary(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def twigs(v: np.ndarray, e: np.ndarray, least: float) -> int:
-    """Tips whose path to the first branch point is shorter than this."""
-    full = Shape(v, np.zeros(len(v)), e)
-    return int((full.degree() == 1).sum() - (without_ticks(full, least).degree() == 1).sum())
+    """Tips whose path to the first branch point is shorter than this; see ``short_tips``."""
+    return len(short_tips(v, e, least))

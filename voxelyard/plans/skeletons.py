@@ -281,7 +281,9 @@ def swc_forest(spark, d):
 
 def skeleton_stats(spark, d):
     nodes, edges = skeletons(spark, d, True)
-    return skeleton.topology(nodes, edges, paths.components(nodes, edges)).join(paths.twig_counts(nodes, edges, 300.0), "body_id")
+    cable = skeleton.cable_length(nodes, edges).select("body_id", F.round(F.col("cable_nm") / 1000, 1).alias("cable_um"))
+    shape = skeleton.topology(nodes, edges, paths.components(nodes, edges))
+    return shape.join(paths.twig_counts(nodes, edges, 300.0), "body_id", "left").join(cable, "body_id", "left").na.fill(0, ["n_twigs", "cable_um"])
 
 
 QUERIES = {f.__name__: f for f in (edge_lengths, cable_length, cable_shares, components, topology, diameter_stats, frustum_volume_area, measure_skeletons, sweep_skeletons, skeleton_boxes, transformed_nodes, slab_edges, edge_samples, mean_cross_section, nearest_nodes, nearest_by_grid, nearest_node_binning, node_radii, blob_signal, attach_points, ball_region, gap_candidates, bridge_gaps, path_distances, synapse_distances, synapse_summary, region_sample, optimal_downsample, agreement, tube_overlap, mesh_metrics, mesh_fragment_offsets, swc_tables, method_pairs, trace_blocks, fuse_skeletons, fusion_totals, fusion_grid, path_steps, trailing_valid, path_suffix, named_labels, swc_forest, skeleton_stats)}
