@@ -39,7 +39,7 @@ BROADCAST_WINDOWS = 100_000
 #: Bits of the bitmap by window: at least, at most 2 to the power of.
 BITS = (20, 27)
 #: Bytes that a task works on at a time; below a power of two, as the table of powers is.
-BLOCK = 1_000_000
+BLOCK = 250_000
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x00:0x30] = _IS_WORD[0x3A:0x61] = _IS_WORD[0x7B:0x80] = False

@@ -32,6 +32,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Ids that a task packs at a time.
 BLOCK_IDS = 1 << 20
+#: Bytes of texts that are encoded at a time.
+PIECE = 1 << 19
 #: Tokens of a step group, about.
 STEP_TOKENS = 1 << 17
 
@@ -153,14 +155,15 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id
         top: list = []
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for i, j, texts in blocks(batch.column(1)):
-                ids, n = encode(texts)
-                ends = np.cumsum(n)
-                for doc_id, a, b in zip(doc_ids[i:j], ends - n, ends):
-                    rows[next_row] = (doc_id, np.append(ids[a:b], np.uint32(end_id)))
-                    top += packer.add(next_row, len(rows[next_row][1]))
-                    held += len(rows[next_row][1])
-                    next_row += 1
+            for i, j, _ in blocks(batch.column(1)):
+                for k, m, texts in blocks(batch.column(1).slice(i, j - i), PIECE):
+                    ids, n = encode(texts)
+                    ends = np.cumsum(n)
+                    for doc_id, a, b in zip(doc_ids[i + k : i + m], ends - n, ends):
+                        rows[next_row] = (doc_id, np.append(ids[a:b], np.uint32(end_id)))
+                        top += packer.add(next_row, len(rows[next_row][1]))
+                        held += len(rows[next_row][1])
+                        next_row += 1
                 if held >= block_ids:
                     top += packer.windows()
                     yield out(top)
